@@ -68,7 +68,7 @@ def anchored(patterns: DataFrame, classes: list[WindowClass]) -> DataFrame:
 
 
 def _shapes(anchors: DataFrame) -> DataFrame:
-    """Distinct (_h, _j, _m, _sq): window hash, offset, pattern length, stride."""
+    """Distinct (_h, _j, _m): window hash, its offset, length of the pattern."""
     windows = anchors.select("_p", "_m", "_q", "_s", F.explode("_offsets").alias("_j"))
     hashed = _window_hash(F.col("_q"), F.col("_s"), cut("_p", F.col("_j"), F.col("_q")))
     return windows.select(hashed.alias("_h"), "_j", "_m").distinct()
@@ -108,11 +108,12 @@ def hash_positions(
     ``texts`` has the key columns and ``_b``; ``patterns`` has ``_id`` and ``_p``.
     """
     if not search.classes:  # no usable pattern
-        nothing = patterns.select("_id", byte_length("_p").alias("_m")).where(F.lit(False))
-        return (
-            texts.select(*keys)
-            .join(F.broadcast(nothing), F.lit(True))
-            .select(*keys, "_id", "_m", F.lit(0).alias("_pos"))
+        id_type = patterns.schema["_id"].dataType
+        return texts.where(F.lit(False)).select(
+            *keys,
+            F.lit(None).cast(id_type).alias("_id"),
+            F.lit(0).alias("_m"),
+            F.lit(0).alias("_pos"),
         )
     anchors = anchored(patterns, search.classes)
     if search.broadcast:
