@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def spread(scan: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
@@ -22,13 +23,24 @@ def spread(scan: DataFrame, key: str, min_partitions: int | None = None) -> Data
     return scan.repartition(wanted, key)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` in the folder named by ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for checkpoints: the cluster's ``spark.checkpoint.dir``.
 
     Only a session that names no folder (a test on one machine) gets its own.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        named = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="bytesift-"))
+    return context.getCheckpointDir()
+
+
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing has been written to yet."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage of ``df`` in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from bytesift.operators.search import (
@@ -76,7 +77,12 @@ def stream_pattern_totals(
         texts = normal_texts(stream, {}, body)
         found = positions(texts, [], bare, search)
         return found.groupBy(F.col("_id").alias("pattern_id")).agg(F.count("*").alias("n_matches"))
-    timed = stream if watermark is None else stream.withWatermark(event_time, watermark)
+    timed = stream
+    if watermark is not None:
+        if isinstance(stream.schema[event_time].dataType, T.TimestampNTZType):
+            # a watermark needs an instant; the session time zone gives it
+            timed = timed.withColumn(event_time, F.col(event_time).cast("timestamp"))
+        timed = timed.withWatermark(event_time, watermark)
     # the time column keeps its name: its watermark is bound to it
     texts = normal_texts(timed, {event_time: event_time}, body)
     found = positions(texts, [event_time], bare, search)
