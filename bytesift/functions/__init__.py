@@ -1,4 +1,4 @@
-"""Column expressions shared by the operators."""
+"""SQL expressions shared by the operators."""
 
 from bytesift.functions.bytes import (
     as_bytes,
@@ -8,6 +8,7 @@ from bytesift.functions.bytes import (
     latin1,
     literal_regex,
     overlap_regex,
+    quoted,
     starts_in,
 )
 
@@ -19,5 +20,6 @@ __all__ = [
     "latin1",
     "literal_regex",
     "overlap_regex",
+    "quoted",
     "starts_in",
 ]

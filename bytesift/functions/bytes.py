@@ -1,88 +1,83 @@
-"""Byte-wise column expressions.
+"""Byte-wise SQL expressions.
 
 Matching is defined on bytes, so every operator works on ``BINARY``: slicing is
 direct there (``substring`` on a STRING walks the characters), ``octet_length``
 is free, and any byte value is allowed.  Where a Spark function exists for
 strings only, the Latin-1 view maps each byte to exactly one character.
+
+Arguments and results are SQL text for ``selectExpr`` and ``where``: a search is
+a few long expressions, and one parsed string is far cheaper to hand to the JVM
+than a tree of Column calls.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+
+def quoted(name: str) -> str:
+    """A column name as an SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
 
 
-def as_bytes(col: Column | str) -> Column:
-    """The column as BINARY; a STRING gives its UTF-8 bytes."""
-    return (F.col(col) if isinstance(col, str) else col).cast("binary")
+def as_bytes(value: str) -> str:
+    """The value as BINARY; a STRING gives its UTF-8 bytes."""
+    return f"CAST({value} AS BINARY)"
 
 
-def byte_length(col: Column | str) -> Column:
-    return F.octet_length(col)
+def byte_length(value: str) -> str:
+    return f"octet_length({value})"
 
 
-def cut(body: Column | str, start: Column | int, length: Column | int) -> Column:
+def cut(body: str, start: str, length: str) -> str:
     """``length`` bytes of ``body`` from the 0-based offset ``start``."""
-    one_based = start + 1
-    return F.substring(
-        body,
-        one_based if isinstance(one_based, Column) else F.lit(one_based),
-        length if isinstance(length, Column) else F.lit(length),
-    )
+    return f"substring({body}, ({start}) + 1, {length})"
 
 
-def latin1(col: Column | str) -> Column:
+def latin1(value: str) -> str:
     """One character per byte, for functions that take strings only."""
-    return F.decode(as_bytes(col), "ISO-8859-1")
+    return f"decode({as_bytes(value)}, 'ISO-8859-1')"
 
 
-def literal_regex(text: Column) -> Column:
-    """A regular expression that matches ``text`` literally, ``\\E`` included."""
-    return F.concat(
-        F.lit("\\Q"),
-        F.replace(text, F.lit("\\E"), F.lit("\\E\\\\E\\Q")),
-        F.lit("\\E"),
-    )
+def literal_regex(text: str) -> str:
+    r"""A regular expression that matches ``text`` literally, ``\E`` included."""
+    return rf"concat(r'\Q', replace({text}, r'\E', r'\E\\E\Q'), r'\E')"
 
 
-def overlap_regex(text: Column) -> Column:
+def overlap_regex(text: str) -> str:
     """A zero-width regular expression in front of every occurrence of ``text``.
 
     Consuming nothing, it also meets occurrences that overlap the previous one.
     """
-    return F.concat(F.lit("(?="), literal_regex(text), F.lit(")"))
+    return f"concat('(?=', {literal_regex(text)}, ')')"
 
 
-def starts_in(body: Column, pattern: Column) -> Column:
+def starts_in(body: str, pattern: str) -> str:
     """ARRAY<INT> of the 0-based starts of ``pattern`` in ``body``, ascending.
 
     The body is split in front of each occurrence, so the starts are the running
     sums of the piece lengths.  Piece 0 starts with a match only when the body
     itself does: the lookahead never leaves an empty first piece.
     """
-    pieces = F.split(latin1(body), overlap_regex(latin1(pattern)), -1)
-    lengths = F.transform(pieces, lambda piece: F.length(piece))
-    no_starts = F.array().cast("array<int>")
-    walked = F.aggregate(
-        F.slice(lengths, F.lit(2), F.size(lengths)),
-        F.struct(F.element_at(lengths, 1).alias("at"), no_starts.alias("starts")),
-        lambda acc, n: F.struct(
-            (acc["at"] + n).alias("at"),
-            F.array_append(acc["starts"], acc["at"]).alias("starts"),
-        ),
-    )
-    first = F.when(F.startswith(body, pattern), F.array(F.lit(0))).otherwise(no_starts)
-    return F.concat(first, walked["starts"])
-
-
-def count_in(body: Column, pattern: Column, self_overlapping: Column) -> Column:
+    pieces = f"split({latin1(body)}, {overlap_regex(latin1(pattern))}, -1)"
+    lengths = f"transform({pieces}, piece -> length(piece))"
+    none = "CAST(array() AS ARRAY<INT>)"
+    return f"""
+    aggregate(
+      {lengths},
+      named_struct('at', 0, 'starts', {none}),
+      (acc, n) -> named_struct(
+        'at', acc.at + n,
+        'starts', IF(acc.at > 0 OR startswith({body}, {pattern}),
+                     array_append(acc.starts, acc.at), acc.starts)),
+      acc -> acc.starts)"""
+
+
+def count_in(body: str, pattern: str, self_overlapping: str) -> str:
     """Number of occurrences of ``pattern`` in ``body``, overlapping ones included.
 
     A pattern that cannot overlap itself is counted from the bytes that its
     removal takes away, which needs no regular expression.
     """
-    text = body.cast("string")
-    removed = F.replace(text, pattern.cast("string"), F.lit(""))
-    plain = (byte_length(text) - byte_length(removed)) / byte_length(pattern)
-    overlapping = F.regexp_count(latin1(body), overlap_regex(latin1(pattern)))
-    return F.when(self_overlapping, overlapping).otherwise(plain.cast("int")).cast("long")
+    removed = f"replace(CAST({body} AS STRING), CAST({pattern} AS STRING), '')"
+    plain = f"({byte_length(body)} - {byte_length(removed)}) DIV {byte_length(pattern)}"
+    overlapping = f"regexp_count({latin1(body)}, {overlap_regex(latin1(pattern))})"
+    return f"CAST(IF({self_overlapping}, {overlapping}, {plain}) AS BIGINT)"

@@ -9,7 +9,6 @@ whole.  Only the owner reports it, so nothing is counted twice.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from bytesift.functions import as_bytes, byte_length, cut
 from bytesift.operators.search import normal_patterns, normal_texts, positions
@@ -37,19 +36,19 @@ def chunk_texts(
         raise ValueError("size, max_pattern_len and num_splits must be at least 1")
     overlap = max_pattern_len - 1
     length = byte_length("_b")
-    width = F.lit(size) if num_splits is None else F.ceil(length / F.lit(num_splits)).cast("int")
-    sized = (
+    width = str(size) if num_splits is None else f"CAST(ceil({length} / {num_splits}) AS INT)"
+    cuts = (
         normal_texts(texts, {"text_id": text_id}, body)
-        .where(length >= 1)
-        .withColumn("_size", width)
+        .where(f"{length} >= 1")
+        .selectExpr("*", f"{width} AS _size")
+        .selectExpr("*", f"explode(sequence(0, {length} - 1, _size)) AS _at")
     )
-    cuts = sized.withColumn("_at", F.explode(F.sequence(F.lit(0), length - 1, F.col("_size"))))
-    chunks = cuts.select(
+    chunks = cuts.selectExpr(
         "text_id",
-        F.col("_at").cast("long").alias("start"),
-        F.least(F.col("_size"), length - F.col("_at")).alias("owned"),
-        F.lit(overlap).alias("overlap"),
-        cut("_b", F.col("_at"), F.col("_size") + overlap).alias("body"),
+        "CAST(_at AS BIGINT) AS start",
+        f"least(_size, {length} - _at) AS owned",
+        f"{overlap} AS overlap",
+        f"{cut('_b', '_at', f'_size + {overlap}')} AS body",
     )
     if num_partitions is None:
         return chunks
@@ -70,15 +69,12 @@ def find_matches_chunked(
     """
     bare = normal_patterns(patterns, pattern_id, pattern)
     search = choose(bare, strategy)
-    enough = F.assert_true(
-        F.col("overlap") >= F.lit(search.stats.max_len - 1),
-        F.lit(f"chunk overlap is too short for a pattern of {search.stats.max_len} bytes"),
+    longest = search.stats.max_len
+    enough = (
+        f"assert_true(overlap >= {longest - 1}, "
+        f"'chunk overlap is too short for a pattern of {longest} bytes') IS NULL"
     )
     keys = ["text_id", "start", "owned"]
-    bodies = chunks.where(enough.isNull()).select(*keys, as_bytes("body").alias("_b"))
-    found = positions(bodies, keys, bare, search)
-    return found.where(F.col("_pos") < F.col("owned")).select(
-        "text_id",
-        F.col("_id").alias("pattern_id"),
-        (F.col("start") + F.col("_pos")).alias("byte_pos"),
-    )
+    bodies = chunks.where(enough).selectExpr(*keys, f"{as_bytes('body')} AS _b")
+    found = positions(bodies, keys, bare, search).where("_pos < owned")
+    return found.selectExpr("text_id", "_id AS pattern_id", "start + _pos AS byte_pos")

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bytesift.functions import byte_length, count_in, cut, starts_in
+from bytesift.functions import byte_length, count_in, cut, quoted, starts_in
 
 # Offsets of one text are generated in stretches of this many bytes, so that the
 # generated arrays stay small however long the text is.
@@ -37,88 +37,87 @@ class Literal:
 
 def collect_literals(patterns: DataFrame) -> list[Literal]:
     """The rows of ``patterns(_id, _p)``; call only below the literal bounds."""
-    rows = patterns.where(byte_length("_p") >= 1).select("_id", "_p").collect()
+    rows = patterns.where(f"{byte_length('_p')} >= 1").select("_id", "_p").collect()
     return [Literal(r["_id"], bytes(r["_p"])) for r in rows]
 
 
-def _with_patterns(texts: DataFrame, literals: list[Literal], id_type: str) -> DataFrame:
+def _id_of(literals: list[Literal], id_type: str) -> Column:
+    """The id of literal number ``_i``."""
+    ids = F.array(*[F.lit(x.pattern_id) for x in literals]).cast(f"array<{id_type}>")
+    return F.get(ids, F.col("_i")).alias("_id")
+
+
+def _with_patterns(texts: DataFrame, literals: list[Literal]) -> DataFrame:
     """Each text once per literal that it contains.
 
-    The columns added are ``_id, _p, _m`` and ``_o`` (can overlap itself).
+    The columns added are ``_i`` (number of the literal), ``_p``, ``_m`` (its
+    length) and ``_o`` (it can overlap itself).
     """
-    rows = [
-        F.struct(
-            F.lit(x.pattern_id).cast(id_type).alias("id"),
-            F.lit(x.pattern).alias("p"),
-            F.lit(len(x.pattern)).alias("m"),
-            F.lit(x.self_overlapping).alias("o"),
-        )
-        for x in literals
-    ]
-    if len(rows) == 1:
+    kept = [quoted(c) for c in texts.columns]
+    if len(literals) == 1:
         # not exploded, so that the filter is evaluated at the scan
-        paired = texts.where(F.contains("_b", F.lit(literals[0].pattern)))
-        one = rows[0]
-    else:
-        paired = texts.withColumn("_x", F.explode(F.array(*rows)))
-        one = F.col("_x")
-    named = [one[name].alias(f"_{name}") for name in ("id", "p", "m", "o")]
-    paired = paired.select(*texts.columns, *named)
-    return paired if len(rows) == 1 else paired.where(F.contains("_b", F.col("_p")))
+        p = literals[0].pattern
+        only = [f"X'{p.hex()}' AS _p", f"{len(p)} AS _m", f"{literals[0].self_overlapping} AS _o"]
+        return texts.where(f"contains(_b, X'{p.hex()}')").selectExpr(*kept, "0 AS _i", *only)
+    rows = ", ".join(
+        f"({i}, X'{x.pattern.hex()}', {len(x.pattern)}, {x.self_overlapping})"
+        for i, x in enumerate(literals)
+    )
+    exploded = texts.selectExpr(*kept, f"inline(array({rows})) AS (_i, _p, _m, _o)")
+    return exploded.where("contains(_b, _p)")
 
 
 def _stretches(paired: DataFrame) -> DataFrame:
     """Add ``_lo`` and ``_hi``: the first and last start of each stretch."""
-    last = byte_length("_b") - F.col("_m")
-    lows = paired.withColumn("_lo", F.explode(F.sequence(F.lit(0), last, F.lit(STRETCH))))
-    return lows.withColumn("_hi", F.least(F.col("_lo") + (STRETCH - 1), last))
+    last = f"{byte_length('_b')} - _m"
+    return paired.selectExpr("*", f"explode(sequence(0, {last}, {STRETCH})) AS _lo").selectExpr(
+        "*", f"least(_lo + {STRETCH - 1}, {last}) AS _hi"
+    )
 
 
-def _blocks(paired: DataFrame, size: Column) -> DataFrame:
-    """Add ``_at`` and ``_slice``, the blocks that contain the pattern.
+def _blocks(paired: DataFrame, size: str) -> DataFrame:
+    """Add ``_at``, ``_width`` and ``_slice``, the blocks that contain the pattern.
 
     A slice is the block and the m-1 bytes after it, so an occurrence belongs to
-    the one block in which it starts.
+    the one block in which it starts.  The last block ends with its stretch.
     """
-    m = F.col("_m")
-    blocks = _stretches(paired).withColumn("_at", F.explode(F.sequence("_lo", "_hi", size)))
-    # a stretch is not a multiple of every block size: the last block ends with it
-    width = F.least(size, F.col("_hi") - F.col("_at") + 1)
-    return blocks.withColumn("_width", width).withColumn(
-        "_slice", cut("_b", F.col("_at"), F.col("_width") + m - 1)
-    ).where(F.contains("_slice", F.col("_p")))
+    return (
+        _stretches(paired)
+        .selectExpr("*", f"explode(sequence(_lo, _hi, {size})) AS _at")
+        .selectExpr("*", f"least({size}, _hi - _at + 1) AS _width")
+        .selectExpr("*", f"{cut('_b', '_at', '_width + _m - 1')} AS _slice")
+        .where("contains(_slice, _p)")
+    )
 
 
 def scan_positions(
     texts: DataFrame, keys: list[str], literals: list[Literal], id_type: str
 ) -> DataFrame:
     """keys, _id, _m, _pos of every occurrence, by narrowing blocks to positions."""
-    paired = _with_patterns(texts, literals, id_type)
-    hit = _blocks(paired, F.greatest(F.lit(SCAN_BLOCK), F.col("_m")))
-    at = hit.withColumn(
-        "_pos", F.explode(F.sequence(F.col("_at"), F.col("_at") + F.col("_width") - 1))
+    blocks = _blocks(_with_patterns(texts, literals), f"greatest({SCAN_BLOCK}, _m)")
+    found = blocks.selectExpr("*", "explode(sequence(_at, _at + _width - 1)) AS _pos").where(
+        f"{cut('_b', '_pos', '_m')} = _p"
     )
-    found = at.where(cut("_b", F.col("_pos"), F.col("_m")) == F.col("_p"))
-    return found.select(*keys, "_id", "_m", "_pos")
+    return found.select(*keys, _id_of(literals, id_type), "_m", "_pos")
 
 
 def split_positions(
     texts: DataFrame, keys: list[str], literals: list[Literal], id_type: str
 ) -> DataFrame:
     """The rows of :func:`scan_positions`, from a split in front of each match."""
-    paired = _with_patterns(texts, literals, id_type)
-    hit = _blocks(paired, F.lit(SPLIT_BLOCK))
-    local = hit.withColumn("_local", F.explode(starts_in(F.col("_slice"), F.col("_p"))))
-    return local.select(*keys, "_id", "_m", (F.col("_at") + F.col("_local")).alias("_pos"))
+    blocks = _blocks(_with_patterns(texts, literals), str(SPLIT_BLOCK))
+    found = blocks.selectExpr("*", f"explode({starts_in('_slice', '_p')}) AS _local").selectExpr(
+        "*", "_at + _local AS _pos"
+    )
+    return found.select(*keys, _id_of(literals, id_type), "_m", "_pos")
 
 
 def literal_counts(
     texts: DataFrame, keys: list[str], literals: list[Literal], id_type: str
 ) -> DataFrame:
     """keys, _id, _n per text stretch that has matches; no positions are made."""
-    paired = _stretches(_with_patterns(texts, literals, id_type))
-    width = F.col("_hi") - F.col("_lo") + F.col("_m")
-    counted = paired.withColumn("_slice", cut("_b", F.col("_lo"), width)).select(
-        *keys, "_id", count_in(F.col("_slice"), F.col("_p"), F.col("_o")).alias("_n")
+    slices = _stretches(_with_patterns(texts, literals)).selectExpr(
+        "*", f"{cut('_b', '_lo', '_hi - _lo + _m')} AS _slice"
     )
-    return counted.where(F.col("_n") > 0)
+    counted = slices.selectExpr("*", f"{count_in('_slice', '_p', '_o')} AS _n").where("_n > 0")
+    return counted.select(*keys, _id_of(literals, id_type), "_n")

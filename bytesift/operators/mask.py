@@ -2,26 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bytesift.functions import as_bytes, byte_length
+from bytesift.functions import as_bytes, byte_length, quoted
 
 
-def _dense(starts: Column, length: Column) -> Column:
+def _dense(starts: str, length: str) -> str:
     """ARRAY<TINYINT> of ``length`` with 1 at each of the ascending ``starts``.
 
     Built from the gaps, so the cost grows with the length alone.
     """
-    zero, one = F.lit(0).cast("tinyint"), F.lit(1).cast("tinyint")
-
-    def gap_then_one(at: Column, i: Column) -> Column:
-        before = F.when(i == 0, F.lit(-1)).otherwise(F.get(starts, i - 1))
-        return F.concat(F.array_repeat(zero, at - before - 1), F.array(one))
-
-    filled = F.flatten(F.transform(starts, gap_then_one))
-    rest = F.array_repeat(zero, length - F.element_at(starts, -1) - 1)
-    return F.concat(filled, rest)
+    previous = f"IF(i = 0, -1, get({starts}, i - 1))"
+    filled = f"flatten(transform({starts}, (at, i) -> array_append(array_repeat(0Y, at - {previous} - 1), 1Y)))"
+    return f"concat({filled}, array_repeat(0Y, {length} - element_at({starts}, -1) - 1))"
 
 
 def match_mask(
@@ -36,15 +30,13 @@ def match_mask(
     A mask is as long as its text, so this is for short texts: a text longer
     than ``max_len`` bytes that has a match makes the job fail.  Chunk it first.
     """
-    lengths = texts.select(F.col(text_id).alias("text_id"), byte_length(as_bytes(body)).alias("_n"))
-    short = F.assert_true(
-        F.col("_n") <= max_len, F.lit(f"a text is longer than max_len={max_len} bytes")
+    lengths = texts.selectExpr(
+        f"{quoted(text_id)} AS text_id", f"{byte_length(as_bytes(quoted(body)))} AS _n"
     )
+    short = f"assert_true(_n <= {max_len}, 'a text is longer than max_len={max_len} bytes') IS NULL"
     # the length is checked before the positions of a text are gathered
-    sized = matches.join(lengths, "text_id").where(short.isNull())
+    sized = matches.join(lengths, "text_id").where(short)
     gathered = sized.groupBy("text_id", "pattern_id", "_n").agg(
-        F.array_sort(F.collect_set(F.col("byte_pos").cast("int"))).alias("_starts")
-    )
-    return gathered.select(
-        "text_id", "pattern_id", _dense(F.col("_starts"), F.col("_n")).alias("mask")
+        F.expr("array_sort(collect_set(CAST(byte_pos AS INT))) AS _starts")
     )
+    return gathered.selectExpr("text_id", "pattern_id", f"{_dense('_starts', '_n')} AS mask")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bytesift.functions import as_bytes, byte_length, cut
+from bytesift.functions import as_bytes, byte_length, cut, quoted
 from bytesift.operators.search import normal_patterns, positions
 from bytesift.plans.choice import choose
 
@@ -25,15 +25,16 @@ def validate_patterns(
     ``keep_invalid`` nothing is dropped and a ``reason`` column (NULL for the
     good ones) says what is wrong.
     """
-    size = byte_length(as_bytes(pattern))
-    reason = F.when(F.col(pattern).isNull(), "null").when(size == 0, "empty")
-    reason = reason.when(size < min_len, "too short")
-    if max_len is not None:
-        reason = reason.when(size > max_len, "too long")
-    checked = patterns.withColumn("reason", reason)
+    p, size = quoted(pattern), byte_length(as_bytes(quoted(pattern)))
+    too_long = "" if max_len is None else f"WHEN {size} > {max_len} THEN 'too long'"
+    checked = patterns.selectExpr(
+        "*",
+        f"""CASE WHEN {p} IS NULL THEN 'null' WHEN {size} = 0 THEN 'empty'
+        WHEN {size} < {min_len} THEN 'too short' {too_long} END AS reason""",
+    )
     if dedupe:
         good = F.col("reason").isNull()
-        key = as_bytes(pattern)
+        key = F.col(pattern).cast("binary")
         first = (
             checked.where(good)
             .groupBy(key.alias("_key"))
@@ -50,19 +51,17 @@ def validate_patterns(
     return checked.where(F.col("reason").isNull()).drop("reason")
 
 
-def _common_prefix(p: Column, m: Column, shift: Column) -> Column:
-    """Length of the longest common prefix of ``p`` and ``p`` from ``shift`` on.
+def _common_prefix(shift: str) -> str:
+    """Length of the longest common prefix of ``_p`` and ``_p`` from ``shift`` on.
 
     Prefix equality is monotone in the length, so the length is found bit by bit.
     """
-    bits = F.array(*[F.lit(1 << b) for b in range(30, -1, -1)])
-
-    def try_bit(known: Column, bit: Column) -> Column:
-        longer = known + bit
-        fits = shift + longer <= m
-        return F.when(fits & (cut(p, F.lit(0), longer) == cut(p, shift, longer)), longer).otherwise(known)
-
-    return F.aggregate(F.filter(bits, lambda bit: bit <= m), F.lit(0), try_bit)
+    bits = ", ".join(str(1 << b) for b in range(30, -1, -1))
+    longer = "known + bit"
+    fits = f"{shift} + {longer} <= _m AND {cut('_p', '0', longer)} = {cut('_p', shift, longer)}"
+    return f"""
+    aggregate(filter(array({bits}), bit -> bit <= _m), 0,
+              (known, bit) -> IF({fits}, {longer}, known))"""
 
 
 def pattern_profile(
@@ -74,30 +73,20 @@ def pattern_profile(
     that is also their suffix.  A pattern whose longest border is 0 cannot
     overlap itself.  All of it is computed inside the pattern's row.
     """
-    p, m = F.col("_p"), F.col("_m")
-    sized = normal_patterns(patterns, pattern_id, pattern).withColumn("_m", byte_length("_p"))
-    # reach[i]: where the match of the prefix with the pattern shifted by i ends
-    shifts = F.when(m > 1, F.sequence(F.lit(1), m - 1)).otherwise(F.array().cast("array<int>"))
-    reached = sized.withColumn(
-        "_reach", F.transform(shifts, lambda i: i + _common_prefix(p, m, i))
+    sized = normal_patterns(patterns, pattern_id, pattern).selectExpr(
+        "*", f"{byte_length('_p')} AS _m"
     )
-
-    def border_at(j: Column) -> Column:
-        # the smallest shift that reaches over position j leaves the longest border
-        over = F.transform(F.slice("_reach", F.lit(1), j), lambda reach: reach > j)
-        shift = F.array_position(over, F.lit(True)).cast("int")
-        return F.when(shift > 0, j + 1 - shift).otherwise(F.lit(0))
-
-    lps = F.transform(F.sequence(F.lit(0), m - 1), border_at)
-    profile = reached.select(
-        F.col("_id").alias("pattern_id"), m.alias("len"), lps.alias("lps")
-    )
-    border = F.element_at("lps", -1)
-    return profile.select(
-        "*",
-        border.alias("longest_border"),
-        (F.col("len") - border).alias("shortest_period"),
-        (border > 0).alias("self_overlapping"),
+    # _reach[i - 1]: where the common prefix with the pattern shifted by i ends
+    shifts = "IF(_m > 1, sequence(1, _m - 1), CAST(array() AS ARRAY<INT>))"
+    reached = sized.selectExpr("*", f"transform({shifts}, i -> i + {_common_prefix('i')}) AS _reach")
+    # the smallest shift that reaches over position j leaves the longest border
+    shift = "CAST(array_position(transform(slice(_reach, 1, j), r -> r > j), true) AS INT)"
+    border = f"IF({shift} > 0, j + 1 - {shift}, 0)"
+    profile = reached.selectExpr(
+        "_id AS pattern_id", "_m AS len", f"transform(sequence(0, _m - 1), j -> {border}) AS lps"
+    ).selectExpr("*", "element_at(lps, -1) AS longest_border")
+    return profile.selectExpr(
+        "*", "len - longest_border AS shortest_period", "longest_border > 0 AS self_overlapping"
     )
 
 
@@ -109,8 +98,8 @@ def nested_patterns(
     The patterns are searched in the pattern table, by the same join as texts.
     """
     bare = normal_patterns(patterns, pattern_id, pattern)
-    outer = bare.select(F.col("_id").alias("outer_id"), F.col("_p").alias("_b"))
+    outer = bare.selectExpr("_id AS outer_id", "_p AS _b")
     found = positions(outer, ["outer_id"], bare, choose(bare, "hash"))
-    return found.where(F.col("outer_id") != F.col("_id")).select(
-        "outer_id", F.col("_id").alias("inner_id"), F.col("_pos").cast("long").alias("byte_pos")
+    return found.where("outer_id <> _id").selectExpr(
+        "outer_id", "_id AS inner_id", "CAST(_pos AS BIGINT) AS byte_pos"
     )

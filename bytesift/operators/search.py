@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bytesift.functions import as_bytes, byte_length
+from bytesift.functions import as_bytes, byte_length, quoted
 from bytesift.operators.literal import (
     Literal,
     collect_literals,
@@ -39,19 +39,20 @@ def _contains(texts: DataFrame, body: str, raw: bytes) -> Column:
             return F.contains(F.col(body), F.lit(raw.decode("utf-8")))
         except UnicodeDecodeError:
             pass
-    return F.contains(as_bytes(body), F.lit(raw))
+    return F.contains(F.col(body).cast("binary"), F.lit(raw))
 
 
 def normal_texts(texts: DataFrame, keys: dict[str, str], body: str) -> DataFrame:
     """The key columns under their new names, and the body as ``_b BINARY``."""
-    renamed = [F.col(old).alias(new) for new, old in keys.items()]
-    return texts.where(F.col(body).isNotNull()).select(*renamed, as_bytes(body).alias("_b"))
+    renamed = [f"{quoted(old)} AS {quoted(new)}" for new, old in keys.items()]
+    bodies = texts.selectExpr(*renamed, f"{quoted(body)} AS _b").where("_b IS NOT NULL")
+    return bodies.selectExpr(*map(quoted, keys), f"{as_bytes('_b')} AS _b")
 
 
 def normal_patterns(patterns: DataFrame, pattern_id: str, pattern: str) -> DataFrame:
     """``_id`` and ``_p BINARY``, without NULL and empty patterns."""
-    bare = patterns.select(F.col(pattern_id).alias("_id"), as_bytes(pattern).alias("_p"))
-    return bare.where(byte_length("_p") >= 1)
+    bare = patterns.selectExpr(f"{quoted(pattern_id)} AS _id", f"{as_bytes(quoted(pattern))} AS _p")
+    return bare.where(f"{byte_length('_p')} >= 1")
 
 
 def positions(texts: DataFrame, keys: list[str], patterns: DataFrame, search: Search) -> DataFrame:
@@ -64,9 +65,7 @@ def positions(texts: DataFrame, keys: list[str], patterns: DataFrame, search: Se
 
 
 def _matches(found: DataFrame) -> DataFrame:
-    return found.select(
-        "text_id", F.col("_id").alias("pattern_id"), F.col("_pos").cast("long").alias("byte_pos")
-    )
+    return found.selectExpr("text_id", "_id AS pattern_id", "CAST(_pos AS BIGINT) AS byte_pos")
 
 
 def contains_filter(
@@ -164,10 +163,10 @@ def count_matches(
     bodies = normal_texts(texts, {"text_id": text_id}, body)
     if search.strategy == "hash" or search.stats.count == 0:
         found = hash_positions(bodies, ["text_id"], bare, search)
-        counted = found.select("text_id", "_id", F.lit(1).cast("long").alias("_n"))
+        counted = found.selectExpr("text_id", "_id", "1L AS _n")
     elif search.strategy == "split":
         found = positions(bodies, ["text_id"], bare, search)
-        counted = found.select("text_id", "_id", F.lit(1).cast("long").alias("_n"))
+        counted = found.selectExpr("text_id", "_id", "1L AS _n")
     else:
         id_type = bare.schema["_id"].dataType.simpleString()
         counted = literal_counts(bodies, ["text_id"], collect_literals(bare), id_type)

@@ -14,10 +14,10 @@ third of all patterns never pairs the text with all of them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bytesift.functions import byte_length, cut
+from bytesift.functions import byte_length, cut, quoted
 from bytesift.plans.choice import SALTS, Search, class_of, setting
 from bytesift.plans.windows import WindowClass
 
@@ -25,21 +25,24 @@ from bytesift.plans.windows import WindowClass
 WINDOWS_PER_STRETCH = 1 << 14
 # Bytes of text per fetched slice in the shuffled path.
 FETCH_BLOCK = 1 << 16
+# Anchors up to this many are made distinct in one partition, without a shuffle.
+FEW_ANCHORS = 1 << 16
 
+START = "_w - _j"
+# The shape found at the window lies inside a text of _n bytes.
+INSIDE = f"{START} >= 0 AND {START} + _m <= _n"
+# The anchor that was met is the one that the pattern uses for this residue;
+# null-safe, so that no filter on _offsets is inferred and computed again.
+OWN_ANCHOR = "_offsets[_j % _ts] <=> _j"
 
-def _window_hash(q: Column, s: Column, window: Column) -> Column:
-    return F.xxhash64(q, s, window)
 
-
-def _is_run(pattern: Column, offset: Column, q: Column) -> Column:
-    """True for a window that repeats with a period of 1 to 4 bytes."""
-
-    def repeats(period: int) -> Column:
-        length = q - period
-        same = cut(pattern, offset, length) == cut(pattern, offset + period, length)
-        return (q >= 2 * period) & same
-
-    return repeats(1) | repeats(2) | repeats(3) | repeats(4)
+def _is_run(offset: str) -> str:
+    """True for a window of ``_p`` that repeats with a period of 1 to 4 bytes."""
+    periods = [
+        f"(_q >= {2 * d} AND {cut('_p', offset, f'_q - {d}')} = {cut('_p', f'{offset} + {d}', f'_q - {d}')})"
+        for d in (1, 2, 3, 4)
+    ]
+    return f"({' OR '.join(periods)})"
 
 
 def anchored(patterns: DataFrame, classes: list[WindowClass]) -> DataFrame:
@@ -49,55 +52,43 @@ def anchored(patterns: DataFrame, classes: list[WindowClass]) -> DataFrame:
     window that is not a mere run (blanks, rules, repeated marks), because runs
     are what long texts have most of; the first window where all are runs.
     """
-    m = byte_length("_p")
-    sized = (
-        patterns.where(m >= 1)
-        .withColumn("_m", m)
-        .withColumn("_c", class_of(F.col("_m"), classes))
-        .select("_id", "_p", "_m", F.col("_c.q").alias("_q"), F.col("_c.s").alias("_s"))
+    sized = patterns.selectExpr("_id", "_p", f"{byte_length('_p')} AS _m").where("_m >= 1")
+    classed = sized.selectExpr("*", f"{class_of('_m', classes)} AS _c").selectExpr(
+        "_id", "_p", "_m", "_c.q AS _q", "_c.s AS _s"
     )
-    p, q, s = F.col("_p"), F.col("_q"), F.col("_s")
-
-    def best(residue: Column) -> Column:
-        offsets = F.sequence(residue, F.col("_m") - q, s)
-        varied = F.filter(offsets, lambda o: ~_is_run(p, o, q))
-        return F.coalesce(F.get(varied, F.lit(0)), residue)
-
-    residues = F.sequence(F.lit(0), s - 1)
-    return sized.withColumn("_offsets", F.transform(residues, best))
+    varied = f"filter(sequence(r, _m - _q, _s), o -> NOT {_is_run('o')})"
+    best = f"IF({_is_run('r')}, coalesce(get({varied}, 0), r), r)"
+    return classed.selectExpr("*", f"transform(sequence(0, _s - 1), r -> {best}) AS _offsets")
 
 
-def _shapes(anchors: DataFrame) -> DataFrame:
+def _shapes(anchors: DataFrame, search: Search) -> DataFrame:
     """Distinct (_h, _j, _m): window hash, its offset, length of the pattern."""
-    windows = anchors.select("_p", "_m", "_q", "_s", F.explode("_offsets").alias("_j"))
-    hashed = _window_hash(F.col("_q"), F.col("_s"), cut("_p", F.col("_j"), F.col("_q")))
-    return windows.select(hashed.alias("_h"), "_j", "_m").distinct()
+    if search.stats.count * search.classes[0].stride <= FEW_ANCHORS:
+        anchors = anchors.coalesce(1)
+    # explode_outer: no filter on _offsets is inferred and computed again
+    windows = anchors.selectExpr("_p", "_m", "_q", "_s", "explode_outer(_offsets) AS _j")
+    return windows.selectExpr(f"xxhash64(_q, _s, {cut('_p', '_j', '_q')}) AS _h", "_j", "_m").distinct()
 
 
 def _text_windows(texts: DataFrame, classes: list[WindowClass]) -> DataFrame:
-    """Each text once per sampled window: adds ``_s``, ``_w`` (offset), ``_h``."""
-    pairs = F.array(
-        *[F.struct(F.lit(c.q).alias("q"), F.lit(c.stride).alias("s")) for c in classes]
-    )
-    q, s = F.col("_q"), F.col("_s")
-    last = byte_length("_b") - q
-    per_class = (
-        texts.withColumn("_c", F.explode(pairs))
-        .select(*texts.columns, F.col("_c.q").alias("_q"), F.col("_c.s").alias("_s"))
-        .where(byte_length("_b") >= q)
+    """Each text once per sampled window: adds ``_n``, ``_s``, ``_w``, ``_h``."""
+    kept = [quoted(c) for c in texts.columns]
+    pairs = ", ".join(f"({c.q}, {c.stride})" for c in classes)
+    last = f"{byte_length('_b')} - _q"
+    step = f"_s * {WINDOWS_PER_STRETCH}"
+    return (
+        texts.selectExpr(*kept, f"inline(array({pairs})) AS (_q, _s)")
+        .where(f"{byte_length('_b')} >= _q")
+        .selectExpr("*", f"explode(sequence(0, {last}, {step})) AS _lo")
+        .selectExpr("*", f"explode(sequence(_lo, least(_lo + {step} - _s, {last}), _s)) AS _w")
+        .selectExpr(
+            *kept,
+            f"{byte_length('_b')} AS _n",
+            "_s",
+            "_w",
+            f"xxhash64(_q, _s, {cut('_b', '_w', '_q')}) AS _h",
+        )
     )
-    step = s * WINDOWS_PER_STRETCH
-    stretched = per_class.withColumn("_lo", F.explode(F.sequence(F.lit(0), last, step)))
-    up_to = F.least(F.col("_lo") + step - s, last)
-    windows = stretched.withColumn("_w", F.explode(F.sequence(F.col("_lo"), up_to, s)))
-    hashed = _window_hash(q, s, cut("_b", F.col("_w"), q))
-    return windows.select(*texts.columns, "_s", "_w", hashed.alias("_h"))
-
-
-def _inside(length: Column) -> Column:
-    """The shape found at the window lies inside the text."""
-    start = F.col("_w") - F.col("_j")
-    return (start >= 0) & (start + F.col("_m") <= length)
 
 
 def hash_positions(
@@ -130,18 +121,16 @@ def _broadcast_positions(
     texts: DataFrame, keys: list[str], anchors: DataFrame, search: Search
 ) -> DataFrame:
     """Both joins broadcast: one stage, and the text never leaves its task."""
-    shapes = F.broadcast(_shapes(anchors))
-    hits = _text_windows(texts, search.classes).join(shapes, "_h").where(_inside(byte_length("_b")))
-    start = F.col("_w") - F.col("_j")
-    held = hits.select(
-        *keys, "_j", start.alias("_pos"), F.col("_s").alias("_ts"), cut("_b", start, F.col("_m")).alias("_p")
-    )
-    whole = F.broadcast(anchors.select("_id", "_p", "_m", F.col("_s").alias("_ts"), "_offsets"))
-    return (
-        held.join(whole, ["_p", "_ts"])
-        .where(F.get("_offsets", F.col("_j") % F.col("_ts")) == F.col("_j"))
-        .select(*keys, "_id", "_m", "_pos")
+    kept = [quoted(k) for k in keys]
+    shapes = F.broadcast(_shapes(anchors, search))
+    held = (
+        _text_windows(texts, search.classes)
+        .join(shapes, "_h")
+        .where(INSIDE)
+        .selectExpr(*kept, "_j", "_s AS _ts", f"{START} AS _pos", f"{cut('_b', START, '_m')} AS _p")
     )
+    whole = F.broadcast(anchors.selectExpr("_id", "_p", "_m", "_s AS _ts", "_offsets"))
+    return held.join(whole, ["_p", "_ts"]).where(OWN_ANCHOR).select(*keys, "_id", "_m", "_pos")
 
 
 def _shuffled_positions(
@@ -155,44 +144,32 @@ def _shuffled_positions(
     is spread; a slice is bounded in bytes, so its candidates are too.  The keys
     must be unique per text.
     """
+    kept = [quoted(k) for k in keys]
     salts = setting(texts.sparkSession, SALTS)
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
+    every_salt = f"explode(sequence(0, {salts - 1})) AS _salt"
 
-    def salt(*by: str) -> Column:
-        return F.pmod(F.xxhash64(*by), F.lit(salts)).cast("int").alias("_salt")
+    def salt(offset: str) -> str:
+        return f"CAST(pmod(xxhash64({', '.join([*kept, offset])}), {salts}) AS INT) AS _salt"
 
-    length = byte_length("_b")
-    windows = _text_windows(texts, search.classes).select(
-        *keys, length.alias("_n"), "_s", "_w", "_h", salt(*keys, "_w")
+    windows = _text_windows(texts, search.classes).selectExpr(
+        *kept, "_n", "_s", "_w", "_h", salt("_w")
     )
-    shapes = _shapes(anchors).select("*", every_salt)
-    block = (F.col("_w") - F.col("_j")) - (F.col("_w") - F.col("_j")) % FETCH_BLOCK
+    shapes = _shapes(anchors, search).selectExpr("*", every_salt)
     candidates = (
         windows.join(shapes, ["_h", "_salt"])
-        .where(_inside(F.col("_n")))
-        .select(
-            *keys, "_s", "_j", "_m", (F.col("_w") - F.col("_j")).alias("_pos"), block.alias("_at")
-        )
-    )
-    slices = texts.where(length >= 1).select(
-        *keys, "_b", F.explode(F.sequence(F.lit(0), length - 1, F.lit(FETCH_BLOCK))).alias("_at")
+        .where(INSIDE)
+        .selectExpr(*kept, "_s AS _ts", "_j", "_m", f"{START} AS _pos")
+        .selectExpr("*", f"_pos - _pos % {FETCH_BLOCK} AS _at")
     )
-    slices = slices.select(
-        *keys, "_at", cut("_b", F.col("_at"), F.lit(FETCH_BLOCK + search.stats.max_len)).alias("_slice")
-    )
-    cut_out = candidates.join(slices, [*keys, "_at"]).select(
-        *keys,
-        "_j",
-        "_pos",
-        F.col("_s").alias("_ts"),
-        cut("_slice", F.col("_pos") - F.col("_at"), F.col("_m")).alias("_p"),
-        salt(*keys, "_pos"),
-    )
-    whole = anchors.select(
-        "_id", "_p", "_m", F.col("_s").alias("_ts"), "_offsets", every_salt
+    length = byte_length("_b")
+    slices = (
+        texts.where(f"{length} >= 1")
+        .selectExpr(*kept, "_b", f"explode(sequence(0, {length} - 1, {FETCH_BLOCK})) AS _at")
+        .selectExpr(*kept, "_at", f"{cut('_b', '_at', str(FETCH_BLOCK + search.stats.max_len))} AS _slice")
     )
-    return (
-        cut_out.join(whole, ["_p", "_ts", "_salt"])
-        .where(F.get("_offsets", F.col("_j") % F.col("_ts")) == F.col("_j"))
-        .select(*keys, "_id", "_m", "_pos")
+    cut_out = candidates.join(slices, [*keys, "_at"]).selectExpr(
+        *kept, "_j", "_ts", "_pos", f"{cut('_slice', '_pos - _at', '_m')} AS _p", salt("_pos")
     )
+    whole = anchors.selectExpr("_id", "_p", "_m", "_s AS _ts", "_offsets", every_salt)
+    met = cut_out.join(whole, ["_p", "_ts", "_salt"])
+    return met.where(OWN_ANCHOR).select(*keys, "_id", "_m", "_pos")

@@ -53,26 +53,21 @@ class Search:
     stats: PatternStats
 
 
-def class_of(length, classes: list[WindowClass]):
+def class_of(length: str, classes: list[WindowClass]) -> str:
     """STRUCT(q, s) of the class with the longest window that fits ``length``."""
-    fits = [
-        F.when(length >= c.min_len, F.struct(F.lit(c.q).alias("q"), F.lit(c.stride).alias("s")))
+    fits = " ".join(
+        f"WHEN {length} >= {c.min_len} THEN named_struct('q', {c.q}, 's', {c.stride})"
         for c in classes
-    ]
-    return F.coalesce(*fits)
+    )
+    return f"CASE {fits} END"
 
 
 def pattern_stats(patterns: DataFrame, classes: list[WindowClass]) -> PatternStats:
     """Measure ``patterns(_p BINARY)``: one job, one row back per window class."""
-    length = byte_length("_p")
+    sized = patterns.selectExpr(f"{byte_length('_p')} AS m").where("m >= 1")
     rows = (
-        patterns.where(length >= 1)
-        .groupBy(class_of(length, classes).alias("c"))
-        .agg(
-            F.count("*").alias("n"),
-            F.sum(length.cast("long")).alias("bytes"),
-            F.max(length).alias("longest"),
-        )
+        sized.groupBy(F.expr(class_of("m", classes)).alias("c"))
+        .agg(F.expr("count(*) AS n"), F.expr("sum(CAST(m AS BIGINT)) AS bytes"), F.expr("max(m) AS longest"))
         .collect()
     )
     return PatternStats(

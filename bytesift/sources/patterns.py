@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from bytesift.functions import latin1
 from bytesift.operators.patterns import validate_patterns
@@ -27,11 +26,12 @@ def read_patterns(
     files = spark.read.format("binaryFile").load(path)
     if len(files.inputFiles()) != 1:
         raise ValueError("a pattern list is one file; read several as a table of patterns")
-    lines = F.split(latin1("content"), "\n", -1)
-    ended = F.when(F.element_at(lines, -1) == "", F.slice(lines, F.lit(1), F.size(lines) - 1))
-    numbered = files.select(F.posexplode(F.coalesce(ended, lines)).alias("pattern_id", "_line"))
+    lines = files.selectExpr(rf"split({latin1('content')}, '\n', -1) AS _lines").selectExpr(
+        "posexplode(IF(element_at(_lines, -1) = '', slice(_lines, 1, size(_lines) - 1), _lines)) "
+        "AS (pattern_id, _line)"
+    )
     if max_patterns is not None:
-        numbered = numbered.where(F.col("pattern_id") < max_patterns)
-    line = F.regexp_replace("_line", "\r$", "") if strip_cr else F.col("_line")
-    patterns = numbered.select("pattern_id", F.encode(line, "ISO-8859-1").alias("pattern"))
+        lines = lines.where(f"pattern_id < {max_patterns}")
+    line = r"regexp_replace(_line, r'\r$', '')" if strip_cr else "_line"
+    patterns = lines.selectExpr("pattern_id", f"encode({line}, 'ISO-8859-1') AS pattern")
     return validate_patterns(patterns, keep_invalid=keep_invalid)

@@ -6,12 +6,11 @@ import math
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from bytesift.functions import as_bytes, byte_length, cut
+from bytesift.functions import as_bytes, byte_length, cut, quoted
 from bytesift.operators.search import normal_patterns, positions
 from bytesift.plans.choice import choose
 
@@ -85,10 +84,10 @@ def stream_find_across(
     """
     bare = normal_patterns(patterns, pattern_id, pattern)
     search = choose(bare)
-    pieces = stream.select(
-        F.col(key).alias("key"),
-        F.col(order).cast("long").alias("_order"),
-        F.coalesce(as_bytes(body), F.lit(b"")).alias("_b"),
+    pieces = stream.selectExpr(
+        f"{quoted(key)} AS key",
+        f"CAST({quoted(order)} AS BIGINT) AS _order",
+        f"coalesce({as_bytes(quoted(body))}, X'') AS _b",
     )
     key_type = pieces.schema["key"].dataType.simpleString()
     stitched = pieces.groupBy("key").applyInPandasWithState(
@@ -98,16 +97,8 @@ def stream_find_across(
         "append",
         GroupStateTimeout.NoTimeout,
     )
-    found = positions(stitched, ["key", "start", "seen"], bare, search)
-    return found.where(F.col("_pos") + F.col("_m") > F.col("seen")).select(
-        "key",
-        F.col("_id").alias("pattern_id"),
-        (F.col("start") + F.col("_pos")).alias("byte_pos"),
-    )
-
-
-def _bucket(order: Column, lowest: int, width: int) -> Column:
-    return F.floor((order - F.lit(lowest)) / F.lit(width))
+    found = positions(stitched, ["key", "start", "seen"], bare, search).where("_pos + _m > seen")
+    return found.selectExpr("key", "_id AS pattern_id", "start + _pos AS byte_pos")
 
 
 def _with_offsets(pieces: DataFrame) -> DataFrame:
@@ -118,25 +109,23 @@ def _with_offsets(pieces: DataFrame) -> DataFrame:
     """
     lowest, highest = pieces.agg(F.min("_order"), F.max("_order")).first()
     lowest, highest = (0, 0) if lowest is None else (lowest, highest)
-    width = max(1, math.isqrt(highest - lowest) + 1)
-    ranged = pieces.withColumn("_range", _bucket(F.col("_order"), lowest, width))
-    size = byte_length("_b").cast("long")
-    before = W.unboundedPreceding, -1
-
-    def running(length: Column, window) -> Column:
-        return F.coalesce(F.sum(length).over(window.rowsBetween(*before)), F.lit(0).cast("long"))
-
-    per_range = ranged.groupBy("key", "_range").agg(F.sum(size).alias("_size"))
-    range_starts = per_range.select(
+    width = math.isqrt(highest - lowest) + 1
+    ranged = pieces.selectExpr(
+        "*", f"(_order - {lowest}L) DIV {width} AS _range", f"CAST({byte_length('_b')} AS BIGINT) AS _size"
+    )
+    before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    per_range = ranged.groupBy("key", "_range").agg(F.sum("_size").alias("_size"))
+    range_starts = per_range.selectExpr(
         "key",
         "_range",
-        running(F.col("_size"), W.partitionBy("key").orderBy("_range")).alias("_range_from"),
+        f"coalesce(sum(_size) OVER (PARTITION BY key ORDER BY _range {before}), 0L) AS _range_from",
     )
-    inside = ranged.withColumn(
-        "_inside", running(size, W.partitionBy("key", "_range").orderBy("_order"))
+    inside = ranged.selectExpr(
+        "*",
+        f"coalesce(sum(_size) OVER (PARTITION BY key, _range ORDER BY _order {before}), 0L) AS _inside",
     )
-    return inside.join(range_starts, ["key", "_range"]).select(
-        "key", "_b", (F.col("_range_from") + F.col("_inside")).alias("_from")
+    return inside.join(range_starts, ["key", "_range"]).selectExpr(
+        "key", "_b", "_range_from + _inside AS _from", "_range_from + _inside + _size AS _to"
     )
 
 
@@ -159,34 +148,37 @@ def find_across(
     bare = normal_patterns(patterns, pattern_id, pattern)
     search = choose(bare)
     overlap = max(0, search.stats.max_len - 1)
-    pieces = texts.where(byte_length(as_bytes(body)) >= 1).select(
-        F.col(key).alias("key"), F.col(order).cast("long").alias("_order"), as_bytes(body).alias("_b")
+    pieces = texts.where(f"{byte_length(as_bytes(quoted(body)))} >= 1").selectExpr(
+        f"{quoted(key)} AS key",
+        f"CAST({quoted(order)} AS BIGINT) AS _order",
+        f"{as_bytes(quoted(body))} AS _b",
     )
-    placed = _with_offsets(pieces)
     # block k holds the bytes from k*block to (k+1)*block+overlap
-    end = F.col("_from") + byte_length("_b")
-    first = F.greatest(F.lit(0).cast("long"), F.floor((F.col("_from") - overlap) / F.lit(block)))
-    reached = F.sequence(first, F.floor((end - 1) / F.lit(block)))
-    parts = placed.withColumn("_block", F.explode(reached))
-    low = F.greatest(F.col("_from"), F.col("_block") * block)
-    high = F.least(end, (F.col("_block") + 1) * block + overlap)
-    parts = parts.where(low < high).select(
-        "key",
-        "_block",
-        F.struct(
-            low.alias("at"),
-            cut("_b", (low - F.col("_from")).cast("int"), (high - low).cast("int")).alias("bytes"),
-        ).alias("_part"),
+    first = f"greatest(0L, _from - {overlap}) DIV {block}"
+    parts = (
+        _with_offsets(pieces)
+        .selectExpr("*", f"explode(sequence({first}, (_to - 1) DIV {block})) AS _block")
+        .selectExpr(
+            "*",
+            f"greatest(_from, _block * {block}) AS _low",
+            f"least(_to, (_block + 1) * {block} + {overlap}) AS _high",
+        )
+        .where("_low < _high")
+        .selectExpr(
+            "key",
+            "_block",
+            f"""named_struct('at', _low, 'bytes', {cut(
+                '_b', 'CAST(_low - _from AS INT)', 'CAST(_high - _low AS INT)')}) AS _part""",
+        )
     )
-    blocks = parts.groupBy("key", "_block").agg(F.array_sort(F.collect_list("_part")).alias("_parts"))
-    joined = blocks.select(
-        "key",
-        (F.col("_block") * block).alias("start"),
-        F.unhex(F.array_join(F.transform("_parts", lambda part: F.hex(part["bytes"])), "")).alias("_b"),
+    blocks = parts.groupBy("key", "_block").agg(
+        F.expr("array_sort(collect_list(_part)) AS _parts")
     )
-    found = positions(joined, ["key", "start"], bare, search)
-    return found.where(F.col("_pos") < block).select(
+    # joined as hexadecimal text: array_join is linear and takes strings
+    joined = blocks.selectExpr(
         "key",
-        F.col("_id").alias("pattern_id"),
-        (F.col("start") + F.col("_pos")).alias("byte_pos"),
+        f"_block * {block} AS start",
+        "unhex(array_join(transform(_parts, part -> hex(part.bytes)), '')) AS _b",
     )
+    found = positions(joined, ["key", "start"], bare, search).where(f"_pos < {block}")
+    return found.selectExpr("key", "_id AS pattern_id", "start + _pos AS byte_pos")
