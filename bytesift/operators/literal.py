@@ -21,7 +21,7 @@ STRETCH = 1 << 20
 # so that a block with its overlap is at most twice the block.
 SCAN_BLOCK = 64
 # Bytes per block of the split; also bounds the list of starts per row.
-SPLIT_BLOCK = 4096
+SPLIT_BLOCK = 1024
 
 
 @dataclass(frozen=True)

@@ -79,12 +79,20 @@ def pattern_profile(
     # _reach[i - 1]: where the common prefix with the pattern shifted by i ends
     shifts = "IF(_m > 1, sequence(1, _m - 1), CAST(array() AS ARRAY<INT>))"
     reached = sized.selectExpr("*", f"transform({shifts}, i -> i + {_common_prefix('i')}) AS _reach")
-    # the smallest shift that reaches over position j leaves the longest border
-    shift = "CAST(array_position(transform(slice(_reach, 1, j), r -> r > j), true) AS INT)"
-    border = f"IF({shift} > 0, j + 1 - {shift}, 0)"
-    profile = reached.selectExpr(
-        "_id AS pattern_id", "_m AS len", f"transform(sequence(0, _m - 1), j -> {border}) AS lps"
-    ).selectExpr("*", "element_at(lps, -1) AS longest_border")
+    # Position j has the longest border that the smallest shift reaching over j
+    # leaves.  Shifts are taken in order, so each one fills the positions that it
+    # reaches beyond those already filled; positions nothing reaches get 0.
+    reach = "get(_reach, i - 1)"
+    filled = f"""
+    aggregate({shifts}, array(0), (done, i) -> IF({reach} > size(done) AND {reach} > i,
+        concat(done, array_repeat(0, i - size(done)),
+               sequence(greatest(size(done), i) + 1 - i, {reach} - i)),
+        done))"""
+    profile = (
+        reached.selectExpr("_id AS pattern_id", "_m AS len", f"{filled} AS _filled")
+        .selectExpr("*", "concat(_filled, array_repeat(0, len - size(_filled))) AS lps")
+        .selectExpr("pattern_id", "len", "lps", "element_at(lps, -1) AS longest_border")
+    )
     return profile.selectExpr(
         "*", "len - longest_border AS shortest_period", "longest_border > 0 AS self_overlapping"
     )

@@ -18,13 +18,16 @@ STRATEGIES = ("scan", "hash", "split")
 
 # Up to this many patterns, with this many bytes in all, are put into the plan
 # as literals; the names are session settings, the values their defaults.
-LITERAL_PATTERNS = ("spark.bytesift.literalPatterns", 8)
+LITERAL_PATTERNS = ("spark.bytesift.literalPatterns", 64)
 LITERAL_BYTES = ("spark.bytesift.literalBytes", 1 << 16)
 # Estimated size up to which the anchors and patterns are broadcast.
 BROADCAST_BYTES = ("spark.bytesift.broadcastBytes", 256 << 20)
 # Salts for the joins of the shuffled path.
 SALTS = ("spark.bytesift.salts", 8)
 
+# A sampled window costs about as much as scanning one byte for this many patterns.
+WINDOW_COST = 100
+
 # Rough memory of one row of a broadcast hash table, payload included.
 _ROW_BYTES = 64
 
@@ -96,10 +99,12 @@ def choose(
 ) -> Search:
     """Measure ``patterns(_p)`` and pick the strategy, classes and join kind.
 
-    "auto" puts a handful of patterns into the plan as literals and hash-joins
-    anything more.  For "hash", long strides make few text windows but many
-    anchors; when the anchors outgrow the broadcast bound the stride is halved
-    until they fit, and when even stride 1 does not fit both joins are shuffled.
+    "auto" compares the cost per byte of text: a scan pays for each pattern, the
+    hash join for each sampled window, so a handful of patterns is scanned for
+    and anything more is hash-joined.  For "hash", long strides make few text
+    windows but many anchors; when the anchors outgrow the broadcast bound the
+    stride is halved until they fit, and when even stride 1 does not fit both
+    joins are shuffled.
     """
     if strategy != "auto" and strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}, expected auto or one of {STRATEGIES}")
@@ -109,7 +114,9 @@ def choose(
     few = stats.count <= setting(spark, LITERAL_PATTERNS)
     small = stats.total_bytes <= setting(spark, LITERAL_BYTES)
     if strategy == "auto":
-        strategy = "scan" if few and small else "hash"
+        windows_per_byte = sum(1 / c.stride for c in stats.per_class)
+        cheaper = stats.count <= WINDOW_COST * windows_per_byte
+        strategy = "scan" if few and small and cheaper else "hash"
     elif strategy != "hash" and not (few and small):
         raise ValueError(
             f"strategy {strategy!r} holds the patterns as literals and takes at most "

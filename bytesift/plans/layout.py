@@ -1,4 +1,4 @@
-"""Partitioning of the inputs and cutting of lineage."""
+"""Partitioning of the inputs, and folders for stored intermediate tables."""
 
 from __future__ import annotations
 
@@ -39,8 +39,3 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has been written to yet."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage of ``df`` in the shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()

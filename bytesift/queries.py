@@ -70,6 +70,11 @@ def _names_and_words(spark: SparkSession, sf: str) -> DataFrame:
     return both.unionByName(_words(spark, sf)).distinct()
 
 
+def _stored(matches: DataFrame) -> DataFrame:
+    """Written once and read back, for a consumer that reads matches twice."""
+    return sources.write_matches(matches, fresh_folder(matches.sparkSession, "matches"))
+
+
 def _long(df: DataFrame) -> DataFrame:
     return df.withColumn("pattern_id", F.col("pattern_id").cast("long"))
 
@@ -343,14 +348,14 @@ def pattern_totals(spark, sf):
 @_register(_found(DOCUMENTS, BENCHMARK, REPORT.format(listed="matches")))
 def full_report(spark, sf):
     items = _benchmark(spark, sf)
-    return op.match_report(op.find_matches_multi(_documents(spark, sf), items), items)
+    return op.match_report(_stored(op.find_matches_multi(_documents(spark, sf), items)), items)
 
 
 @_register(_found(DOCUMENTS, _values(COMMON), REPORT.format(listed=FIRST_THREE)))
 def first_k_report(spark, sf):
     patterns = _listed(spark, COMMON)
     matches = op.find_matches_multi(_documents(spark, sf), patterns)
-    return op.match_report(matches, patterns, limit=3)
+    return op.match_report(_stored(matches), patterns, limit=3)
 
 
 @_register("SELECT doc_id AS text_id, doc_id AS pattern_id, doc_id AS byte_pos, lang AS side FROM documents WHERE false")

@@ -2,6 +2,7 @@ import random
 
 import pytest
 from helpers import brute, pattern_table, rows, text_table
+from pyspark.sql import functions as F
 
 from bytesift.operators.chunks import chunk_texts, find_matches_chunked
 from bytesift.operators.mask import match_mask
@@ -15,10 +16,14 @@ PATTERNS = {0: b"cab", 1: b"a", 2: b"abcabc", 3: b"\xff\n"}
 @pytest.mark.parametrize("strategy", ["scan", "split", "hash"])
 def test_every_chunk_size_agrees(spark, strategy):
     t, p = text_table(spark, TEXTS), pattern_table(spark, PATTERNS)
-    expected = brute(TEXTS, PATTERNS)
-    for size in range(1, max(map(len, TEXTS.values())) + 2):
-        chunks = chunk_texts(t, size, max_pattern_len=6)
-        assert rows(find_matches_chunked(chunks, p, strategy)) == expected, size
+    sizes = range(1, max(map(len, TEXTS.values())) + 2)
+    # one table of chunks for all sizes, told apart by the text id
+    chunks = None
+    for size in sizes:
+        cut = chunk_texts(t, size, max_pattern_len=6).withColumn("text_id", F.expr(f"text_id + {100 * size}"))
+        chunks = cut if chunks is None else chunks.unionAll(cut)
+    expected = [(100 * size + t, i, at) for size in sizes for t, i, at in brute(TEXTS, PATTERNS)]
+    assert rows(find_matches_chunked(chunks.coalesce(4), p, strategy)) == expected
 
 
 def test_every_number_of_splits_agrees(spark):

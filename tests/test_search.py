@@ -101,7 +101,7 @@ def test_literal_strategies_equal_brute_force(spark, strategy):
 
 
 def test_literal_strategies_refuse_many_patterns(spark):
-    many = pattern_table(spark, {i: b"%d" % i for i in range(50)})
+    many = pattern_table(spark, {i: b"%d" % i for i in range(100)})
     with pytest.raises(ValueError, match="hash"):
         find_matches_multi(text_table(spark, {0: b"1"}), many, "scan")
 
