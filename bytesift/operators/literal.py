@@ -71,7 +71,7 @@ def _stretches(paired: DataFrame) -> DataFrame:
     """Add ``_lo`` and ``_hi``: the first and last start of each stretch."""
     last = f"{byte_length('_b')} - _m"
     return paired.selectExpr("*", f"explode(sequence(0, {last}, {STRETCH})) AS _lo").selectExpr(
-        "*", f"least(_lo + {STRETCH - 1}, {last}) AS _hi"
+        "*", f"_lo + least({STRETCH - 1}, {last} - _lo) AS _hi"
     )
 
 

@@ -34,7 +34,8 @@ def _literal(pattern: str | bytes) -> bytes:
 
 def _contains(texts: DataFrame, body: str, raw: bytes) -> Column:
     """``body`` contains ``raw``; on a STRING column in a form a scan can take."""
-    if isinstance(texts.schema[body].dataType, T.StringType):
+    kind = texts.schema[body].dataType
+    if isinstance(kind, T.StringType) and kind.collation == "UTF8_BINARY":
         try:
             return F.contains(F.col(body), F.lit(raw.decode("utf-8")))
         except UnicodeDecodeError:

@@ -21,8 +21,10 @@ from bytesift.functions import byte_length, cut, quoted
 from bytesift.plans.choice import SALTS, Search, class_of, setting
 from bytesift.plans.windows import WindowClass
 
-# Windows are generated in stretches of this many, to bound the arrays.
+# Windows are generated in stretches of this many, to bound the arrays, and of
+# about this many bytes, to keep offsets in range.
 WINDOWS_PER_STRETCH = 1 << 14
+MAX_STRETCH = 1 << 20
 # Bytes of text per fetched slice in the shuffled path.
 FETCH_BLOCK = 1 << 16
 # Anchors up to this many are made distinct in one partition, without a shuffle.
@@ -73,14 +75,15 @@ def _shapes(anchors: DataFrame, search: Search) -> DataFrame:
 def _text_windows(texts: DataFrame, classes: list[WindowClass]) -> DataFrame:
     """Each text once per sampled window: adds ``_n``, ``_s``, ``_w``, ``_h``."""
     kept = [quoted(c) for c in texts.columns]
-    pairs = ", ".join(f"({c.q}, {c.stride})" for c in classes)
+    steps = [c.stride * max(1, min(WINDOWS_PER_STRETCH, MAX_STRETCH // c.stride)) for c in classes]
+    rows = ", ".join(f"({c.q}, {c.stride}, {step})" for c, step in zip(classes, steps))
     last = f"{byte_length('_b')} - _q"
-    step = f"_s * {WINDOWS_PER_STRETCH}"
     return (
-        texts.selectExpr(*kept, f"inline(array({pairs})) AS (_q, _s)")
+        texts.selectExpr(*kept, f"inline(array({rows})) AS (_q, _s, _step)")
         .where(f"{byte_length('_b')} >= _q")
-        .selectExpr("*", f"explode(sequence(0, {last}, {step})) AS _lo")
-        .selectExpr("*", f"explode(sequence(_lo, least(_lo + {step} - _s, {last}), _s)) AS _w")
+        .selectExpr("*", f"explode(sequence(0, {last}, _step)) AS _lo")
+        .selectExpr("*", f"_lo + least(_step - _s, {last} - _lo) AS _hi")
+        .selectExpr("*", "explode(sequence(_lo, _hi, _s)) AS _w")
         .selectExpr(
             *kept,
             f"{byte_length('_b')} AS _n",

@@ -75,6 +75,11 @@ def _stored(matches: DataFrame) -> DataFrame:
     return sources.write_matches(matches, fresh_folder(matches.sparkSession, "matches"))
 
 
+def _filled(report: DataFrame) -> DataFrame:
+    """-1 for the values that a kind of report line does not have."""
+    return report.fillna(-1, ["text_id", "position", "n_matches"])
+
+
 def _long(df: DataFrame) -> DataFrame:
     return df.withColumn("pattern_id", F.col("pattern_id").cast("long"))
 
@@ -124,10 +129,10 @@ SELECT p.pattern_id, count(m.text_id) AS n_matches, count(DISTINCT m.text_id) AS
 FROM patterns p LEFT JOIN matches m ON m.pattern_id = p.pattern_id GROUP BY p.pattern_id"""
 REPORT = """
 SELECT pattern_id, 'match' AS kind, text_id, byte_pos + 1 AS position,
-       CAST(NULL AS BIGINT) AS n_matches
+       CAST(-1 AS BIGINT) AS n_matches
 FROM {listed}
 UNION ALL
-SELECT p.pattern_id, 'total', NULL, NULL, count(m.text_id)
+SELECT p.pattern_id, 'total', -1, -1, count(m.text_id)
 FROM patterns p LEFT JOIN matches m ON m.pattern_id = p.pattern_id GROUP BY p.pattern_id"""
 FIRST_THREE = """(SELECT * FROM matches QUALIFY row_number() OVER (
   PARTITION BY pattern_id ORDER BY text_id, byte_pos) <= 3)"""
@@ -316,14 +321,15 @@ def nested_patterns(spark, sf):
 @_register("""
 SELECT p_partkey AS pattern_id, CASE
     WHEN strlen(p_name) > 10 THEN 'too long'
-    WHEN p_partkey > min(p_partkey) OVER (PARTITION BY p_name) THEN 'duplicate' END AS reason
+    WHEN p_partkey > min(p_partkey) OVER (PARTITION BY p_name) THEN 'duplicate'
+    ELSE 'good' END AS reason
 FROM part""")
 def checked_patterns(spark, sf):
     names = spark.read.parquet(f"{sf}/part.parquet").select(
         F.col("p_partkey").alias("pattern_id"), F.col("p_name").alias("pattern")
     )
     checked = op.validate_patterns(names, max_len=10, dedupe=True, keep_invalid=True)
-    return checked.select("pattern_id", "reason")
+    return checked.select("pattern_id", F.coalesce("reason", F.lit("good")).alias("reason"))
 
 
 # --- counts and reports ------------------------------------------------------
@@ -348,14 +354,15 @@ def pattern_totals(spark, sf):
 @_register(_found(DOCUMENTS, BENCHMARK, REPORT.format(listed="matches")))
 def full_report(spark, sf):
     items = _benchmark(spark, sf)
-    return op.match_report(_stored(op.find_matches_multi(_documents(spark, sf), items)), items)
+    matches = op.find_matches_multi(_documents(spark, sf), items)
+    return _filled(op.match_report(_stored(matches), items))
 
 
 @_register(_found(DOCUMENTS, _values(COMMON), REPORT.format(listed=FIRST_THREE)))
 def first_k_report(spark, sf):
     patterns = _listed(spark, COMMON)
     matches = op.find_matches_multi(_documents(spark, sf), patterns)
-    return op.match_report(_stored(matches), patterns, limit=3)
+    return _filled(op.match_report(_stored(matches), patterns, limit=3))
 
 
 @_register("SELECT doc_id AS text_id, doc_id AS pattern_id, doc_id AS byte_pos, lang AS side FROM documents WHERE false")

@@ -17,10 +17,16 @@ from bytesift.plans.choice import choose
 STATE_SCHEMA = (
     "tail BINARY, base BIGINT, last BIGINT, held_orders ARRAY<BIGINT>, held_bodies ARRAY<BINARY>"
 )
+# New bytes after which the stateful step emits a row, however many pieces come.
+ROW_BYTES = 1 << 22
 # Bytes of text per block when stored pieces are put together.
 BLOCK = 1 << 16
 
 
+def _row(key: tuple, start: int, seen: int, joined: bytearray) -> pd.DataFrame:
+    return pd.DataFrame({"key": [key[0]], "start": [start], "seen": [seen], "_b": [bytes(joined)]})
+
+
 def _stitcher(keep: int, first_order: int | None):
     """The stateful step: put new pieces behind the last ``keep`` bytes seen.
 
@@ -43,22 +49,25 @@ def _stitcher(keep: int, first_order: int | None):
                 if order in waiting or (last is not None and order <= last):
                     raise ValueError(f"piece {order} of {key} is late or repeated (last: {last})")
                 waiting[order] = bytes(body)
-        ready = []
+        tail = bytes(tail)
+        joined, seen = bytearray(tail), len(tail)
         for order in sorted(waiting):
             if first_order is not None and order != last + 1:
                 break
-            ready.append(waiting.pop(order))
+            joined += waiting.pop(order)
             last = order
-        tail = bytes(tail)
-        fresh = b"".join(ready)
-        whole = tail + fresh
-        cut_at = max(0, len(whole) - keep)
+            if len(joined) - seen >= ROW_BYTES:
+                yield _row(key, base, seen, joined)
+                base += max(0, len(joined) - keep)
+                joined = joined[max(0, len(joined) - keep) :]
+                seen = len(joined)
+        if len(joined) > seen:
+            yield _row(key, base, seen, joined)
+        cut_at = max(0, len(joined) - keep)
         held = sorted(waiting)
-        state.update((whole[cut_at:], base + cut_at, last, held, [waiting[o] for o in held]))
-        if fresh:
-            yield pd.DataFrame(
-                {"key": [key[0]], "start": [base], "seen": [len(tail)], "_b": [whole]}
-            )
+        state.update(
+            (bytes(joined[cut_at:]), base + cut_at, last, held, [waiting[o] for o in held])
+        )
 
     return stitch
 
@@ -69,6 +78,7 @@ def stream_find_across(
     order: str,
     patterns: DataFrame,
     first_order: int | None = None,
+    num_partitions: int | None = None,
     body: str = "body",
     pattern_id: str = "pattern_id",
     pattern: str = "pattern",
@@ -81,6 +91,8 @@ def stream_find_across(
     Across micro-batches: with ``first_order`` the numbers are consecutive from
     there and an early piece waits for its predecessors; without it numbers may
     have gaps, and a piece older than one already used makes the query fail.
+    ``num_partitions`` spreads the search of one key's text over that many tasks,
+    for streams in which a single key has much of it.
     """
     bare = normal_patterns(patterns, pattern_id, pattern)
     search = choose(bare)
@@ -97,6 +109,8 @@ def stream_find_across(
         "append",
         GroupStateTimeout.NoTimeout,
     )
+    if num_partitions is not None:
+        stitched = stitched.repartition(num_partitions, "key", "start")
     found = positions(stitched, ["key", "start", "seen"], bare, search).where("_pos + _m > seen")
     return found.selectExpr("key", "_id AS pattern_id", "start + _pos AS byte_pos")
 

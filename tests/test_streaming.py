@@ -1,5 +1,6 @@
 import random
 
+import pandas as pd
 import pytest
 from helpers import brute, pattern_table, rows, starts, text_table
 
@@ -144,7 +145,8 @@ def test_matches_across_pieces(spark, tmp_path, dense):
     batches = in_batches(cut_up, 3, random.Random(6))
     stream = write_batches(spark, tmp_path / "in", batches)
     df = stream_find_across(
-        stream, "key", "turn", pattern_table(spark, PATTERNS), first_order=0 if dense else None
+        stream, "key", "turn", pattern_table(spark, PATTERNS),
+        first_order=0 if dense else None, num_partitions=3 if dense else None,
     )
     got = rows(run(df, f"across_{dense}", "append", tmp_path), "key", "pattern_id", "byte_pos")
     assert got == brute(texts, PATTERNS)
@@ -161,6 +163,33 @@ def test_early_pieces_wait_for_their_predecessors(spark, tmp_path):
     assert got == brute(texts, PATTERNS)
 
 
+def test_stitching_emits_bounded_rows(monkeypatch):
+    """However the rows are cut, each match ends in the new bytes of one row."""
+    from bytesift.streaming import across
+
+    class State:
+        exists, get = False, None
+
+        def update(self, value):
+            self.exists, self.get = True, value
+
+    text = b"abaababaabaaabababbabaab" * 5
+    for limit in (1, 3, 10, 1000):
+        monkeypatch.setattr(across, "ROW_BYTES", limit)
+        state, found = State(), []
+        step = across._stitcher(4, 0)
+        for first in range(0, len(text), 12):
+            orders = list(range(first, min(first + 12, len(text))))
+            batch = pd.DataFrame({"_order": orders, "_b": [text[i : i + 1] for i in orders]})
+            for row in step(("k",), [batch], state):
+                body, start, seen = row["_b"][0], row["start"][0], row["seen"][0]
+                assert len(body) - seen <= limit + 12
+                for p in (b"ab", b"a", b"abaab"):
+                    found += [(p, start + i) for i in starts(body, p) if i + len(p) > seen]
+        expected = [(p, i) for p in (b"ab", b"a", b"abaab") for i in starts(text, p)]
+        assert sorted(found) == sorted(expected), limit
+
+
 def test_late_piece_fails_without_numbering(spark, tmp_path):
     stream = write_batches(
         spark, tmp_path / "in", [stamped([("k", 5, b"ab")]), stamped([("k", 4, b"ab")])]
