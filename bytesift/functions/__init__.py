@@ -3,7 +3,7 @@
 from bytesift.functions.bytes import (
     as_bytes,
     byte_length,
-    count_in,
+    count_apart,
     cut,
     latin1,
     literal_regex,
@@ -15,7 +15,7 @@ from bytesift.functions.bytes import (
 __all__ = [
     "as_bytes",
     "byte_length",
-    "count_in",
+    "count_apart",
     "cut",
     "latin1",
     "literal_regex",

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bytesift.functions import byte_length, count_in, cut, quoted, starts_in
+from bytesift.functions import byte_length, count_apart, cut, quoted, starts_in
 
 # Offsets of one text are generated in stretches of this many bytes, so that the
 # generated arrays stay small however long the text is.
@@ -115,9 +115,16 @@ def split_positions(
 def literal_counts(
     texts: DataFrame, keys: list[str], literals: list[Literal], id_type: str
 ) -> DataFrame:
-    """keys, _id, _n per text stretch that has matches; no positions are made."""
-    slices = _stretches(_with_patterns(texts, literals)).selectExpr(
-        "*", f"{cut('_b', '_lo', '_hi - _lo + _m')} AS _slice"
+    """keys, _id, _n: counts that add up to the number of occurrences.
+
+    A pattern that cannot overlap itself is counted per stretch without looking
+    for positions; for one that can, each position found counts 1.
+    """
+    size = f"IF(_o, greatest({SCAN_BLOCK}, _m), {STRETCH})"
+    counted = (
+        _blocks(_with_patterns(texts, literals), size)
+        .selectExpr("*", "explode(sequence(_at, IF(_o, _at + _width - 1, _at))) AS _pos")
+        .where(f"NOT _o OR {cut('_b', '_pos', '_m')} = _p")
+        .selectExpr("*", f"IF(_o, 1L, CAST({count_apart('_slice', '_p')} AS BIGINT)) AS _n")
     )
-    counted = slices.selectExpr("*", f"{count_in('_slice', '_p', '_o')} AS _n").where("_n > 0")
     return counted.select(*keys, _id_of(literals, id_type), "_n")

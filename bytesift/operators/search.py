@@ -155,9 +155,9 @@ def count_matches(
 ) -> DataFrame:
     """(text_id, pattern_id, n_matches) for every pair that has a match.
 
-    A handful of patterns is counted inside the row without making positions;
-    more of them are found by the hash join and counted, with partial counts
-    before the shuffle in both cases.
+    Of a handful of patterns, those that cannot overlap themselves are counted
+    inside the row without looking for positions; the others, and larger sets,
+    are found and counted.  Partial sums are made before the shuffle in any case.
     """
     bare = normal_patterns(patterns, pattern_id, pattern)
     search = choose(bare, strategy)
