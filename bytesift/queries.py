@@ -345,6 +345,20 @@ def count_benchmark_per_document(spark, sf):
     return op.count_matches(_documents(spark, sf), _benchmark(spark, sf))
 
 
+@_register(_found(DOCUMENTS, BENCHMARK, """
+SELECT quality, toxic, count(DISTINCT m.text_id) AS n_texts, count(*) AS n_matches
+FROM matches m JOIN labels l ON l.doc_id = m.text_id GROUP BY quality, toxic"""))
+def benchmark_counts_by_label(spark, sf):
+    counts = op.count_matches(_documents(spark, sf), _benchmark(spark, sf))
+    labels = spark.read.parquet(f"{sf}/labels.parquet").withColumnRenamed("doc_id", "text_id")
+    per_text = counts.groupBy("text_id").agg(F.sum("n_matches").alias("n"))
+    return (
+        per_text.join(labels, "text_id")
+        .groupBy("quality", "toxic")
+        .agg(F.count("*").alias("n_texts"), F.sum("n").alias("n_matches"))
+    )
+
+
 @_register(_found(DOCUMENTS, _values(COMMON), TOTALS))
 def pattern_totals(spark, sf):
     patterns = _listed(spark, COMMON)

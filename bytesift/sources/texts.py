@@ -40,29 +40,36 @@ def read_texts(
     return spread(named, "text_id", min_partitions)
 
 
-def _open_range(path: str, start: int, size: int) -> bytes:
-    """``size`` bytes of a file on any storage that Arrow has a file system for."""
-    if path.startswith("file:"):
-        system, name = fs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
-    else:
-        system, name = fs.FileSystem.from_uri(path)
-    with system.open_input_file(name) as file:
-        return file.read_at(size, start)
-
-
-def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            raw = _open_range(row["path"], row["start"], row["owned"] + row["overlap"])
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "text_id": pa.array([row["text_id"]], pa.int64()),
-                    "start": pa.array([row["start"]], pa.int64()),
-                    "owned": pa.array([row["owned"]], pa.int32()),
-                    "overlap": pa.array([row["overlap"]], pa.int32()),
-                    "body": pa.array([raw], pa.binary()),
-                }
-            )
+def _range_reader():
+    """The task that reads each row's byte range, on any storage Arrow knows.
+
+    A nested function: it travels to the executors by value, so they need Arrow
+    but not this package.
+    """
+
+    def read(path: str, start: int, size: int) -> bytes:
+        if path.startswith("file:"):
+            system, name = fs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
+        else:
+            system, name = fs.FileSystem.from_uri(path)
+        with system.open_input_file(name) as file:
+            return file.read_at(size, start)
+
+    def read_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                raw = read(row["path"], row["start"], row["owned"] + row["overlap"])
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "text_id": pa.array([row["text_id"]], pa.int64()),
+                        "start": pa.array([row["start"]], pa.int64()),
+                        "owned": pa.array([row["owned"]], pa.int32()),
+                        "overlap": pa.array([row["overlap"]], pa.int32()),
+                        "body": pa.array([raw], pa.binary()),
+                    }
+                )
+
+    return read_all
 
 
 def read_text_ranges(
@@ -93,4 +100,4 @@ def read_text_ranges(
         F.lit(max_pattern_len - 1).alias("overlap"),
     )
     wanted = num_partitions or spark.sparkContext.defaultParallelism
-    return ranges.repartition(wanted, "path", "start").mapInArrow(_read_ranges, CHUNK_SCHEMA)
+    return ranges.repartition(wanted, "path", "start").mapInArrow(_range_reader(), CHUNK_SCHEMA)

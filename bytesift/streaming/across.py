@@ -23,17 +23,19 @@ ROW_BYTES = 1 << 22
 BLOCK = 1 << 16
 
 
-def _row(key: tuple, start: int, seen: int, joined: bytearray) -> pd.DataFrame:
-    return pd.DataFrame({"key": [key[0]], "start": [start], "seen": [seen], "_b": [bytes(joined)]})
-
-
 def _stitcher(keep: int, first_order: int | None):
     """The stateful step: put new pieces behind the last ``keep`` bytes seen.
 
     State per key is that tail, the offset of its first byte and the last order
     number; with ``first_order`` also pieces that wait for a predecessor.
+    Nested functions travel to the executors by value, without this package.
     """
 
+    def row(key: tuple, start: int, seen: int, joined: bytearray) -> pd.DataFrame:
+        return pd.DataFrame(
+            {"key": [key[0]], "start": [start], "seen": [seen], "_b": [bytes(joined)]}
+        )
+
     def stitch(
         key: tuple, batches: Iterable[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
@@ -57,12 +59,12 @@ def _stitcher(keep: int, first_order: int | None):
             joined += waiting.pop(order)
             last = order
             if len(joined) - seen >= ROW_BYTES:
-                yield _row(key, base, seen, joined)
+                yield row(key, base, seen, joined)
                 base += max(0, len(joined) - keep)
                 joined = joined[max(0, len(joined) - keep) :]
                 seen = len(joined)
         if len(joined) > seen:
-            yield _row(key, base, seen, joined)
+            yield row(key, base, seen, joined)
         cut_at = max(0, len(joined) - keep)
         held = sorted(waiting)
         state.update(
