@@ -105,12 +105,13 @@ def compare_strategies(
     pattern_id: str = "pattern_id",
     pattern: str = "pattern",
 ) -> DataFrame:
-    """(strategy, chunk_size, n_patterns, ms, n_matches, agrees), one row per run.
+    """(strategy, chunk_size, n_patterns, n_bytes, ms, mb_per_s, n_matches, agrees).
 
     Each strategy runs on whole texts (size None) or on chunks of the given
     sizes, end to end into a sink that keeps nothing.  ``agrees`` compares the
     matches, row by row, with those of the first run.
     """
+    n_bytes = texts.agg(F.sum(F.octet_length(F.col(body).cast("binary")).cast("long"))).first()[0]
     names = {"pattern_id": pattern_id, "pattern": pattern}
     longest, n_patterns = patterns.agg(
         F.max(F.octet_length(F.col(pattern).cast("binary"))), F.count("*")
@@ -129,8 +130,10 @@ def compare_strategies(
             ms = (time.perf_counter() - started) * 1000.0
             agrees = reference is None or diff_matches(reference, found).isEmpty()
             reference = found if reference is None else reference
-            results.append((strategy, size, n_patterns, ms, seen.get["n"], agrees))
+            speed = (n_bytes or 0) / 1000.0 / ms
+            results.append((strategy, size, n_patterns, n_bytes, ms, speed, seen.get["n"], agrees))
     return texts.sparkSession.createDataFrame(
         results,
-        "strategy STRING, chunk_size INT, n_patterns BIGINT, ms DOUBLE, n_matches BIGINT, agrees BOOLEAN",
+        "strategy STRING, chunk_size INT, n_patterns BIGINT, n_bytes BIGINT, ms DOUBLE, "
+        "mb_per_s DOUBLE, n_matches BIGINT, agrees BOOLEAN",
     )

@@ -126,6 +126,8 @@ def choose(
     limit = setting(spark, BROADCAST_BYTES)
     for first in range(len(classes)):
         rest = classes[first:]
+        if first and rest[0].stride == classes[first - 1].stride:
+            break  # as many anchors, only less selective
         if anchor_bytes(stats, rest) <= limit:
             return Search(strategy, _present(stats, rest), True, stats)
     return Search(strategy, _present(stats, classes), False, stats)

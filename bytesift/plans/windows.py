@@ -3,7 +3,7 @@
 A text is sampled with windows of ``q`` bytes at every offset divisible by the
 stride ``s``.  An occurrence of a pattern with at least ``q + s - 1`` bytes holds
 at least one such window whole, so the pattern can be found by that window.
-Shorter patterns take a smaller window and stride.
+Shorter patterns take smaller windows and strides.
 """
 
 from __future__ import annotations
@@ -21,12 +21,16 @@ class WindowClass:
         return self.q + self.stride - 1
 
 
+# For patterns too short for a stride of 8.  Windows this small are rarely
+# selective, so they take most of the pattern and a small stride.
+SHORT_CLASSES = [WindowClass(6, 2), WindowClass(3, 1), WindowClass(2, 1), WindowClass(1, 1)]
+
+
 def window_classes(q: int = 32, stride: int = 32) -> list[WindowClass]:
-    """The class for long patterns first, then halved ones down to one byte."""
+    """The class for long patterns first, then halved ones, then the short ones."""
     if q < 1 or stride < 1:
         raise ValueError("q and stride must be at least 1")
     classes = [WindowClass(q, stride)]
-    while classes[-1] != WindowClass(1, 1):
-        last = classes[-1]
-        classes.append(WindowClass(max(1, last.q // 2), max(1, last.stride // 2)))
-    return classes
+    while classes[-1].stride >= 16:
+        classes.append(WindowClass(max(1, classes[-1].q // 2), classes[-1].stride // 2))
+    return classes + [c for c in SHORT_CLASSES if c.min_len < classes[-1].min_len]

@@ -403,13 +403,14 @@ def diff_to_labelled(spark, sf):
 
 @_register(_found(DOCUMENTS, _values(COMMON), f"""
 SELECT strategy, chunk_size, CAST({len(COMMON)} AS BIGINT) AS n_patterns,
+       (SELECT CAST(sum(strlen(body)) AS BIGINT) FROM texts) AS n_bytes,
        (SELECT count(*) FROM matches) AS n_matches, true AS agrees
 FROM (VALUES ('scan'), ('split'), ('hash')) s(strategy), (VALUES (-1), (65536)) c(chunk_size)"""))
 def compare_strategies(spark, sf):
     runs = op.compare_strategies(
         _documents(spark, sf), _listed(spark, COMMON), sizes=(None, 1 << 16)
     )
-    return runs.withColumn("chunk_size", F.coalesce("chunk_size", F.lit(-1))).drop("ms")
+    return runs.withColumn("chunk_size", F.coalesce("chunk_size", F.lit(-1))).drop("ms", "mb_per_s")
 
 
 # --- sources and sinks -------------------------------------------------------

@@ -83,9 +83,12 @@ def test_spread_leaves_large_scans_alone(spark, stored):
 
 def test_window_classes():
     assert [(c.q, c.stride, c.min_len) for c in window_classes()] == [
-        (32, 32, 63), (16, 16, 31), (8, 8, 15), (4, 4, 7), (2, 2, 3), (1, 1, 1),
+        (32, 32, 63), (16, 16, 31), (8, 8, 15), (6, 2, 7), (3, 1, 3), (2, 1, 2), (1, 1, 1),
     ]
     assert window_classes(1, 1) == [WindowClass(1, 1)]
+    for top in [(1, 40), (40, 1), (7, 5), (3, 20), (100, 64)]:
+        lengths = [c.min_len for c in window_classes(*top)]
+        assert lengths == sorted(lengths, reverse=True) and lengths[-1] == 1
     with pytest.raises(ValueError):
         window_classes(0, 4)
 
