@@ -42,13 +42,15 @@ def chunk_texts(
         .where(f"{length} >= 1")
         .selectExpr("*", f"{width} AS _size")
         .selectExpr("*", f"explode(sequence(0, {length} - 1, _size)) AS _at")
+        .selectExpr("*", f"{length} - _at AS _rest")
+        .selectExpr("*", "least(_size, _rest) AS owned")
     )
     chunks = cuts.selectExpr(
         "text_id",
         "CAST(_at AS BIGINT) AS start",
-        f"least(_size, {length} - _at) AS owned",
+        "owned",
         f"{overlap} AS overlap",
-        f"{cut('_b', '_at', f'_size + {overlap}')} AS body",
+        f"{cut('_b', '_at', f'owned + least({overlap}, _rest - owned)')} AS body",
     )
     if num_partitions is None:
         return chunks

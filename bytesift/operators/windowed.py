@@ -31,8 +31,9 @@ FETCH_BLOCK = 1 << 16
 FEW_ANCHORS = 1 << 16
 
 START = "_w - _j"
-# The shape found at the window lies inside a text of _n bytes.
-INSIDE = f"{START} >= 0 AND {START} + _m <= _n"
+# The shape found at the window lies inside a text of _n bytes (differences only:
+# sums would overflow near the end of the longest possible value).
+INSIDE = "_w >= _j AND _m - _j <= _n - _w"
 # The anchor that was met is the one that the pattern uses for this residue;
 # null-safe, so that no filter on _offsets is inferred and computed again.
 OWN_ANCHOR = "_offsets[_j % _ts] <=> _j"
