@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +30,8 @@ BLOCK_WORDS = 128
 # A source too small for this many blocks of full length has shorter blocks.
 LEAST_BLOCKS = 64
 SHARD_SLOTS = 4096
+# Slots that a task computes at once.
+AT_ONCE = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -123,25 +126,36 @@ def slots(spark, shares: list[Share], seed: int) -> DataFrame:
     over_base, under_end = np.cumsum(over) - over, np.cumsum(under)
     n_blocks = np.array([max(1, s.n_blocks) for s in shares], dtype=np.int64)
 
-    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            src = np.repeat(batch["src"].to_numpy(), batch["n"])
-            step = np.arange(len(src)) - np.repeat(np.cumsum(batch["n"]) - batch["n"], batch["n"])
-            k = np.repeat(batch["base"].to_numpy(), batch["n"]) + step
-            slot = np.repeat(batch["first"].to_numpy(), batch["n"]) + step
-            moved = k >= quota[src]
-            rank = over_base[src[moved]] + k[moved] - quota[src[moved]]
-            to = np.searchsorted(under_end, rank, side="right")
-            k[moved] = got[to] + rank - (under_end[to] - under[to])
-            src[moved] = to
-            n, turn = n_blocks[src], k // n_blocks[src]
-            key = scramble(src.astype(np.uint64) * np.uint64(1 << 20) + turn.astype(np.uint64) + np.uint64(seed << 40))
-            yield pd.DataFrame(
-                {"src": src, "idx": permuted(k % n, n, key), "turn": turn,
-                 "shard": np.repeat(batch["shard"].to_numpy(), batch["n"]), "slot": slot}
-            )
-
-    return based.mapInPandas(fill, "src INT, idx BIGINT, turn BIGINT, shard BIGINT, slot BIGINT")
+            every = {c: batch[c].to_numpy(zero_copy_only=False) for c in ("src", "n", "first", "base", "shard")}
+            group = np.cumsum(every["n"]) // AT_ONCE
+            for low, high in zip(*_runs(group)):
+                yield fill_some({c: v[low:high] for c, v in every.items()})
+
+    def fill_some(drew: dict[str, np.ndarray]) -> pa.RecordBatch:
+        each = drew["n"]
+        src = np.repeat(drew["src"], each)
+        step = np.arange(len(src)) - np.repeat(np.cumsum(each) - each, each)
+        k = np.repeat(drew["base"], each) + step
+        moved = k >= quota[src]
+        rank = over_base[src[moved]] + k[moved] - quota[src[moved]]
+        to = np.searchsorted(under_end, rank, side="right")
+        k[moved] = got[to] + rank - (under_end[to] - under[to])
+        src[moved] = to
+        n = n_blocks[src]
+        turn = k // n
+        key = scramble(src.astype(np.uint64) * np.uint64(1 << 20) + turn.astype(np.uint64) + np.uint64(seed << 40))
+        columns = [src, permuted(k % n, n, key), turn, np.repeat(drew["shard"], each), np.repeat(drew["first"], each) + step]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["src", "idx", "turn", "shard", "slot"])
+
+    return based.mapInArrow(fill, "src INT, idx BIGINT, turn BIGINT, shard BIGINT, slot BIGINT")
+
+
+def _runs(group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of equal values."""
+    low = np.flatnonzero(np.concatenate([[len(group) > 0], group[1:] != group[:-1]]))
+    return low, np.append(low[1:], len(group))
 
 
 def _identity() -> list[Column]:
