@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Rows that one window partition is meant to hold.
-ROWS_PER_PART = 20_000
+ROWS_PER_PART = 4_000
 
 
 def parts_for(rows: int) -> int:
