@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bytesift.llm import mixing, packing, toxicity
+from bytesift.llm import jaccard, mixing, packing, toxicity
 from bytesift.llm.store import documents
 
 
@@ -15,6 +15,10 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixing.mix(documents(spark, sf_dir)))
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(documents(spark, sf_dir))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
@@ -30,6 +34,7 @@ def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mix": op3_mix,
+    "op4_jaccard": op4_jaccard,
     "op5_toxicity": op5_toxicity,
     "op7_pack": op7_pack,
 }

@@ -82,6 +82,13 @@ class Words:
         return len(self.at) - 1
 
 
+def some_rows(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller ones, so that what is made of them stays small."""
+    for batch in batches:
+        for low in range(0, len(batch), rows):
+            yield batch.slice(low, rows)
+
+
 def column_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column and the offset of each text; NULL is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -185,6 +192,6 @@ def shingle_sets(words: Words, size: int = 5) -> Iterator[np.ndarray]:
         if n >= size:
             yield np.unique(every[low : high - size + 1])
         elif n:
-            yield mix(np.array([(words.hashes[low:high] * short[:n]).sum() + short[n]], dtype=np.uint64))
+            yield mix((words.hashes[low:high] * short[:n]).sum(keepdims=True) + short[n : n + 1])
         else:
             yield np.zeros(0, dtype=np.uint64)
