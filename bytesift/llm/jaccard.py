@@ -194,6 +194,14 @@ MAY_LINK = (
 )
 
 
+# Count filter.  Of two sets, the one whose prefix ends earlier in the order has all
+# common shingles but the shared ones of the prefixes in the rest of it.  Facts of a
+# pair may stand under a_ or b_; the condition is symmetric in them.
+ENOUGH = (
+    "(100 + {t}) * (shared + greatest(a_n, b_n) - greatest(a_n, b_n) * (100 - {t}) div 100 - 1) >= {t} * (a_n + b_n)"
+)
+
+
 def similar_documents(docs: DataFrame, size: int = SHINGLE_WORDS, threshold: int = THRESHOLD) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs(doc_id, text)``.
 
@@ -211,11 +219,11 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE_WORDS, threshold: int
     left_out = stored(known.where("doc_id <> node").select("doc_id").distinct(), "copies")
     postings = stored(prefix_postings(docs, left_out, counts, size, threshold).dropDuplicates(["key", "node"]), "postings")
     comp = linked_components(
-        postings, MAY_LINK.format(t=threshold), lambda pairs: verified(docs, pairs, size, threshold)
+        postings, MAY_LINK.format(t=threshold), ENOUGH.format(t=threshold), lambda pairs: verified(docs, pairs, size, threshold)
     )
     if comp is None:
         return known.select("doc_id", "n_shingles", F.col("node").alias("component_id"))
-    joined = known.join(comp, "node", "left")
+    joined = known.join(comp.withColumnRenamed("node", "member"), F.col("node") == F.col("member"), "left")
     return joined.select("doc_id", "n_shingles", F.coalesce("comp", "node").alias("component_id"))
 
 

@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 
 from bytesift.llm.store import stored
 
-# Rounds with hubs go on while more pairs than this per posting are left, ...
+# Rounds with hubs go on while more pairs than this per posting are left and the
+# last round linked at least one in FEW of its pairs, ...
 PAIRS_PER_POSTING = 4
+FEW = 50
 # ... each with this many times more hubs per key than the one before.
 MORE_HUBS = 8
 
@@ -66,54 +68,65 @@ def _with_components(postings: DataFrame, comp: DataFrame | None) -> DataFrame:
 
 
 def linked_components(
-    postings: DataFrame, may_link: str, verify: Callable[[DataFrame], DataFrame]
+    postings: DataFrame, may_link: str, enough: str, verify: Callable[[DataFrame], DataFrame]
 ) -> DataFrame | None:
     """(node, comp) of the nodes that have a link; None if no node has one.
 
     ``postings(key, node, ...)`` is a stored table, each (key, node) once.
     ``may_link`` is a SQL condition on a pair of postings of one key, its columns
     prefixed with a_ and b_: false only where the two nodes are surely not linked.
+    ``enough`` is one on such a pair and ``shared``, the number of keys it shares.
     ``verify`` takes distinct pairs (a, b), a < b, and returns the linked ones.
     """
     more = [c for c in postings.columns if c not in ("key", "node")]
     as_a = [F.col("node").alias("a"), *[F.col(c).alias(f"a_{c}") for c in [*more, "comp"]]]
     as_b = [F.col("node").alias("b"), *[F.col(c).alias(f"b_{c}") for c in [*more, "comp"]]]
     total = postings.count()
-    comp, links, tested, hubs = None, None, None, 1
+    comp, links, tested, hubs, fruitful = None, None, None, 1, True
     while total:
         live = _with_components(postings, comp)
         sizes = live.groupBy("key", "comp").agg(F.count("*").alias("n"))
+        squared = F.sum(F.col("n").cast("double") * F.col("n"))
         open_keys = (
             sizes.groupBy("key")
-            .agg(F.sum("n").alias("n"), F.sum(F.col("n").cast("double") * F.col("n")).alias("squares"), F.max(F.struct("n", "comp"))["comp"].alias("largest"))
+            .agg(F.sum("n").alias("n"), squared.alias("squares"), F.max(F.struct("n", "comp"))["comp"].alias("largest"))
             .withColumn("pairs", (F.col("n").cast("double") * F.col("n") - F.col("squares")) / 2)
             .where("pairs > 0")
         )
         open_keys = stored(open_keys.select("key", "pairs", "largest"), "open")
-        live = stored(live.join(open_keys.select("key", "largest"), "key"), "live")
         pairs_left = open_keys.agg(F.sum("pairs")).first()[0]
         if not pairs_left:
             break
-        last = pairs_left <= PAIRS_PER_POSTING * total or hubs > MORE_HUBS**4
+        live = stored(live.join(open_keys.select("key", "largest"), "key"), "live")
+        last = hubs > 1 and (pairs_left <= PAIRS_PER_POSTING * total or not fruitful)
         if last:
             # who is outside the largest component of a key meets all the others:
             # at most four times as many rows as there are pairs left
             left = live.where("comp <> largest")
         else:
-            struct = F.struct(*[c for c in ["comp", "node", *more]])
+            struct = F.struct(*["comp", "node", *more])
             spot = F.pmod(F.xxhash64("node", F.lit(hubs)), F.lit(hubs))
             left = live.groupBy("key", spot.alias("spot")).agg(F.min(struct).alias("hub")).select("key", "hub.*")
-        both = left.select("key", *as_a).join(live.select("key", *as_b), "key").where("a_comp <> b_comp").where(may_link)
-        pairs = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        both = left.select("key", *as_a).join(live.select("key", "largest", *as_b), "key")
+        both = both.where("a_comp <> b_comp").where(may_link)
+        if last:
+            both = both.where("b_comp = largest OR a < b")  # a pair once per key
+            facts = [F.min(c).alias(c) for c in both.columns if c.startswith(("a_", "b_"))]
+            swapped = both.withColumn("_a", F.least("a", "b")).withColumn("b", F.greatest("a", "b")).withColumn("a", F.col("_a"))
+            pairs = swapped.groupBy("a", "b").agg(F.count("*").alias("shared"), *facts).where(enough).select("a", "b")
+        else:
+            pairs = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         found = stored(verify(pairs), "links")
         links = found if links is None else links.unionByName(found)
-        if links.take(1):
+        n_found = found.count()
+        if n_found:
             comp = components(links)
         if last:
             break
+        fruitful = n_found * FEW >= pairs.count()
         tested = pairs if tested is None else tested.unionByName(pairs)
         hubs *= MORE_HUBS
     return comp
