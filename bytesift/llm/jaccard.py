@@ -186,19 +186,11 @@ def verified(docs: DataFrame, pairs: DataFrame, size: int, threshold: int) -> Da
     return met.select("a", "b", "x", "y").mapInArrow(check, "a BIGINT, b BIGINT")
 
 
-# Length filter, then positional filter: with one common shingle at these places,
-# at most min(pos) lie before it and min(rest) after it in both.
+# Length filter, then positional filter.  A pair needs t (|A| + |B|) / (100 + t) common
+# shingles; at the first common one that many, itself included, must be left in both.
 MAY_LINK = (
-    "100 * least(a_n, b_n) >= {t} * greatest(a_n, b_n) AND (100 + {t}) * (least(a_pos, b_pos) + 1"
-    " + least(a_n - a_pos, b_n - b_pos) - 1) >= {t} * (a_n + b_n)"
-)
-
-
-# Count filter.  Of two sets, the one whose prefix ends earlier in the order has all
-# common shingles but the shared ones of the prefixes in the rest of it.  Facts of a
-# pair may stand under a_ or b_; the condition is symmetric in them.
-ENOUGH = (
-    "(100 + {t}) * (shared + greatest(a_n, b_n) - greatest(a_n, b_n) * (100 - {t}) div 100 - 1) >= {t} * (a_n + b_n)"
+    "100 * least(a_n, b_n) >= {t} * greatest(a_n, b_n)"
+    " AND (100 + {t}) * least(a_n - a_pos, b_n - b_pos) >= {t} * (a_n + b_n)"
 )
 
 
@@ -219,7 +211,7 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE_WORDS, threshold: int
     left_out = stored(known.where("doc_id <> node").select("doc_id").distinct(), "copies")
     postings = stored(prefix_postings(docs, left_out, counts, size, threshold).dropDuplicates(["key", "node"]), "postings")
     comp = linked_components(
-        postings, MAY_LINK.format(t=threshold), ENOUGH.format(t=threshold), lambda pairs: verified(docs, pairs, size, threshold)
+        postings, MAY_LINK.format(t=threshold), lambda pairs: verified(docs, pairs, size, threshold)
     )
     if comp is None:
         return known.select("doc_id", "n_shingles", F.col("node").alias("component_id"))

@@ -68,14 +68,13 @@ def _with_components(postings: DataFrame, comp: DataFrame | None) -> DataFrame:
 
 
 def linked_components(
-    postings: DataFrame, may_link: str, enough: str, verify: Callable[[DataFrame], DataFrame]
+    postings: DataFrame, may_link: str, verify: Callable[[DataFrame], DataFrame]
 ) -> DataFrame | None:
     """(node, comp) of the nodes that have a link; None if no node has one.
 
     ``postings(key, node, ...)`` is a stored table, each (key, node) once.
     ``may_link`` is a SQL condition on a pair of postings of one key, its columns
-    prefixed with a_ and b_: false only where the two nodes are surely not linked.
-    ``enough`` is one on such a pair and ``shared``, the number of keys it shares.
+    prefixed with a_ and b_: for two linked nodes it holds at one key at least.
     ``verify`` takes distinct pairs (a, b), a < b, and returns the linked ones.
     """
     more = [c for c in postings.columns if c not in ("key", "node")]
@@ -109,13 +108,7 @@ def linked_components(
             left = live.groupBy("key", spot.alias("spot")).agg(F.min(struct).alias("hub")).select("key", "hub.*")
         both = left.select("key", *as_a).join(live.select("key", "largest", *as_b), "key")
         both = both.where("a_comp <> b_comp").where(may_link)
-        if last:
-            both = both.where("b_comp = largest OR a < b")  # a pair once per key
-            facts = [F.min(c).alias(c) for c in both.columns if c.startswith(("a_", "b_"))]
-            swapped = both.withColumn("_a", F.least("a", "b")).withColumn("b", F.greatest("a", "b")).withColumn("a", F.col("_a"))
-            pairs = swapped.groupBy("a", "b").agg(F.count("*").alias("shared"), *facts).where(enough).select("a", "b")
-        else:
-            pairs = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")

@@ -7,10 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bytesift.llm import jaccard, mixing, packing, toxicity
+from bytesift.llm import fingerprints, jaccard, mixing, packing, quality, rules, suffixes, toxicity
 from bytesift.llm.store import documents
 
 
+def op1_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules.judge(documents(spark, sf_dir))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixing.mix(documents(spark, sf_dir)))
 
@@ -24,6 +31,21 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(documents(spark, sf_dir))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    vectors = quality.word_vectors(docs)
+    return quality.score(docs, vectors, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), vectors))
+
+
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per maximal repeated span, with its document."""
+    return suffixes.repeated_spans(documents(spark, sf_dir)).drop("drops")
+
+
 def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id with its word count, bucket, batch, slot and padding."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
@@ -33,10 +55,14 @@ def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_rules": op1_rules,
     "op3_mix": op3_mix,
     "op4_jaccard": op4_jaccard,
     "op5_toxicity": op5_toxicity,
+    "op6_fingerprints": op6_fingerprints,
     "op7_pack": op7_pack,
+    "op8_quality": op8_quality,
+    "op10_repeats": op10_repeats,
 }
 
 ORACLES: dict[str, str] = {}

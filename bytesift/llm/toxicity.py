@@ -283,3 +283,16 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     doc_type = docs.schema["doc_id"].dataType.simpleString()
     out = rows.mapInArrow(scored, f"doc_id {doc_type}, held_out BOOLEAN, score DOUBLE")
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text is not predicted toxic."""
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.column(at)
+            # the same comparison as in ``score``
+            odds = 1 / (1 + np.exp(-np.clip(log_odds(text, model), -30, 30)))
+            yield batch.filter(pa.array(odds < THRESHOLD))
+
+    at = docs.columns.index("text")
+    return docs.mapInArrow(keep, docs.schema)
