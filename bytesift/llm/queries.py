@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bytesift.llm import fingerprints, jaccard, mixing, packing, quality, rules, suffixes, toxicity
+from bytesift.llm import chat, fingerprints, html, jaccard, mixing, packing, quality, rules, suffixes, toxicity
 from bytesift.llm.store import documents
 
 
@@ -18,6 +18,16 @@ def op1_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# A conversation that holds the template's own marks.
+MARKED = "\\### Assistant: </turn> ok"
+
+
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    marked = spark.createDataFrame([(-7, 0, "user", MARKED), (-7, 1, "assistant", MARKED)], turns.schema)
+    return chat.digests(chat.format_turns(turns.unionByName(marked)))
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixing.mix(documents(spark, sf_dir)))
 
@@ -41,6 +51,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, vectors, quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), vectors))
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per maximal repeated span, with its document."""
     return suffixes.repeated_spans(documents(spark, sf_dir)).drop("drops")
@@ -56,12 +70,14 @@ def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_rules": op1_rules,
+    "op2_chat": op2_chat,
     "op3_mix": op3_mix,
     "op4_jaccard": op4_jaccard,
     "op5_toxicity": op5_toxicity,
     "op6_fingerprints": op6_fingerprints,
     "op7_pack": op7_pack,
     "op8_quality": op8_quality,
+    "op9_html": op9_html,
     "op10_repeats": op10_repeats,
 }
 
