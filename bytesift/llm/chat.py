@@ -111,8 +111,9 @@ def flatten(parts: list[dict]) -> Flattened:
 
 
 def mark(role: str | None) -> str:
-    """The mark of a role; an unknown one is named in it, escaped."""
-    return MARKS.get(role or "", f"### ={escape(role or '')}: ")
+    """The mark of a role; an unknown one is named in it, its colons escaped too."""
+    named = escape(role or "").replace(":", "\\:")
+    return MARKS.get(role or "", f"### ={named}: ")
 
 
 def read_segment(segment: str) -> tuple[str, str, int, int]:

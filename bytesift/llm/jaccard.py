@@ -206,7 +206,8 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE_WORDS, threshold: int
     """
     rows, counts = survey(docs, size)
     classes = rows.where("sig IS NOT NULL AND doc_id IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("first"))
-    known = rows.join(classes, "sig", "left").select("doc_id", "n_shingles", F.coalesce("first", "doc_id").alias("node"))
+    node = F.when(F.col("doc_id").isNotNull(), F.coalesce("first", "doc_id"))
+    known = rows.join(classes, "sig", "left").select("doc_id", "n_shingles", node.alias("node"))
     known = stored(known, "classes")
     left_out = stored(known.where("doc_id <> node").select("doc_id").distinct(), "copies")
     postings = stored(prefix_postings(docs, left_out, counts, size, threshold).dropDuplicates(["key", "node"]), "postings")
