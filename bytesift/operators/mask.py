@@ -33,10 +33,12 @@ def match_mask(
     lengths = texts.selectExpr(
         f"{quoted(text_id)} AS text_id", f"{byte_length(as_bytes(quoted(body)))} AS _n"
     )
-    short = f"assert_true(_n <= {max_len}, 'a text is longer than max_len={max_len} bytes') IS NULL"
-    # the length is checked before the positions of a text are gathered
-    sized = matches.join(lengths, "text_id").where(short)
-    gathered = sized.groupBy("text_id", "pattern_id", "_n").agg(
-        F.expr("array_sort(collect_set(CAST(byte_pos AS INT))) AS _starts")
+    gathered = (
+        matches.join(lengths, "text_id")
+        .groupBy("text_id", "pattern_id")
+        .agg(F.expr("max(_n) AS _n"), F.expr("array_sort(collect_set(CAST(byte_pos AS INT))) AS _starts"))
     )
+    # on the aggregated row: lower down it would be moved to texts without a match
+    short = f"assert_true(_n <= {max_len}, 'a text is longer than max_len={max_len} bytes') IS NULL"
+    gathered = gathered.where(short)
     return gathered.selectExpr("text_id", "pattern_id", f"{_dense('_starts', '_n')} AS mask")

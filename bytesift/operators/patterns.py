@@ -21,7 +21,7 @@ def validate_patterns(
 ) -> DataFrame:
     """Drop NULL, empty, too short and too long patterns.
 
-    ``dedupe`` also drops all but the lowest id of equal patterns.  With
+    ``dedupe`` also drops all but one row, of the lowest id, of equal patterns.  With
     ``keep_invalid`` nothing is dropped and a ``reason`` column (NULL for the
     good ones) says what is wrong.
     """
@@ -33,19 +33,15 @@ def validate_patterns(
         WHEN {size} < {min_len} THEN 'too short' {too_long} END AS reason""",
     )
     if dedupe:
-        good = F.col("reason").isNull()
-        key = F.col(pattern).cast("binary")
-        first = (
-            checked.where(good)
-            .groupBy(key.alias("_key"))
-            .agg(F.min(pattern_id).alias(pattern_id))
-            .select(pattern_id, F.lit(True).alias("_first"))
+        # rows that are wrong anyway are spread, so they are no group of their own
+        place = (
+            f"row_number() OVER (PARTITION BY CAST({p} AS BINARY), IF(reason IS NULL, 0, xxhash64({quoted(pattern_id)}))"
+            f" ORDER BY {quoted(pattern_id)})"
         )
-        checked = checked.join(first, pattern_id, "left").withColumn(
-            "reason",
-            F.when(good & F.col("_first").isNull(), "duplicate").otherwise(F.col("reason")),
+        kept = [quoted(c) for c in patterns.columns]
+        checked = checked.selectExpr("*", f"{place} AS _place").selectExpr(
+            *kept, "IF(reason IS NULL AND _place > 1, 'duplicate', reason) AS reason"
         )
-        checked = checked.select(*patterns.columns, "reason")
     if keep_invalid:
         return checked
     return checked.where(F.col("reason").isNull()).drop("reason")

@@ -23,14 +23,21 @@ def spread(scan: DataFrame, key: str, min_partitions: int | None = None) -> Data
     return scan.repartition(wanted, key)
 
 
+def _on_one_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for checkpoints: the cluster's ``spark.checkpoint.dir``.
 
-    Only a session that names no folder (a test on one machine) gets its own.
+    Only a session on one machine that names no folder gets its own; on a cluster
+    a folder of one machine would be invisible to the others, so that is refused.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not _on_one_machine(context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="bytesift-"))
     return context.getCheckpointDir()
 
@@ -38,4 +45,3 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has been written to yet."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-

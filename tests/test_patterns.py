@@ -3,7 +3,9 @@ import random
 import pytest
 from helpers import brute, pattern_table, rows, starts
 
+from bytesift.operators.mask import match_mask
 from bytesift.operators.patterns import nested_patterns, pattern_profile, validate_patterns
+from bytesift.operators.search import find_matches
 from bytesift.sources.patterns import read_patterns
 
 
@@ -86,3 +88,16 @@ def test_pattern_list_is_one_file(spark, tmp_path):
     with pytest.raises(ValueError, match="one file"):
         read_patterns(spark, str(tmp_path))
     assert starts(b"aa", b"a") == [0, 1]
+
+
+def test_dedupe_with_repeated_ids(spark):
+    rows = [(1, "a"), (1, "b"), (0, "b"), (2, "c"), (2, "d"), (2, "d"), (3, None)]
+    patterns = spark.createDataFrame(rows, "pattern_id INT, pattern STRING")
+    good = validate_patterns(patterns, dedupe=True)
+    assert sorted(map(tuple, good.collect())) == [(0, "b"), (1, "a"), (2, "c"), (2, "d")]
+
+
+def test_mask_of_long_text_without_a_match(spark):
+    texts = spark.createDataFrame([(1, "ab"), (2, "x" * 50)], "text_id BIGINT, body STRING")
+    matches = find_matches(texts, "b")
+    assert [r.mask for r in match_mask(texts, matches, max_len=10).collect()] == [[0, 1]]
