@@ -27,7 +27,7 @@ WINDOWS_PER_STRETCH = 1 << 14
 MAX_STRETCH = 1 << 20
 # Bytes of text per fetched slice in the shuffled path.
 FETCH_BLOCK = 1 << 16
-# Anchors up to this many are made distinct in one partition, without a shuffle.
+# Anchors up to this many are made distinct in one partition.
 FEW_ANCHORS = 1 << 16
 
 START = "_w - _j"
@@ -67,7 +67,7 @@ def anchored(patterns: DataFrame, classes: list[WindowClass]) -> DataFrame:
 def _shapes(anchors: DataFrame, search: Search) -> DataFrame:
     """Distinct (_h, _j, _m): window hash, its offset, length of the pattern."""
     if search.stats.count * search.classes[0].stride <= FEW_ANCHORS:
-        anchors = anchors.coalesce(1)
+        anchors = anchors.repartition(1)  # not coalesce: that would scan the source in one task
     # explode_outer: no filter on _offsets is inferred and computed again
     windows = anchors.selectExpr("_p", "_m", "_q", "_s", "explode_outer(_offsets) AS _j")
     return windows.selectExpr(f"xxhash64(_q, _s, {cut('_p', '_j', '_q')}) AS _h", "_j", "_m").distinct()
@@ -111,11 +111,11 @@ def hash_positions(
             F.lit(0).alias("_pos"),
         )
     anchors = anchored(patterns, search.classes)
-    if search.broadcast:
+    if search.broadcast_shapes:
         return _broadcast_positions(texts, keys, anchors, search)
     if texts.isStreaming:
         raise ValueError(
-            "the patterns exceed the broadcast bound: search a stream by micro-batch "
+            "the anchors exceed the broadcast bound: search a stream by micro-batch "
             "(streaming.write_stream_matches), which can shuffle"
         )
     return _shuffled_positions(texts, keys, anchors, search)
@@ -124,7 +124,11 @@ def hash_positions(
 def _broadcast_positions(
     texts: DataFrame, keys: list[str], anchors: DataFrame, search: Search
 ) -> DataFrame:
-    """Both joins broadcast: one stage, and the text never leaves its task."""
+    """The shapes broadcast: the text never leaves its task.
+
+    The patterns are broadcast too if they fit; else what was cut out of the
+    texts, and nothing more, is shuffled to them, salted against hot patterns.
+    """
     kept = [quoted(k) for k in keys]
     shapes = F.broadcast(_shapes(anchors, search))
     held = (
@@ -133,47 +137,65 @@ def _broadcast_positions(
         .where(INSIDE)
         .selectExpr(*kept, "_j", "_s AS _ts", f"{START} AS _pos", f"{cut('_b', START, '_m')} AS _p")
     )
-    whole = F.broadcast(anchors.selectExpr("_id", "_p", "_m", "_s AS _ts", "_offsets"))
-    return held.join(whole, ["_p", "_ts"]).where(OWN_ANCHOR).select(*keys, "_id", "_m", "_pos")
+    whole = anchors.selectExpr("_id", "_p", "_m", "_s AS _ts", "_offsets")
+    if search.broadcast:
+        met = held.join(F.broadcast(whole), ["_p", "_ts"])
+    else:
+        salts = setting(texts.sparkSession, SALTS)
+        dealt = held.selectExpr("*", _salt([*kept, "_pos"], salts))
+        met = dealt.join(whole.selectExpr("*", _every_salt(salts)), ["_p", "_ts", "_salt"])
+    return met.where(OWN_ANCHOR).select(*keys, "_id", "_m", "_pos")
+
+
+def _salt(columns: list[str], salts: int) -> str:
+    return f"CAST(pmod(xxhash64({', '.join(columns)}), {salts}) AS INT) AS _salt"
+
+
+def _every_salt(salts: int) -> str:
+    return f"explode(sequence(0, {salts - 1})) AS _salt"
 
 
 def _shuffled_positions(
     texts: DataFrame, keys: list[str], anchors: DataFrame, search: Search
 ) -> DataFrame:
-    """The same joins for pattern tables too large to broadcast.
+    """The same joins where not even the shapes can be broadcast.
 
     Windows are shuffled without their text.  What survives is matched to slices
     of the text, shuffled once, and the bytes cut there meet the patterns.  Both
     sides of the two pattern joins are salted, so a hot window or a hot pattern
-    is spread; a slice is bounded in bytes, so its candidates are too.  The keys
-    must be unique per text.
+    is spread; a slice is bounded in bytes, so its candidates are too.
+
+    A row is known by 128 bits of its keys and text.  Rows equal in both have equal
+    candidates, kept once, and as many equal slices as there are rows: each
+    occurrence comes out once per row, whether or not the keys are unique.
     """
     kept = [quoted(k) for k in keys]
     salts = setting(texts.sparkSession, SALTS)
-    every_salt = f"explode(sequence(0, {salts - 1})) AS _salt"
-
-    def salt(offset: str) -> str:
-        return f"CAST(pmod(xxhash64({', '.join([*kept, offset])}), {salts}) AS INT) AS _salt"
-
+    # the flags tell (NULL, x) from (x, NULL)
+    named = [part for k in kept for part in (f"{k} IS NULL", k)]
+    own = [f"xxhash64({', '.join([str(seed), *named, '_b'])}) AS _t{seed}" for seed in (1, 2)]
+    texts = texts.selectExpr(*kept, *own, "_b")
     windows = _text_windows(texts, search.classes).selectExpr(
-        *kept, "_n", "_s", "_w", "_h", salt("_w")
+        *kept, "_t1", "_t2", "_n", "_s", "_w", "_h", _salt(["_t1", "_w"], salts)
     )
-    shapes = _shapes(anchors, search).selectExpr("*", every_salt)
+    shapes = _shapes(anchors, search).selectExpr("*", _every_salt(salts))
     candidates = (
         windows.join(shapes, ["_h", "_salt"])
         .where(INSIDE)
-        .selectExpr(*kept, "_s AS _ts", "_j", "_m", f"{START} AS _pos")
+        .selectExpr(*kept, "_t1", "_t2", "_s AS _ts", "_j", "_m", f"{START} AS _pos")
         .selectExpr("*", f"_pos - _pos % {FETCH_BLOCK} AS _at")
+        .repartition("_t1", "_t2", "_at")
+        .distinct()
     )
     length = byte_length("_b")
     slices = (
         texts.where(f"{length} >= 1")
-        .selectExpr(*kept, "_b", f"explode(sequence(0, {length} - 1, {FETCH_BLOCK})) AS _at")
-        .selectExpr(*kept, "_at", f"{cut('_b', '_at', str(FETCH_BLOCK + search.stats.max_len))} AS _slice")
+        .selectExpr("_t1", "_t2", "_b", f"explode(sequence(0, {length} - 1, {FETCH_BLOCK})) AS _at")
+        .selectExpr("_t1", "_t2", "_at", f"{cut('_b', '_at', str(FETCH_BLOCK + search.stats.max_len))} AS _slice")
     )
-    cut_out = candidates.join(slices, [*keys, "_at"]).selectExpr(
-        *kept, "_j", "_ts", "_pos", f"{cut('_slice', '_pos - _at', '_m')} AS _p", salt("_pos")
+    cut_out = candidates.join(slices, ["_t1", "_t2", "_at"]).selectExpr(
+        *kept, "_j", "_ts", "_pos", f"{cut('_slice', '_pos - _at', '_m')} AS _p", _salt(["_t1", "_pos"], salts)
     )
-    whole = anchors.selectExpr("_id", "_p", "_m", "_s AS _ts", "_offsets", every_salt)
+    whole = anchors.selectExpr("_id", "_p", "_m", "_s AS _ts", "_offsets", _every_salt(salts))
     met = cut_out.join(whole, ["_p", "_ts", "_salt"])
     return met.where(OWN_ANCHOR).select(*keys, "_id", "_m", "_pos")

@@ -44,16 +44,22 @@ class PatternStats:
     total_bytes: int
     max_len: int
     per_class: dict[WindowClass, tuple[int, int]] = field(default_factory=dict)
+    id_bytes: int = 0
 
 
 @dataclass(frozen=True)
 class Search:
-    """The chosen strategy; ``classes`` and ``broadcast`` matter to "hash" only."""
+    """The chosen strategy; what follows it matters to "hash" only.
+
+    ``broadcast`` is for the patterns, ``broadcast_shapes`` for the few bytes per
+    anchor that find them; the patterns are never broadcast without those.
+    """
 
     strategy: str
     classes: list[WindowClass]
     broadcast: bool
     stats: PatternStats
+    broadcast_shapes: bool = True
 
 
 def class_of(length: str, classes: list[WindowClass]) -> str:
@@ -66,11 +72,12 @@ def class_of(length: str, classes: list[WindowClass]) -> str:
 
 
 def pattern_stats(patterns: DataFrame, classes: list[WindowClass]) -> PatternStats:
-    """Measure ``patterns(_p BINARY)``: one job, one row back per window class."""
-    sized = patterns.selectExpr(f"{byte_length('_p')} AS m").where("m >= 1")
+    """Measure ``patterns(_id, _p BINARY)``: one job, one row back per window class."""
+    named = f"coalesce({byte_length('CAST(_id AS STRING)')}, 0)" if "_id" in patterns.columns else "0"
+    sized = patterns.selectExpr(f"{byte_length('_p')} AS m", f"{named} AS id_size").where("m >= 1")
     rows = (
         sized.groupBy(F.expr(class_of("m", classes)).alias("c"))
-        .agg(F.expr("count(*) AS n"), F.expr("sum(CAST(m AS BIGINT)) AS bytes"), F.expr("max(m) AS longest"))
+        .agg(F.expr("count(*) AS n"), F.expr("sum(CAST(m AS BIGINT)) AS bytes"), F.expr("max(m) AS longest"), F.expr("sum(id_size) AS ids"))
         .collect()
     )
     return PatternStats(
@@ -78,17 +85,23 @@ def pattern_stats(patterns: DataFrame, classes: list[WindowClass]) -> PatternSta
         total_bytes=sum(r["bytes"] for r in rows),
         max_len=max((r["longest"] for r in rows), default=0),
         per_class={WindowClass(r["c"]["q"], r["c"]["s"]): (r["n"], r["bytes"]) for r in rows},
+        id_bytes=sum(r["ids"] for r in rows),
     )
 
 
-def anchor_bytes(stats: PatternStats, classes: list[WindowClass]) -> int:
-    """Upper estimate of what "hash" broadcasts when only ``classes`` are used."""
-    total = 0
-    for had, (n, size) in stats.per_class.items():
-        stride = had.stride if had in classes else classes[0].stride
-        # one anchor per residue, then the pattern with its list of residues
-        total += n * stride * _ROW_BYTES + n * (_ROW_BYTES + 4 * stride) + size
-    return total
+def shape_bytes(stats: PatternStats, most_stride: int) -> int:
+    """Upper estimate of the anchor shapes: one for each residue of each pattern."""
+    return sum(n * min(c.stride, most_stride) * _ROW_BYTES for c, (n, _) in stats.per_class.items())
+
+
+def anchor_bytes(stats: PatternStats, most_stride: int) -> int:
+    """Upper estimate of what "hash" broadcasts with strides up to ``most_stride``.
+
+    A pattern is key and payload of its row, which also has its id and its list
+    of residues.
+    """
+    rows = sum(n * (_ROW_BYTES + 4 * min(c.stride, most_stride)) for c, (n, _) in stats.per_class.items())
+    return shape_bytes(stats, most_stride) + rows + 2 * stats.total_bytes + stats.id_bytes
 
 
 def choose(
@@ -102,9 +115,10 @@ def choose(
     "auto" compares the cost per byte of text: a scan pays for each pattern, the
     hash join for each sampled window, so a handful of patterns is scanned for
     and anything more is hash-joined.  For "hash", long strides make few text
-    windows but many anchors; when the anchors outgrow the broadcast bound the
-    stride is halved until they fit, and when even stride 1 does not fit both
-    joins are shuffled.
+    windows but many anchors; when these outgrow the broadcast bound the stride is
+    halved until they fit.  The window keeps its length, so it stays selective.
+    When not even stride 1 lets the patterns in, only the shapes of the anchors
+    are broadcast, and when those do not fit either both joins are shuffled.
     """
     if strategy != "auto" and strategy not in STRATEGIES:
         raise ValueError(f"unknown strategy {strategy!r}, expected auto or one of {STRATEGIES}")
@@ -124,16 +138,12 @@ def choose(
             f"use 'hash' (or 'auto')"
         )
     limit = setting(spark, BROADCAST_BYTES)
-    for first in range(len(classes)):
-        rest = classes[first:]
-        if first and rest[0].stride == classes[first - 1].stride:
-            break  # as many anchors, only less selective
-        if anchor_bytes(stats, rest) <= limit:
-            return Search(strategy, _present(stats, rest), True, stats)
-    return Search(strategy, _present(stats, classes), False, stats)
-
-
-def _present(stats: PatternStats, classes: list[WindowClass]) -> list[WindowClass]:
-    """The classes that some pattern falls into, longest window first."""
-    used = {had if had in classes else classes[0] for had in stats.per_class}
-    return [c for c in classes if c in used]
+    strides = [stride]
+    while strides[-1] > 1:
+        strides.append(strides[-1] // 2)
+    present = [c for c in classes if c in stats.per_class]
+    for whole, size_of in ((True, anchor_bytes), (False, shape_bytes)):
+        for most in strides:
+            if size_of(stats, most) <= limit:
+                return Search(strategy, [c.with_stride_up_to(most) for c in present], whole, stats)
+    return Search(strategy, present, False, stats, broadcast_shapes=False)

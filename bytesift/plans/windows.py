@@ -15,10 +15,15 @@ from dataclasses import dataclass
 class WindowClass:
     q: int
     stride: int
+    least: int | None = None  # length from which patterns take the class, if not the shortest that can
 
     @property
     def min_len(self) -> int:
-        return self.q + self.stride - 1
+        return self.least or self.q + self.stride - 1
+
+    def with_stride_up_to(self, most: int) -> WindowClass:
+        """The same windows for the same patterns, taken more often."""
+        return self if self.stride <= most else WindowClass(self.q, most, self.min_len)
 
 
 # For patterns too short for a stride of 8.  Windows this small are rarely

@@ -232,6 +232,32 @@ def find_words_in_documents(spark, sf):
     return op.find_matches_multi(_documents(spark, sf), _words(spark, sf))
 
 
+def _without_broadcast(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
+    """``build()`` as it is planned for patterns beyond the broadcast bound."""
+    had = spark.conf.get("spark.bytesift.broadcastBytes", None)
+    spark.conf.set("spark.bytesift.broadcastBytes", "0")
+    try:
+        return build()
+    finally:
+        if had is None:
+            spark.conf.unset("spark.bytesift.broadcastBytes")
+        else:
+            spark.conf.set("spark.bytesift.broadcastBytes", had)
+
+
+@_register(_found(DOCUMENTS, WORDS, ALL_MATCHES))
+def find_words_shuffled(spark, sf):
+    """The same through the joins for pattern tables that cannot be broadcast."""
+    docs, words = _documents(spark, sf), _words(spark, sf)
+    return _without_broadcast(spark, lambda: op.find_matches_multi(docs, words))
+
+
+@_register(_found(DOCUMENTS, BENCHMARK, TOTALS))
+def totals_shuffled(spark, sf):
+    docs, items = _documents(spark, sf), _benchmark(spark, sf)
+    return _without_broadcast(spark, lambda: op.pattern_totals(op.find_matches_multi(docs, items), items))
+
+
 @_register(_found(PARTS, WORDS, ALL_MATCHES))
 def find_words_in_parts(spark, sf):
     return op.find_matches_multi(_parts(spark, sf), _words(spark, sf))

@@ -136,9 +136,11 @@ def _with_offsets(pieces: DataFrame) -> DataFrame:
         "_range",
         f"coalesce(sum(_size) OVER (PARTITION BY key ORDER BY _range {before}), 0L) AS _range_from",
     )
+    in_range = "OVER (PARTITION BY key, _range ORDER BY _order"
+    repeated = "raise_error(concat('piece ', _order, ' of a key is repeated'))"
     inside = ranged.selectExpr(
         "*",
-        f"coalesce(sum(_size) OVER (PARTITION BY key, _range ORDER BY _order {before}), 0L) AS _inside",
+        f"IF(lag(_order) {in_range}) = _order, {repeated}, coalesce(sum(_size) {in_range} {before}), 0L)) AS _inside",
     )
     return inside.join(range_starts, ["key", "_range"]).selectExpr(
         "key", "_b", "_range_from + _inside AS _from", "_range_from + _inside + _size AS _to"
@@ -157,7 +159,8 @@ def find_across(
 ) -> DataFrame:
     """The matches of :func:`stream_find_across` over a stored table of pieces.
 
-    ``order`` is a whole number, unique per key.  The text of a key is never put
+    ``order`` is a whole number, unique per key; pieces that share one make the
+    job fail, as they do on a stream.  The text of a key is never put
     together: every piece adds its bytes to the blocks that it reaches, and each
     block with its overlap, bounded in bytes, is searched by itself.
     """

@@ -6,7 +6,7 @@ from helpers import pattern_table
 from bytesift.operators.report import pattern_totals
 from bytesift.operators.search import contains_filter, find_matches, find_matches_multi
 from bytesift.plans import WindowClass, choose, fresh_folder, pattern_stats, spread, window_classes
-from bytesift.plans.choice import PatternStats, anchor_bytes
+from bytesift.plans.choice import PatternStats, anchor_bytes, shape_bytes
 from bytesift.sources.texts import read_texts
 
 MANY = {i: b"pattern number %05d, long enough for the longest of the windows" % i for i in range(80)}
@@ -42,6 +42,8 @@ def test_shuffled_join_is_salted_and_never_cartesian(spark, stored):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Broadcast" not in plan and "Cartesian" not in plan
     assert plan.count("SortMergeJoin") + plan.count("ShuffledHashJoin") == 3
+    # a row is matched to its slices by what it holds, and never by the offset alone
+    assert any("_t1#" in x and "_t2#" in x and "_at#" in x for x in plan.splitlines() if "Join [" in x)
     joins = [line for line in plan.splitlines() if "Join [" in line]
     assert sum("_salt" in line for line in joins) == 2
     # windows travel to the first join without their text
@@ -107,18 +109,46 @@ def test_choice(spark):
 
 
 def test_stride_shrinks_before_the_broadcast_is_given_up(spark):
-    many = pattern_table(spark, MANY).selectExpr("pattern_id AS _id", "pattern AS _p")
-    stats, classes = pattern_stats(many, window_classes()), window_classes()
-    sizes = [anchor_bytes(stats, classes[i:]) for i in range(len(classes))]
-    assert sizes == sorted(sizes, reverse=True)
-    for limit, broadcast in ((sizes[0], True), (sizes[-1], True), (sizes[-1] - 1, False)):
-        spark.conf.set("spark.bytesift.broadcastBytes", str(limit))
-        chosen = choose(many, "hash")
-        assert chosen.broadcast is broadcast
-        if broadcast and limit == sizes[-1]:
-            assert chosen.classes[0].stride == 1
-    spark.conf.unset("spark.bytesift.broadcastBytes")
+    long = {i: b"pattern number %05d, " % i * 10 for i in range(80)}
+    many = pattern_table(spark, long).selectExpr("pattern_id AS _id", "pattern AS _p")
+    stats = pattern_stats(many, window_classes())
+    strides = [32, 16, 8, 4, 2, 1]
+    sizes = [anchor_bytes(stats, s) for s in strides]
+    assert sizes == sorted(sizes, reverse=True) and shape_bytes(stats, 1) < sizes[-1]
+    cases = [(size, True, True, s) for size, s in zip(sizes, strides)]
+    cases += [(shape_bytes(stats, 4), False, True, 4), (shape_bytes(stats, 1) - 1, False, False, 32)]
+    try:
+        for limit, broadcast, shapes, stride in cases:
+            spark.conf.set("spark.bytesift.broadcastBytes", str(limit))
+            chosen = choose(many, "hash")
+            assert (chosen.broadcast, chosen.broadcast_shapes) == (broadcast, shapes)
+            # the window stays as long as it was
+            assert [(c.q, c.stride) for c in chosen.classes] == [(32, stride)]
+    finally:
+        spark.conf.unset("spark.bytesift.broadcastBytes")
     assert isinstance(stats, PatternStats)
+    wide = many.selectExpr("repeat(CAST(_id AS STRING), 1000) AS _id", "_p")
+    assert anchor_bytes(pattern_stats(wide, window_classes()), 32) > sizes[0] + 80_000
+
+
+def test_text_is_not_shuffled_while_the_shapes_fit(spark, stored):
+    texts, patterns = spark.read.parquet(stored), pattern_table(spark, MANY)
+    stats = pattern_stats(patterns.selectExpr("pattern_id AS _id", "pattern AS _p"), window_classes())
+    spark.conf.set("spark.bytesift.broadcastBytes", str(shape_bytes(stats, 32)))
+    try:
+        chosen = choose(patterns.selectExpr("pattern_id AS _id", "pattern AS _p"), "hash")
+        plan = physical(find_matches_multi(texts, patterns, "hash"))
+    finally:
+        spark.conf.unset("spark.bytesift.broadcastBytes")
+    if not chosen.broadcast:
+        (exchanged,) = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "_salt" in x][:1]
+        assert "_salt" in exchanged and "_at#" not in plan
+
+
+def test_filtered_pattern_source_keeps_its_scan_partitions(spark, stored):
+    picked = spark.read.parquet(stored).where("text_id < 70").selectExpr("text_id AS pattern_id", "body AS pattern")
+    plan = physical(find_matches_multi(spark.read.parquet(stored), picked, "hash"))
+    assert "Coalesce 1" not in plan
 
 
 def test_fresh_folders_are_in_the_checkpoint_folder(spark):

@@ -9,7 +9,12 @@ from bytesift.operators.search import (
     find_matches,
     find_matches_multi,
     hash_join_matches,
+    normal_patterns,
+    normal_texts,
+    positions,
 )
+from bytesift.plans import choose, pattern_stats, window_classes
+from bytesift.plans.choice import shape_bytes
 
 EDGE_CASES = [
     (b"aaaa", b"aa", [0, 1, 2]),
@@ -90,6 +95,28 @@ def test_shuffled_hash_join_equals_brute_force(spark, salts):
         spark.conf.unset("spark.bytesift.salts")
 
 
+@pytest.mark.parametrize("bound", ["0", "shapes", "268435456"])
+def test_repeated_ids_and_no_keys_do_not_depend_on_the_bound(spark, bound):
+    texts = [(1, "xxabxx"), (1, "ababab"), (1, "ababab"), (None, "ab"), (2, "a long text, with a long pattern in it")]
+    t = spark.createDataFrame(texts, "text_id BIGINT, body STRING")
+    patterns = [(0, "ab"), (0, "ba"), (0, "ab"), (None, "xx"), (7, "a long pattern")]
+    p = spark.createDataFrame(patterns, "pattern_id INT, pattern STRING")
+    bare = normal_patterns(p, "pattern_id", "pattern")
+    if bound == "shapes":
+        bound = str(shape_bytes(pattern_stats(bare, window_classes()), 32))
+    spark.conf.set("spark.bytesift.broadcastBytes", bound)
+    try:
+        search = choose(bare, "hash")
+        assert search.broadcast is (bound == "268435456") and search.broadcast_shapes is (bound != "0")
+        got = [tuple(r) for r in find_matches_multi(t, p, "hash").collect()]
+        bodies = normal_texts(t, {}, "body")
+        n = positions(bodies, [], bare, search).count()
+    finally:
+        spark.conf.unset("spark.bytesift.broadcastBytes")
+    want = [(i, j, s) for i, b in texts for j, x in patterns for s in starts(b.encode(), x.encode())]
+    assert sorted(got, key=str) == sorted(want, key=str) and n == len(want)
+
+
 @pytest.mark.parametrize("strategy", ["scan", "split"])
 def test_literal_strategies_equal_brute_force(spark, strategy):
     texts, patterns = random_case(4)
