@@ -222,3 +222,9 @@ def test_batch_twin_of_random_pieces(spark):
     assert got == brute(texts, PATTERNS)
     whole = rows(find_matches_multi(text_table(spark, {0: texts["k0"]}), pattern_table(spark, PATTERNS)))
     assert [r[1:] for r in whole] == [r[1:] for r in got if r[0] == "k0"]
+
+
+def test_repeated_order_numbers_fail_in_the_batch_twin(spark):
+    table = spark.createDataFrame(stamped([("k", 1, b"ab"), ("k", 1, b"ba"), ("k", 2, b"a")]), PIECE)
+    with pytest.raises(Exception, match="repeated"):
+        find_across(table, "key", "turn", pattern_table(spark, PATTERNS)).collect()
