@@ -342,3 +342,16 @@ def test_pipeline_stages_hand_on_documents(spark):
         docs = spark.createDataFrame(docs.collect(), docs.schema)
     assert 0 < docs.select("doc_id").distinct().count() < before
     assert "doc_id" in corpus_pipeline.STAGES[-1][1](spark, docs, SF).columns
+
+
+@needs_tables
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_equals_sql(spark, name):
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    for path in Path(SF).glob("*.parquet"):
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    df = queries.QUERIES[name](spark, SF)
+    expected = con.execute(queries.ORACLES[name]).fetchall()
+    names = [d[0] for d in con.description]
+    assert sorted(map(repr, expected)) == sorted(repr(tuple(r[n] for n in names)) for r in df.collect())
