@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bytesift.llm import chat, fingerprints, html, jaccard, mixing, packing, quality, rules, suffixes, toxicity
+from bytesift.llm import chat, fingerprints, html, jaccard, mixing, oracles, packing, quality, rules, suffixes, toxicity
 from bytesift.llm.store import documents
 
 
@@ -81,23 +81,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_repeats": op10_repeats,
 }
 
-# Per turn: its mark (of a role that has none, the escaped role between "### =" and ": "),
-# the text with a backslash before each backslash, # and <, and the end mark.
-OP2_SQL = r"""
-WITH turns AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
-  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
-), sized AS (
-  SELECT *, CASE role WHEN 'system' THEN 12 WHEN 'user' THEN 10 WHEN 'assistant' THEN 15
-                 ELSE 7 + length(regexp_replace(role, '[\\#<:]', '..', 'g')) END
-            + length(regexp_replace(text, '[\\#<]', '..', 'g')) + 8 AS formatted FROM turns
-)
-SELECT conv_id, count(*) AS n_turns,
-       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
-       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
-       CAST(sum(formatted) AS BIGINT) AS formatted_chars
-FROM sized GROUP BY conv_id"""
-
-ORACLES: dict[str, str] = {"op2_chat": OP2_SQL}
+ORACLES: dict[str, str] = {
+    "op1_rules": oracles.OP1_SQL,
+    "op2_chat": oracles.OP2_SQL,
+    "op4_jaccard": oracles.OP4_SQL,
+    "op10_repeats": oracles.OP10_SQL,
+}
