@@ -1,7 +1,7 @@
 """Main text of web pages by template deduction.
 
 A page is a sequence of tokens: tags with their attributes' names and class, and
-words, each told apart by the path of open tags above it.  How often a token
+blocks of text, each told apart by the path of open tags above it.  How often a token
 occurs in each page of its host is its occurrence vector.  Tokens with equal
 vectors are an equivalence class; a class that occurs in enough pages and has
 enough tokens is part of the host's template, and classes nest by the order of
@@ -9,18 +9,20 @@ their tokens.  What stands between template tokens is a slot.
 
 Vectors are never collected: their sum of page numbers (hashed) times counts is
 equal for equal vectors and is added up by Spark like any other sum, so a host may
-have any share of all pages.  Only tokens that are in a third of a host's pages can
-be template; they are few and are counted, per host, as a small table.
+have any share of all pages.  Only tokens that are in a third of the pages of a host,
+or of one layout of it, can be template; they are few and are kept as a small table.
 
-The article is what the slots leave inside the main part of the page: template
-words, and slots of menus, headers, footers, sidebars, notices, adverts, forms,
-comments and the like, by the tags and class names that enclose them, are left out.
+The main region is the slot that holds most of the distinct text.  Of it, template
+text and slots that a tag or class name tells to be a menu, notice, advert, form,
+comments and the like are left out.  Pages without a template go by these names alone.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -38,6 +40,11 @@ BLOCK = set(
     " section summary table tbody td tfoot th thead tr ul".split()
 )
 OUTSIDE = set("nav header footer aside form menu dialog button select option head fieldset".split())
+# Of these, what never holds the article; a form or header may be put around a whole page.
+MENUS = set("nav footer aside menu button select option head".split())
+# What can be the main region; paragraphs, lists and the like are in one.
+PARTS = set("html body div section article main center form header dialog fieldset table tbody tr td".split())
+ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "dialog"}
 # Class or id words that name what is not the article.
 ASIDE_WORDS = set(
     "ad ads advert adverts advertisement banner sponsor sponsored promo promotion nav navbar navigation menu"
@@ -65,30 +72,66 @@ def _attributes(rest: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(rest)} if rest.strip(" /\t\r\n") else {}
 
 
-def _is_aside(tag: str, attributes: dict[str, str]) -> bool:
-    """Whether what the tag encloses is not the article, by its own names."""
-    if tag in OUTSIDE or "hidden" in attributes or attributes.get("aria-hidden") == "true":
-        return True
-    if attributes.get("role", "").lower() in {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "dialog"}:
-        return True
-    if "display:none" in attributes.get("style", "").replace(" ", "").lower():
-        return True
-    if tag in ("html", "body", "article", "main"):
-        return False
-    names = re.split(r"[^A-Za-z0-9]+", f"{attributes.get('class', '')} {attributes.get('id', '')}".lower())
-    return any(n in ASIDE_WORDS for n in names)
+# What an element is by its own names.
+HIDDEN, OUTER, NAMED, MAIN, NEVER, TITLE, HOLDER = 1, 2, 4, 8, 16, 32, 64
+
+
+def _kind(tag: str, attributes: dict[str, str]) -> int:
+    """The flags of an element by its tag, role, class and id."""
+    kind = 0
+    if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or "display:none" in SPACE.sub("", attributes.get("style", "")).lower():
+        kind |= HIDDEN
+    if tag in OUTSIDE or attributes.get("role", "").lower() in ROLES:
+        kind |= OUTER
+    if tag in MENUS:
+        kind |= NEVER
+    if tag in ("article", "main"):
+        kind |= MAIN
+    elif tag not in ("html", "body"):
+        names = re.split(r"[^A-Za-z0-9]+", f"{attributes.get('class', '')} {attributes.get('id', '')}".lower())
+        if any(n in ASIDE_WORDS for n in names):
+            kind |= NAMED
+    return kind | (TITLE if tag == "h1" else 0) | (HOLDER if tag in PARTS else 0)
+
+
+def _token(parent: int, kind: str, value: str) -> int:
+    """64 bits of a tag or text and the path above it."""
+    hashed = hashlib.blake2b(f"{parent}{kind}{value}".encode("utf-8", "surrogatepass"), digest_size=8)
+    return int.from_bytes(hashed.digest(), "little", signed=True)
 
 
 class Page:
-    """The blocks of text of one page, each with its template tokens' path."""
+    """The elements of one page and its blocks of text, each with the element it is in."""
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, bool, bool, str]] = []  # path, aside, in article, raw text
-        self.tags: list[str] = []  # tag tokens with their paths
+        self.parents: list[int] = []  # of each element, -1 at the top
+        self.tokens: list[int] = []  # tag and path
+        self.kinds: list[int] = []
+        self.at: list[int] = []  # of each block
+        self.texts: list[str] = []
         self._read(source)
 
+    def above(self, element: int) -> list[int]:
+        """The element and those around it, innermost first."""
+        found = []
+        while element >= 0:
+            found.append(element)
+            element = self.parents[element]
+        return found
+
+    def words(self) -> list[int]:
+        """The tokens of the blocks."""
+        return [_token(self.tokens[e] if e >= 0 else 0, "#", t) for e, t in zip(self.at, self.texts)]
+
+    def layout(self) -> int:
+        """The same for pages whose outermost three levels have the same paths."""
+        depth: list[int] = []
+        for parent in self.parents:
+            depth.append(depth[parent] + 1 if parent >= 0 else 1)
+        return _token(0, "L", ",".join(map(str, sorted({t for t, d in zip(self.tokens, depth) if d <= 3})))) or 1
+
     def _read(self, source: str) -> None:
-        stack: list[tuple[str, bool, str]] = []  # tag, aside, label
+        stack: list[tuple[str, int]] = []  # tag, element
         pieces: list[str] = []
         at = 0
 
@@ -96,9 +139,8 @@ class Page:
             text = SPACE.sub(" ", entities.unescape("".join(pieces))).strip()
             pieces.clear()
             if text:
-                path = "/".join(label for _, _, label in stack)
-                inside = any(tag in ("article", "main") for tag, _, _ in stack)
-                self.blocks.append((path, any(a for _, a, _ in stack), inside, text))
+                self.at.append(stack[-1][1] if stack else -1)
+                self.texts.append(text)
 
         def close(n: int) -> None:
             flush()
@@ -117,7 +159,7 @@ class Page:
             if found["end"]:
                 for n in range(len(stack) - 1, -1, -1):
                     if stack[n][0] == tag:
-                        if tag in BLOCK or any(t in BLOCK for t, _, _ in stack[n:]):
+                        if tag in BLOCK or any(t in BLOCK for t, _ in stack[n:]):
                             close(n)
                         else:
                             del stack[n:]
@@ -142,64 +184,176 @@ class Page:
                         break
             attributes = _attributes(found["rest"])
             label = tag + ("." + attributes["class"] if attributes.get("class") else "")
-            self.tags.append("/".join([*(s[2] for s in stack), label]))
+            parent = stack[-1][1] if stack else -1
+            self.parents.append(parent)
+            self.tokens.append(_token(self.tokens[parent] if parent >= 0 else 0, "/", label))
+            self.kinds.append(_kind(tag, attributes))
             if tag not in VOID:
-                stack.append((tag, _is_aside(tag, attributes), label))
+                stack.append((tag, len(self.tokens) - 1))
         flush()
 
 
+def _by_slots(page: Page, words: list[int], slots: dict[int, int], fixed: set[int]) -> list[str] | None:
+    """The article by the template: ``slots`` has the distinct text of each slot in
+    characters, by the tag token that it is next under, ``fixed`` the template's text.
+
+    From the top, the path goes on to the slot that has more than half of the text,
+    until none has, or it is an article or main, or a title would be left behind.
+    """
+    above = [page.above(e) for e in range(len(page.tokens))]
+    out = [any(page.kinds[a] & (HIDDEN | NEVER) for a in chain) for chain in above]
+    chains: dict[int, list[int]] = {}  # of each slot of this page, the parts of a page that it is in, outermost first
+    main = set()
+    for e, chain in enumerate(above):
+        if page.tokens[e] in slots and not out[e]:
+            around = [page.tokens[a] for a in reversed(chain) if page.tokens[a] in slots and page.kinds[a] & HOLDER]
+            chains.setdefault(page.tokens[e], around)
+            if page.kinds[e] & MAIN:
+                main.add(page.tokens[e])
+    if not chains:
+        return None
+    titles = [
+        {page.tokens[a] for a in above[e]}
+        for e, w in zip(page.at, words)
+        if e >= 0 and w not in fixed and not out[e] and any(page.kinds[a] & TITLE for a in above[e])
+        and not any(page.kinds[a] & OUTER for a in above[e])
+    ]
+    weights: dict[int, int] = {}
+    for token, chain in chains.items():
+        for a in chain:
+            weights[a] = weights.get(a, 0) + slots[token]
+    here, whole, depth = None, sum(slots[t] for t in chains), 0
+    while here not in main:
+        inner = {c[depth] for c in chains.values() if len(c) > depth and (here is None or here in c[:depth])}
+        best = max(inner, key=lambda t: (weights[t], t), default=None)
+        if best is None or 2 * weights[best] <= whole:
+            break
+        if here is not None and any(here in t and best not in t for t in titles):
+            break
+        here, whole, depth = best, weights[best], depth + 1
+
+    kept = []
+    for e, word, text in zip(page.at, words, page.texts):
+        if e < 0:
+            if here is None:
+                kept.append((word, text))
+            continue
+        last = next((n for n, a in enumerate(above[e]) if page.tokens[a] == here), None)
+        if (here is not None and last is None) or any(page.kinds[a] & HIDDEN for a in above[e]):
+            continue
+        inside = above[e][:last]
+        # a name says what a slot is; in what is a page's own it says nothing
+        if not any(page.kinds[a] & OUTER or (page.kinds[a] & NAMED and page.tokens[a] in slots) for a in inside):
+            kept.append((word, text))
+    # a region that is mostly the same on other pages is a copy, not a template
+    same = sum(len(t) for w, t in kept if w in fixed)
+    if 2 * same > sum(len(t) for _, t in kept):
+        return [t for _, t in kept] or None
+    return [t for w, t in kept if w not in fixed] or None
+
+
+def _by_names(page: Page) -> list[str]:
+    """The article by tags and class names, for pages without a template.
+
+    The main slot is the longest article or main, or else each element with more than
+    half of the text; what is around it is not left out for its names.
+    """
+    above = [page.above(e) for e in range(len(page.tokens))]
+    out = [any(page.kinds[a] & (HIDDEN | NEVER) for a in chain) for chain in above]
+    inside = [0] * len(page.tokens)
+    for e, text in zip(page.at, page.texts):
+        if e >= 0 and not out[e]:
+            for a in above[e]:
+                inside[a] += len(text)
+    mains = [e for e, kind in enumerate(page.kinds) if kind & MAIN and inside[e]]
+    if mains:
+        holds = set(above[max(mains, key=lambda e: inside[e])])
+    else:
+        whole = sum(len(t) for e, t in zip(page.at, page.texts) if e < 0 or not out[e])
+        holds = {e for e, n in enumerate(inside) if 2 * n > whole}
+    found = []
+    for e, text in zip(page.at, page.texts):
+        chain = above[e] if e >= 0 else []
+        if not any(page.kinds[a] & (HIDDEN | NEVER) or (page.kinds[a] & (OUTER | NAMED) and a not in holds) for a in chain):
+            found.append((any(page.kinds[a] & MAIN for a in chain), text))
+    return [text for is_main, text in found if is_main or not any(m for m, _ in found)]
+
+
 def _host() -> F.Column:
     return F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
 
 
 # A token is template if it is in at least LEAST_PAGES pages and this share of the
-# pages of its host, in a class of at least LEAST_CLASS tokens.
+# pages of its host or of its host's layout, in a class of at least LEAST_CLASS tokens.
 LEAST_PAGES = 3
 LEAST_SHARE = 1 / 3
 LEAST_CLASS = 2
 
 
-def _word_token(path: str, text: str) -> str:
-    return f"{path}#{text}"
-
-
 def template_tokens(pages: DataFrame) -> DataFrame:
-    """(host, template): per host the token hashes of the valid classes.
+    """(host, layout, tags, chars, fixed): the template of each layout of a host, and of
+    all its pages (layout 0): its tag tokens with the characters of distinct text in the
+    slot under each, and its text tokens.
 
     A token is a tag or a block of text with its path.  ``vector`` is the sum of
-    count times a hash of the page, so equal occurrence vectors have equal sums.
-    A class is valid if its tokens are frequent on the host and it is nested in
+    count times a hash of the page, so equal occurrence vectors have equal sums; equal
+    pages are one page.  A class is valid if its tokens are frequent and it is nested in
     the page, which its tags are by their paths; text alone is no template.
     """
+    names = ["host", "layout", "mark", "token", "is_tag", "n", "chars", "path", "under"]
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, marks, tokens, tags = [], [], [], []
+            rows: list[tuple] = []
             for host, mark, source in zip(*[batch[c].to_pylist() for c in ("host", "mark", "html")]):
                 page = Page(source or "")
-                # the article's own text is never template: it is not counted
-                words = [_word_token(path, text) for path, _, inside, text in page.blocks if not inside]
-                for is_tag, found in ((True, page.tags), (False, words)):
-                    hosts += [host] * len(found)
-                    marks += [mark] * len(found)
-                    tags += [is_tag] * len(found)
-                    tokens += found
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(marks, pa.int64()), pa.array(tokens, pa.string()), pa.array(tags, pa.bool_())],
-                ["host", "mark", "token", "is_tag"],
-            )
-
-    rows = pages.select("host", F.xxhash64("page_id", "url").alias("mark"), "html")
-    found = rows.mapInArrow(read, "host STRING, mark BIGINT, token STRING, is_tag BOOLEAN")
-    hashed = found.select("host", "mark", F.xxhash64("token").alias("token"), "is_tag")
-    per_page = hashed.groupBy("host", "token", "mark", "is_tag").agg(F.count("*").alias("n"))
-    vectors = per_page.groupBy("host", "token", "is_tag").agg(
-        F.count("*").alias("in_pages"), F.expr("sum(CAST(pmod(mark, 1000000007) AS DECIMAL(20, 0)) * n)").alias("vector")
+                layout = page.layout()
+                rows.append((host, layout, mark, 0, True, 1, 0, None, None))  # the page itself
+                for token, n in Counter(page.tokens).items():
+                    rows.append((host, layout, mark, token, True, n, 0, None, None))
+                words = page.words()
+                times, seen = Counter(words), set()
+                for element, word, text in zip(page.at, words, page.texts):
+                    if word not in seen:
+                        seen.add(word)
+                        under = [page.tokens[a] for a in reversed(page.above(element))]
+                        rows.append((host, layout, mark, word, False, times[word], len(text), under[-1] if under else 0, under))
+            columns = list(zip(*rows)) or [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+    types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+    schema = "host STRING, layout BIGINT, mark BIGINT, token BIGINT, is_tag BOOLEAN, n INT, chars BIGINT, path BIGINT, under ARRAY<BIGINT>"
+    rows = pages.select("host", F.xxhash64("html").alias("mark"), "html")
+    found = rows.mapInArrow(read, schema).withColumn("layout", F.explode(F.array(F.lit(0).cast("long"), "layout")))
+    key = ["host", "layout"]
+    per_page = found.groupBy(*key, "token", "mark", "is_tag").agg(
+        *[F.first(c).alias(c) for c in ("n", "chars", "path", "under")]
+    )
+    vectors = stored(
+        per_page.groupBy(*key, "token", "is_tag").agg(
+            F.count("*").alias("in_pages"),
+            F.expr("sum(CAST(pmod(mark, 1000000007) AS DECIMAL(20, 0)) * n)").alias("vector"),
+            *[F.first(c).alias(c) for c in ("chars", "path", "under")],
+        ),
+        "vectors",
+    )
+    counts = vectors.where("token = 0").select(*key, F.col("in_pages").alias("pages"))
+    frequent = vectors.where(f"token <> 0 AND in_pages >= {LEAST_PAGES}").join(counts, key).where(f"in_pages >= pages * {LEAST_SHARE}")
+    classes = frequent.groupBy(*key, "in_pages", "vector").agg(
+        F.collect_list(F.expr("IF(is_tag, token, NULL)")).alias("tags"), F.collect_list(F.expr("IF(is_tag, NULL, token)")).alias("fixed")
+    )
+    valid = classes.where((F.size("tags") > 0) & (F.size("tags") + F.size("fixed") >= LEAST_CLASS))
+    templates = stored(
+        valid.groupBy(*key).agg(F.flatten(F.collect_list("tags")).alias("tags"), F.flatten(F.collect_list("fixed")).alias("fixed")), "classes"
+    )
+    # the text of each slot, by the innermost tag of the template that is around it
+    paths = vectors.where("NOT is_tag").groupBy(*key, "path").agg(F.sum("chars").alias("chars"), F.first("under").alias("under"))
+    slot = F.expr("element_at(array_append(filter(reverse(under), u -> array_contains(tags, u)), 0L), 1)")
+    slots = paths.join(templates.select(*key, "tags"), key).groupBy(*key, slot.alias("slot")).agg(F.sum("chars").alias("chars"))
+    sums = slots.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("slot", "chars"))).alias("of"))
+    return templates.join(sums, key, "left").select(
+        *key, "tags", F.expr("transform(tags, t -> coalesce(of[t], 0L))").alias("chars"), "fixed"
     )
-    counts = rows.groupBy("host").agg(F.count_distinct("mark").alias("pages"))
-    frequent = vectors.join(counts, "host").where(f"in_pages >= {LEAST_PAGES} AND in_pages >= pages * {LEAST_SHARE}")
-    classes = frequent.groupBy("host", "in_pages", "vector").agg(F.collect_list("token").alias("tokens"), F.max("is_tag").alias("has_tag"))
-    valid = classes.where(F.col("has_tag") & (F.size("tokens") >= LEAST_CLASS))
-    return valid.groupBy("host").agg(F.flatten(F.collect_list("tokens")).alias("template"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -212,33 +366,46 @@ def main_text(pages: DataFrame) -> DataFrame:
     they came in; other columns are not looked at.
     """
     hosted = pages.select("page_id", "url", "html", _host().alias("host"))
-    templates = stored(template_tokens(hosted), "templates").withColumnRenamed("host", "of")
-    joined = hosted.join(templates, hosted["host"] == templates["of"], "left").select("page_id", "url", "html", "template")
     id_type = pages.schema["page_id"].dataType.simpleString()
+    templates = stored(template_tokens(hosted), "templates").select(
+        F.col("host").alias("of"), F.col("layout").alias("kind"), F.struct("tags", "chars", "fixed").alias("template")
+    )
+    many, big = pa.list_(pa.int64()), "ARRAY<BIGINT>"
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, unsure = [], []
-            for source in batch["html"].to_pylist():
-                page = Page(source or "")
-                main = any(inside and not aside for _, aside, inside, _ in page.blocks)
-                kept = [
-                    (None if main else _word_token(path, text), text)
-                    for path, aside, inside, text in page.blocks
-                    if not aside and (inside or not main)
-                ]
-                texts.append([text for _, text in kept])
-                unsure.append([token for token, _ in kept])
+            read = [Page(source or "") for source in batch["html"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch["page_id"], batch["url"], batch["template"], pa.array(texts, pa.list_(pa.string())), pa.array(unsure, pa.list_(pa.string()))],
-                ["page_id", "url", "template", "texts", "tokens"],
+                [batch["page_id"], batch["url"], batch["host"], pa.array([p.layout() for p in read], pa.int64())]
+                + [pa.array([getattr(p, c) for p in read], many) for c in ("parents", "tokens", "kinds", "at")]
+                + [pa.array([p.texts for p in read], pa.list_(pa.string()))],
+                ["page_id", "url", "host", "layout", "parents", "tokens", "kinds", "at", "texts"],
             )
 
-    blocks = joined.mapInArrow(
-        split, f"page_id {id_type}, url STRING, template ARRAY<BIGINT>, texts ARRAY<STRING>, tokens ARRAY<STRING>"
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            names = ("template", "parents", "tokens", "kinds", "at", "texts")
+            for template, parents, tokens, kinds, at, blocks in zip(*[batch[c].to_pylist() for c in names]):
+                page = Page("")
+                page.parents, page.tokens, page.kinds, page.at, page.texts = parents, tokens, kinds, at, blocks
+                kept = None
+                if template:
+                    kept = _by_slots(page, page.words(), dict(zip(template["tags"], template["chars"])), set(template["fixed"]))
+                texts.append("\n\n".join(_by_names(page) if kept is None else kept))
+            yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], pa.array(texts, pa.string())], ["page_id", "url", "text"])
+
+    read = hosted.mapInArrow(
+        parse,
+        f"page_id {id_type}, url STRING, host STRING, layout BIGINT, parents {big}, tokens {big}, kinds {big}, at {big}, texts ARRAY<STRING>",
     )
-    # a block without a token is the article's for sure; the others are looked up
-    kept = "filter(texts, (t, i) -> tokens[i] IS NULL OR template IS NULL OR NOT array_contains(template, xxhash64(tokens[i])))"
-    return blocks.select("page_id", "url", F.expr(f"array_join({kept}, '\n\n')").alias("text")).withColumn(
-        "n_chars", F.char_length("text").cast("long")
+    # the template of the page's layout, or else the host's
+    own, host = templates.where("kind <> 0"), templates.where("kind = 0").select(F.col("of").alias("all_of"), F.col("template").alias("all"))
+    joined = read.join(own, (read["host"] == own["of"]) & (read["layout"] == own["kind"]), "left")
+    joined = joined.join(host, joined["host"] == host["all_of"], "left").withColumn("template", F.coalesce("template", "all"))
+    columns = ["page_id", "url", "template", "parents", "tokens", "kinds", "at", "texts"]
+    return (
+        joined.select(*columns)
+        .mapInArrow(choose, f"page_id {id_type}, url STRING, text STRING")
+        .withColumn("n_chars", F.char_length("text").cast("long"))
     )

@@ -312,6 +312,32 @@ def test_main_text(spark):
     assert got[2].text == got[3].text == "" and got[11].text == "own 1 text"
 
 
+def test_main_text_by_slots(spark):
+    """The main region of each layout follows from its slots, not from names around it."""
+    def layout(k, i):
+        own = f"{k}{i} " + " ".join(f"w{i}x{k}y{j}" for j in range(30))
+        notice = '<p class="notice">n</p>' if i == 0 else ""  # not of the template, so its name says nothing
+        return (
+            f'<body class="b{k}"><div class="layout has-sidebar"><div class="l{k}"><a>menu</a><a>of {i}</a></div><div id="header-fix" class="m{k}"><h1>T{i}</h1>'
+            f'<p>Read this first</p><p>{own}</p>{notice}<div class="comments">c{i}</div></div></div><div class="z">f{i}</div></body>',
+            f"T{i}\n\n{own}" + ("\n\nn" if notice else ""),
+        )
+
+    rows, expected = [], {}
+    for k in range(5):  # each layout has less than a third of the host's pages
+        for i in range(4):
+            page, expected[10 * k + i] = layout(k, i)
+            rows.append((10 * k + i, f"http://a.b/{k}/{i}", page))
+    words = " ".join(f"v{j}" for j in range(30))
+    rows += [(200, "http://c.d/", f'<div class="layout has-sidebar"><article>{words}</article><div class="ad">ad</div></div>')]
+    rows += [(201, "http://d.e/", f'<div class="layout has-sidebar"><p>{words}</p></div><div class="sidebar">x</div>')]
+    # near copies are no template: their text stays
+    rows += [(300 + i, "http://e.f/", f'<body><div class="s">s</div><article><p>{words}</p><p>c{i}</p></article></body>') for i in range(3)]
+    expected |= {200: words, 201: words} | {300 + i: f"{words}\n\nc{i}" for i in range(3)}
+    got = html.main_text(spark.createDataFrame(rows, "page_id LONG, url STRING, html STRING")).collect()
+    assert {r.page_id: r.text for r in got} == expected
+
+
 def test_bytes_of_sliced_columns():
     column = pa.array(["a", None, "bb c", ""]).slice(1)
     assert [len(s) for s in jaccard._sets(column, 5)] == [0, 1, 0]
