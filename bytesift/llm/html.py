@@ -33,7 +33,7 @@ from bytesift.llm.store import stored
 
 # HTML's own lists.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title noscript template iframe noembed noframes xmp svg math".split())
+RAW = set("script style textarea title noscript template iframe noembed noframes xmp".split())
 BLOCK = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption"
     " figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre"
@@ -59,17 +59,28 @@ ENDS = {
     "th": {"td", "th"}, "option": {"option"},
 }
 
+# Attributes one after the other: a name after white space or "/", then a quoted value or
+# one that ends at white space or ">".  A quote only opens a value right behind "=".
+VALUE = r"""(?:"[^"]*(?:"|\Z)|'[^']*(?:'|\Z)|(?!["'])[^\s>]+)"""
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)",
+    rf"|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*+)(?P<rest>(?:[\s/]++|[^\s/>=][^\s/>=]*+(?:\s*+=\s*+{VALUE}?+)?+|=)*+)(?:>|\Z)",
     re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"""(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/"'>]|\Z)""", re.I)
+ATTRIBUTE = re.compile(rf"([^\s/>=][^\s/>=]*+)(?:\s*+=\s*+({VALUE})?+)?+|=")
 SPACE = re.compile(r"\s+")
 
 
 def _attributes(rest: str) -> dict[str, str]:
-    return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(rest)} if rest.strip(" /\t\r\n") else {}
+    """Names in lower case with their values, the first of each name."""
+    found: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(rest):
+        if m[1]:
+            value = m[2] or ""
+            if value[:1] in ('"', "'"):
+                value = value[1:-1] if len(value) > 1 and value[-1] == value[0] else value[1:]
+            found.setdefault(m[1].lower(), entities.unescape(value))
+    return found
 
 
 # What an element is by its own names.

@@ -338,6 +338,16 @@ def test_main_text_by_slots(spark):
     assert {r.page_id: r.text for r in got} == expected
 
 
+def test_attributes_and_formulas(spark):
+    page = (
+        """<article><p title="the hidden cost">a</p><section aria-label="Hidden history">b</section><p data-id="comment">c</p><p data-class='ad'>d</p>"""
+        """<p id=x'y>e</p><p title="a > b">f'</p><p>x <math><mi>n</mi><mo>=</mo><mn>2</mn></math> y</p>"""
+        """<p hidden>-</p><p HIDDEN=''>-</p><p class=ad>-</p><p\nstyle = "color:red; display : none">-</p><p aria-hidden='true'>-</p></article>"""
+    )
+    row = html.main_text(spark.createDataFrame([(1, "http://a/", page)], "page_id LONG, url STRING, html STRING")).first()
+    assert row.text == "a\n\nb\n\nc\n\nd\n\ne\n\nf'\n\nx n=2 y"
+
+
 def test_bytes_of_sliced_columns():
     column = pa.array(["a", None, "bb c", ""]).slice(1)
     assert [len(s) for s in jaccard._sets(column, 5)] == [0, 1, 0]
