@@ -85,10 +85,11 @@ def pack(
         ),
         "sized",
     )
-    histogram = sized.groupBy(bin_of("n_tokens").alias("bin")).agg(F.count("*").alias("n")).collect()
-    histogram.sort(key=lambda r: r["bin"])
+    # a boundary is the longest document of its bin, not the bin's end
+    bins = sized.groupBy(bin_of("n_tokens").alias("bin")).agg(F.count("*").alias("n"), F.max("n_tokens").alias("longest"))
+    histogram = sorted(bins.collect(), key=lambda r: r["bin"])
     edges = boundaries(
-        np.array([r["bin"] for r in histogram], dtype=np.int64), np.array([r["n"] for r in histogram], dtype=np.int64), buckets
+        np.array([r["longest"] for r in histogram], dtype=np.int64), np.array([r["n"] for r in histogram], dtype=np.int64), buckets
     )
     table = spark.createDataFrame(list(enumerate(edges)), "bucket INT, bucket_tokens LONG")
     which = " ".join(f"WHEN n_tokens <= {edge} THEN {i}" for i, edge in enumerate(edges))

@@ -296,6 +296,13 @@ def test_models_learn_and_take_unseen_misspellings(spark, column):
         assert toxicity.score(docs.limit(0), toxicity.fit(docs.limit(0), labels)).collect() == []
 
 
+def test_bucket_ends_at_its_longest_document(spark):
+    docs = spark.createDataFrame([(i, n) for i, n in enumerate([3, 1027, 2049, 5001, 70_001])], "doc_id LONG, words LONG")
+    packed, edges = packing.pack(docs, F.col("words"), F.col("doc_id"))
+    assert edges == [3, 1027, 2049, 5001, 70_001]
+    assert all(r.padding == 0 for r in packed.collect())
+
+
 # --- 9: pages
 
 
