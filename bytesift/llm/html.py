@@ -335,13 +335,15 @@ def template_tokens(pages: DataFrame) -> DataFrame:
     types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
     schema = "host STRING, layout BIGINT, mark BIGINT, token BIGINT, is_tag BOOLEAN, n INT, chars BIGINT, path BIGINT, under ARRAY<BIGINT>"
     rows = pages.select("host", F.xxhash64("html").alias("mark"), "html")
-    found = rows.mapInArrow(read, schema).withColumn("layout", F.explode(F.array(F.lit(0).cast("long"), "layout")))
+    found = rows.mapInArrow(read, schema)
     key = ["host", "layout"]
     per_page = found.groupBy(*key, "token", "mark", "is_tag").agg(
         *[F.first(c).alias(c) for c in ("n", "chars", "path", "under")]
     )
+    # equal pages have one layout, so they are one page in either count
+    both = per_page.withColumn("layout", F.explode(F.array(F.lit(0).cast("long"), "layout")))
     vectors = stored(
-        per_page.groupBy(*key, "token", "is_tag").agg(
+        both.groupBy(*key, "token", "is_tag").agg(
             F.count("*").alias("in_pages"),
             F.expr("sum(CAST(pmod(mark, 1000000007) AS DECIMAL(20, 0)) * n)").alias("vector"),
             *[F.first(c).alias(c) for c in ("chars", "path", "under")],
