@@ -8,9 +8,9 @@ stretch is hashed in several stretches, each cut at white space.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,13 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+# The first 0 to 8 bytes of a little-endian piece.
+_KEEP = np.array([(1 << (8 * n)) - 1 for n in range(9)], dtype=np.uint64)
+# Bytes of a word after which its rest is hashed in one go.
+LONG_WORD = 512
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: each input bit reaches each output bit."""
@@ -41,15 +48,6 @@ def constants(seed: int, n: int) -> np.ndarray:
     return mix(at * _ODD) | np.uint64(1)
 
 
-@lru_cache(maxsize=2)
-def _byte_values(lower: bool) -> np.ndarray:
-    values = constants(1, 256)
-    if lower:
-        values = values.copy()
-        values[65:91] = values[97:123]
-    return values
-
-
 _powers: list[np.ndarray] = []
 
 
@@ -116,11 +114,26 @@ def _bounds(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def _hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool) -> np.ndarray:
-    up, down = powers(len(data))
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_byte_values(lower)[data] * up[: len(data)], out=sums[1:])
-    spans = (sums[end] - sums[start]) * down[start]
-    return mix(spans + (end - start).astype(np.uint64))
+    """64 bits of each word: its 8-byte pieces are mixed in one after the other, the
+    length last.  No sum of pieces is taken, so no two words cancel out by their form."""
+    padded = np.zeros(len(data) + 8, dtype=np.uint8)
+    padded[: len(data)] = _LOWER[data] if lower else data
+    pieces = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    size = end - start
+    hashes = mix((pieces[start] & _KEEP[np.minimum(size, 8)]) + _ODD)
+    more, done = np.flatnonzero(size > 8), 8
+    while len(more):
+        if done >= LONG_WORD:
+            for i in more.tolist():
+                rest = hashlib.blake2b(padded[start[i] + done : end[i]].tobytes(), digest_size=8).digest()
+                hashes[i] ^= np.frombuffer(rest, dtype="<u8")[0]
+            hashes[more] = mix(hashes[more])
+            break
+        piece = pieces[start[more] + done] & _KEEP[np.minimum(size[more] - done, 8)]
+        hashes[more] = mix((hashes[more] ^ piece) + _ODD)
+        done += 8
+        more = more[size[more] > done]
+    return mix(hashes ^ (size.astype(np.uint64) * _ODD))
 
 
 def _long_text(row: int, data: np.ndarray, lower: bool) -> Words:
