@@ -115,3 +115,49 @@ WITH pieces AS (
 SELECT doc_id, min(pos) AS start_word, max(pos) + 50 - min(pos) AS n_words, CAST(min(low) AS BIGINT) AS start_char,
        CAST(max(high) AS BIGINT) AS end_char, CAST(coalesce(any_value(d.n), 0) AS BIGINT) AS n_dropped
 FROM numbered LEFT JOIN drops d USING (doc_id, island) GROUP BY doc_id, island"""
+
+
+OP11_SQL = r"""
+WITH rows AS MATERIALIZED (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), scored AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM rows a JOIN rows b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other_id AS negative_id,
+       positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)
+QUALIFY row_number() OVER w <= 3"""
+
+OP12_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), word AS (
+  SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS i, len(words) AS n FROM docs
+), windows AS (
+  SELECT doc_id, i, n, md5(concat_ws(' ', w, lead(w, 1) OVER o, lead(w, 2) OVER o, lead(w, 3) OVER o, lead(w, 4) OVER o,
+         lead(w, 5) OVER o, lead(w, 6) OVER o, lead(w, 7) OVER o, lead(w, 8) OVER o, lead(w, 9) OVER o,
+         lead(w, 10) OVER o, lead(w, 11) OVER o, lead(w, 12) OVER o)) AS g
+  FROM word WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+), copies AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS least FROM windows WHERE i + 12 <= n)
+  WHERE least < doc_id
+), gone AS (
+  SELECT DISTINCT doc_id, i + k AS i FROM copies, range(13) AS r(k)
+), kept AS (
+  SELECT word.doc_id, string_agg(w, ' ' ORDER BY word.i) FILTER (gone.i IS NULL) AS text, count(gone.i) AS n_removed
+  FROM word LEFT JOIN gone ON word.doc_id = gone.doc_id AND word.i = gone.i GROUP BY word.doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)"""

@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bytesift.llm import chat, fingerprints, html, jaccard, mixing, oracles, packing, quality, rules, suffixes, toxicity
-from bytesift.llm.store import documents
+from bytesift.llm import (
+    chat, fingerprints, fmindex, html, jaccard, mixing, oracles, packing, quality, rules, runs, suffixes, toxicity,
+)
+from bytesift.llm.store import WORD, documents
 
 
 def op1_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +70,46 @@ def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.drop("_words")
 
 
+def op12_copied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of each document that no earlier document has in a window, as a digest."""
+    return fmindex.without_copied_words(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+def periodised(docs: DataFrame) -> DataFrame:
+    """doc_id and text, the words of about every tenth document repeating from a place on
+    with a period, both taken from the CRC-32 of its id."""
+    words = docs.select(
+        F.col("doc_id").cast("long"), F.col("text").cast("string"), F.expr("crc32(CAST(CAST(doc_id AS BIGINT) AS STRING))").alias("_h")
+    ).select(
+        "doc_id", "text", F.expr("_h DIV 10").alias("_g"),
+        F.when(F.expr("_h % 10 = 0"), F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("_words"),
+    )
+    placed = words.withColumn("_a", F.expr("IF(size(_words) > 0, _g % size(_words), NULL)"))
+    placed = placed.withColumn("_p", F.expr("1 + (size(_words) - _a) DIV (3 + _g % 8)"))
+    made = (
+        "array_join(transform(sequence(0, size(_words) - 1),"
+        " i -> element_at(_words, int(1 + IF(i < _a, i, _a + (i - _a) % _p)))), ' ')"
+    )
+    return placed.select("doc_id", F.expr(f"IF(_a IS NULL, text, {made})").alias("text"))
+
+
+def run_digests(docs: DataFrame) -> DataFrame:
+    """Number, strongest one and digests of the runs of the periodised texts."""
+    found = runs.periodic_runs(periodised(docs)).withColumn("best", runs.strongest("runs"))
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_rules": op1_rules,
     "op2_chat": op2_chat,
@@ -79,6 +121,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_html": op9_html,
     "op10_repeats": op10_repeats,
+    "op12_copied": op12_copied,
+    "op13_runs": op13_runs,
 }
 
 ORACLES: dict[str, str] = {
@@ -86,4 +130,5 @@ ORACLES: dict[str, str] = {
     "op2_chat": oracles.OP2_SQL,
     "op4_jaccard": oracles.OP4_SQL,
     "op10_repeats": oracles.OP10_SQL,
+    "op12_copied": oracles.OP12_SQL,
 }
