@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bytesift.llm import (
-    chat, fingerprints, fmindex, html, jaccard, mixing, oracles, packing, quality, rules, runs, suffixes, toxicity,
+    chat, fingerprints, fmindex, html, jaccard, mixing, negatives, oracles, packing, quality, rules, runs, suffixes, toxicity,
 )
 from bytesift.llm.store import WORD, documents
 
@@ -70,6 +70,14 @@ def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.drop("_words")
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector, the labels of every seventh moved on by one."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(
+        "vec_id", "embedding", F.expr("IF(vec_id % 7 = 0, (label + 1) % 10, label)").alias("label")
+    )
+    return negatives.hard_negatives(rows, "vec_id % 50 = 0")
+
+
 def op12_copied(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words of each document that no earlier document has in a window, as a digest."""
     return fmindex.without_copied_words(documents(spark, sf_dir)).select(
@@ -121,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_html": op9_html,
     "op10_repeats": op10_repeats,
+    "op11_negatives": op11_negatives,
     "op12_copied": op12_copied,
     "op13_runs": op13_runs,
 }
@@ -130,5 +139,6 @@ ORACLES: dict[str, str] = {
     "op2_chat": oracles.OP2_SQL,
     "op4_jaccard": oracles.OP4_SQL,
     "op10_repeats": oracles.OP10_SQL,
+    "op11_negatives": oracles.OP11_SQL,
     "op12_copied": oracles.OP12_SQL,
 }

@@ -7,10 +7,10 @@ import zlib
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from bytesift.llm import fmindex, queries, runs, text
-import pyarrow as pa
+from bytesift.llm import fmindex, negatives, queries, runs, text
 
 SF = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not Path(SF).is_dir(), reason="no test tables")
@@ -52,6 +52,78 @@ def test_word_hashes_tell_words_apart():
     assert together == [found[m][0] for m in many if m]
 
 
+# --- 11: hard negatives
+
+
+def brute_negatives(rows, every):
+    known = sorted({
+        (i, y, tuple(np.floor(256 * np.array(v, dtype=np.float64)).astype(int).tolist()))
+        for i, y, v in rows
+        if i is not None and y is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)
+    })
+    out = []
+    for a, y, v in known:
+        if a % every:
+            continue
+        scored = sorted((-sum(p * q for p, q in zip(v, w)), b, z) for b, z, w in known)
+        for s, b, _ in [r for r in scored if r[2] == y and r[1] != a][:5]:
+            fit = [r for r in scored if r[2] != y and 50 * -s <= 100 * -r[0] <= 95 * -s][:3]
+            out += [(a, b, k + 1, r[1], -s, -r[0]) for k, r in enumerate(fit)]
+    return sorted(out)
+
+
+def vectors(seed, n):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(7, 6))
+    rows = []
+    for i in range(n):
+        v = centres[rng.integers(7)] + rng.normal(size=6) * 0.3
+        rows.append((i, int(rng.integers(4)), (v * rng.choice([0.01, 1, 3])).tolist()))
+    rows += [(n + i, 1, rows[10][2]) for i in range(n // 3)]  # a third has one vector
+    rows += [(2 * n, 2, []), (2 * n + 5, 2, [1.0]), (2 * n + 10, 3, [0.0] * 6), (2 * n + 1, None, rows[0][2]), (2 * n + 2, 1, None),
+             (2 * n + 3, 1, [1.0, None]), (2 * n + 4, 1, [float("nan")]), (2 * n + 6, 1, [float("inf")]), (None, 1, rows[0][2]),
+             (2 * n + 15, 77, rows[3][2])]
+    return rows + rows[:20]
+
+
+COLUMNS_11 = ("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+@pytest.mark.parametrize("sample", [8192, 64, 1])
+def test_hard_negatives_equal_brute_force(spark, monkeypatch, sample):
+    """Also with a tree fitted on a small part of the rows, and with none."""
+    for name, value in (("SAMPLE_ROWS", sample), ("LEAF_ROWS", 20), ("LEAST_SAMPLE", 2), ("WAYS", 3), ("PART_ROWS", 16), ("SEARCHES_TOGETHER", 7)):
+        monkeypatch.setattr(negatives, name, value)
+    rows = vectors(2, 300)
+    docs = spark.createDataFrame([(*r, 1, "s") for r in rows], "vec_id LONG, label INT, embedding ARRAY<FLOAT>, rank INT, q STRING")
+    single = [(i, y, v if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, y, v in rows]
+    got = negatives.hard_negatives(docs, "vec_id % 5 = 0").collect()
+    assert sorted(tuple(r[c] for c in COLUMNS_11) for r in got) == brute_negatives(single, 5)
+    assert negatives.hard_negatives(docs.limit(0), "vec_id % 5 = 0").collect() == []
+
+
+def test_siblings_are_eliminated():
+    """On data with clusters most leaves fall out, and no row that fits is in one of them."""
+    rng = np.random.default_rng(4)
+    rows = np.floor(256 * (rng.normal(size=(40, 8))[rng.integers(40, size=4000)] * 3 + rng.normal(size=(4000, 8)) * 0.1))
+    tree = negatives.Tree(float((rows * rows).sum(axis=1).max()))
+    tree.grow(rows[:500], 8)
+    met = {}
+    leaf = tree.place(rows, met)
+    for at, (low, high) in met.items():
+        tree.nodes[at].low, tree.nodes[at].high = low, high
+    anchors = rows[:50]
+    scores = anchors @ rows.T
+    best = np.sort(scores, axis=1)[:, -6]
+    least = np.stack([best, 0.94 * best], axis=1)
+    most = np.stack([np.full(50, 1e15), 0.95 * best], axis=1)
+    seen = tree.reached(anchors, least, most)
+    assert seen.shape[1] == tree.leaves > 20 and seen.mean() < 0.6
+    for w in (0, 1):
+        a, b = np.nonzero((scores >= least[:, w, None]) & (scores <= most[:, w, None]))
+        assert seen[a, leaf[b]].all()
+
+
 # --- 12: copied words
 
 

@@ -369,7 +369,7 @@ def test_each_query_returns_its_rows(spark, name):
     source = spark.read.parquet(f"{SF}/{expected}.parquet")
     if name == "op2_chat":
         assert rows == source.select("conv_id").distinct().count() + 1
-    elif name != "op10_repeats":
+    elif name not in ("op10_repeats", "op11_negatives"):
         assert rows == source.count()
 
 
