@@ -73,36 +73,56 @@ def gather(chunks: DataFrame, size: int, dtype: str, bits: bool = False) -> np.n
     return table[:size]
 
 
-# A Bloom filter: 2^25 bits (4 MiB) and three probes.  With more members than it
-# is made for it lets more through, never less: users do an exact step after it.
-BLOOM_LOG2 = 25
+# A Bloom filter has this many bits per counted member, a power of two in all, and three
+# probes: at most 2 % of other keys pass.  Its bits end at 2^29 (64 MiB, some 50 million
+# members); with more members it lets more through, never less.  Users do an exact step
+# after it, and ask ``fits`` where they have another way.
+BITS_PER_MEMBER = 10
+LEAST_LOG2, MOST_LOG2 = 16, 29
 
 
-def _probes(hashes: np.ndarray) -> Iterator[np.ndarray]:
+def fits(members: int) -> bool:
+    return members * BITS_PER_MEMBER <= 1 << MOST_LOG2
+
+
+def _log2(members: int) -> int:
+    return min(MOST_LOG2, max(LEAST_LOG2, (members * BITS_PER_MEMBER - 1).bit_length()))
+
+
+def _probes(hashes: np.ndarray, log2: int) -> Iterator[np.ndarray]:
     for k in range(3):
-        yield mix(hashes + np.uint64(k * 0x51ED270B)) >> np.uint64(64 - BLOOM_LOG2)
+        yield mix(hashes + np.uint64(k * 0x51ED270B)) >> np.uint64(64 - log2)
 
 
-def bloom(keys: DataFrame) -> np.ndarray:
-    """The filter of a DataFrame with one BIGINT column; NULL is left out."""
+def put(table: np.ndarray, hashes: np.ndarray) -> None:
+    """Add keys to a filter."""
+    for at in _probes(hashes, len(table).bit_length() + 2):
+        np.bitwise_or.at(table, (at >> np.uint64(3)).astype(np.int64), (1 << (at & np.uint64(7))).astype(np.uint8))
+
+
+def bloom(keys: DataFrame, members: int | None = None) -> np.ndarray:
+    """The filter of a DataFrame with one BIGINT column; NULL is left out.
+
+    ``members`` is their number, if it is known; else they are counted first.
+    """
     name = keys.columns[0]
+    size = 1 << (_log2(keys.count() if members is None else members) - 3)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, any_row = np.zeros(1 << (BLOOM_LOG2 - 3), dtype=np.uint8), False
+        table, any_row = np.zeros(size, dtype=np.uint8), False
         for batch in batches:
             held = batch[name].drop_null().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            for at in _probes(held):
-                np.bitwise_or.at(table, (at >> np.uint64(3)).astype(np.int64), (1 << (at & np.uint64(7))).astype(np.uint8))
+            put(table, held)
             any_row |= len(held) > 0
         if any_row:
             yield emit(table)
 
-    return gather(keys.mapInArrow(build, SCHEMA), 1 << (BLOOM_LOG2 - 3), "uint8", bits=True)
+    return gather(keys.mapInArrow(build, SCHEMA), size, "uint8", bits=True)
 
 
 def may_hold(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """False for what is surely not in the filter."""
     found = np.ones(len(hashes), dtype=bool)
-    for at in _probes(hashes):
+    for at in _probes(hashes, len(table).bit_length() + 2):
         found &= (table[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
     return found

@@ -1,10 +1,10 @@
 """Words copied from earlier documents, found with an FM-index per shard.
 
-1. A window of 13 words is known by the 4-word seed with the smallest hash in it, so
+1. A window of 13 words is known by the 6-word seed with the smallest hash in it, so
    equal windows, wherever they stand, choose the same seed.  Windows whose seed no
    other document has cannot be copies; the others go, in stretches of windows with one
-   seed, to the shard of that seed.  Equal stretches are one there, with the smallest
-   and the largest doc_id that has them.
+   seed, to the shard of that seed.  Equal stretches are made one, in their task and
+   again in the shard, with the smallest and the largest doc_id that has them.
 2. A shard keeps its stretches as an FM-index: word numbers under the Burrows-Wheeler
    transform, in a wavelet tree of packed bits with counts.
 3. The stretches are streamed through it.  Backward search takes one word more to the
@@ -12,6 +12,7 @@
    and the words matched until then are its matching statistic.  What reaches the
    threshold is an interval of rows, and the smallest doc_id of these rows tells for
    which documents it is a copy.
+4. Documents take what their stretches were told by the digest of the stretch.
 
 A seed that very many documents have sends its windows to shards by their own hash, one
 by one, so no shard holds more than a bounded part of the rows.
@@ -27,12 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bytesift.llm import blobs
 from bytesift.llm.store import stored
 from bytesift.llm.suffixes import minimisers
 from bytesift.llm.text import grams, mix, scan, some_rows
 
 WINDOW = 13
-SEED_WORDS = 4
+SEED_WORDS = 6
 
 # Words that one shard is meant to hold, and places searched at once.
 SHARD_WORDS = 1 << 18
@@ -41,8 +43,8 @@ PLACES_TOGETHER = 1 << 16
 # places, has its windows dealt one by one; so at most HOT_SHARE seeds are such.
 HOT_DOCUMENTS = 1 << 12
 HOT_SHARE = 1 << 16
-# The mean number of words sent per seed place: windows of one seed, and what is around.
-WORDS_PER_SEED = WINDOW + 6
+# Distinct stretches that a task holds to make equal ones one.
+STRETCHES_TOGETHER = 1 << 16
 
 
 class WaveletTree:
@@ -162,154 +164,203 @@ def copied_from(contents: list[np.ndarray], least: np.ndarray, size: int) -> lis
     return np.split(out, np.cumsum(windows)[:-1])
 
 
-def _sig(hashes: np.ndarray) -> bytes:
-    return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
+def _tag(hashes: np.ndarray) -> int:
+    """64 bits of a text's words; tells texts apart that share a doc_id."""
+    return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
 def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
-def survey(docs: DataFrame, size: int, seed: int) -> DataFrame:
-    """doc_id, sig (of the words) and the seeds chosen, of each text of ``size`` words."""
+def _texts(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(row, doc_id, word hashes) of the texts of ``size`` words or more."""
+    ids = batch["doc_id"].to_numpy(zero_copy_only=False)
+    for words in scan(batch["text"], lower=False):
+        for i in range(len(words)):
+            if words.at[i + 1] - words.at[i] >= size:
+                row = words.row + i
+                yield row, int(ids[row]), words.hashes[words.at[i] : words.at[i + 1]]
+
+
+def seeds_of(docs: DataFrame, size: int, seed: int) -> DataFrame:
+    """One row per document and chosen seed."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in some_rows(batches):
-            ids = batch["doc_id"].to_numpy(zero_copy_only=False)
-            kept: list[list] = [[], [], []]
-            for words in scan(batch["text"], lower=False):
-                for i in range(len(words)):
-                    hashes = words.hashes[words.at[i] : words.at[i + 1]]
-                    if len(hashes) >= size:
-                        at, seeds = minimisers(hashes, size, seed)
-                        chosen = np.unique(seeds[np.unique(at)]).view(np.int64)
-                        for column, value in zip(kept, (ids[words.row + i], _sig(hashes), chosen)):
-                            column.append(value)
-            types = [pa.int64(), pa.binary(), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(kept, types)], ["doc_id", "sig", "seeds"])
-
-    return _rows(docs).where("doc_id IS NOT NULL").mapInArrow(read, "doc_id BIGINT, sig BINARY, seeds ARRAY<BIGINT>")
-
-
-def stretches(docs: DataFrame, hot: np.ndarray, shards: int, size: int, seed: int) -> DataFrame:
-    """doc_id, sig, pos, shard, name and content of the stretches of windows whose seed
-    is in the column ``seeds`` of their document.
-
-    ``pos`` is the first word, ``content`` the word hashes, ``name`` a digest of them.
+            ids, found = [], []
+            for _, doc, hashes in _texts(batch, size):
+                at, seeds = minimisers(hashes, size, seed)
+                found.append(np.unique(seeds[np.unique(at)]).view(np.int64))
+                ids.append(np.full(len(found[-1]), doc))
+            columns = [np.concatenate(c) if c else np.zeros(0, dtype=np.int64) for c in (ids, found)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "seed"])
+
+    return docs.mapInArrow(read, "doc_id BIGINT, seed BIGINT")
+
+
+def _found_in(ordered: np.ndarray, values: np.ndarray) -> np.ndarray:
+    if not len(ordered):
+        return np.zeros(len(values), dtype=bool)
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
+
+
+class Stretches:
+    """The stretches of a text: windows in a row with one seed that others may have too.
+
+    ``repeated`` is a Bloom filter of seeds, or None where each row has its own list;
+    ``hot`` are the seeds, in order, whose windows go alone.
     """
-    context = docs.sparkSession.sparkContext
-    wanted = context.broadcast(hot)
-    names = ["doc_id", "sig", "pos", "shard", "name", "content"]
-    types = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+
+    def __init__(self, repeated: np.ndarray | None, hot: np.ndarray, size: int, seed: int):
+        self.repeated, self.hot, self.size, self.seed = repeated, hot, size, seed
+
+    def of(self, batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, int, bytes]]:
+        """(doc_id, tag, first word, key of the shard, word hashes) of each stretch."""
+        for row, doc, hashes in _texts(batch, self.size):
+            at, seeds = minimisers(hashes, self.size, self.seed)
+            chosen = seeds[at]
+            if self.repeated is None:
+                wanted = np.sort(batch["seeds"][row].values.to_numpy().view(np.uint64))
+                mine = np.flatnonzero(_found_in(wanted, chosen))
+            else:
+                mine = np.flatnonzero(blobs.may_hold(self.repeated, chosen))
+            if not len(mine):
+                continue
+            single = _found_in(self.hot, chosen[mine])
+            key = np.where(single, grams(hashes, self.size, 17)[mine], mix(chosen[mine]))
+            new = np.ones(len(mine), dtype=bool)
+            new[1:] = (np.diff(mine) > 1) | (np.diff(at[mine]) != 0) | single[1:]
+            first = np.flatnonzero(new)
+            last = np.append(first[1:], len(mine)) - 1
+            held, tag = hashes.tobytes(), _tag(hashes)
+            for a, b, k in zip(mine[first].tolist(), mine[last].tolist(), key[first].tolist()):
+                yield doc, tag, a, k, held[8 * a : 8 * (b + self.size)]
+
+
+def _name(content: bytes) -> bytes:
+    return hashlib.blake2b(content, digest_size=16).digest()
+
+
+def _key(name: bytes) -> int:
+    return int.from_bytes(name[:8], "little", signed=True)
+
+
+def contents(docs: DataFrame, cut: Stretches, shards: int) -> DataFrame:
+    """shard, content, least and most (doc_id) of the stretches, each once in a task."""
+    shared = docs.sparkSession.sparkContext.broadcast(cut)
+    names, types = ["shard", "content", "least", "most"], [pa.int32(), pa.binary(), pa.int64(), pa.int64()]
+
+    def made(held: dict) -> pa.RecordBatch:
+        columns = list(zip(*[(shard, content, *ends) for (shard, content), ends in held.items()])) or [()] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[int, bytes], list[int]] = {}
         for batch in some_rows(batches, 64):
-            out: list[list] = [[] for _ in names]
-            ids, again = batch["doc_id"].to_numpy(zero_copy_only=False), batch["seeds"]
-            for words in scan(batch["text"], lower=False):
-                for i in range(len(words)):
-                    row, hashes = words.row + i, words.hashes[words.at[i] : words.at[i + 1]]
-                    if len(hashes) < size:
-                        continue
-                    at, seeds = minimisers(hashes, size, seed)
-                    chosen = seeds[at]
-                    mine = np.flatnonzero(np.isin(chosen, again[row].values.to_numpy().view(np.uint64)))
-                    if not len(mine):
-                        continue
-                    single = np.isin(chosen[mine], wanted.value)
-                    key = np.where(single, grams(hashes, size, 17)[mine], mix(chosen[mine]))
-                    new = np.ones(len(mine), dtype=bool)
-                    new[1:] = (np.diff(mine) > 1) | (np.diff(at[mine]) != 0) | single[1:]
-                    first = np.flatnonzero(new)
-                    last = np.append(first[1:], len(mine)) - 1
-                    held, sig = hashes.tobytes(), _sig(hashes)
-                    for a, b, k in zip(mine[first].tolist(), mine[last].tolist(), key[first].tolist()):
-                        content = held[8 * a : 8 * (b + size)]
-                        name = hashlib.blake2b(content, digest_size=16).digest()
-                        for column, value in zip(out, (ids[row], sig, a, k % shards, name, content)):
-                            column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names)
-
-    return docs.mapInArrow(read, "doc_id BIGINT, sig BINARY, pos INT, shard INT, name BINARY, content BINARY")
+            for doc, _, _, key, content in shared.value.of(batch):
+                ends = held.setdefault((key % shards, content), [doc, doc])
+                ends[0], ends[1] = min(ends[0], doc), max(ends[1], doc)
+            if len(held) >= STRETCHES_TOGETHER:
+                yield made(held)
+                held = {}
+        yield made(held)
+
+    return docs.mapInArrow(read, "shard INT, content BINARY, least BIGINT, most BIGINT")
 
 
 def _searched(size: int):
-    """Distinct stretches (shard, content, least, most), sorted by shard, to (name, sources)."""
-    names, types = ["name", "sources"], [pa.binary(), pa.list_(pa.int64())]
+    """Stretches (shard, content, least, most), sorted by shard, to (name, key, sources)."""
+    names, types = ["name", "key", "sources"], [pa.binary(), pa.int64(), pa.list_(pa.int64())]
 
-    def made(held: list[tuple]) -> pa.RecordBatch:
-        contents = [np.frombuffer(c, dtype=np.uint64) for c, _, _ in held]
-        found = copied_from(contents, np.array([a for _, a, _ in held], dtype=np.int64), size)
+    def made(held: dict[bytes, list[int]]) -> pa.RecordBatch:
+        ends = np.array(list(held.values()), dtype=np.int64)
+        found = copied_from([np.frombuffer(c, dtype=np.uint64) for c in held], ends[:, 0], size)
         kept = [
-            (hashlib.blake2b(c, digest_size=16).digest(), sources)
-            for (c, _, most), sources in zip(held, found)
+            (name := _name(content), _key(name), sources)
+            for content, most, sources in zip(held, ends[:, 1].tolist(), found)
             if (sources < most).any()
         ]
         return pa.RecordBatch.from_arrays([pa.array([k[j] for k in kept], t) for j, t in enumerate(types)], names)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, held = None, []
+        shard, held = None, {}
         for batch in batches:
-            for s, *row in zip(*[batch[c].to_pylist() for c in ("shard", "content", "least", "most")]):
+            for s, content, least, most in zip(*[batch[c].to_pylist() for c in ("shard", "content", "least", "most")]):
                 if s != shard and held:
                     yield made(held)
-                    held = []
+                    held = {}
                 shard = s
-                held.append(row)
+                ends = held.setdefault(content, [least, most])
+                ends[0], ends[1] = min(ends[0], least), max(ends[1], most)
         if held:
             yield made(held)
 
     return search
 
 
+def places(docs: DataFrame, cut: Stretches, told: np.ndarray | None) -> DataFrame:
+    """name, doc_id, tag and pos (first word) of the stretches whose name may be in ``told``."""
+    shared = docs.sparkSession.sparkContext.broadcast((cut, told))
+    names, types = ["name", "doc_id", "tag", "pos"], [pa.binary(), pa.int64(), pa.int64(), pa.int32()]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut, told = shared.value
+        for batch in some_rows(batches, 64):
+            found = [(_name(content), doc, tag, pos) for doc, tag, pos, _, content in cut.of(batch)]
+            if told is not None and found:
+                keys = np.array([_key(f[0]) for f in found], dtype=np.int64).view(np.uint64)
+                found = [f for f, good in zip(found, blobs.may_hold(told, keys).tolist()) if good]
+            yield pa.RecordBatch.from_arrays([pa.array([f[j] for f in found], t) for j, t in enumerate(types)], names)
+
+    return docs.mapInArrow(read, "name BINARY, doc_id BIGINT, tag BIGINT, pos INT")
+
+
 def copied_spans(docs: DataFrame, size: int = WINDOW, seed: int = SEED_WORDS) -> DataFrame:
-    """doc_id, sig and spans of the rows of ``docs(doc_id, text)`` that hold copied words.
+    """doc_id, tag and spans of the rows of ``docs(doc_id, text)`` that hold copied words.
 
     ``spans`` are structs (low, high) of word numbers, not merged: the words low..high-1
     are windows of ``size`` words that also start in a document with a smaller doc_id.
-    ``sig`` is a digest of the words; rows equal in doc_id and words are one row here.
+    ``tag`` is a digest of the words; rows equal in doc_id and words are one row here.
     A document is never its own source: rows that share a doc_id do not see each other,
     and rows with a NULL doc_id neither give nor lose words.
     """
-    known = stored(survey(docs, size, seed), "survey")
-    # whole copies: all their words are copied, and they need not be searched
-    classes = known.groupBy("sig").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    several = stored(classes.where("first < last").select("sig", "first"), "classes")
-    copies = known.select("doc_id", "sig").join(several, "sig").where("doc_id > first").select("doc_id", "sig").distinct()
-    copies = stored(copies, "copies")
-    left_out = copies.select("doc_id").join(classes.select(F.col("first").alias("doc_id")), "doc_id", "left_anti").distinct()
-    left_out = stored(left_out, "left_out")
-
-    seeds = known.select("doc_id", F.explode("seeds").alias("seed"))
-    counts = stored(seeds.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1"), "seeds")
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    rows = _rows(docs).where("doc_id IS NOT NULL")
+    seeds = seeds_of(rows, size, seed)
+    repeated = stored(seeds.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1"), "seeds")
+    members, total = repeated.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     above = max(HOT_DOCUMENTS, total // HOT_SHARE)
-    hot = [r[0] for r in counts.where(F.col("n") > above).select("seed").collect()]
-    again = seeds.join(counts.select("seed"), "seed").join(left_out, "doc_id", "left_anti")
-    again = again.groupBy("doc_id").agg(F.collect_set("seed").alias("seeds"))
-    found = stretches(
-        _rows(docs).join(again, "doc_id"), np.array(hot, dtype=np.int64).view(np.uint64),
-        max(1, total * WORDS_PER_SEED // SHARD_WORDS), size, seed,
-    )
-    found = stored(found, "stretches")
-    distinct = found.groupBy("shard", "content").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    sources = distinct.repartition("shard").sortWithinPartitions("shard").mapInArrow(
-        _searched(size), "name BINARY, sources ARRAY<BIGINT>"
-    )
-    met = found.select("name", "doc_id", "sig", "pos").join(sources, "name")
-    # windows that are copies for this document, as runs: one ends where the next window is none
+    hot = np.array([r[0] for r in repeated.where(F.col("n") > above).select("seed").collect()], dtype=np.int64)
+    if blobs.fits(members):
+        table = blobs.bloom(repeated.select("seed"), members)
+    else:  # each text with its own list
+        again = seeds.join(repeated.select("seed"), "seed").groupBy("doc_id").agg(F.collect_set("seed").alias("seeds"))
+        rows, table = stored(rows.join(again, "doc_id"), "texts"), None
+    cut = Stretches(table, np.sort(hot.view(np.uint64)), size, seed)
+
+    shards = max(1, total * (2 * size - seed) // SHARD_WORDS)
+    dealt = contents(rows, cut, shards).repartition("shard").sortWithinPartitions("shard")
+    sources = stored(dealt.mapInArrow(_searched(size), "name BINARY, key BIGINT, sources ARRAY<BIGINT>"), "sources")
+    known = sources.count()
+    told = blobs.bloom(sources.select("key"), known) if blobs.fits(known) else None
+    met = places(rows, cut, told).join(sources.drop("key"), "name")
+    # a stretch has few windows: of those copied for this document, the runs
     flags = met.withColumn("c", F.expr("transform(sources, s -> s < doc_id)"))
-    spans = flags.select(
-        "doc_id", "sig",
-        F.expr(
-            "transform(filter(sequence(0, size(c) - 1), i -> c[i] AND (i = 0 OR NOT c[i - 1])), i -> named_struct("
-            f"'low', pos + i, 'high', pos + {size} + array_max(filter(sequence(i, size(c) - 1), j ->"
-            " forall(slice(c, i + 1, j - i + 1), x -> x)))))"
-        ).alias("spans"),
-    ).where("size(spans) > 0")
-    some = spans.groupBy("doc_id", "sig").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-    return some.unionByName(
-        copies.selectExpr("doc_id", "sig", f"array(named_struct('low', 0, 'high', {(1 << 31) - 1})) AS spans")
+    ends = (
+        "transform(filter(sequence(0, size(c) - 1), i -> c[i] AND (i = 0 OR NOT c[i - 1])), i -> named_struct('low', pos + i,"
+        f" 'high', pos + {size} + array_max(filter(sequence(i, size(c) - 1), j -> forall(slice(c, i + 1, j - i + 1), x -> x)))))"
     )
+    spans = flags.select("doc_id", "tag", F.expr(ends).alias("spans")).where("size(spans) > 0")
+    return spans.groupBy("doc_id", "tag").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+
+
+def _left(words: list[bytes], copied: list[dict], hashes: np.ndarray) -> list[bytes]:
+    """The words that no span of this text covers."""
+    mark, tag = np.zeros(len(words) + 1, dtype=np.int64), _tag(hashes)
+    for part in copied:
+        if part["tag"] == tag:
+            np.add.at(mark, [s["low"] for s in part["spans"]], 1)
+            np.add.at(mark, [s["high"] for s in part["spans"]], -1)
+    return [w for w, n in zip(words, np.cumsum(mark).tolist()) if not n]
 
 
 def without_copied_words(docs: DataFrame, size: int = WINDOW, seed: int = SEED_WORDS) -> DataFrame:
@@ -322,35 +373,42 @@ def without_copied_words(docs: DataFrame, size: int = WINDOW, seed: int = SEED_W
     of fewer than ``size`` words keeps all.  Repeated rows, and rows with a NULL doc_id,
     come out as they came in.  Other columns are not looked at.
     """
-    spans = copied_spans(docs, size, seed)
-    per_id = spans.groupBy(F.col("doc_id").alias("of")).agg(F.collect_list(F.struct("sig", "spans")).alias("copied"))
+    spans = stored(copied_spans(docs, size, seed), "spans")
     rows = _rows(docs)
-    joined = rows.join(per_id, rows["doc_id"] == per_id["of"], "left").select("doc_id", "text", "copied")
+    members = spans.count()
+    touched = blobs.bloom(spans.select("doc_id"), members) if blobs.fits(members) else np.full(2, 255, dtype=np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(touched)
+
+    def is_touched(batch: pa.RecordBatch) -> np.ndarray:
+        ids = batch["doc_id"].fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64)
+        return blobs.may_hold(shared.value, ids) & batch["doc_id"].is_valid().to_numpy(zero_copy_only=False)
+
+    def only_touched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(is_touched(batch)))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in some_rows(batches):
+            if "copied" not in batch.schema.names:
+                batch = batch.filter(pa.array(~is_touched(batch)))
             n_words, n_removed, kept = [], [], []
-            for k, (text, copied) in enumerate(zip(batch["text"].cast(pa.large_binary()), batch["copied"])):
+            for k, text in enumerate(batch["text"].cast(pa.large_binary())):
                 words = (text.as_py() or b"").split()  # at the same six bytes of white space
-                gone = 0
-                if copied.is_valid:
-                    sig = _sig(next(scan(batch["text"].slice(k, 1), lower=False)).hashes)
-                    mark = np.zeros(len(words) + 1, dtype=np.int64)
-                    for part in copied.as_py():
-                        if part["sig"] == sig:
-                            np.add.at(mark, [s["low"] for s in part["spans"]], 1)
-                            np.add.at(mark, [min(s["high"], len(words)) for s in part["spans"]], -1)
-                    left = np.cumsum(mark[:-1]) == 0
-                    gone = len(words) - int(left.sum())
-                    words_kept = [w for w, keep in zip(words, left.tolist()) if keep]
-                else:
-                    words_kept = words
+                left = words
+                if "copied" in batch.schema.names and batch["copied"][k].is_valid and words:
+                    hashes = next(scan(batch["text"].slice(k, 1), lower=False)).hashes
+                    left = _left(words, batch["copied"][k].as_py(), hashes)
                 n_words.append(len(words))
-                n_removed.append(gone)
-                kept.append(b" ".join(words_kept).decode("utf-8"))
+                n_removed.append(len(words) - len(left))
+                kept.append(b" ".join(left).decode("utf-8"))
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
                 ["doc_id", "n_words", "n_removed", "kept"],
             )
 
-    return joined.mapInArrow(read, "doc_id BIGINT, n_words BIGINT, n_removed BIGINT, kept STRING")
+    # only texts that may have lost words are shuffled to their spans
+    per_id = spans.groupBy(F.col("doc_id").alias("of")).agg(F.collect_list(F.struct("tag", "spans")).alias("copied"))
+    some = rows.mapInArrow(only_touched, "doc_id BIGINT, text STRING")
+    joined = some.join(per_id, some["doc_id"] == per_id["of"], "left").select("doc_id", "text", "copied")
+    schema = "doc_id BIGINT, n_words BIGINT, n_removed BIGINT, kept STRING"
+    return rows.mapInArrow(read, schema).unionByName(joined.mapInArrow(read, schema))

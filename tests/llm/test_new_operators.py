@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from bytesift.llm import fmindex, negatives, queries, runs, text
+from bytesift.llm import blobs, fmindex, negatives, queries, runs, text
 
 SF = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not Path(SF).is_dir(), reason="no test tables")
@@ -52,6 +52,18 @@ def test_word_hashes_tell_words_apart():
     assert together == [found[m][0] for m in many if m]
 
 
+def test_bloom_filter_follows_its_members(spark):
+    members = 50_000_000
+    assert blobs.fits(members) and not blobs.fits(2 * members)
+    table = np.zeros(1 << (blobs._log2(members) - 3), dtype=np.uint8)
+    for low in range(0, members, 1 << 21):
+        blobs.put(table, np.arange(low, min(members, low + (1 << 21)), dtype=np.uint64))
+    others = np.arange(members, members + 200_000, dtype=np.uint64)
+    assert blobs.may_hold(table, others).mean() < 0.02 and blobs.may_hold(table, others - np.uint64(members)).all()
+    small = blobs.bloom(spark.range(1000))
+    assert len(small) == 1 << (blobs.LEAST_LOG2 - 3) and blobs.may_hold(small, np.arange(1000, dtype=np.uint64)).all()
+
+
 # --- 11: hard negatives
 
 
@@ -159,10 +171,12 @@ def copied_rows(seed, n=60):
     return rows + rows[:5] + [(i + 200, t) for i, t in rows[:8]]
 
 
-@pytest.mark.parametrize("hot", [1 << 12, 0])
-def test_copied_words_equal_brute_force(spark, monkeypatch, hot):
-    """Also with every seed taken as one of very many documents, and several shards."""
+@pytest.mark.parametrize("hot, bits", [(1 << 12, 29), (0, 29), (1 << 12, 3)])
+def test_copied_words_equal_brute_force(spark, monkeypatch, hot, bits):
+    """Also with every seed taken as one of very many documents, and without Bloom filters."""
     monkeypatch.setattr(fmindex, "HOT_DOCUMENTS", hot)
+    monkeypatch.setattr(blobs, "MOST_LOG2", bits)
+    monkeypatch.setattr(fmindex, "STRETCHES_TOGETHER", 50)
     monkeypatch.setattr(fmindex, "SHARD_WORDS", 1 << 9)
     rows = EDGES + copied_rows(hot)
     got = fmindex.without_copied_words(table(spark, rows)).collect()
