@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,7 @@ from pyspark.sql import functions as F
 
 from bytesift.llm import blobs
 from bytesift.llm.store import stored
-from bytesift.llm.suffixes import minimisers
-from bytesift.llm.text import grams, mix, scan, some_rows
+from bytesift.llm.text import Words, column_bytes, grams, mix, scan, some_rows
 
 WINDOW = 13
 SEED_WORDS = 6
@@ -56,6 +56,7 @@ class WaveletTree:
         np.cumsum(np.bincount(values, minlength=1 << self.depth), out=self.starts[1:])
         self.bits: list[np.ndarray] = []
         self.ones: list[np.ndarray] = []
+        self.node_ones: list[np.ndarray] = []  # in front of each node
         for level in range(self.depth):
             bit = ((values >> (self.depth - 1 - level)) & 1).astype(np.uint8)
             packed = np.packbits(bit, bitorder="little")
@@ -65,7 +66,10 @@ class WaveletTree:
             np.cumsum(np.bitwise_count(words[:-1]), out=before[1:])
             self.bits.append(words)
             self.ones.append(before)
-            values = values[np.argsort(values >> (self.depth - 1 - level), kind="stable")]  # the children, left to right
+            at_nodes = self.starts[: 1 << self.depth : 1 << (self.depth - level)]
+            self.node_ones.append(self._ones(level, at_nodes))
+            child = values >> (self.depth - 1 - level)  # the children, left to right; short keys sort fast
+            values = values[np.argsort(child.astype(np.uint16) if level < 16 else child, kind="stable")]
 
     def _ones(self, level: int, upto: np.ndarray) -> np.ndarray:
         word, rest = upto >> 6, (upto & 63).astype(np.uint64)
@@ -74,13 +78,12 @@ class WaveletTree:
 
     def rank(self, value: np.ndarray, upto: np.ndarray) -> np.ndarray:
         """How often each ``value`` stands in front of place ``upto``."""
-        at, node = upto.astype(np.int64), np.zeros(len(value), dtype=np.int64)
+        at = upto.astype(np.int64)
         for level in range(self.depth):
             under = self.depth - 1 - level
-            ones = self._ones(level, node + at) - self._ones(level, node)
-            is_one = (value >> under) & 1 == 1
-            at = np.where(is_one, ones, at - ones)
-            node = self.starts[(value >> under) << under]
+            node = value >> (under + 1)
+            ones = self._ones(level, self.starts[node << (under + 1)] + at) - self.node_ones[level][node]
+            at = np.where((value >> under) & 1 == 1, ones, at - ones)
         return at
 
 
@@ -92,7 +95,7 @@ def suffix_order(numbers: np.ndarray) -> np.ndarray:
         key = ranks * (n + 1)
         if width < n:
             key[:-width] += ranks[width:] + 1
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         step = np.zeros(n, dtype=np.int64)
         step[1:] = np.diff(key[order]) != 0
         ranks[order] = np.cumsum(step)
@@ -125,7 +128,8 @@ class FmIndex:
             word = text[ends[alive] - 1 - k]
             if k:
                 below = self.first[word]
-                new = below + self.tree.rank(word, low[alive]), below + self.tree.rank(word, high[alive])
+                both = self.tree.rank(np.concatenate([word, word]), np.concatenate([low[alive], high[alive]]))
+                new = below + both[: len(word)], below + both[len(word) :]
             else:
                 new = self.first[word], self.first[word + 1]
             again = new[1] - new[0] > 1
@@ -135,16 +139,18 @@ class FmIndex:
         return known, low, high
 
 
-def copied_from(contents: list[np.ndarray], least: np.ndarray, size: int) -> list[np.ndarray]:
-    """For each window of ``size`` words of each stretch of word hashes, the smallest
-    number in ``least`` (one per stretch) of all stretches that hold the window."""
-    lengths = np.array([len(c) for c in contents], dtype=np.int64)
+def copied_from(words: np.ndarray, lengths: np.ndarray, least: np.ndarray, size: int) -> np.ndarray:
+    """For each window of ``size`` words of each stretch, in order, the smallest number in
+    ``least`` (one per stretch) of all stretches that hold the window.
+
+    ``words`` are the hashes of the stretches' words one after the other.
+    """
     begin = np.cumsum(lengths + 1) - lengths - 1
-    of = np.repeat(np.arange(len(contents)), lengths + 1)
+    of = np.repeat(np.arange(len(lengths)), lengths + 1)
     numbers = np.zeros(len(of), dtype=np.int64)
     inner = np.ones(len(of), dtype=bool)
     inner[begin + lengths] = False
-    numbers[inner] = np.unique(np.concatenate(contents), return_inverse=True)[1].reshape(-1) + 1
+    numbers[inner] = np.unique(words, return_inverse=True)[1].reshape(-1) + 1
     index = FmIndex(numbers)
     held = least[of[index.order]]  # by row
     windows = lengths - size + 1
@@ -161,7 +167,7 @@ def copied_from(contents: list[np.ndarray], least: np.ndarray, size: int) -> lis
             if edges[-1] == len(held):
                 edges = edges[:-1]
             out[at + good] = np.minimum.reduceat(held, edges)[::2][which.reshape(-1)]
-    return np.split(out, np.cumsum(windows)[:-1])
+    return out
 
 
 def _tag(hashes: np.ndarray) -> int:
@@ -173,125 +179,169 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
-def _texts(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(row, doc_id, word hashes) of the texts of ``size`` words or more."""
-    ids = batch["doc_id"].to_numpy(zero_copy_only=False)
-    for words in scan(batch["text"], lower=False):
-        for i in range(len(words)):
-            if words.at[i + 1] - words.at[i] >= size:
-                row = words.row + i
-                yield row, int(ids[row]), words.hashes[words.at[i] : words.at[i + 1]]
+def _found_in(ordered: np.ndarray, values: np.ndarray) -> np.ndarray:
+    if not len(ordered):
+        return np.zeros(len(values), dtype=bool)
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
+
+
+def _distinct(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that brings equal keys together, and where in it a new key begins."""
+    by = np.lexsort(keys[::-1])
+    new = np.ones(len(by), dtype=bool)
+    new[1:] = False
+    for key in keys:
+        new[1:] |= key[by][1:] != key[by][:-1]
+    return by, np.flatnonzero(new)
+
+
+class Windows:
+    """The windows of consecutive texts: of each that lies in one text its first word
+    (``at``), its text (``text``), and the place and hash of the seed chosen."""
+
+    def __init__(self, words: Words, size: int, seed: int):
+        self.words, self.size = words, size
+        text = np.repeat(np.arange(len(words)), np.diff(words.at))
+        n = max(0, len(text) - size + 1)
+        seeds = grams(words.hashes, seed, 11)
+        best, place = seeds[:n].copy(), np.zeros(n, dtype=np.int64)
+        for j in range(1, size - seed + 1):
+            less = seeds[j : j + n] < best
+            np.copyto(best, seeds[j : j + n], where=less)
+            place[less] = j
+        self.at = np.flatnonzero(text[:n] == text[size - 1 :]) if n else np.zeros(0, dtype=np.int64)
+        self.text, self.place, self.seed = text[self.at], (place[self.at] + self.at), best[self.at]
+
+    def tag(self, text: int) -> int:
+        return _tag(self.words.hashes[self.words.at[text] : self.words.at[text + 1]])
 
 
 def seeds_of(docs: DataFrame, size: int, seed: int) -> DataFrame:
     """One row per document and chosen seed."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in some_rows(batches):
-            ids, found = [], []
-            for _, doc, hashes in _texts(batch, size):
-                at, seeds = minimisers(hashes, size, seed)
-                found.append(np.unique(seeds[np.unique(at)]).view(np.int64))
-                ids.append(np.full(len(found[-1]), doc))
-            columns = [np.concatenate(c) if c else np.zeros(0, dtype=np.int64) for c in (ids, found)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "seed"])
+            ids = batch["doc_id"].to_numpy(zero_copy_only=False)
+            for words in scan(batch["text"], lower=False):
+                w = Windows(words, size, seed)
+                by, new = _distinct(w.text, w.seed)
+                once = by[new]
+                columns = pa.array(ids[words.row + w.text[once]], pa.int64()), pa.array(w.seed[once].view(np.int64))
+                yield pa.RecordBatch.from_arrays(list(columns), ["doc_id", "seed"])
 
     return docs.mapInArrow(read, "doc_id BIGINT, seed BIGINT")
 
 
-def _found_in(ordered: np.ndarray, values: np.ndarray) -> np.ndarray:
-    if not len(ordered):
-        return np.zeros(len(values), dtype=bool)
-    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
-
-
+@dataclass
 class Stretches:
-    """The stretches of a text: windows in a row with one seed that others may have too.
+    """How texts are cut: windows in a row with one seed that others may have too.
 
     ``repeated`` is a Bloom filter of seeds, or None where each row has its own list;
     ``hot`` are the seeds, in order, whose windows go alone.
     """
 
-    def __init__(self, repeated: np.ndarray | None, hot: np.ndarray, size: int, seed: int):
-        self.repeated, self.hot, self.size, self.seed = repeated, hot, size, seed
-
-    def of(self, batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, int, bytes]]:
-        """(doc_id, tag, first word, key of the shard, word hashes) of each stretch."""
-        for row, doc, hashes in _texts(batch, self.size):
-            at, seeds = minimisers(hashes, self.size, self.seed)
-            chosen = seeds[at]
-            if self.repeated is None:
-                wanted = np.sort(batch["seeds"][row].values.to_numpy().view(np.uint64))
-                mine = np.flatnonzero(_found_in(wanted, chosen))
-            else:
-                mine = np.flatnonzero(blobs.may_hold(self.repeated, chosen))
-            if not len(mine):
-                continue
-            single = _found_in(self.hot, chosen[mine])
-            key = np.where(single, grams(hashes, self.size, 17)[mine], mix(chosen[mine]))
-            new = np.ones(len(mine), dtype=bool)
-            new[1:] = (np.diff(mine) > 1) | (np.diff(at[mine]) != 0) | single[1:]
-            first = np.flatnonzero(new)
-            last = np.append(first[1:], len(mine)) - 1
-            held, tag = hashes.tobytes(), _tag(hashes)
-            for a, b, k in zip(mine[first].tolist(), mine[last].tolist(), key[first].tolist()):
-                yield doc, tag, a, k, held[8 * a : 8 * (b + self.size)]
-
-
-def _name(content: bytes) -> bytes:
-    return hashlib.blake2b(content, digest_size=16).digest()
-
-
-def _key(name: bytes) -> int:
-    return int.from_bytes(name[:8], "little", signed=True)
+    repeated: np.ndarray | None
+    hot: np.ndarray
+    size: int
+    seed: int
+
+    def of(self, words: Words, lists: pa.Array | None) -> tuple[Windows, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The windows, the first and the last of each stretch, and two hashes that name
+        the stretch: of its first window, and of its last one and its length."""
+        w = Windows(words, self.size, self.seed)
+        if self.repeated is not None:
+            wanted = blobs.may_hold(self.repeated, w.seed)
+        else:
+            wanted = np.zeros(len(w.at), dtype=bool)
+            for text in range(len(words)):
+                part = slice(*np.searchsorted(w.text, [text, text + 1]))
+                wanted[part] = _found_in(np.sort(lists[words.row + text].values.to_numpy().view(np.uint64)), w.seed[part])
+        mine = np.flatnonzero(wanted)
+        new = np.ones(len(mine), dtype=bool)
+        new[1:] = (np.diff(w.at[mine]) > 1) | (np.diff(w.place[mine]) != 0) | (np.diff(w.text[mine]) != 0)
+        new |= _found_in(self.hot, w.seed[mine])
+        first = np.flatnonzero(new)
+        last = mine[np.append(first[1:], len(mine)) - 1] if len(mine) else mine
+        first = mine[first]
+        one, other = (grams(words.hashes, self.size, k) for k in (17, 19))
+        length = (w.at[last] - w.at[first]).astype(np.uint64)
+        return w, first, last, one[w.at[first]], mix(other[w.at[last]] + length)
 
 
 def contents(docs: DataFrame, cut: Stretches, shards: int) -> DataFrame:
-    """shard, content, least and most (doc_id) of the stretches, each once in a task."""
+    """shard, one, other (the name), least and most (doc_id) and content (word hashes) of
+    the stretches; equal ones of a task are made one."""
     shared = docs.sparkSession.sparkContext.broadcast(cut)
-    names, types = ["shard", "content", "least", "most"], [pa.int32(), pa.binary(), pa.int64(), pa.int64()]
-
-    def made(held: dict) -> pa.RecordBatch:
-        columns = list(zip(*[(shard, content, *ends) for (shard, content), ends in held.items()])) or [()] * 4
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+    names = ["shard", "one", "other", "least", "most", "content"]
+
+    def made(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        shard, one, other, doc, lengths, words = (np.concatenate(c) for c in zip(*held))
+        by, new = _distinct(one, other)
+        once = by[new]
+        least, most = (f.reduceat(doc[by], new) if len(by) else doc for f in (np.minimum, np.maximum))
+        sizes = lengths[once]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        begin = (np.cumsum(lengths) - lengths)[once]
+        taken = words[np.repeat(begin - ends[:-1], sizes) + np.arange(ends[-1])]
+        content = pa.Array.from_buffers(
+            pa.binary(), len(once), [None, pa.py_buffer((8 * ends).astype(np.int32)), pa.py_buffer(taken)]
+        )
+        columns = [pa.array(shard[once], pa.int32()), *[pa.array(k[once].view(np.int64)) for k in (one, other)]]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(least), pa.array(most), content], names)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, bytes], list[int]] = {}
-        for batch in some_rows(batches, 64):
-            for doc, _, _, key, content in shared.value.of(batch):
-                ends = held.setdefault((key % shards, content), [doc, doc])
-                ends[0], ends[1] = min(ends[0], doc), max(ends[1], doc)
-            if len(held) >= STRETCHES_TOGETHER:
-                yield made(held)
-                held = {}
-        yield made(held)
+        held, count = [], 0
+        for batch in some_rows(batches):
+            ids = batch["doc_id"].to_numpy(zero_copy_only=False)
+            lists = batch["seeds"] if "seeds" in batch.schema.names else None
+            for words in scan(batch["text"], lower=False):
+                w, first, last, one, other = shared.value.of(words, lists)
+                if not len(first):
+                    continue
+                single = _found_in(shared.value.hot, w.seed[first])
+                key = np.where(single, one, mix(w.seed[first]))
+                lengths = w.at[last] - w.at[first] + w.size
+                ends = np.cumsum(lengths)
+                flat = words.hashes[np.repeat(w.at[first] - ends + lengths, lengths) + np.arange(ends[-1])]
+                held.append(((key % np.uint64(shards)).astype(np.int32), one, other, ids[words.row + w.text[first]], lengths, flat))
+                count += len(first)
+                if count >= STRETCHES_TOGETHER:
+                    yield made(held)
+                    held, count = [], 0
+        if held:
+            yield made(held)
 
-    return docs.mapInArrow(read, "shard INT, content BINARY, least BIGINT, most BIGINT")
+    return docs.mapInArrow(read, "shard INT, one BIGINT, other BIGINT, least BIGINT, most BIGINT, content BINARY")
 
 
 def _searched(size: int):
-    """Stretches (shard, content, least, most), sorted by shard, to (name, key, sources)."""
-    names, types = ["name", "key", "sources"], [pa.binary(), pa.int64(), pa.list_(pa.int64())]
-
-    def made(held: dict[bytes, list[int]]) -> pa.RecordBatch:
-        ends = np.array(list(held.values()), dtype=np.int64)
-        found = copied_from([np.frombuffer(c, dtype=np.uint64) for c in held], ends[:, 0], size)
-        kept = [
-            (name := _name(content), _key(name), sources)
-            for content, most, sources in zip(held, ends[:, 1].tolist(), found)
-            if (sources < most).any()
-        ]
-        return pa.RecordBatch.from_arrays([pa.array([k[j] for k in kept], t) for j, t in enumerate(types)], names)
+    """Stretches (as of ``contents``), sorted by shard, to (one, other, sources)."""
+    def made(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        one, other, least, most = (table[c].to_numpy() for c in ("one", "other", "least", "most"))
+        by, new = _distinct(one, other)
+        once = by[new]
+        least, most = np.minimum.reduceat(least[by], new), np.maximum.reduceat(most[by], new)
+        data, offsets = column_bytes(table["content"].take(pa.array(once)))
+        lengths = np.diff(offsets) // 8
+        words = np.frombuffer(data[offsets[0] : offsets[-1]].tobytes(), dtype=np.uint64)
+        sources = copied_from(words, lengths, least, size)
+        windows = lengths - size + 1
+        ends = np.concatenate([[0], np.cumsum(windows)])
+        kept = np.flatnonzero(np.logical_or.reduceat(sources < np.repeat(most, windows), ends[:-1]))
+        lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(sources)).take(pa.array(kept))
+        return pa.RecordBatch.from_arrays([pa.array(one[once][kept]), pa.array(other[once][kept]), lists], ["one", "other", "sources"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, held = None, {}
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            for s, content, least, most in zip(*[batch[c].to_pylist() for c in ("shard", "content", "least", "most")]):
-                if s != shard and held:
-                    yield made(held)
-                    held = {}
-                shard = s
-                ends = held.setdefault(content, [least, most])
-                ends[0], ends[1] = min(ends[0], least), max(ends[1], most)
+            shard = batch["shard"].to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
+            for a, b in zip(edges, edges[1:]):
+                if a < b:
+                    if held and held[-1]["shard"][0].as_py() != shard[a]:
+                        yield made(held)
+                        held = []
+                    held.append(batch.slice(a, b - a))
         if held:
             yield made(held)
 
@@ -299,31 +349,41 @@ def _searched(size: int):
 
 
 def places(docs: DataFrame, cut: Stretches, told: np.ndarray | None) -> DataFrame:
-    """name, doc_id, tag and pos (first word) of the stretches whose name may be in ``told``."""
+    """one, other, doc_id, tag and pos (first word) of the stretches whose name may be in ``told``."""
     shared = docs.sparkSession.sparkContext.broadcast((cut, told))
-    names, types = ["name", "doc_id", "tag", "pos"], [pa.binary(), pa.int64(), pa.int64(), pa.int32()]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut, told = shared.value
-        for batch in some_rows(batches, 64):
-            found = [(_name(content), doc, tag, pos) for doc, tag, pos, _, content in cut.of(batch)]
-            if told is not None and found:
-                keys = np.array([_key(f[0]) for f in found], dtype=np.int64).view(np.uint64)
-                found = [f for f, good in zip(found, blobs.may_hold(told, keys).tolist()) if good]
-            yield pa.RecordBatch.from_arrays([pa.array([f[j] for f in found], t) for j, t in enumerate(types)], names)
-
-    return docs.mapInArrow(read, "name BINARY, doc_id BIGINT, tag BIGINT, pos INT")
-
-
-def copied_spans(docs: DataFrame, size: int = WINDOW, seed: int = SEED_WORDS) -> DataFrame:
-    """doc_id, tag and spans of the rows of ``docs(doc_id, text)`` that hold copied words.
-
-    ``spans`` are structs (low, high) of word numbers, not merged: the words low..high-1
-    are windows of ``size`` words that also start in a document with a smaller doc_id.
+        for batch in some_rows(batches):
+            ids = batch["doc_id"].to_numpy(zero_copy_only=False)
+            lists = batch["seeds"] if "seeds" in batch.schema.names else None
+            for words in scan(batch["text"], lower=False):
+                w, first, _, one, other = cut.of(words, lists)
+                if told is not None:
+                    good = blobs.may_hold(told, one ^ other)
+                    first, one, other = first[good], one[good], other[good]
+                texts, which = np.unique(w.text[first], return_inverse=True)
+                tags = np.array([w.tag(t) for t in texts.tolist()], dtype=np.int64)
+                columns = [
+                    pa.array(one.view(np.int64)), pa.array(other.view(np.int64)), pa.array(ids[words.row + w.text[first]], pa.int64()),
+                    pa.array(tags[which.reshape(-1)], pa.int64()), pa.array(w.at[first] - words.at[w.text[first]], pa.int32()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["one", "other", "doc_id", "tag", "pos"])
+
+    return docs.mapInArrow(read, "one BIGINT, other BIGINT, doc_id BIGINT, tag BIGINT, pos INT")
+
+
+def copied_windows(docs: DataFrame, size: int = WINDOW, seed: int = SEED_WORDS) -> DataFrame:
+    """doc_id, tag and windows of the rows of ``docs(doc_id, text)`` that hold copied words.
+
+    ``windows`` are structs (pos, copied): bit k of ``copied`` says that the window of
+    ``size`` words at word pos + k also starts in a document with a smaller doc_id.
     ``tag`` is a digest of the words; rows equal in doc_id and words are one row here.
     A document is never its own source: rows that share a doc_id do not see each other,
     and rows with a NULL doc_id neither give nor lose words.
     """
+    if not 1 <= seed <= size < seed + 62:
+        raise ValueError("a window has its seed and up to 61 words more")
     rows = _rows(docs).where("doc_id IS NOT NULL")
     seeds = seeds_of(rows, size, seed)
     repeated = stored(seeds.groupBy("seed").agg(F.count("*").alias("n")).where("n > 1"), "seeds")
@@ -339,27 +399,26 @@ def copied_spans(docs: DataFrame, size: int = WINDOW, seed: int = SEED_WORDS) ->
 
     shards = max(1, total * (2 * size - seed) // SHARD_WORDS)
     dealt = contents(rows, cut, shards).repartition("shard").sortWithinPartitions("shard")
-    sources = stored(dealt.mapInArrow(_searched(size), "name BINARY, key BIGINT, sources ARRAY<BIGINT>"), "sources")
+    sources = stored(dealt.mapInArrow(_searched(size), "one BIGINT, other BIGINT, sources ARRAY<BIGINT>"), "sources")
     known = sources.count()
-    told = blobs.bloom(sources.select("key"), known) if blobs.fits(known) else None
-    met = places(rows, cut, told).join(sources.drop("key"), "name")
-    # a stretch has few windows: of those copied for this document, the runs
-    flags = met.withColumn("c", F.expr("transform(sources, s -> s < doc_id)"))
-    ends = (
-        "transform(filter(sequence(0, size(c) - 1), i -> c[i] AND (i = 0 OR NOT c[i - 1])), i -> named_struct('low', pos + i,"
-        f" 'high', pos + {size} + array_max(filter(sequence(i, size(c) - 1), j -> forall(slice(c, i + 1, j - i + 1), x -> x)))))"
-    )
-    spans = flags.select("doc_id", "tag", F.expr(ends).alias("spans")).where("size(spans) > 0")
-    return spans.groupBy("doc_id", "tag").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-
-
-def _left(words: list[bytes], copied: list[dict], hashes: np.ndarray) -> list[bytes]:
-    """The words that no span of this text covers."""
+    told = blobs.bloom(sources.select(F.expr("one ^ other")), known) if blobs.fits(known) else None
+    met = places(rows, cut, told).join(sources, ["one", "other"])
+    bits = "aggregate(reverse(sources), 0L, (bits, s) -> 2L * bits + IF(s < doc_id, 1L, 0L))"
+    found = met.select("doc_id", "tag", "pos", F.expr(bits).alias("copied")).where("copied <> 0")
+    return found.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("pos", "copied")).alias("windows"))
+
+
+def _left(words: list[bytes], copied: list[dict], hashes: np.ndarray, size: int) -> list[bytes]:
+    """The words that no copied window of this text covers."""
     mark, tag = np.zeros(len(words) + 1, dtype=np.int64), _tag(hashes)
     for part in copied:
         if part["tag"] == tag:
-            np.add.at(mark, [s["low"] for s in part["spans"]], 1)
-            np.add.at(mark, [s["high"] for s in part["spans"]], -1)
+            pos = np.array([x["pos"] for x in part["windows"]])
+            bits = np.array([x["copied"] for x in part["windows"]])
+            for k in range(int(bits.max()).bit_length()):
+                at = pos[(bits >> k) & 1 == 1] + k
+                np.add.at(mark, at, 1)
+                np.add.at(mark, at + size, -1)
     return [w for w, n in zip(words, np.cumsum(mark).tolist()) if not n]
 
 
@@ -373,10 +432,10 @@ def without_copied_words(docs: DataFrame, size: int = WINDOW, seed: int = SEED_W
     of fewer than ``size`` words keeps all.  Repeated rows, and rows with a NULL doc_id,
     come out as they came in.  Other columns are not looked at.
     """
-    spans = stored(copied_spans(docs, size, seed), "spans")
+    found = stored(copied_windows(docs, size, seed), "windows")
     rows = _rows(docs)
-    members = spans.count()
-    touched = blobs.bloom(spans.select("doc_id"), members) if blobs.fits(members) else np.full(2, 255, dtype=np.uint8)
+    members = found.count()
+    touched = blobs.bloom(found.select("doc_id"), members) if blobs.fits(members) else np.full(2, 255, dtype=np.uint8)
     shared = docs.sparkSession.sparkContext.broadcast(touched)
 
     def is_touched(batch: pa.RecordBatch) -> np.ndarray:
@@ -397,7 +456,7 @@ def without_copied_words(docs: DataFrame, size: int = WINDOW, seed: int = SEED_W
                 left = words
                 if "copied" in batch.schema.names and batch["copied"][k].is_valid and words:
                     hashes = next(scan(batch["text"].slice(k, 1), lower=False)).hashes
-                    left = _left(words, batch["copied"][k].as_py(), hashes)
+                    left = _left(words, batch["copied"][k].as_py(), hashes, size)
                 n_words.append(len(words))
                 n_removed.append(len(words) - len(left))
                 kept.append(b" ".join(left).decode("utf-8"))
@@ -406,8 +465,8 @@ def without_copied_words(docs: DataFrame, size: int = WINDOW, seed: int = SEED_W
                 ["doc_id", "n_words", "n_removed", "kept"],
             )
 
-    # only texts that may have lost words are shuffled to their spans
-    per_id = spans.groupBy(F.col("doc_id").alias("of")).agg(F.collect_list(F.struct("tag", "spans")).alias("copied"))
+    # only texts that may have lost words are shuffled to their windows
+    per_id = found.groupBy(F.col("doc_id").alias("of")).agg(F.collect_list(F.struct("tag", "windows")).alias("copied"))
     some = rows.mapInArrow(only_touched, "doc_id BIGINT, text STRING")
     joined = some.join(per_id, some["doc_id"] == per_id["of"], "left").select("doc_id", "text", "copied")
     schema = "doc_id BIGINT, n_words BIGINT, n_removed BIGINT, kept STRING"

@@ -40,7 +40,7 @@ def _doubled(ranks: np.ndarray, width: int) -> np.ndarray:
     """The ranks of stretches of twice ``width`` words."""
     key = ranks.astype(np.int64) * (len(ranks) + 1)
     key[:-width] += ranks[width:] + 1
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     step = np.zeros(len(key), dtype=np.int32)
     step[1:] = np.diff(key[order]) != 0
     out = np.empty(len(key), dtype=np.int32)
