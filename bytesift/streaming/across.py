@@ -6,72 +6,177 @@ import math
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from bytesift.functions import as_bytes, byte_length, cut, quoted
 from bytesift.operators.search import normal_patterns, positions
 from bytesift.plans.choice import choose
 
-STATE_SCHEMA = (
-    "tail BINARY, base BIGINT, last BIGINT, held_orders ARRAY<BIGINT>, held_bodies ARRAY<BINARY>"
-)
 # New bytes after which the stateful step emits a row, however many pieces come.
 ROW_BYTES = 1 << 22
 # Bytes of text per block when stored pieces are put together.
 BLOCK = 1 << 16
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-def _stitcher(keep: int, first_order: int | None):
+# Why a piece is not part of the text.
+LATE, GAP = "late or repeated", "no predecessor"
+
+
+def _stitcher(keep: int, first_order: int | None, timeout_ms: int | None, event_time: bool) -> StatefulProcessor:
     """The stateful step: put new pieces behind the last ``keep`` bytes seen.
 
-    State per key is that tail, the offset of its first byte and the last order
-    number; with ``first_order`` also pieces that wait for a predecessor.
-    Nested functions travel to the executors by value, without this package.
+    State per key: one value (that tail, the offset of its first byte, the last order
+    number, how many pieces wait, when the key ends), and a map of the pieces that wait
+    for a predecessor, so that a piece is read from state only when its turn has come.
+    The class is made here so that it travels to the executors by value, without this
+    package.
     """
+    row_bytes, late, gap = ROW_BYTES, LATE, GAP
 
-    def row(key: tuple, start: int, seen: int, joined: bytearray) -> pd.DataFrame:
-        return pd.DataFrame(
-            {"key": [key[0]], "start": [start], "seen": [seen], "_b": [bytes(joined)]}
-        )
+    def text(key: tuple, start: int, seen: int, joined: bytearray) -> pd.DataFrame:
+        return pd.DataFrame({"key": [key[0]], "start": [start], "seen": [seen], "_b": [bytes(joined)], "piece": [-1], "reason": [None]})
+
+    def refused(key: tuple, orders: list[int], reason: str) -> pd.DataFrame:
+        n = len(orders)
+        return pd.DataFrame({"key": [key[0]] * n, "start": [-1] * n, "seen": [0] * n, "_b": [b""] * n, "piece": orders, "reason": [reason] * n})
+
+    class Stitcher(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.seen = handle.getValueState("seen", "tail BINARY, base BIGINT, last BIGINT, held BIGINT, until BIGINT")
+            self.early = handle.getMapState("early", "piece BIGINT", "body BINARY")
+
+        def handleInputRows(self, key: tuple, rows: Iterable[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+            if self.seen.exists():
+                tail, base, last, held, until = self.seen.get()
+            else:
+                tail, base, last, held, until = b"", 0, None if first_order is None else first_order - 1, 0, None
+            new, again, at = {}, [], None
+            for frame in rows:
+                for order, body in zip(frame["number"], frame["body"]):
+                    order = int(order)
+                    if order in new or (last is not None and order <= last) or (held and self.early.containsKey((order,))):
+                        again.append(order)
+                    else:
+                        new[order] = bytes(body)
+                if event_time:
+                    newest = frame["at"].max()
+                    at = newest if at is None or newest > at else at
+            tail = bytes(tail)
+            joined, seen = bytearray(tail), len(tail)
+            todo = iter(sorted(new)) if first_order is None else None
+            while True:
+                if todo is not None:
+                    order = next(todo, None)
+                    if order is None:
+                        break
+                    joined += new.pop(order)
+                elif (order := last + 1) in new:
+                    joined += new.pop(order)
+                elif held and self.early.containsKey((order,)):
+                    joined += bytes(self.early.getValue((order,))[0])
+                    self.early.removeKey((order,))
+                    held -= 1
+                else:
+                    break
+                last = order
+                if len(joined) - seen >= row_bytes:
+                    yield text(key, base, seen, joined)
+                    base += max(0, len(joined) - keep)
+                    joined = joined[max(0, len(joined) - keep) :]
+                    seen = len(joined)
+            if len(joined) > seen:
+                yield text(key, base, seen, joined)
+            for order, body in new.items():
+                self.early.updateValue((order,), (body,))
+                held += 1
+            if again:
+                yield refused(key, again, late)
+            if timeout_ms is not None:
+                now = timerValues.getCurrentProcessingTimeInMs() if not event_time else int(at.timestamp() * 1000)
+                ends = max(now + timeout_ms, until or 0)
+                if ends != until:
+                    if until is not None:
+                        self.handle.deleteTimer(until)
+                    self.handle.registerTimer(ends)
+                    until = ends
+            low = max(0, len(joined) - keep)
+            self.seen.update((bytes(joined[low:]), base + low, last, held, until))
+
+        def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            waiting = sorted(k[0] for k in self.early.keys())
+            self.early.clear()
+            self.seen.clear()
+            if waiting:
+                yield refused(key, waiting, gap)
+
+        def close(self) -> None:
+            pass
+
+    return Stitcher()
 
-    def stitch(
-        key: tuple, batches: Iterable[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            tail, base, last, held_orders, held_bodies = state.get
-            waiting = dict(zip(held_orders, held_bodies))
-        else:
-            start = None if first_order is None else first_order - 1
-            tail, base, last, waiting = b"", 0, start, {}
-        for batch in batches:
-            for order, body in zip(batch["_order"], batch["_b"]):
-                order = int(order)
-                if order in waiting or (last is not None and order <= last):
-                    raise ValueError(f"piece {order} of {key} is late or repeated (last: {last})")
-                waiting[order] = bytes(body)
-        tail = bytes(tail)
-        joined, seen = bytearray(tail), len(tail)
-        for order in sorted(waiting):
-            if first_order is not None and order != last + 1:
-                break
-            joined += waiting.pop(order)
-            last = order
-            if len(joined) - seen >= ROW_BYTES:
-                yield row(key, base, seen, joined)
-                base += max(0, len(joined) - keep)
-                joined = joined[max(0, len(joined) - keep) :]
-                seen = len(joined)
-        if len(joined) > seen:
-            yield row(key, base, seen, joined)
-        cut_at = max(0, len(joined) - keep)
-        held = sorted(waiting)
-        state.update(
-            (bytes(joined[cut_at:]), base + cut_at, last, held, [waiting[o] for o in held])
-        )
 
-    return stitch
+def _use_rocksdb(spark: SparkSession) -> None:
+    """Timers and maps of state need this store; queries take it when they start."""
+    if spark.conf.get(STATE_STORE) != ROCKSDB:
+        spark.conf.set(STATE_STORE, ROCKSDB)
+
+
+def _milliseconds(spark: SparkSession, interval: str) -> int:
+    lasts = f"unix_millis(timestamp_seconds(0) + INTERVAL {interval}) - unix_millis(timestamp_seconds(0))"
+    return spark.range(1).selectExpr(f"{lasts} AS ms").first()["ms"]
+
+
+def stream_stitch(
+    stream: DataFrame,
+    key: str,
+    order: str,
+    keep: int,
+    first_order: int | None = None,
+    timeout: str | None = None,
+    event_time: str | None = None,
+    watermark: str | None = None,
+    body: str = "body",
+) -> DataFrame:
+    """The texts of all keys as they grow: (key, start, seen, _b, piece, reason).
+
+    A row has new bytes of a key behind the last ``keep`` ones: ``_b`` starts at offset
+    ``start``, and its first ``seen`` bytes were in a row before.  A piece that is late
+    or repeated, or that waited for a predecessor until its key ended, is a row with a
+    ``reason`` and its order number in ``piece``; no piece makes the query fail.
+
+    A key ends, and leaves the state, when nothing came for it during ``timeout``: with
+    ``event_time`` when the ``watermark`` (a delay) has passed its newest piece by that
+    much, else by the clock.  What comes for it later is a new text.  A query that goes by
+    the clock looks at it for ever, so it does not end by itself, not even with
+    ``availableNow``.  Without a timeout keys are kept.  Pieces with a NULL order are left
+    out, and with ``event_time`` those older than the watermark.
+    """
+    spark = stream.sparkSession
+    if event_time is not None and watermark is None:
+        raise ValueError("event_time needs a watermark")
+    _use_rocksdb(spark)
+    # plain names: what starts with "_" is renamed on its way to the stateful step
+    named = [f"{quoted(key)} AS key", f"CAST({quoted(order)} AS BIGINT) AS number", f"coalesce({as_bytes(quoted(body))}, X'') AS body"]
+    if event_time is None:
+        pieces = stream.selectExpr(*named)
+    else:
+        pieces = stream.selectExpr(*named, f"CAST({quoted(event_time)} AS TIMESTAMP) AS at").withWatermark("at", watermark)
+    pieces = pieces.where("number IS NOT NULL")
+    key_type = pieces.schema["key"].dataType.simpleString()
+    timeout_ms = None if timeout is None else _milliseconds(spark, timeout)
+    mode = "None" if timeout is None else "ProcessingTime" if event_time is None else "EventTime"
+    return pieces.groupBy("key").transformWithStateInPandas(
+        _stitcher(keep, first_order, timeout_ms, event_time is not None),
+        f"key {key_type}, start BIGINT, seen INT, _b BINARY, piece BIGINT, reason STRING",
+        "append",
+        mode,
+    )
 
 
 def stream_find_across(
@@ -81,6 +186,9 @@ def stream_find_across(
     patterns: DataFrame,
     first_order: int | None = None,
     num_partitions: int | None = None,
+    timeout: str | None = None,
+    event_time: str | None = None,
+    watermark: str | None = None,
     body: str = "body",
     pattern_id: str = "pattern_id",
     pattern: str = "pattern",
@@ -92,31 +200,51 @@ def stream_find_across(
     ends in the new bytes.  Pieces may come in any order within a micro-batch.
     Across micro-batches: with ``first_order`` the numbers are consecutive from
     there and an early piece waits for its predecessors; without it numbers may
-    have gaps, and a piece older than one already used makes the query fail.
-    ``num_partitions`` spreads the search of one key's text over that many tasks,
-    for streams in which a single key has much of it.
+    have gaps.  A piece that comes too late, or twice, is left out here;
+    :func:`write_stream_across` stores those too, and :func:`stream_stitch` says when a
+    key ends.  ``num_partitions`` spreads the search of one key's text over that many
+    tasks, for streams in which a single key has much of it.
     """
     bare = normal_patterns(patterns, pattern_id, pattern)
     search = choose(bare)
-    pieces = stream.selectExpr(
-        f"{quoted(key)} AS key",
-        f"CAST({quoted(order)} AS BIGINT) AS _order",
-        f"coalesce({as_bytes(quoted(body))}, X'') AS _b",
-    )
-    key_type = pieces.schema["key"].dataType.simpleString()
-    stitched = pieces.groupBy("key").applyInPandasWithState(
-        _stitcher(max(0, search.stats.max_len - 1), first_order),
-        f"key {key_type}, start BIGINT, seen INT, _b BINARY",
-        STATE_SCHEMA,
-        "append",
-        GroupStateTimeout.NoTimeout,
-    )
+    keep = max(0, search.stats.max_len - 1)
+    rows = stream_stitch(stream, key, order, keep, first_order, timeout, event_time, watermark, body)
+    stitched = rows.where("reason IS NULL").select("key", "start", "seen", "_b")
     if num_partitions is not None:
         stitched = stitched.repartition(num_partitions, "key", "start")
     found = positions(stitched, ["key", "start", "seen"], bare, search).where("_pos + _m > seen")
     return found.selectExpr("key", "_id AS pattern_id", "start + _pos AS byte_pos")
 
 
+def write_stream_across(
+    stream: DataFrame, key: str, order: str, patterns: DataFrame, path: str, checkpoint: str,
+    trigger: dict | None = None, pattern_id: str = "pattern_id", pattern: str = "pattern", **options,
+) -> StreamingQuery:
+    """Store the matches of :func:`stream_find_across`, and beside them the pieces refused.
+
+    Each micro-batch is searched by the batch operator, which takes pattern tables of any
+    size.  ``path/matches/batch=<n>`` has (key, pattern_id, byte_pos) and
+    ``path/refused/batch=<n>`` (key, piece, reason); a retried batch overwrites its folders.
+    ``options`` go to :func:`stream_stitch`.
+    """
+    bare = normal_patterns(patterns, pattern_id, pattern)
+    keep = max(0, choose(bare).stats.max_len - 1)
+    rows = stream_stitch(stream, key, order, keep, **options)
+
+    def store(batch: DataFrame, number: int) -> None:
+        batch.persist()  # one reading of the state for both
+        refused = batch.where("reason IS NOT NULL").select("key", "piece", "reason")
+        refused.write.mode("overwrite").parquet(f"{path}/refused/batch={number}")
+        stitched = batch.where("reason IS NULL").select("key", "start", "seen", "_b")
+        found = positions(stitched, ["key", "start", "seen"], bare, choose(bare)).where("_pos + _m > seen")
+        matches = found.selectExpr("key", "_id AS pattern_id", "start + _pos AS byte_pos")
+        matches.write.mode("overwrite").parquet(f"{path}/matches/batch={number}")
+        batch.unpersist()
+
+    writer = rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
 def _with_offsets(pieces: DataFrame) -> DataFrame:
     """Add ``_from``, the offset of each piece in the text of its key.
 

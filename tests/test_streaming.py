@@ -10,6 +10,7 @@ from bytesift.streaming import (
     stream_find_across,
     stream_find_matches,
     stream_pattern_totals,
+    write_stream_across,
     write_stream_matches,
 )
 
@@ -163,25 +164,66 @@ def test_early_pieces_wait_for_their_predecessors(spark, tmp_path):
     assert got == brute(texts, PATTERNS)
 
 
+class Value:
+    """A stand-in for the state of one key."""
+
+    def __init__(self):
+        self.held = None
+
+    def exists(self):
+        return self.held is not None
+
+    def get(self):
+        return self.held
+
+    def update(self, value):
+        self.held = value
+
+    def clear(self):
+        self.held = None
+
+
+class Entries(dict):
+    containsKey, getValue, updateValue, removeKey = dict.__contains__, dict.__getitem__, dict.__setitem__, dict.pop
+
+
+class Handle:
+    def __init__(self):
+        self.value, self.entries, self.timers = Value(), Entries(), set()
+
+    def getValueState(self, *_):
+        return self.value
+
+    def getMapState(self, *_):
+        return self.entries
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+class Clock:
+    now = 1000
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.now
+
+
 def test_stitching_emits_bounded_rows(monkeypatch):
     """However the rows are cut, each match ends in the new bytes of one row."""
     from bytesift.streaming import across
 
-    class State:
-        exists, get = False, None
-
-        def update(self, value):
-            self.exists, self.get = True, value
-
     text = b"abaababaabaaabababbabaab" * 5
     for limit in (1, 3, 10, 1000):
         monkeypatch.setattr(across, "ROW_BYTES", limit)
-        state, found = State(), []
-        step = across._stitcher(4, 0)
+        found, step = [], across._stitcher(4, 0, None, False)
+        step.init(Handle())
         for first in range(0, len(text), 12):
             orders = list(range(first, min(first + 12, len(text))))
-            batch = pd.DataFrame({"_order": orders, "_b": [text[i : i + 1] for i in orders]})
-            for row in step(("k",), [batch], state):
+            batch = pd.DataFrame({"number": orders, "body": [text[i : i + 1] for i in orders]})
+            for row in step.handleInputRows(("k",), [batch], Clock()):
                 body, start, seen = row["_b"][0], row["start"][0], row["seen"][0]
                 assert len(body) - seen <= limit + 12
                 for p in (b"ab", b"a", b"abaab"):
@@ -190,13 +232,74 @@ def test_stitching_emits_bounded_rows(monkeypatch):
         assert sorted(found) == sorted(expected), limit
 
 
-def test_late_piece_fails_without_numbering(spark, tmp_path):
+def test_a_key_ends_once_and_leaves_no_state():
+    from bytesift.streaming import across
+
+    handle, clock, step = Handle(), Clock(), across._stitcher(4, 0, 50, False)
+    step.init(handle)
+
+    def feed(*orders):
+        frame = pd.DataFrame({"number": orders, "body": [b"ab"] * len(orders)})
+        return pd.concat([pd.DataFrame(), *step.handleInputRows(("k",), [frame], clock)])
+
+    feed(0, 3, 4)
+    assert handle.timers == {1050} and sorted(handle.entries) == [(3,), (4,)]
+    clock.now = 1020
+    assert feed(0, 3, 1).query("reason.notna()")["piece"].tolist() == [0, 3]
+    assert handle.timers == {1070} and handle.value.held[2] == 1
+    gone = pd.concat(step.handleExpiredTimer(("k",), clock, None))
+    assert gone[["piece", "reason"]].values.tolist() == [[3, across.GAP], [4, across.GAP]]
+    assert not handle.value.exists() and not handle.entries
+
+
+def fed(spark, folder, batches, run_one):
+    """Runs a query to its end after each batch, always from the same checkpoint."""
+    for i, batch in enumerate(batches):
+        spark.createDataFrame(batch, PIECE).write.parquet(f"{folder}/in/b{i:03d}")
+        query = run_one(spark.readStream.schema(PIECE).parquet(f"{folder}/in/b*"))
+        query.awaitTermination(240)
+        assert query.exception() is None
+
+
+def test_late_repeated_and_lost_pieces_are_stored_aside(spark, tmp_path):
+    """By event time: a key ends when the watermark has passed it; another text may follow."""
+    texts, cut_up = pieces(12, keys=2, total=60)
+    p = pattern_table(spark, PATTERNS)
+    k0, k1 = ([c for c in cut_up if c[0] == k] for k in ("k0", "k1"))
+    batches = [
+        stamped(k0[:3] + k1[:2] + k1[3:5]),  # k1 lacks its piece 2
+        stamped(k0[3:] + k0[:1] + k1[3:4], 1),  # a repeated and a late one
+        stamped([("k9", 0, b"ab")], 50),  # closes both keys
+        stamped([("k9", 1, b"ab")], 51),
+        stamped(k0, 52),  # a new text of that name
+    ]
+
+    def start(stream):
+        return write_stream_across(
+            stream, "key", "turn", p, str(tmp_path / "out"), str(tmp_path / "cp"), first_order=0,
+            timeout="10 minutes", event_time="ts", watermark="1 minute",
+        )
+
+    fed(spark, tmp_path, batches, start)
+    refused = spark.read.parquet(str(tmp_path / "out" / "refused")).drop("batch")
+    assert rows(refused, "key", "piece", "reason") == [
+        ("k0", 0, "late or repeated"), ("k1", 3, "late or repeated"), ("k1", 3, "no predecessor"), ("k1", 4, "no predecessor")
+    ]
+    whole = {"k0": texts["k0"], "k1": b"".join(c[2] for c in k1[:2]), "k9": b"abab"}
+    expected = brute(whole, PATTERNS) + brute({"k0": texts["k0"]}, PATTERNS)
+    got = spark.read.parquet(str(tmp_path / "out" / "matches"))
+    assert rows(got, "key", "pattern_id", "byte_pos") == sorted(expected)
+
+
+def test_late_pieces_do_not_fail_a_stream_without_numbering(spark, tmp_path):
     stream = write_batches(
-        spark, tmp_path / "in", [stamped([("k", 5, b"ab")]), stamped([("k", 4, b"ab")])]
+        spark, tmp_path / "in", [stamped([("k", 5, b"ab")]), stamped([("k", 4, b"ab"), ("k", 9, b"ab")])]
     )
     df = stream_find_across(stream, "key", "turn", pattern_table(spark, PATTERNS))
-    with pytest.raises(Exception, match="late or repeated"):
-        run(df, "late", "append", tmp_path)
+    got = rows(run(df, "late", "append", tmp_path), "key", "pattern_id", "byte_pos")
+    assert got == brute({"k": b"abab"}, PATTERNS)
+    with pytest.raises(ValueError, match="watermark"):
+        stream_find_across(stream, "key", "turn", pattern_table(spark, PATTERNS), event_time="ts")
 
 
 def test_every_cut_gives_the_batch_answer(spark):
