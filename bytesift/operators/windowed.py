@@ -14,11 +14,13 @@ third of all patterns never pairs the text with all of them.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bytesift.functions import byte_length, cut, quoted
-from bytesift.plans.choice import SALTS, Search, class_of, setting
+from bytesift.plans.choice import BROADCAST_BYTES, FILTER_BYTES, SALTS, Search, class_of, setting, shape_bytes
 from bytesift.plans.windows import WindowClass
 
 # Windows are generated in stretches of this many, to bound the arrays, and of
@@ -27,6 +29,10 @@ WINDOWS_PER_STRETCH = 1 << 14
 MAX_STRETCH = 1 << 20
 # Bytes of text per fetched slice in the shuffled path.
 FETCH_BLOCK = 1 << 16
+# Bits of the bitmap per anchor, before it is rounded up to a power of two.
+BITS_PER_ANCHOR = 16
+# Bytes of anchor shapes that one pass over a stream takes at least.
+LEAST_SLICE = 1 << 20
 # Anchors up to this many are made distinct in one partition.
 FEW_ANCHORS = 1 << 16
 
@@ -114,23 +120,37 @@ def hash_positions(
     if search.broadcast_shapes:
         return _broadcast_positions(texts, keys, anchors, search)
     if texts.isStreaming:
-        raise ValueError(
-            "the anchors exceed the broadcast bound: search a stream by micro-batch "
-            "(streaming.write_stream_matches), which can shuffle"
-        )
+        return _in_passes(texts, keys, anchors, search)
     return _shuffled_positions(texts, keys, anchors, search)
 
 
+def _in_passes(texts: DataFrame, keys: list[str], anchors: DataFrame, search: Search) -> DataFrame:
+    """The search of a stream for more anchor shapes than may be broadcast at once.
+
+    The shapes are dealt by their hash to slices within the bound, and each slice is
+    broadcast to a pass of its own over the micro-batch.  A window's hash is in one slice,
+    so each occurrence still comes out once.
+    """
+    spark = texts.sparkSession
+    most = max(setting(spark, BROADCAST_BYTES), LEAST_SLICE)
+    passes = max(1, -(-shape_bytes(search.stats, search.classes[0].stride) // most))
+    found = [_broadcast_positions(texts, keys, anchors, search, (i, passes)) for i in range(passes)]
+    return reduce(DataFrame.unionByName, found)
+
+
 def _broadcast_positions(
-    texts: DataFrame, keys: list[str], anchors: DataFrame, search: Search
+    texts: DataFrame, keys: list[str], anchors: DataFrame, search: Search, of_slice: tuple[int, int] = (0, 1)
 ) -> DataFrame:
-    """The shapes broadcast: the text never leaves its task.
+    """The shapes (of one slice) broadcast: the text never leaves its task.
 
     The patterns are broadcast too if they fit; else what was cut out of the
     texts, and nothing more, is shuffled to them, salted against hot patterns.
     """
     kept = [quoted(k) for k in keys]
-    shapes = F.broadcast(_shapes(anchors, search))
+    shapes = _shapes(anchors, search)
+    if of_slice[1] > 1:
+        shapes = shapes.where(f"pmod(_h, {of_slice[1]}L) = {of_slice[0]}")
+    shapes = F.broadcast(shapes)
     held = (
         _text_windows(texts, search.classes)
         .join(shapes, "_h")
@@ -155,12 +175,33 @@ def _every_salt(salts: int) -> str:
     return f"explode(sequence(0, {salts - 1})) AS _salt"
 
 
+def _that_may_meet(windows: DataFrame, shapes: DataFrame, search: Search) -> DataFrame:
+    """The windows whose hash is in a bitmap of the shapes' hashes, without a shuffle.
+
+    The bitmap has BITS_PER_ANCHOR bits or more for each anchor that the measured pattern
+    table can have, so at most one in that many other windows passes.  It is broadcast in
+    rows of 512 words; past its bound all windows are returned.
+    """
+    most = sum(n * c.stride for c, (n, _) in search.stats.per_class.items())
+    log2 = max(15, (most * BITS_PER_ANCHOR - 1).bit_length())
+    if 1 << (log2 - 3) > setting(windows.sparkSession, FILTER_BYTES):
+        return windows
+    spot = f"(_h & {(1 << log2) - 1}L)"
+    place = [f"CAST(shiftright({spot}, 15) AS INT) AS _row", f"CAST(shiftright({spot}, 6) & 511 AS INT) AS _word", f"CAST({spot} & 63 AS INT) AS _bit"]
+    words = shapes.selectExpr(*place).groupBy("_row", "_word").agg(F.expr("bit_or(shiftleft(1L, _bit))").alias("_bits"))
+    rows = words.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("_word", "_bits"))).alias("_held"))
+    rows = rows.selectExpr("_row", "transform(sequence(0, 511), i -> coalesce(try_element_at(_held, i), 0L)) AS _bitmap")
+    met = windows.selectExpr("*", *place).join(F.broadcast(rows), "_row")
+    return met.where("shiftright(_bitmap[_word], _bit) & 1L = 1L").drop("_row", "_word", "_bit", "_bitmap")
+
+
 def _shuffled_positions(
     texts: DataFrame, keys: list[str], anchors: DataFrame, search: Search
 ) -> DataFrame:
     """The same joins where not even the shapes can be broadcast.
 
-    Windows are shuffled without their text.  What survives is matched to slices
+    Windows are asked for their bit in a bitmap of the anchors' hashes, and those that may
+    meet one are shuffled, without their text.  What survives is matched to slices
     of the text, shuffled once, and the bytes cut there meet the patterns.  Both
     sides of the two pattern joins are salted, so a hot window or a hot pattern
     is spread; a slice is bounded in bytes, so its candidates are too.
@@ -175,10 +216,11 @@ def _shuffled_positions(
     named = [part for k in kept for part in (f"{k} IS NULL", k)]
     own = [f"xxhash64({', '.join([str(seed), *named, '_b'])}) AS _t{seed}" for seed in (1, 2)]
     texts = texts.selectExpr(*kept, *own, "_b")
-    windows = _text_windows(texts, search.classes).selectExpr(
+    shapes = _shapes(anchors, search)
+    windows = _that_may_meet(_text_windows(texts, search.classes), shapes, search).selectExpr(
         *kept, "_t1", "_t2", "_n", "_s", "_w", "_h", _salt(["_t1", "_w"], salts)
     )
-    shapes = _shapes(anchors, search).selectExpr("*", _every_salt(salts))
+    shapes = shapes.selectExpr("*", _every_salt(salts))
     candidates = (
         windows.join(shapes, ["_h", "_salt"])
         .where(INSIDE)

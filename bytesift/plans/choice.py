@@ -22,6 +22,8 @@ LITERAL_PATTERNS = ("spark.bytesift.literalPatterns", 64)
 LITERAL_BYTES = ("spark.bytesift.literalBytes", 1 << 16)
 # Estimated size up to which the anchors and patterns are broadcast.
 BROADCAST_BYTES = ("spark.bytesift.broadcastBytes", 256 << 20)
+# Size up to which a bitmap of the anchors' hashes is broadcast when they are shuffled.
+FILTER_BYTES = ("spark.bytesift.filterBytes", 256 << 20)
 # Salts for the joins of the shuffled path.
 SALTS = ("spark.bytesift.salts", 8)
 

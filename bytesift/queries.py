@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from bytesift import operators as op
 from bytesift import sources, streaming
@@ -586,3 +587,104 @@ def stream_conversation_straddle(spark, sf):
         turns, "conv_id", "turn", _listed(spark, STRADDLING), first_order=0, body="text"
     )
     return _to_files(found.withColumnRenamed("key", "text_id"), "stream-across")
+
+
+def _resumed(feeds: list[DataFrame], start: Callable[[DataFrame, str], StreamingQuery], name: str) -> None:
+    """Give one table after the other to a stream, which stops and is resumed in between."""
+    spark, schema = feeds[0].sparkSession, feeds[0].schema
+    folder, state = fresh_folder(spark, name), fresh_folder(spark, f"{name}-state")
+    for i, feed in enumerate(feeds):
+        feed.write.parquet(f"{folder}/feed={i}")
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/feed=*")
+        start(stream.select(*schema.names), state).awaitTermination()
+
+
+@_register(_found(CONVERSATIONS, _values(STRADDLING), ALL_MATCHES))
+def stream_straddle_resumed(spark, sf):
+    """Turns in order of time over several runs; a conversation that is over leaves the state."""
+    turns = spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "text")
+    # from 2024 on: a watermark starts at 1970, and what is not after it is late
+    timed = turns.withColumn("at", F.timestamp_seconds(1_704_067_200 + F.col("conv_id") * 3600 + F.col("turn") * 60))
+    seconds = F.unix_seconds("at")
+    cuts = timed.agg(F.percentile_approx(seconds, [0.33, 0.67])).first()[0] or [0, 0]
+    feeds = [timed.where(seconds <= cuts[0]), timed.where((seconds > cuts[0]) & (seconds <= cuts[1])), timed.where(seconds > cuts[1])]
+    out, patterns = fresh_folder(spark, "stream-resumed"), _listed(spark, STRADDLING)
+
+    def start(stream: DataFrame, state: str) -> StreamingQuery:
+        return streaming.write_stream_across(
+            stream, "conv_id", "turn", patterns, out, state, first_order=0, body="text",
+            event_time="at", watermark="10 minutes", timeout="20 minutes",
+        )
+
+    _resumed(feeds, start, "turns")
+    found = spark.read.schema("key BIGINT, pattern_id BIGINT, byte_pos BIGINT").parquet(f"{out}/matches/batch=*")
+    return found.withColumnRenamed("key", "text_id")
+
+
+# Every tenth event up to this time comes after all others up to it.
+LATE_UNTIL = "2024-01-20 00:00:00"
+
+
+def _late_events(spark: SparkSession, sf: str) -> list[DataFrame]:
+    events = spark.read.parquet(f"{sf}/events.parquet").select("event_id", "ts", "props")
+    until = F.lit(LATE_UNTIL).cast(events.schema["ts"].dataType)
+    early, late = F.col("ts") <= until, F.col("event_id") % 10 == 0
+    return [events.where(early & ~late), events.where(early & late), events.where(~early)]
+
+
+def _closed_totals(spark: SparkSession, sf: str, name: str, listed: list[str], **windows) -> DataFrame:
+    """Totals of the windows that closed over three runs with late rows in the second."""
+    out, patterns = fresh_folder(spark, name), _listed(spark, listed)
+
+    def start(stream: DataFrame, state: str) -> StreamingQuery:
+        totals = streaming.stream_pattern_totals(
+            stream, patterns, event_time="ts", watermark="30 minutes", body="props", **windows
+        ).select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "pattern_id", "n_matches")
+        writer = totals.writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
+        return writer.trigger(availableNow=True).start()
+
+    _resumed(_late_events(spark, sf), start, f"{name}-feeds")
+    return spark.read.schema("window_start STRING, pattern_id BIGINT, n_matches BIGINT").parquet(out)
+
+
+def _closed_sql(hours: int, join: str) -> str:
+    """Rows that come late count only in windows that were open; only closed windows are told."""
+    return f"""
+, bounds AS (
+  SELECT coalesce(max(ts) FILTER (text_id % 10 <> 0 AND ts <= '{LATE_UNTIL}'), TIMESTAMP '1970-01-01') - INTERVAL 30 MINUTE AS late,
+         max(ts) - INTERVAL 30 MINUTE AS closed FROM texts
+), windowed AS (
+  SELECT text_id, ts, date_trunc('hour', ts) - h * INTERVAL 1 HOUR AS w FROM texts, range({hours}) r(h)
+), counted AS (
+  SELECT w, text_id FROM windowed, bounds
+  WHERE w + INTERVAL {hours} HOUR <= closed
+    AND (text_id % 10 <> 0 OR ts > '{LATE_UNTIL}' OR w + INTERVAL {hours} HOUR > late)
+)
+SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, p.pattern_id, count(m.text_id) AS n_matches
+FROM counted c CROSS JOIN patterns p {join} JOIN matches m ON m.text_id = c.text_id AND m.pattern_id = p.pattern_id
+GROUP BY 1, 2"""
+
+
+EVENTS = "SELECT event_id AS text_id, props AS body, ts FROM events"
+
+
+@_register(_found(EVENTS, _values(DIGITS), _closed_sql(1, "INNER")))
+def stream_late_totals(spark, sf):
+    """Tumbling windows in append mode: rows behind the watermark are dropped."""
+    return _closed_totals(spark, sf, "stream-late", DIGITS, window="1 hour")
+
+
+@_register(_found(EVENTS, _values([*DIGITS, "zzzzqq"]), _closed_sql(2, "LEFT")))
+def stream_sliding_totals(spark, sf):
+    """Sliding windows in append mode, each with all patterns when it closes."""
+    return _closed_totals(spark, sf, "stream-sliding", [*DIGITS, "zzzzqq"], window="2 hours", slide="1 hour", zeros=True)
+
+
+@_register(_found(PARTS, NAMES_AND_WORDS, ALL_MATCHES))
+def stream_find_in_passes(spark, sf):
+    """More anchors than one broadcast may hold, on a stream."""
+    parts = _stream(spark, sf, "part")
+    found = _without_broadcast(
+        spark, lambda: streaming.stream_find_matches(parts, _names_and_words(spark, sf), "hash", text_id="p_partkey", body="p_name")
+    )
+    return _to_files(found, "stream-passes")

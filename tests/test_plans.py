@@ -1,6 +1,7 @@
 """Plans that must hold at any size of data."""
 
 import pytest
+from pyspark.sql import functions as F
 from helpers import pattern_table
 
 from bytesift.operators.report import pattern_totals
@@ -33,12 +34,15 @@ def test_hash_join_is_broadcast_and_never_cartesian(spark, stored):
 
 
 def test_shuffled_join_is_salted_and_never_cartesian(spark, stored):
+    """As planned where not even a bitmap of the anchors can be broadcast."""
     spark.conf.set("spark.bytesift.broadcastBytes", "0")
+    spark.conf.set("spark.bytesift.filterBytes", "0")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = physical(find_matches_multi(spark.read.parquet(stored), pattern_table(spark, MANY)))
     finally:
         spark.conf.unset("spark.bytesift.broadcastBytes")
+        spark.conf.unset("spark.bytesift.filterBytes")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Broadcast" not in plan and "Cartesian" not in plan
     assert plan.count("SortMergeJoin") + plan.count("ShuffledHashJoin") == 3
@@ -134,15 +138,51 @@ def test_stride_shrinks_before_the_broadcast_is_given_up(spark):
 def test_text_is_not_shuffled_while_the_shapes_fit(spark, stored):
     texts, patterns = spark.read.parquet(stored), pattern_table(spark, MANY)
     stats = pattern_stats(patterns.selectExpr("pattern_id AS _id", "pattern AS _p"), window_classes())
-    spark.conf.set("spark.bytesift.broadcastBytes", str(shape_bytes(stats, 32)))
+    spark.conf.set("spark.bytesift.broadcastBytes", str(shape_bytes(stats, 1)))
     try:
         chosen = choose(patterns.selectExpr("pattern_id AS _id", "pattern AS _p"), "hash")
         plan = physical(find_matches_multi(texts, patterns, "hash"))
     finally:
         spark.conf.unset("spark.bytesift.broadcastBytes")
-    if not chosen.broadcast:
-        (exchanged,) = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "_salt" in x][:1]
-        assert "_salt" in exchanged and "_at#" not in plan
+    assert (chosen.broadcast, chosen.broadcast_shapes) == (False, True)
+    exchanged = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "_salt" in x]
+    assert exchanged and "_at#" not in plan
+
+
+def test_windows_are_filtered_before_they_are_shuffled(spark, stored):
+    """A bitmap of the anchors is asked first: what may not meet one is in no exchange."""
+    texts = spark.read.parquet(stored)
+    patterns = pattern_table(spark, {**MANY, 90: b"text 7", 91: b"xt 42"})
+    spark.conf.set("spark.bytesift.broadcastBytes", "0")
+    try:
+        df = find_matches_multi(texts, patterns, "hash")
+        lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        # what is shuffled of the windows has met the bitmap just below
+        (shuffled,) = [i for i, x in enumerate(lines) if "Exchange hashpartitioning(_h#" in x and "_salt" in x][:1]
+        (bitmap,) = [i for i, x in enumerate(lines) if "BroadcastHashJoin [_row#" in x and "_bitmap#" in x]
+        assert shuffled < bitmap and not any("Exchange" in x for x in lines[shuffled + 1 : bitmap])
+        expected = sorted(map(tuple, df.collect()))
+        spark.conf.set("spark.bytesift.filterBytes", "0")
+        without = find_matches_multi(texts, patterns, "hash")
+        assert "_bitmap" not in physical(without)
+        assert sorted(map(tuple, without.collect())) == expected
+        assert len(expected) == 12
+    finally:
+        spark.conf.unset("spark.bytesift.broadcastBytes")
+        spark.conf.unset("spark.bytesift.filterBytes")
+
+
+def test_the_bitmap_lets_few_other_windows_through(spark, stored):
+    from bytesift.operators import windowed
+
+    bare = pattern_table(spark, MANY).selectExpr("pattern_id AS _id", "pattern AS _p")
+    search = choose(bare, "hash")
+    shapes = windowed._shapes(windowed.anchored(bare, search.classes), search)
+    other = spark.range(200_000).selectExpr("xxhash64(id, 'x') AS _h").withColumn("mine", F.lit(False))
+    windows = other.unionByName(shapes.select("_h").withColumn("mine", F.lit(True)))
+    passed = windowed._that_may_meet(windows, shapes, search)
+    assert passed.where("mine").count() == shapes.count()
+    assert passed.where("NOT mine").count() <= 200_000 / windowed.BITS_PER_ANCHOR * 1.1
 
 
 def test_filtered_pattern_source_keeps_its_scan_partitions(spark, stored):

@@ -98,8 +98,8 @@ def test_stream_to_files_with_any_number_of_patterns(spark, tmp_path):
     p = pattern_table(spark, PATTERNS)
     spark.conf.set("spark.bytesift.broadcastBytes", "0")
     try:
-        with pytest.raises(ValueError, match="micro-batch"):
-            stream_find_matches(stream, p, "hash", text_id="key")
+        df = stream_find_matches(stream, p, "hash", text_id="key")
+        assert rows(run(df, "passes", "append", tmp_path)) == brute(texts, PATTERNS)
         query = write_stream_matches(
             stream, p, str(tmp_path / "out"), str(tmp_path / "cp"), text_id="key", strategy="hash"
         )
@@ -140,6 +140,55 @@ def test_windowed_totals_with_watermark(spark, tmp_path):
         stream_pattern_totals(stream, pattern_table(spark, PATTERNS), window="1 minute")
 
 
+def test_a_stream_takes_more_anchors_than_may_be_broadcast(spark, tmp_path, monkeypatch):
+    """In several passes, each over a slice of the anchors."""
+    from bytesift.operators import windowed
+
+    monkeypatch.setattr(windowed, "LEAST_SLICE", 200)
+    rng = random.Random(3)
+    patterns = {i: bytes(rng.choice(b"ab") for _ in range(rng.randint(1, 30))) for i in range(20)}
+    _, cut_up = pieces(9, keys=2, total=120)
+    texts = {f"{k}-{t}": b for k, t, b in cut_up}
+    stream = write_batches(spark, tmp_path / "in", [stamped([(f"{k}-{t}", t, b) for k, t, b in cut_up])])
+    spark.conf.set("spark.bytesift.broadcastBytes", "0")
+    try:
+        df = stream_find_matches(stream, pattern_table(spark, patterns), "hash", text_id="key")
+        assert df._jdf.queryExecution().analyzed().toString().count("Union") >= 1
+        got = rows(run(df, "slices", "append", tmp_path))
+    finally:
+        spark.conf.unset("spark.bytesift.broadcastBytes")
+    assert got == brute(texts, patterns)
+
+
+def test_sliding_totals_with_zeros(spark, tmp_path):
+    """Each closed window has every pattern; late texts count in no closed window."""
+    import datetime as dt
+
+    _, cut_up = pieces(4)
+    a, b = cut_up[:20], cut_up[20:40]
+    nothing = [("k", 0, b"zzz")]
+    feeds = [stamped(a, 1) + stamped(nothing, 16), stamped(a, 2) + stamped(b, 17), stamped(nothing, 59)]
+    p = pattern_table(spark, {**PATTERNS, 9: b"never"})
+    out = str(tmp_path / "out")
+
+    def start(stream):
+        df = stream_pattern_totals(stream, p, "ts", "10 minutes", "5 minutes", "1 minute", zeros=True)
+        return (
+            df.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "cp"))
+            .trigger(availableNow=True).start()
+        )
+
+    fed(spark, tmp_path, feeds, start)
+    got = rows(spark.read.parquet(out).selectExpr("minute(window_start) AS m", "hour(window_start) AS h", "pattern_id", "n_matches"), "h", "m", "pattern_id", "n_matches")
+    count = lambda part, q: sum(len(starts(x, q)) for _, _, x in part)
+    expected = []
+    for h, m, part in ((23, 55, a), (0, 0, a), (0, 10, b), (0, 15, b)):  # the first two closed before a came again
+        expected += [(h, m, i, count(part, q)) for i, q in {**PATTERNS, 9: b"never"}.items()]
+    assert got == sorted(expected)
+    with pytest.raises(ValueError, match="watermark"):
+        stream_pattern_totals(spark.readStream.schema(PIECE).parquet(f"{tmp_path}/in/b*"), p, "ts", "10 minutes", zeros=True)
+
+
 @pytest.mark.parametrize("dense", [True, False])
 def test_matches_across_pieces(spark, tmp_path, dense):
     texts, cut_up = pieces(5)
