@@ -24,6 +24,7 @@ import html as entities
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,6 +43,7 @@ BLOCK = set(
 OUTSIDE = set("nav header footer aside form menu dialog button select option head fieldset".split())
 # Of these, what never holds the article; a form or header may be put around a whole page.
 MENUS = set("nav footer aside menu button select option head".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 # What can be the main region; paragraphs, lists and the like are in one.
 PARTS = set("html body div section article main center form header dialog fieldset table tbody tr td".split())
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "dialog"}
@@ -84,7 +86,7 @@ def _attributes(rest: str) -> dict[str, str]:
 
 
 # What an element is by its own names.
-HIDDEN, OUTER, NAMED, MAIN, NEVER, TITLE, HOLDER = 1, 2, 4, 8, 16, 32, 64
+HIDDEN, OUTER, NAMED, MAIN, NEVER, TITLE, HOLDER, HEADING = 1, 2, 4, 8, 16, 32, 64, 128
 
 
 def _kind(tag: str, attributes: dict[str, str]) -> int:
@@ -102,7 +104,14 @@ def _kind(tag: str, attributes: dict[str, str]) -> int:
         names = re.split(r"[^A-Za-z0-9]+", f"{attributes.get('class', '')} {attributes.get('id', '')}".lower())
         if any(n in ASIDE_WORDS for n in names):
             kind |= NAMED
-    return kind | (TITLE if tag == "h1" else 0) | (HOLDER if tag in PARTS else 0)
+    return kind | (TITLE if tag == "h1" else 0) | (HOLDER if tag in PARTS else 0) | (HEADING if tag in HEADINGS else 0)
+
+
+@lru_cache(maxsize=1 << 14)
+def _element(tag: str, rest: str) -> tuple[int, str]:
+    """The flags of an element, and its tag with its class; few differ on a host."""
+    attributes = _attributes(rest)
+    return _kind(tag, attributes), tag + ("." + attributes["class"] if attributes.get("class") else "")
 
 
 def _token(parent: int, kind: str, value: str) -> int:
@@ -111,6 +120,16 @@ def _token(parent: int, kind: str, value: str) -> int:
     return int.from_bytes(hashed.digest(), "little", signed=True)
 
 
+@lru_cache(maxsize=1 << 16)
+def _tag_token(parent: int, label: str) -> int:
+    return _token(parent, "/", label)
+
+
+# Elements nested deeper than this count as children of the one at this depth, with the
+# flags of those between; so a path has a bounded length however many tags stay open.
+DEPTH = 128
+
+
 class Page:
     """The elements of one page and its blocks of text, each with the element it is in."""
 
@@ -144,6 +163,8 @@ class Page:
     def _read(self, source: str) -> None:
         stack: list[tuple[str, int]] = []  # tag, element
         pieces: list[str] = []
+        depths: list[int] = []
+        still_open: Counter[str] = Counter()
         at = 0
 
         def flush() -> None:
@@ -153,9 +174,14 @@ class Page:
                 self.at.append(stack[-1][1] if stack else -1)
                 self.texts.append(text)
 
+        def leave(n: int) -> None:
+            for tag, _ in stack[n:]:
+                still_open[tag] -= 1
+            del stack[n:]
+
         def close(n: int) -> None:
             flush()
-            del stack[n:]
+            leave(n)
 
         while True:
             found = TOKEN.search(source, at)
@@ -168,16 +194,16 @@ class Page:
                 continue
             tag = found["tag"].lower()
             if found["end"]:
-                for n in range(len(stack) - 1, -1, -1):
-                    if stack[n][0] == tag:
-                        if tag in BLOCK or any(t in BLOCK for t, _ in stack[n:]):
-                            close(n)
-                        else:
-                            del stack[n:]
-                        break
-                else:
+                if not still_open[tag]:
                     if tag in BLOCK:
                         flush()
+                    continue
+                n = len(stack) - 1
+                while stack[n][0] != tag:
+                    n -= 1
+                if tag in BLOCK or any(t in BLOCK for t, _ in stack[n:]):
+                    flush()
+                leave(n)
                 continue
             if tag in RAW:
                 end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
@@ -193,14 +219,18 @@ class Page:
                         break
                     if stack[n][0] in BLOCK:
                         break
-            attributes = _attributes(found["rest"])
-            label = tag + ("." + attributes["class"] if attributes.get("class") else "")
+            kind, label = _element(tag, found["rest"])
             parent = stack[-1][1] if stack else -1
+            if parent >= 0 and depths[parent] >= DEPTH:
+                kind |= self.kinds[parent] & (HIDDEN | OUTER | NAMED | NEVER)
+                parent = self.parents[parent]
+            depths.append(depths[parent] + 1 if parent >= 0 else 1)
             self.parents.append(parent)
-            self.tokens.append(_token(self.tokens[parent] if parent >= 0 else 0, "/", label))
-            self.kinds.append(_kind(tag, attributes))
+            self.tokens.append(_tag_token(self.tokens[parent] if parent >= 0 else 0, label))
+            self.kinds.append(kind)
             if tag not in VOID:
                 stack.append((tag, len(self.tokens) - 1))
+                still_open[tag] += 1
         flush()
 
 
@@ -247,7 +277,7 @@ def _by_slots(page: Page, words: list[int], slots: dict[int, int], fixed: set[in
     for e, word, text in zip(page.at, words, page.texts):
         if e < 0:
             if here is None:
-                kept.append((word, text))
+                kept.append((False, word, text))
             continue
         last = next((n for n, a in enumerate(above[e]) if page.tokens[a] == here), None)
         if (here is not None and last is None) or any(page.kinds[a] & HIDDEN for a in above[e]):
@@ -255,12 +285,15 @@ def _by_slots(page: Page, words: list[int], slots: dict[int, int], fixed: set[in
         inside = above[e][:last]
         # a name says what a slot is; in what is a page's own it says nothing
         if not any(page.kinds[a] & OUTER or (page.kinds[a] & NAMED and page.tokens[a] in slots) for a in inside):
-            kept.append((word, text))
+            kept.append((any(page.kinds[a] & HEADING for a in above[e][:1]), word, text))
+    # what an article, or a heading of any region, shares with other pages is its own
+    if here in main:
+        return [t for _, _, t in kept] or None
     # a region that is mostly the same on other pages is a copy, not a template
-    same = sum(len(t) for w, t in kept if w in fixed)
-    if 2 * same > sum(len(t) for _, t in kept):
-        return [t for _, t in kept] or None
-    return [t for w, t in kept if w not in fixed] or None
+    same = sum(len(t) for _, w, t in kept if w in fixed)
+    if 2 * same > sum(len(t) for _, _, t in kept):
+        return [t for _, _, t in kept] or None
+    return [t for heading, w, t in kept if heading or w not in fixed] or None
 
 
 def _by_names(page: Page) -> list[str]:
@@ -269,25 +302,34 @@ def _by_names(page: Page) -> list[str]:
     The main slot is the longest article or main, or else each element with more than
     half of the text; what is around it is not left out for its names.
     """
-    above = [page.above(e) for e in range(len(page.tokens))]
-    out = [any(page.kinds[a] & (HIDDEN | NEVER) for a in chain) for chain in above]
+    # parents come first: flags go down in one sweep, lengths go up in one back
+    out = _down(page, lambda e: bool(page.kinds[e] & (HIDDEN | NEVER)))
     inside = [0] * len(page.tokens)
     for e, text in zip(page.at, page.texts):
         if e >= 0 and not out[e]:
-            for a in above[e]:
-                inside[a] += len(text)
+            inside[e] += len(text)
+    for e in range(len(page.tokens) - 1, -1, -1):
+        if page.parents[e] >= 0:
+            inside[page.parents[e]] += inside[e]
     mains = [e for e, kind in enumerate(page.kinds) if kind & MAIN and inside[e]]
     if mains:
-        holds = set(above[max(mains, key=lambda e: inside[e])])
+        holds = set(page.above(max(mains, key=lambda e: inside[e])))
     else:
         whole = sum(len(t) for e, t in zip(page.at, page.texts) if e < 0 or not out[e])
         holds = {e for e, n in enumerate(inside) if 2 * n > whole}
-    found = []
-    for e, text in zip(page.at, page.texts):
-        chain = above[e] if e >= 0 else []
-        if not any(page.kinds[a] & (HIDDEN | NEVER) or (page.kinds[a] & (OUTER | NAMED) and a not in holds) for a in chain):
-            found.append((any(page.kinds[a] & MAIN for a in chain), text))
-    return [text for is_main, text in found if is_main or not any(m for m, _ in found)]
+    left = _down(page, lambda e: bool(page.kinds[e] & (HIDDEN | NEVER) or (page.kinds[e] & (OUTER | NAMED) and e not in holds)))
+    main = _down(page, lambda e: bool(page.kinds[e] & MAIN))
+    found = [(e >= 0 and main[e], text) for e, text in zip(page.at, page.texts) if e < 0 or not left[e]]
+    any_main = any(m for m, _ in found)
+    return [text for is_main, text in found if is_main or not any_main]
+
+
+def _down(page: Page, own) -> list[bool]:
+    """Whether ``own`` holds for each element or one around it."""
+    held: list[bool] = []
+    for e, parent in enumerate(page.parents):
+        held.append((parent >= 0 and held[parent]) or own(e))
+    return held
 
 
 def _host() -> F.Column:

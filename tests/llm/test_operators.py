@@ -345,6 +345,33 @@ def test_main_text_by_slots(spark):
     assert {r.page_id: r.text for r in got} == expected
 
 
+def test_what_articles_share_stays(spark):
+    """Headings, separators and named paragraphs that all pages of a host have in their article."""
+    def article(i):
+        own = " ".join(f"w{i}x{j}" for j in range(20))
+        return f"<h1>T{i}</h1><h2>Summary</h2><p>{own}</p><p>* * *</p><h2>References</h2><p>r{i}</p>", f"T{i}\n\nSummary\n\n{own}\n\n* * *\n\nReferences\n\nr{i}"
+
+    rows = [(i, "http://a.b/", f"<body><nav>menu</nav><article>{article(i)[0]}</article><footer>f</footer></body>") for i in range(6)]
+    rows += [(10 + i, "http://c.d/", f'<body><div class="top">menu</div><div class="x">{article(i)[0]}</div></body>') for i in range(6)]
+    got = {r.page_id: r.text for r in html.main_text(spark.createDataFrame(rows, "page_id LONG, url STRING, html STRING")).collect()}
+    assert all(got[i] == article(i)[1] for i in range(6))
+    assert all("Summary" in got[10 + i] and "References" in got[10 + i] and "menu" not in got[10 + i] for i in range(6))
+
+
+def test_pages_that_close_nothing_take_linear_time():
+    import time
+
+    def seconds(n):
+        began = time.process_time()
+        page = html.Page("<div><font>row" * n)
+        assert html._by_names(page) == ["row"] * n and max(len(page.above(e)) for e in range(len(page.tokens))) <= html.DEPTH
+        return time.process_time() - began
+
+    seconds(100)
+    assert seconds(8000) < 1
+    assert html._by_names(html.Page("<div>" * 300 + "<div hidden>" + "<div>" * 300 + "gone")) == []
+
+
 def test_attributes_and_formulas(spark):
     page = (
         """<article><p title="the hidden cost">a</p><section aria-label="Hidden history">b</section><p data-id="comment">c</p><p data-class='ad'>d</p>"""
