@@ -147,26 +147,28 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, prior:
     labels = labels[full].astype(np.float32) if full else np.zeros(0, np.float32)
     if not full or labels.min() == labels.max():
         return Model(np.zeros(size, np.float32), 20.0 if full and labels[0] else -20.0)
-    keys = np.concatenate([bags[i][0] for i in full])
-    weights = np.concatenate([bags[i][1] for i in full])
-    row_of = np.repeat(np.arange(len(full), dtype=np.int32), [len(bags[i][0]) for i in full])
     n = len(full)
     rng = np.random.default_rng(seed)
     aside = rng.random(n) < 0.2
     if len(set(labels[aside])) < 2 or len(set(labels[~aside])) < 2:
         aside = np.zeros(n, dtype=bool)
     test = aside if aside.any() else ~aside
-    fitted = ~aside[row_of]
-    ones = np.bincount(keys[fitted], weights=labels[row_of[fitted]], minlength=size)
-    every = np.bincount(keys[fitted], minlength=size)
+    # counted bag by bag: only what gets a vector is ever put together
+    ones, every = np.zeros(size), np.zeros(size)
+    for i, label, left_out in zip(full, labels, aside):
+        if not left_out:
+            every[bags[i][0]] += 1  # a bag has each bucket once
+            if label:
+                ones[bags[i][0]] += 1
     n_ones, n_fit = labels[~aside].sum(), (~aside).sum()
     mean = every / n_fit
     spread = np.sqrt(mean * (1 - mean) * (1 / n_ones + 1 / (n_fit - n_ones))) + 1e-9
-    z = (ones / n_ones - (every - ones) / (n_fit - n_ones)) / spread
-    telling = (np.abs(z) >= LEAST_Z)[keys]
-    if not telling.any():
-        telling = (np.abs(z) >= np.abs(z).max())[keys]
-    keys, weights, row_of = keys[telling], weights[telling], row_of[telling]
+    z = np.abs((ones / n_ones - (every - ones) / (n_fit - n_ones)) / spread)
+    telling = z >= min(LEAST_Z, z[every > 0].max())
+    kept = [telling[bags[i][0]] for i in full]
+    keys = np.concatenate([bags[i][0][k] for i, k in zip(full, kept)])
+    weights = np.concatenate([bags[i][1][k] for i, k in zip(full, kept)])
+    row_of = np.repeat(np.arange(n, dtype=np.int32), [int(k.sum()) for k in kept])
     used, local = np.unique(keys, return_inverse=True)
     m = len(used)
     wanted = np.stack([1 - labels, labels], axis=1)
@@ -274,9 +276,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     A NULL or empty text scores the model's bias; equal texts score the same.
     """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            odds = 1 / (1 + np.exp(-np.clip(log_odds(batch["text"], model), -30, 30)))
+            odds = 1 / (1 + np.exp(-np.clip(log_odds(batch["text"], shared.value), -30, 30)))
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], pa.array(odds)], ["doc_id", "held_out", "score"])
 
     rows = docs.select("doc_id", held_out().alias("held_out"), "text")
@@ -287,11 +291,13 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def accepted(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs``, all columns, whose text is not predicted toxic."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = batch.column(at)
             # the same comparison as in ``score``
-            odds = 1 / (1 + np.exp(-np.clip(log_odds(text, model), -30, 30)))
+            odds = 1 / (1 + np.exp(-np.clip(log_odds(text, shared.value), -30, 30)))
             yield batch.filter(pa.array(odds < THRESHOLD))
 
     at = docs.columns.index("text")
