@@ -139,8 +139,9 @@ class Network:
     temperature: float
 
     def log_odds(self, x: np.ndarray) -> np.ndarray:
-        hidden = np.tanh(((x - self.centre) / self.scale) @ self.first + self.first_bias)
-        return (hidden @ self.second + self.second_bias) / self.temperature
+        # einsum adds in one order for every row, so equal rows score the same in any batch
+        hidden = np.tanh(np.einsum("ij,jk->ik", (x - self.centre) / self.scale, self.first) + self.first_bias)
+        return (np.einsum("ij,j->i", hidden, self.second) + self.second_bias) / self.temperature
 
 
 def train(x: np.ndarray, y: np.ndarray, prior: float, seed: int = 8) -> Network:
