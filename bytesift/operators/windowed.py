@@ -29,6 +29,8 @@ WINDOWS_PER_STRETCH = 1 << 14
 MAX_STRETCH = 1 << 20
 # Bytes of text per fetched slice in the shuffled path.
 FETCH_BLOCK = 1 << 16
+# Last windows that a shape keeps.
+ENDS_KEPT = 64
 # Bits of the bitmap per anchor, before it is rounded up to a power of two.
 BITS_PER_ANCHOR = 16
 # Bytes of anchor shapes that one pass over a stream takes at least.
@@ -70,13 +72,26 @@ def anchored(patterns: DataFrame, classes: list[WindowClass]) -> DataFrame:
     return classed.selectExpr("*", f"transform(sequence(0, _s - 1), r -> {best}) AS _offsets")
 
 
-def _shapes(anchors: DataFrame, search: Search) -> DataFrame:
-    """Distinct (_h, _j, _m): window hash, its offset, length of the pattern."""
+def _shapes(anchors: DataFrame, search: Search, ends: bool = False) -> DataFrame:
+    """Distinct (_h, _j, _m): window hash, its offset, length of the pattern.
+
+    With ``ends`` also _e, the hash of the pattern's last window.
+    """
     if search.stats.count * search.classes[0].stride <= FEW_ANCHORS:
         anchors = anchors.repartition(1)  # not coalesce: that would scan the source in one task
     # explode_outer: no filter on _offsets is inferred and computed again
     windows = anchors.selectExpr("_p", "_m", "_q", "_s", "explode_outer(_offsets) AS _j")
-    return windows.selectExpr(f"xxhash64(_q, _s, {cut('_p', '_j', '_q')}) AS _h", "_j", "_m").distinct()
+    end = [f"xxhash64(_q, _s, {cut('_p', '_m - _q', '_q')}) AS _e"] if ends else []
+    return windows.selectExpr(f"xxhash64(_q, _s, {cut('_p', '_j', '_q')}) AS _h", "_j", "_m", *end).distinct()
+
+
+def _ended_shapes(shapes: DataFrame) -> DataFrame:
+    """(_h, _j, _m, _ends): each shape once, with the hashes of its patterns' last windows.
+
+    A shape of more than ENDS_KEPT of them has NULL instead: any end may do.
+    """
+    ends = F.collect_list("_e")
+    return shapes.groupBy("_h", "_j", "_m").agg(F.when(F.count("*") <= ENDS_KEPT, ends).alias("_ends"))
 
 
 def _text_windows(texts: DataFrame, classes: list[WindowClass]) -> DataFrame:
@@ -94,6 +109,7 @@ def _text_windows(texts: DataFrame, classes: list[WindowClass]) -> DataFrame:
         .selectExpr(
             *kept,
             f"{byte_length('_b')} AS _n",
+            "_q",
             "_s",
             "_w",
             f"xxhash64(_q, _s, {cut('_b', '_w', '_q')}) AS _h",
@@ -138,25 +154,37 @@ def _in_passes(texts: DataFrame, keys: list[str], anchors: DataFrame, search: Se
     return reduce(DataFrame.unionByName, found)
 
 
-def _broadcast_positions(
+def _candidates(
     texts: DataFrame, keys: list[str], anchors: DataFrame, search: Search, of_slice: tuple[int, int] = (0, 1)
 ) -> DataFrame:
-    """The shapes (of one slice) broadcast: the text never leaves its task.
+    """keys, _j, _ts, _pos and _p: the bytes that would have to equal a pattern.
 
-    The patterns are broadcast too if they fit; else what was cut out of the
-    texts, and nothing more, is shuffled to them, salted against hot patterns.
+    A window that many lengths of pattern share, such as a common prefix, meets a shape
+    for each of them; only those whose last window stands where it should are cut out.
     """
-    kept = [quoted(k) for k in keys]
-    shapes = _shapes(anchors, search)
+    shapes = _shapes(anchors, search, ends=True)
     if of_slice[1] > 1:
         shapes = shapes.where(f"pmod(_h, {of_slice[1]}L) = {of_slice[0]}")
-    shapes = F.broadcast(shapes)
-    held = (
+    end = f"xxhash64(_q, _s, {cut('_b', f'{START} + (_m - _q)', '_q')})"
+    return (
         _text_windows(texts, search.classes)
-        .join(shapes, "_h")
+        .join(F.broadcast(_ended_shapes(shapes)), "_h")
         .where(INSIDE)
-        .selectExpr(*kept, "_j", "_s AS _ts", f"{START} AS _pos", f"{cut('_b', START, '_m')} AS _p")
+        .where(f"_ends IS NULL OR array_contains(_ends, {end})")
+        .selectExpr(*map(quoted, keys), "_j", "_s AS _ts", f"{START} AS _pos", f"{cut('_b', START, '_m')} AS _p")
     )
+
+
+def _broadcast_positions(
+    texts: DataFrame, keys: list[str], anchors: DataFrame, search: Search, of_slice: tuple[int, int] = (0, 1)
+) -> DataFrame:
+    """The shapes (of one slice) broadcast: the text never leaves its task.
+
+    The patterns are broadcast too if they fit; else what was cut out of the
+    texts, and nothing more, is shuffled to them, salted against hot patterns.
+    """
+    kept = [quoted(k) for k in keys]
+    held = _candidates(texts, keys, anchors, search, of_slice)
     whole = anchors.selectExpr("_id", "_p", "_m", "_s AS _ts", "_offsets")
     if search.broadcast:
         met = held.join(F.broadcast(whole), ["_p", "_ts"])

@@ -211,3 +211,35 @@ def test_contains_filter(spark):
     assert rows(contains_filter(t, b"\xff", negate=True), "text_id") == [(1,), (2,), (3,)]
     with pytest.raises(ValueError):
         contains_filter(t, "")
+
+
+def test_patterns_of_many_lengths_with_one_prefix(spark):
+    """Of the lengths that share a window only those whose end stands there are cut out."""
+    from bytesift.operators import windowed
+
+    rng = random.Random(11)
+    prefix = bytes(rng.choice(b"abcdefgh") for _ in range(70))
+    patterns = {k: prefix + bytes(rng.choice(b"ijklm") for _ in range(k)) for k in range(1, 1500)}
+    texts = {i: bytes(rng.choice(b"nop") for _ in range(rng.randint(0, 50))) + patterns[rng.randint(1, 1499)] + b"q" * 1500 for i in range(12)}
+    texts[99] = prefix * 30
+    table, listed = text_table(spark, texts), pattern_table(spark, patterns)
+    got = rows(find_matches_multi(table, listed, "hash"))
+    assert got == brute(texts, patterns) and len(got) >= 12
+    bare = listed.selectExpr("pattern_id AS _id", "pattern AS _p")
+    search = choose(bare, "hash")
+    sliced = table.selectExpr("text_id", "body AS _b")
+    windows = windowed._text_windows(sliced, search.classes).count()
+    found = windowed._candidates(sliced, ["text_id"], windowed.anchored(bare, search.classes), search)
+    assert found.count() <= 2 * (len(got) + windows)
+
+
+def test_a_shape_of_many_ends_takes_any(spark, monkeypatch):
+    from bytesift.operators import windowed
+
+    monkeypatch.setattr(windowed, "ENDS_KEPT", 3)
+    rng = random.Random(12)
+    prefix = b"a prefix that is longer than two windows of the longest class, and more"
+    patterns = {k: prefix + b"%05d" % k for k in range(40)}
+    texts = {i: b"x" * rng.randint(0, 40) + patterns[rng.randrange(40)] + patterns[rng.randrange(40)] for i in range(10)}
+    got = rows(find_matches_multi(text_table(spark, texts), pattern_table(spark, patterns), "hash"))
+    assert got == brute(texts, patterns)
