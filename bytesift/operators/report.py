@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -12,10 +14,6 @@ from pyspark.sql import functions as F
 from bytesift.operators.chunks import chunk_texts, find_matches_chunked
 from bytesift.operators.search import find_matches_multi
 
-# Parts that the rows of one pattern are first ranked in, so that a pattern with
-# a third of all matches is not ranked in one task.
-RANK_PARTS = 64
-
 
 def pattern_totals(
     matches_or_counts: DataFrame, patterns: DataFrame, pattern_id: str = "pattern_id"
@@ -59,8 +57,11 @@ def match_report(
     """
     listed = matches.select("pattern_id", "text_id", (F.col("byte_pos") + 1).alias("position"))
     if limit is not None:
-        part = F.pmod(F.xxhash64("text_id", "position"), F.lit(RANK_PARTS))
-        listed = _first(listed.withColumn("_part", part), ["pattern_id", "_part"], limit)
+        # a task passes on at most ``limit`` rows of a pattern, and these are ranked in as
+        # many parts as a shuffle has, so a pattern with a third of all matches is spread
+        spread = int(matches.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        part = F.pmod(F.xxhash64("text_id", "position"), F.lit(spread))
+        listed = _first(_first_in_task(listed, limit).withColumn("_part", part), ["pattern_id", "_part"], limit)
         listed = _first(listed, ["pattern_id"], limit).drop("_part")
     id_type = matches.schema["text_id"].dataType
     lines = listed.select(
@@ -74,6 +75,28 @@ def match_report(
     return lines.unionByName(totals).orderBy("pattern_id", "kind", "text_id", "position")
 
 
+def _first_in_task(listed: DataFrame, limit: int) -> DataFrame:
+    """The first ``limit`` rows of each pattern of each task, before any shuffle."""
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, had = None, 0  # the pattern of the row before, and how many rows it had
+        for batch in batches:
+            if not len(batch):
+                continue
+            column = batch["pattern_id"]
+            codes = column.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            new = np.ones(len(codes), dtype=bool)
+            new[1:] = np.diff(codes) != 0
+            starts = np.flatnonzero(new)
+            place = np.arange(len(codes)) - np.repeat(starts, np.diff(np.append(starts, len(codes))))
+            if had and column[0].as_py() == last:
+                end = starts[1] if len(starts) > 1 else len(codes)
+                place[:end] += had
+            last, had = column[-1].as_py(), int(place[-1]) + 1
+            yield batch.filter(pa.array(place < limit))
+
+    return listed.sortWithinPartitions("pattern_id", "text_id", "position").mapInArrow(keep, listed.schema)
+
+
 def _first(listed: DataFrame, by: list[str], limit: int) -> DataFrame:
     rank = F.row_number().over(W.partitionBy(*by).orderBy("text_id", "position"))
     return listed.withColumn("_rank", rank).where(F.col("_rank") <= limit).drop("_rank")

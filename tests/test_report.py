@@ -1,3 +1,4 @@
+import pytest
 from helpers import brute, pattern_table, rows, starts, text_table
 
 from bytesift.operators.report import compare_strategies, diff_matches, match_report, pattern_totals
@@ -68,3 +69,22 @@ def test_write_matches(spark, tmp_path):
     ]
     totals = spark.read.parquet(str(tmp_path / "parted" / "totals"))
     assert rows(totals, "pattern_id", "n_matches") == [(0, 3), (1, 2), (2, 0), (3, 2)]
+
+
+@pytest.mark.parametrize("limit", [1, 3, 5000])
+def test_each_task_passes_on_its_first_rows(spark, limit):
+    """However many rows are wanted, they are cut in their task, before any shuffle."""
+    import random
+
+    rng = random.Random(limit)
+    listed = [(rng.randrange(3000), rng.choice([0, 0, 0, 1, 2, None]), rng.randrange(1 << 40)) for _ in range(30_000)]
+    matches = spark.createDataFrame(listed, "text_id BIGINT, pattern_id INT, byte_pos BIGINT").repartition(5)
+    report = match_report(matches, pattern_table(spark, {i: b"x" for i in range(4)}), limit)
+    lines = report._jdf.queryExecution().executedPlan().toString().splitlines()
+    (cut,) = [i for i, x in enumerate(lines) if "MapInArrow" in x]
+    assert any("Exchange hashpartitioning(pattern_id" in x and "_part" in x for x in lines[:cut])
+    got = [(r.pattern_id, r.text_id, r.position - 1) for r in report.collect() if r.kind == "match" and r.pattern_id is not None]
+    expected = []
+    for p in (0, 1, 2):
+        expected += [(p, t, at) for t, at in sorted((t, at) for t, q, at in listed if q == p)[:limit]]
+    assert got == expected
