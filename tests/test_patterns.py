@@ -101,3 +101,26 @@ def test_mask_of_long_text_without_a_match(spark):
     texts = spark.createDataFrame([(1, "ab"), (2, "x" * 50)], "text_id BIGINT, body STRING")
     matches = find_matches(texts, "b")
     assert [r.mask for r in match_mask(texts, matches, max_len=10).collect()] == [[0, 1]]
+
+
+@pytest.mark.parametrize("mark, end", [(b"", b""), (b"\xef\xbb\xbf", b"\n"), (b"\xef\xbb\xbf", b""), (b"", b"\n")])
+def test_a_list_is_read_by_byte_ranges(spark, tmp_path, monkeypatch, mark, end):
+    """Many ranges give the line numbers of the file; ranges are summed in two levels."""
+    from bytesift.sources import patterns
+
+    rng = random.Random(len(mark) + len(end))
+    listed = [bytes(rng.choice(b"ab\r\xff\xc3\x00") for _ in range(rng.choice([0, 1, 7, 40, 300]))) for _ in range(400)] + [b"x"]
+    raw = mark + b"\n".join(listed) + end
+    (tmp_path / "p.txt").write_bytes(raw)
+    monkeypatch.setattr(patterns, "STRETCH_BYTES", 4000)
+    had = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    try:
+        table = read_patterns(spark, str(tmp_path / "p.txt"), keep_invalid=True)
+        lines = spark.read.option("lineSep", "\n").text(str(tmp_path / "p.txt"))
+        assert lines.rdd.getNumPartitions() > 20
+        got = {r.pattern_id: bytes(r.pattern) for r in table.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", had)
+    listed[0] = mark + listed[0]
+    assert got == dict(enumerate(listed))
