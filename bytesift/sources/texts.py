@@ -40,6 +40,10 @@ def read_texts(
     return spread(named, "text_id", min_partitions)
 
 
+# Bytes of files that one task reads.
+TASK_BYTES = 128 << 20
+
+
 def _range_reader():
     """The task that reads each row's byte range, on any storage Arrow knows.
 
@@ -99,5 +103,7 @@ def read_text_ranges(
         F.least(F.lit(size), F.col("length") - F.col("start")).cast("int").alias("owned"),
         F.lit(max_pattern_len - 1).alias("overlap"),
     )
-    wanted = num_partitions or spark.sparkContext.defaultParallelism
-    return ranges.repartition(wanted, "path", "start").mapInArrow(_range_reader(), CHUNK_SCHEMA)
+    if num_partitions is None:  # as many as the listed bytes fill, and one for each core
+        listed_bytes = listed.agg(F.sum("length")).first()[0] or 0
+        num_partitions = max(spark.sparkContext.defaultParallelism, -(-listed_bytes // TASK_BYTES))
+    return ranges.repartition(num_partitions, "path", "start").mapInArrow(_range_reader(), CHUNK_SCHEMA)

@@ -13,10 +13,13 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from bytesift.functions import as_bytes, byte_length, cut, quoted
 from bytesift.operators.search import normal_patterns, positions
+from bytesift.plans import fresh_folder
 from bytesift.plans.choice import choose
 
 # New bytes after which the stateful step emits a row, however many pieces come.
 ROW_BYTES = 1 << 22
+# Ranges that stored pieces are dealt to at most.
+MOST_RANGES = 20_000
 # Bytes of text per block when stored pieces are put together.
 BLOCK = 1 << 16
 
@@ -245,18 +248,29 @@ def write_stream_across(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def _in_ranges(pieces: DataFrame) -> DataFrame:
+    """(key, _order, _size, _range): the pieces in as many ranges as a range has pieces.
+
+    The ranges are those of Spark's range partitioning by key and order, which samples
+    both: a long key is cut into many, however its order numbers are spread.  They are
+    written, so that every later reading sees the same ones.
+    """
+    spark = pieces.sparkSession
+    sized = pieces.selectExpr("key", "_order", f"CAST({byte_length('_b')} AS BIGINT) AS _size")
+    wanted = min(MOST_RANGES, math.isqrt(sized.count()) + 1)
+    ranged = sized.repartitionByRange(wanted, "key", "_order").withColumn("_range", F.spark_partition_id())
+    folder = fresh_folder(spark, "ranges")
+    ranged.write.parquet(folder)
+    return spark.read.schema(ranged.schema).parquet(folder)
+
+
 def _with_offsets(pieces: DataFrame) -> DataFrame:
     """Add ``_from``, the offset of each piece in the text of its key.
 
-    The running length is taken in two levels, inside ranges of order numbers
-    and over those ranges, so no task ever sorts all pieces of a long key.
+    The running length is taken in two levels, inside ranges of pieces and over
+    those ranges, so no task ever sorts all pieces of a long key.
     """
-    lowest, highest = pieces.agg(F.min("_order"), F.max("_order")).first()
-    lowest, highest = (0, 0) if lowest is None else (lowest, highest)
-    width = math.isqrt(highest - lowest) + 1
-    ranged = pieces.selectExpr(
-        "*", f"(_order - {lowest}L) DIV {width} AS _range", f"CAST({byte_length('_b')} AS BIGINT) AS _size"
-    )
+    ranged = _in_ranges(pieces)
     before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     per_range = ranged.groupBy("key", "_range").agg(F.sum("_size").alias("_size"))
     range_starts = per_range.selectExpr(
@@ -265,14 +279,16 @@ def _with_offsets(pieces: DataFrame) -> DataFrame:
         f"coalesce(sum(_size) OVER (PARTITION BY key ORDER BY _range {before}), 0L) AS _range_from",
     )
     in_range = "OVER (PARTITION BY key, _range ORDER BY _order"
+    # pieces that share a number are in one range
     repeated = "raise_error(concat('piece ', _order, ' of a key is repeated'))"
     inside = ranged.selectExpr(
         "*",
         f"IF(lag(_order) {in_range}) = _order, {repeated}, coalesce(sum(_size) {in_range} {before}), 0L)) AS _inside",
     )
-    return inside.join(range_starts, ["key", "_range"]).selectExpr(
-        "key", "_b", "_range_from + _inside AS _from", "_range_from + _inside + _size AS _to"
+    offsets = inside.join(range_starts, ["key", "_range"]).selectExpr(
+        "key", "_order", "_range_from + _inside AS _from", "_range_from + _inside + _size AS _to"
     )
+    return pieces.join(offsets, ["key", "_order"]).select("key", "_b", "_from", "_to")
 
 
 def find_across(

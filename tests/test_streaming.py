@@ -380,3 +380,17 @@ def test_repeated_order_numbers_fail_in_the_batch_twin(spark):
     table = spark.createDataFrame(stamped([("k", 1, b"ab"), ("k", 1, b"ba"), ("k", 2, b"a")]), PIECE)
     with pytest.raises(Exception, match="repeated"):
         find_across(table, "key", "turn", pattern_table(spark, PATTERNS)).collect()
+
+
+def test_ranges_of_pieces_follow_the_order_numbers(spark):
+    """Epoch seconds and an outlier: ranges are cut by how many pieces there are."""
+    from bytesift.streaming import across
+
+    rng = random.Random(13)
+    n = 10_000
+    orders = rng.sample(range(1_700_000_000, 1_700_400_000), n) + [1]
+    table = spark.createDataFrame([("k", o, bytearray(b"ab")) for o in orders], "key STRING, _order BIGINT, _b BINARY").repartition(4)
+    ranged = across._in_ranges(table)
+    assert ranged.groupBy("key", "_range").count().agg({"count": "max"}).first()[0] < 2 * n**0.5
+    placed = across._with_offsets(table).select("_from").collect()
+    assert sorted(r["_from"] for r in placed) == list(range(0, 2 * len(orders), 2))
