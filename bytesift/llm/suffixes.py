@@ -1,16 +1,17 @@
-"""Repeated passages, by sparse suffixes.
+"""Repeated passages, from seeds at content-selected places.
 
 A passage of 50 words or more that stands in two places is found exactly, to the
 word, without sorting every suffix of the corpus:
 
 1. In each stretch of 50 words the 10-word seed with the smallest hash is chosen
-   by its content alone.  Only suffixes that start at chosen seeds are retained,
-   about one in 21; equal stretches choose the same one.
-2. Retained suffixes are brought together by their seeds.  A suffix whose seed
-   equals no neighbour's cannot lie in a repeated passage.
-3. Around the seeds that do repeat, a match is extended left and right: the
-   stretches of 50 words that chose the seed are compared, each with its equals,
-   and those that meet one are joined to maximal spans.
+   by its content alone: about one place in 21; equal stretches choose the same one.
+2. Chosen seeds are counted.  A stretch whose seed no other place has cannot lie in
+   a repeated passage.
+3. The stretches of 50 words that chose a repeated seed are grouped by a 64-bit hash,
+   and those that meet an equal one are joined to maximal spans.
+
+Suffixes are not sorted and neighbours not compared (README): comparing neighbours
+alone would miss a match that a third text hides.
 
 Texts that are equal as a whole are compared once: only the first of them, by
 doc_id, takes part, with the weight of all.
@@ -195,8 +196,8 @@ def repeated_spans(docs: DataFrame, size: int = MIN_WORDS, seed: int = SEED_WORD
 
     Per span: doc_id, start_word, n_words, start_char and end_char (code points),
     n_dropped words and ``drops``: the parts (code points) of which an occurrence
-    comes earlier, by (doc_id, place).  Words are compared byte for byte, white
-    space between them is not.  A text that is NULL, empty or shorter than
+    comes earlier, by (doc_id, place).  Words are compared by 64-bit hashes
+    of their bytes, stretches by a hash of those; white space between them is not compared.  A text that is NULL, empty or shorter than
     ``size`` words has no span.  Rows with a NULL doc_id are left out; rows with
     an equal doc_id and text are one document.  Other columns are not looked at.
     """
