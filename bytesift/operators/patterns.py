@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bytesift.functions import as_bytes, byte_length, cut, quoted
+from bytesift.functions import as_bytes, byte_length, quoted
 from bytesift.operators.search import normal_patterns, positions
 from bytesift.plans.choice import choose
 
@@ -47,17 +51,58 @@ def validate_patterns(
     return checked.where(F.col("reason").isNull()).drop("reason")
 
 
-def _common_prefix(shift: str) -> str:
-    """Length of the longest common prefix of ``_p`` and ``_p`` from ``shift`` on.
+# Bytes of patterns whose profiles are put into one batch of rows, about.
+PROFILE_BYTES = 1 << 20
+
+
+def _profiler(most: int = PROFILE_BYTES):
+    """The task that profiles its patterns.
 
-    Prefix equality is monotone in the length, so the length is found bit by bit.
+    A nested function: it travels to the executors by value, so they need Arrow
+    and numpy but not this package.
     """
-    bits = ", ".join(str(1 << b) for b in range(30, -1, -1))
-    longer = "known + bit"
-    fits = f"{shift} + {longer} <= _m AND {cut('_p', '0', longer)} = {cut('_p', shift, longer)}"
-    return f"""
-    aggregate(filter(array({bits}), bit -> bit <= _m), 0,
-              (known, bit) -> IF({fits}, {longer}, known))"""
+
+    def prefix_ends(p: bytes) -> np.ndarray:
+        """For each shift i >= 1, where the common prefix of ``p`` and ``p[i:]`` ends in ``p``.
+
+        Linear: inside the stretch that reaches farthest right, a shift has what the
+        same place of the prefix had, and only bytes beyond the stretch are compared.
+        """
+        n, ends = len(p), [0] * len(p)
+        left = right = 0
+        for i in range(1, n):
+            end = min(right, ends[i - left] + left) if i < right else i
+            if end >= right:
+                end = max(end, i)
+                while end < n and p[end - i] == p[end]:
+                    end += 1
+                left, right = i, end
+            ends[i] = end
+        return np.array(ends, dtype=np.int64)
+
+    def borders(p: bytes) -> np.ndarray:
+        """The longest border of each prefix: what the smallest shift that reaches over it leaves."""
+        at = np.arange(len(p))
+        shift = np.searchsorted(np.maximum.accumulate(prefix_ends(p)), at, side="right")
+        return np.where(shift <= at, at + 1 - shift, 0).astype(np.int32)
+
+    def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["pattern_id", "len", "lps"]
+        for batch in batches:
+            low = 0
+            while low < len(batch):
+                found, size, high = [], 0, low
+                while high < len(batch) and size < most:
+                    found.append(borders(batch["_p"][high].as_py()))
+                    size += len(found[-1])
+                    high += 1
+                ends = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
+                lps = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(found), pa.int32()))
+                sizes = pa.array([len(f) for f in found], pa.int32())
+                yield pa.RecordBatch.from_arrays([batch["_id"].slice(low, high - low), sizes, lps], names)
+                low = high
+
+    return profile
 
 
 def pattern_profile(
@@ -67,29 +112,12 @@ def pattern_profile(
 
     ``lps[j]`` is the length of the longest proper prefix of the first j+1 bytes
     that is also their suffix.  A pattern whose longest border is 0 cannot
-    overlap itself.  All of it is computed inside the pattern's row.
+    overlap itself.  The work is linear in the bytes, and rows stay in their task.
     """
-    sized = normal_patterns(patterns, pattern_id, pattern).selectExpr(
-        "*", f"{byte_length('_p')} AS _m"
-    )
-    # _reach[i - 1]: where the common prefix with the pattern shifted by i ends
-    shifts = "IF(_m > 1, sequence(1, _m - 1), CAST(array() AS ARRAY<INT>))"
-    reached = sized.selectExpr("*", f"transform({shifts}, i -> i + {_common_prefix('i')}) AS _reach")
-    # Position j has the longest border that the smallest shift reaching over j
-    # leaves.  Shifts are taken in order, so each one fills the positions that it
-    # reaches beyond those already filled; positions nothing reaches get 0.
-    reach = "get(_reach, i - 1)"
-    filled = f"""
-    aggregate({shifts}, array(0), (done, i) -> IF({reach} > size(done) AND {reach} > i,
-        concat(done, array_repeat(0, i - size(done)),
-               sequence(greatest(size(done), i) + 1 - i, {reach} - i)),
-        done))"""
-    profile = (
-        reached.selectExpr("_id AS pattern_id", "_m AS len", f"{filled} AS _filled")
-        .selectExpr("*", "concat(_filled, array_repeat(0, len - size(_filled))) AS lps")
-        .selectExpr("pattern_id", "len", "lps", "element_at(lps, -1) AS longest_border")
-    )
-    return profile.selectExpr(
+    bare = normal_patterns(patterns, pattern_id, pattern)
+    id_type = bare.schema["_id"].dataType.simpleString()
+    profile = bare.mapInArrow(_profiler(), f"pattern_id {id_type}, len INT, lps ARRAY<INT>")
+    return profile.withColumn("longest_border", F.element_at("lps", -1)).selectExpr(
         "*", "len - longest_border AS shortest_period", "longest_border > 0 AS self_overlapping"
     )
 

@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from helpers import brute, pattern_table, rows, starts
@@ -30,10 +31,30 @@ def test_profile_equals_plain_borders(spark):
         assert row.self_overlapping == (expected[-1] > 0)
 
 
-def test_profile_evaluates_shifts_once(spark):
-    plan = pattern_profile(pattern_table(spark, {0: b"ab"}))._jdf.queryExecution().optimizedPlan()
-    # one search for common prefixes in the whole plan, not one per lambda
-    assert plan.toString().count("1073741824") == 1
+def test_profile_of_long_patterns_is_linear(spark):
+    """64 KiB in seconds, whatever the pattern repeats; a batch is cut by bytes, ids of any type stay."""
+    size = 1 << 16
+    patterns = {"run": b"a" * size, "end": b"a" * (size - 1) + b"b", "pair": b"ab" * (size // 2), "none": None, "empty": b""}
+    fib = [b"b", b"a"]
+    while len(fib[-1]) < size:
+        fib.append(fib[-1] + fib[-2])
+    patterns["fibonacci"] = fib[-1][:size]
+    for i in range(40):
+        patterns[f"many{i}"] = b"a" * (size - i)
+    table = spark.createDataFrame(list(patterns.items()), "pattern_id STRING, pattern BINARY")
+    began = time.perf_counter()
+    got = {r.pattern_id: r for r in pattern_profile(table).collect()}
+    assert time.perf_counter() - began < 30
+    assert set(got) == set(patterns) - {"none", "empty"}
+    assert got["run"].lps == list(range(size))
+    assert got["end"].lps == [*range(size - 1), 0] and not got["end"].self_overlapping
+    assert got["pair"].lps == [0, *range(size - 1)] and got["pair"].shortest_period == 2
+    assert all(got[f"many{i}"].len == size - i and got[f"many{i}"].shortest_period == 1 for i in range(40))
+    known, lps = patterns["fibonacci"], got["fibonacci"].lps
+    for j in range(0, size, 997):
+        k = lps[j]
+        assert known[:k] == known[j + 1 - k : j + 1]
+    assert lps[:300] == borders(known[:300])
 
 
 def test_nested(spark):
