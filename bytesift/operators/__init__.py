@@ -8,6 +8,7 @@ from bytesift.operators.report import (
     diff_matches,
     match_report,
     pattern_totals,
+    strategy_slopes,
 )
 from bytesift.operators.search import (
     contains_filter,
@@ -32,5 +33,6 @@ __all__ = [
     "nested_patterns",
     "pattern_profile",
     "pattern_totals",
+    "strategy_slopes",
     "validate_patterns",
 ]

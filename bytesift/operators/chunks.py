@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 
 from bytesift.functions import as_bytes, byte_length, cut
 from bytesift.operators.search import normal_patterns, normal_texts, positions
-from bytesift.plans.choice import choose
+from bytesift.plans.choice import choose, overlap_for
 
 DEFAULT_SIZE = 1 << 20
 
@@ -20,21 +20,24 @@ DEFAULT_SIZE = 1 << 20
 def chunk_texts(
     texts: DataFrame,
     size: int = DEFAULT_SIZE,
-    max_pattern_len: int = 800,
+    max_pattern_len: int | None = None,
     num_splits: int | None = None,
     num_partitions: int | None = None,
     text_id: str = "text_id",
     body: str = "body",
+    patterns: DataFrame | None = None,
+    pattern: str = "pattern",
 ) -> DataFrame:
     """Cut each text to chunks of ``size`` bytes, or to ``num_splits`` equal ones.
 
-    ``max_pattern_len`` is the longest pattern that will be searched.  With
+    ``max_pattern_len`` is the longest pattern that will be searched; instead of it
+    the ``patterns`` can be given, and their longest is measured first.  With
     ``num_partitions`` the chunks are spread over the cluster, whichever text
     they come from; without it they stay in the task that read the text.
     """
-    if size < 1 or max_pattern_len < 1 or (num_splits is not None and num_splits < 1):
-        raise ValueError("size, max_pattern_len and num_splits must be at least 1")
-    overlap = max_pattern_len - 1
+    if size < 1 or (num_splits is not None and num_splits < 1):
+        raise ValueError("size and num_splits must be at least 1")
+    overlap = overlap_for(max_pattern_len, patterns, pattern)
     length = byte_length("_b")
     width = str(size) if num_splits is None else f"CAST(ceil({length} / {num_splits}) AS INT)"
     cuts = (

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bytesift.operators.chunks import chunk_texts, find_matches_chunked
 from bytesift.operators.search import find_matches_multi
+from bytesift.plans.choice import LITERAL_BYTES, LITERAL_PATTERNS, setting
+from bytesift.plans.layout import fresh_folder
 
 
 def pattern_totals(
@@ -118,6 +121,28 @@ def diff_matches(a: DataFrame, b: DataFrame) -> DataFrame:
     return copies.drop("_k")
 
 
+def _in_passes(found_by: Callable[[DataFrame], DataFrame], patterns: DataFrame, pattern: str) -> DataFrame:
+    """The union of what is found for slices of the patterns that fit into a plan as literals.
+
+    A row of the pattern table goes to a slice by its hash; there are as many
+    slices as it takes for each to keep within the bounds of one plan.
+    """
+    spark = patterns.sparkSession
+    most, most_bytes = setting(spark, LITERAL_PATTERNS), setting(spark, LITERAL_BYTES)
+    size = F.octet_length(F.col(pattern).cast("binary")).cast("long")
+    total, total_bytes = patterns.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    n = max(1, -(-total // most), -(-total_bytes // most_bytes))
+    while True:
+        slice_of = F.pmod(F.xxhash64(*patterns.columns), F.lit(n))
+        sizes = patterns.groupBy(slice_of.alias("_slice")).agg(F.count("*").alias("n"), F.sum(size).alias("bytes"))
+        over = sizes.agg(F.max("n"), F.max("bytes")).first()
+        if n >= max(total, 1) or ((over[0] or 0) <= most and (over[1] or 0) <= most_bytes):
+            break  # with a slice for each row, what is still over the bounds is refused by the search
+        n = min(2 * n, total)
+    passes = [found_by(patterns.where(slice_of == i) if n > 1 else patterns) for i in range(n)]
+    return reduce(DataFrame.unionAll, passes)
+
+
 def compare_strategies(
     texts: DataFrame,
     patterns: DataFrame,
@@ -127,36 +152,65 @@ def compare_strategies(
     body: str = "body",
     pattern_id: str = "pattern_id",
     pattern: str = "pattern",
+    copies: Iterable[int] = (1,),
 ) -> DataFrame:
-    """(strategy, chunk_size, n_patterns, n_bytes, ms, mb_per_s, n_matches, agrees).
+    """(strategy, chunk_size, copies, n_patterns, n_bytes, ms, mb_per_s, mb_per_s_core, n_matches, agrees).
 
     Each strategy runs on whole texts (size None) or on chunks of the given
-    sizes, end to end into a sink that keeps nothing.  ``agrees`` compares the
-    matches, row by row, with those of the first run.
+    sizes, and on every text ``copies`` times over, end to end into a stored table
+    that the checks read: no run is evaluated twice.  ``agrees`` compares the
+    matches, row by row, with those of the first run on as many copies.  The
+    strategies that hold patterns as literals take larger tables in several passes.
+    ``strategy_slopes`` tells from runs on several sizes what a megabyte costs.
     """
-    n_bytes = texts.agg(F.sum(F.octet_length(F.col(body).cast("binary")).cast("long"))).first()[0]
+    spark = texts.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    one_copy = texts.agg(F.sum(F.octet_length(F.col(body).cast("binary")).cast("long"))).first()[0] or 0
     names = {"pattern_id": pattern_id, "pattern": pattern}
-    longest, n_patterns = patterns.agg(
-        F.max(F.octet_length(F.col(pattern).cast("binary"))), F.count("*")
-    ).first()
-    reference, results = None, []
-    for size in sizes:
-        for strategy in strategies:
-            started = time.perf_counter()
-            if size is None:
-                found = find_matches_multi(texts, patterns, strategy, text_id, body, **names)
-            else:
-                chunks = chunk_texts(texts, size, longest or 1, text_id=text_id, body=body)
-                found = find_matches_chunked(chunks, patterns, strategy, **names)
-            seen = Observation()
-            found.observe(seen, F.count("*").alias("n")).write.format("noop").mode("overwrite").save()
-            ms = (time.perf_counter() - started) * 1000.0
-            agrees = reference is None or diff_matches(reference, found).isEmpty()
-            reference = found if reference is None else reference
-            speed = (n_bytes or 0) / 1000.0 / ms
-            results.append((strategy, size, n_patterns, n_bytes, ms, speed, seen.get["n"], agrees))
-    return texts.sparkSession.createDataFrame(
+    n_patterns = patterns.count()
+    sizes, strategies, results = list(sizes), list(strategies), []
+    for times in copies:
+        read = texts if times == 1 else texts.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(times))))
+        n_bytes, reference = one_copy * times, None
+        for size in sizes:
+            for strategy in strategies:
+                started = time.perf_counter()
+                if size is None:
+                    def by(some, on=read, how=strategy):
+                        return find_matches_multi(on, some, how, text_id, body, **names)
+                else:
+                    chunks = chunk_texts(read, size, text_id=text_id, body=body, patterns=patterns, pattern=pattern)
+                    def by(some, on=chunks, how=strategy):
+                        return find_matches_chunked(on, some, how, **names)
+                found = _in_passes(by, patterns, pattern) if strategy in ("scan", "split") else by(patterns)
+                folder = fresh_folder(spark, "run")
+                found.write.parquet(folder)
+                ms = (time.perf_counter() - started) * 1000.0
+                run = spark.read.schema(found.schema).parquet(folder)
+                agrees = reference is None or diff_matches(reference, run).isEmpty()
+                reference = run if reference is None else reference
+                speed = n_bytes / 1000.0 / ms
+                results.append(
+                    (strategy, size, times, n_patterns, n_bytes, ms, speed, speed / cores, run.count(), agrees)
+                )
+    return spark.createDataFrame(
         results,
-        "strategy STRING, chunk_size INT, n_patterns BIGINT, n_bytes BIGINT, ms DOUBLE, "
-        "mb_per_s DOUBLE, n_matches BIGINT, agrees BOOLEAN",
+        "strategy STRING, chunk_size INT, copies INT, n_patterns BIGINT, n_bytes BIGINT, ms DOUBLE, "
+        "mb_per_s DOUBLE, mb_per_s_core DOUBLE, n_matches BIGINT, agrees BOOLEAN",
+    )
+
+
+def strategy_slopes(runs: DataFrame) -> DataFrame:
+    """(strategy, chunk_size, n_runs, start_ms, ms_per_mb, n_matches_per_mb) of ``compare_strategies``.
+
+    The line through the runs of each strategy and chunk size on several sizes of
+    text: ``start_ms`` is what a run costs before it reads, ``ms_per_mb`` what each
+    megabyte adds.  Both are NULL where all runs read as much.
+    """
+    mb = F.col("n_bytes") / 1e6
+    return runs.groupBy("strategy", "chunk_size").agg(
+        F.count("*").alias("n_runs"),
+        F.regr_intercept("ms", mb).alias("start_ms"),
+        F.regr_slope("ms", mb).alias("ms_per_mb"),
+        F.regr_slope("n_matches", mb).alias("n_matches_per_mb"),
     )

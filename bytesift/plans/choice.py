@@ -91,6 +91,21 @@ def pattern_stats(patterns: DataFrame, classes: list[WindowClass]) -> PatternSta
     )
 
 
+def overlap_for(max_pattern_len: int | None, patterns: DataFrame | None, pattern: str = "pattern") -> int:
+    """Bytes that a chunk needs beyond its own: one less than the longest pattern.
+
+    The length is given, or measured: one small aggregation over the pattern table.
+    """
+    if (max_pattern_len is None) == (patterns is None):
+        raise ValueError("give either max_pattern_len or the patterns to measure")
+    if patterns is not None:
+        longest = F.max(F.octet_length(F.col(pattern).cast("binary")))
+        max_pattern_len = max(patterns.agg(longest).first()[0] or 1, 1)
+    if max_pattern_len < 1:
+        raise ValueError("max_pattern_len must be at least 1")
+    return max_pattern_len - 1
+
+
 def shape_bytes(stats: PatternStats, most_stride: int) -> int:
     """Upper estimate of the anchor shapes: one for each residue of each pattern."""
     return sum(n * min(c.stride, most_stride) * _ROW_BYTES for c, (n, _) in stats.per_class.items())

@@ -266,20 +266,21 @@ def find_words_in_parts(spark, sf):
 
 @_register(_found(DOCUMENTS, BENCHMARK, ALL_MATCHES))
 def chunked_benchmark(spark, sf):
-    chunks = op.chunk_texts(_documents(spark, sf), size=4096, max_pattern_len=2000)
-    return op.find_matches_chunked(chunks, _benchmark(spark, sf))
+    items = _benchmark(spark, sf)
+    return op.find_matches_chunked(op.chunk_texts(_documents(spark, sf), size=4096, patterns=items), items)
 
 
 @_register(_found(DOCUMENTS, _values(COMMON), ALL_MATCHES))
 def split_in_eight(spark, sf):
     """Every document cut to eight slices, spread over the cluster."""
+    common = _listed(spark, COMMON)
     chunks = op.chunk_texts(
         _documents(spark, sf),
         num_splits=8,
-        max_pattern_len=64,
+        patterns=common,
         num_partitions=spark.sparkContext.defaultParallelism,
     )
-    return op.find_matches_chunked(chunks, _listed(spark, COMMON))
+    return op.find_matches_chunked(chunks, common)
 
 
 @_register(_found(PARTS, WORDS, """
@@ -437,7 +438,23 @@ def compare_strategies(spark, sf):
     runs = op.compare_strategies(
         _documents(spark, sf), _listed(spark, COMMON), sizes=(None, 1 << 16)
     )
-    return runs.withColumn("chunk_size", F.coalesce("chunk_size", F.lit(-1))).drop("ms", "mb_per_s")
+    # what is left is the same whatever the machine
+    same = runs.drop("copies", "ms", "mb_per_s", "mb_per_s_core")
+    return same.withColumn("chunk_size", F.coalesce("chunk_size", F.lit(-1)))
+
+
+@_register(_found(DOCUMENTS, WORDS, """
+SELECT 'hash' AS strategy, CAST(2 AS BIGINT) AS n_runs, true AS measured,
+       CAST(round((SELECT count(*) FROM matches) / (SELECT sum(strlen(body)) / 1e6 FROM texts)) AS BIGINT) AS matches_per_mb"""))
+def strategy_growth(spark, sf):
+    """The words of the part names in one and in four copies of all documents: what a megabyte adds."""
+    runs = op.compare_strategies(_documents(spark, sf), _words(spark, sf), ("hash",), copies=(1, 4))
+    return op.strategy_slopes(runs).select(
+        "strategy",
+        "n_runs",
+        F.col("ms_per_mb").isNotNull().alias("measured"),
+        F.round("n_matches_per_mb").cast("long").alias("matches_per_mb"),
+    )
 
 
 # --- sources and sinks -------------------------------------------------------
@@ -473,10 +490,8 @@ def whole_file_totals(spark, sf):
 
 @_register(_found(DOCUMENTS, BENCHMARK, FILE_TOTALS))
 def file_range_totals(spark, sf):
-    ranges = sources.read_text_ranges(
-        spark, f"{_as_files(spark, sf)}/*.txt", size=1 << 18, max_pattern_len=2000
-    )
     items = _benchmark(spark, sf)
+    ranges = sources.read_text_ranges(spark, f"{_as_files(spark, sf)}/*.txt", size=1 << 18, patterns=items)
     totals = op.pattern_totals(op.find_matches_chunked(ranges, items), items)
     return totals.select("pattern_id", "n_matches")
 

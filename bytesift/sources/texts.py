@@ -9,6 +9,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bytesift.plans.choice import overlap_for
 from bytesift.plans.layout import spread
 
 CHUNK_SCHEMA = "text_id BIGINT, start BIGINT, owned INT, overlap INT, body BINARY"
@@ -80,17 +81,22 @@ def read_text_ranges(
     spark: SparkSession,
     path: str,
     size: int = 16 << 20,
-    max_pattern_len: int = 800,
+    max_pattern_len: int | None = None,
     num_partitions: int | None = None,
+    patterns: DataFrame | None = None,
+    pattern: str = "pattern",
 ) -> DataFrame:
     """Chunks of files, each read by its own byte range on an executor.
 
     For files beyond the 2 GiB that one value can hold.  Listing them reads no
     content; the ranges are spread evenly, so one huge file uses every core.
-    The result goes to ``find_matches_chunked``.
+    ``max_pattern_len`` is the longest pattern that will be searched; instead of it
+    the ``patterns`` can be given, and their longest is measured first.  The result
+    goes to ``find_matches_chunked``.
     """
-    if size < 1 or max_pattern_len < 1:
-        raise ValueError("size and max_pattern_len must be at least 1")
+    if size < 1:
+        raise ValueError("size must be at least 1")
+    overlap = overlap_for(max_pattern_len, patterns, pattern)
     listed = spark.read.format("binaryFile").load(path).select("path", "length")
     starts = F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(size).cast("long"))
     ranges = listed.where(F.col("length") >= 1).select(
@@ -101,7 +107,7 @@ def read_text_ranges(
         "path",
         "start",
         F.least(F.lit(size), F.col("length") - F.col("start")).cast("int").alias("owned"),
-        F.lit(max_pattern_len - 1).alias("overlap"),
+        F.lit(overlap).alias("overlap"),
     )
     if num_partitions is None:  # as many as the listed bytes fill, and one for each core
         listed_bytes = listed.agg(F.sum("length")).first()[0] or 0

@@ -49,6 +49,28 @@ def test_short_overlap_fails_instead_of_losing_matches(spark):
         find_matches_chunked(chunks, pattern_table(spark, PATTERNS)).collect()
 
 
+def test_overlap_is_measured_from_the_patterns(spark, tmp_path):
+    rng = random.Random(3)
+    texts = {i: bytes(rng.choice(b"ab") for _ in range(rng.randrange(5000))) for i in range(4)}
+    patterns = {0: b"aba", 1: texts[0][7:2900], 2: b"", 3: texts[1][-40:]}
+    t, p = text_table(spark, texts), pattern_table(spark, patterns)
+    renamed = p.withColumnsRenamed({"pattern": "sought"})
+    chunks = chunk_texts(t, 100, patterns=renamed, pattern="sought")
+    assert {r.overlap for r in chunks.collect()} == {max(map(len, patterns.values())) - 1}
+    assert rows(find_matches_chunked(chunks, p)) == brute(texts, patterns)
+    for i, text in texts.items():
+        (tmp_path / f"{i}.bin").write_bytes(text)
+    ranges = read_text_ranges(spark, str(tmp_path), 999, patterns=p)
+    assert len(rows(find_matches_chunked(ranges, p))) == len(brute(texts, patterns))
+    none = p.where("false")
+    assert {r.overlap for r in chunk_texts(t, 100, patterns=none).collect()} == {0}
+    for given in ({}, {"patterns": p, "max_pattern_len": 5}, {"max_pattern_len": 0}):
+        with pytest.raises(ValueError):
+            chunk_texts(t, 100, **given)
+        with pytest.raises(ValueError):
+            read_text_ranges(spark, str(tmp_path), 100, **given)
+
+
 def test_ranges_of_a_file_equal_plain_python(spark, tmp_path):
     rng = random.Random(11)
     files = {}
@@ -70,7 +92,7 @@ def test_ranges_of_a_file_equal_plain_python(spark, tmp_path):
 
 def test_listing_ranges_reads_no_content(spark, tmp_path):
     (tmp_path / "x").write_bytes(b"abc")
-    plan = read_text_ranges(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    plan = read_text_ranges(spark, str(tmp_path), max_pattern_len=9)._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema")[-1]
 
 

@@ -1,7 +1,7 @@
 import pytest
 from helpers import brute, pattern_table, rows, starts, text_table
 
-from bytesift.operators.report import compare_strategies, diff_matches, match_report, pattern_totals
+from bytesift.operators.report import compare_strategies, diff_matches, match_report, pattern_totals, strategy_slopes
 from bytesift.operators.search import count_matches, find_matches_multi
 from bytesift.sources.sinks import write_matches
 
@@ -58,6 +58,28 @@ def test_compare_strategies(spark):
     assert all(r.agrees and r.ms > 0 and r.n_patterns == 4 for r in runs)
 
 
+def test_strategies_on_more_patterns_than_a_plan_holds(spark):
+    """Literals go in passes; each run is stored once and read by the checks."""
+    texts = {i: b"abc%d abc%d" % (i, i * 7 % 150) for i in range(200)}
+    patterns = {i: b"c%d" % i for i in range(150)}
+    runs = compare_strategies(text_table(spark, texts), pattern_table(spark, patterns), ("scan", "hash"), copies=(1, 3)).collect()
+    expected = len(brute(texts, patterns))
+    assert [(r.strategy, r.copies, r.n_matches, r.agrees) for r in runs] == [
+        (s, k, k * expected, True) for k in (1, 3) for s in ("scan", "hash")
+    ]
+    assert all(r.mb_per_s_core > 0 and r.n_bytes == r.copies * sum(map(len, texts.values())) for r in runs)
+
+
+def test_slopes_are_the_lines_through_the_runs(spark):
+    runs = spark.createDataFrame(
+        [("hash", None, 1_000_000 * k, 40.0 + 3.0 * k, 10 * k) for k in (1, 10, 40)] + [("scan", 8, 1_000_000, 5.0, 2)],
+        "strategy STRING, chunk_size INT, n_bytes BIGINT, ms DOUBLE, n_matches BIGINT",
+    )
+    line, alone = sorted(strategy_slopes(runs).collect())
+    assert (line.n_runs, round(line.start_ms, 6), round(line.ms_per_mb, 6), round(line.n_matches_per_mb, 6)) == (3, 40, 3, 10)
+    assert (alone.n_runs, alone.start_ms, alone.ms_per_mb) == (1, None, None)
+
+
 def test_write_matches(spark, tmp_path):
     _, p, matches = tables(spark)
     plain = write_matches(matches, str(tmp_path / "plain"))
