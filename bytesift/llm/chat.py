@@ -34,6 +34,7 @@ MARKS = {"system": "### System: ", "user": "### User: ", "assistant": "### Assis
 IMAGE_PATCH = 28  # pixels of one token, each way
 AUDIO_TOKENS_PER_SECOND = 25
 DOCUMENT_TOKENS_PER_PAGE = 512
+MOST_TOKENS = (1 << 63) - 1  # what a BIGINT holds
 
 _SPECIAL = re.compile(r"([\\#<])")
 _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
@@ -56,60 +57,112 @@ class Flattened:
     expanded_tokens: int = 0
 
 
+def amount(value: object) -> float:
+    """A size as a number: digits in a text count, anything else is 0, as is what is below 0."""
+    try:
+        number = float(value) if isinstance(value, (int, float, str)) else 0.0
+    except (ValueError, OverflowError):
+        return 0.0
+    return number if 0 < number < 1e15 else 0.0
+
+
+def written(value: object) -> str:
+    """A text as it is, NULL as an empty one, anything else as JSON; half a surrogate pair becomes a question mark."""
+    if value is None:
+        return ""
+    try:
+        text = value if isinstance(value, str) else json.dumps(value)
+    except RecursionError:  # nested deeper than JSON is written
+        return ""
+    return text if text.isascii() else text.encode("utf-8", "replace").decode()
+
+
 class Visitor:
-    """Flattens parts; a part is a dict with a ``type`` and what that type needs."""
+    """Flattens parts; a part is a dict with a ``type`` and what that type needs.
+
+    A bare string is a text, NULL is nothing, and any other bare value is an
+    attachment of unknown kind, so that one odd cell does not end the job.
+    """
 
     def __init__(self) -> None:
         self.pieces: list[str] = []
+        self.to_visit: list[object] = []  # the next part is the last
         self.length = 0
         self.out = Flattened()
 
-    def visit(self, part: dict) -> None:
-        kind = part.get("type") or "text"
-        getattr(self, f"visit_{kind}", self.visit_unknown)(part)
+    def visit(self, part: object) -> None:
+        if part is None:
+            return
+        if isinstance(part, str):
+            part = {"text": part}
+        kind = "unknown"
+        if isinstance(part, dict):
+            kind = part.get("type") or "text"
+        visitors = {
+            "text": self.visit_text, "image": self.visit_image, "audio": self.visit_audio, "document": self.visit_document,
+        }
+        visit = visitors.get(kind, self.visit_unknown) if isinstance(kind, str) else self.visit_unknown
+        visit(part)
 
     def visit_text(self, part: dict) -> None:
-        self._add(escape(part.get("text") or ""))
+        self._add(escape(written(part.get("text"))))
 
     def visit_image(self, part: dict) -> None:
-        wide, high = (math.ceil((part.get(k) or 0) / IMAGE_PATCH) for k in ("width", "height"))
+        wide, high = (math.ceil(amount(part.get(k)) / IMAGE_PATCH) for k in ("width", "height"))
         self._attach("image", part, wide * high)
 
     def visit_audio(self, part: dict) -> None:
-        self._attach("audio", part, math.ceil((part.get("seconds") or 0) * AUDIO_TOKENS_PER_SECOND))
+        self._attach("audio", part, math.ceil(amount(part.get("seconds")) * AUDIO_TOKENS_PER_SECOND))
 
     def visit_document(self, part: dict) -> None:
         """A document is a placeholder of its own, then its parts, if it has any."""
-        self._attach("document", part, (part.get("pages") or 0) * DOCUMENT_TOKENS_PER_PAGE)
-        for inner in part.get("parts") or []:
-            self.visit(inner)
+        self._attach("document", part, math.ceil(amount(part.get("pages"))) * DOCUMENT_TOKENS_PER_PAGE)
+        self.then(part.get("parts"))
+
+    def visit_unknown(self, part: object) -> None:
+        self._attach("unknown", part if isinstance(part, dict) else {}, 0)
 
-    def visit_unknown(self, part: dict) -> None:
-        self._attach("unknown", part, 0)
+    def then(self, parts: object) -> None:
+        """What comes next, before all that still waits: a list of parts, or one without its list."""
+        self.to_visit.extend(reversed(parts) if isinstance(parts, list) else [parts])
 
     def _add(self, piece: str) -> None:
         self.pieces.append(piece)
         self.length += len(piece)
 
     def _attach(self, kind: str, part: dict, tokens: int) -> None:
+        ref = part.get("ref")
+        ref = None if ref is None else written(ref)
         self.out.attachments.append(
-            {"kind": kind, "ref": part.get("ref"), "at": self.length, "tokens": tokens}
+            {"kind": kind, "ref": ref, "at": self.length, "tokens": min(tokens, MOST_TOKENS)}
         )
-        self.out.expanded_tokens += tokens
+        self.out.expanded_tokens = min(self.out.expanded_tokens + tokens, MOST_TOKENS)
         self._add(f"<{kind}:{len(self.out.attachments) - 1}>")
 
     def done(self) -> Flattened:
+        while self.to_visit:
+            self.visit(self.to_visit.pop())
         self.out.content = "".join(self.pieces)
         return self.out
 
 
-def flatten(parts: list[dict]) -> Flattened:
+def flatten(parts: object) -> Flattened:
+    """The parts of a message in order; a single part may stand without its list."""
     visitor = Visitor()
-    for part in parts:
-        visitor.visit(part)
+    visitor.then(parts)
     return visitor.done()
 
 
+def read_parts(listed: str | None, text: str | None) -> object:
+    """The typed parts of a row; without them its text, and what is no JSON is a text too."""
+    if not listed:
+        return text
+    try:
+        return json.loads(listed)
+    except (ValueError, RecursionError):
+        return listed
+
+
 def mark(role: str | None) -> str:
     """The mark of a role; an unknown one is named in it, its colons escaped too."""
     named = escape(role or "").replace(":", "\\:")
@@ -135,7 +188,8 @@ def format_turns(turns: DataFrame, parts: str | None = None) -> DataFrame:
     """One formatted segment per row of ``turns(conv_id, turn, role, text)``.
 
     ``parts`` names a column with the typed parts as a JSON list; without it, or
-    where it is NULL, the text is the only part.  NULL texts and roles are empty.
+    where it is NULL or empty, the text is the only part.  NULL texts and roles are empty;
+    parts that are NULL give nothing, and what is no part (``Visitor``) never fails.
     ``loss_start`` and ``loss_end`` are code points of the segment, equal where
     nothing is learned.  Turns are formatted where they are: no shuffle.  A
     conversation is its segments ordered by (turn, role, text), see ``in_order``.
@@ -149,7 +203,7 @@ def format_turns(turns: DataFrame, parts: str | None = None) -> DataFrame:
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             for role, text, listed in zip(*[batch[c].to_pylist() for c in ("role", "text", "parts")]):
-                flat = flatten(json.loads(listed) if listed else [{"type": "text", "text": text}])
+                flat = flatten(read_parts(listed, text))
                 head = mark(role)
                 learned = len(flat.content) if role == "assistant" else 0
                 values = (head + flat.content + END, len(head), len(head) + learned, flat.attachments, flat.expanded_tokens)

@@ -68,6 +68,33 @@ def test_cascade_order_does_not_change_what_is_kept(spark):
 # --- 2: chat
 
 
+def test_odd_parts_end_no_job(spark):
+    """NULLs, bare values, sizes as texts, unknown and nested parts, and what is no JSON."""
+    deep = {"type": "document", "parts": [{"text": "end"}]}
+    for _ in range(1200):
+        deep = {"type": "document", "parts": [deep]}
+    flat = chat.flatten([deep, "after"])
+    assert flat.content.endswith("endafter") and len(flat.attachments) == 1201
+    assert chat.flatten([None]).content == "" and chat.flatten(None).content == ""
+    assert chat.flatten(["hi", None, {"text": None}]).content == "hi"
+    image = chat.flatten([{"type": "image", "width": "57", "height": 1, "ref": 7}])
+    assert image.expanded_tokens == 3 and image.attachments[0]["ref"] == "7"
+    for odd in ("x", [], {}, None, -5, float("nan"), float("inf"), "1e400"):
+        assert chat.flatten([{"type": "image", "width": odd, "height": 28}]).expanded_tokens == 0
+    listed = [
+        None, "", "[null]", '["hi"]', '"hi"', "7", "{not json", '[{"type": ["text"]}]', '[{"type": "_add"}]',
+        '[{"text": {"a": 1}}]', '["\\ud800"]', '[{"type": "document", "parts": {"text": "in"}}]',
+    ]
+    turns = spark.createDataFrame(
+        [(1, i, "user", "own", x) for i, x in enumerate(listed)], "conv_id BIGINT, turn INT, role STRING, text STRING, listed STRING"
+    )
+    got = [r.segment for r in chat.format_turns(turns, "listed").orderBy("turn").collect()]
+    contents = [
+        "own", "own", "", "hi", "hi", "<unknown:0>", "{not json", "<unknown:0>", "<unknown:0>", '{"a": 1}', "?", "<document:0>in",
+    ]
+    assert got == [chat.MARKS["user"] + c + chat.END for c in contents]
+
+
 def test_visitor_flattens_typed_parts_in_order():
     parts = [
         {"type": "text", "text": "see <image:0> \\ #"}, {"type": "image", "ref": "i", "width": 57, "height": 28},
