@@ -65,6 +65,29 @@ def test_cascade_order_does_not_change_what_is_kept(spark):
     assert [r.name for r in rules.in_order(made)] == ["b", "c", "a"]
 
 
+def test_rules_are_ordered_by_what_they_add(spark):
+    a, b, c = (rules.Rule(n, "true") for n in "abc")
+    # b rejects more than c, but only what a has rejected already
+    together = {(True, True, False): 50, (True, False, False): 10, (False, False, True): 10, (False, False, False): 30}
+    made = rules.greedy([b, a, c], [1.0, 1.0, 1.0], {(y, x, z): n for (x, y, z), n in together.items()})
+    assert [(m.rule.name, m.selectivity) for m in made] == [("a", 0.6), ("c", 0.25), ("b", 0.0)]
+    assert [m.rule.name for m in rules.greedy([a, b], [9.0, 1.0], {(True, False): 2, (False, True): 1})] == ["b", "a"]
+    assert rules.greedy([], [], {}) == []
+
+
+def test_rules_are_measured_on_rows_that_pass_the_base(spark):
+    long = " ".join(f"word{i}" for i in range(40))
+    short = [(i, "# # #") for i in range(30)]  # all symbols, but too short to be asked
+    docs = table(spark, short + [(100, long), (101, long.upper()), (102, None)])
+    got = {m.rule.name: m for m in rules.measure_rules(rules.measures(docs), times=1)}
+    assert set(got) == {r.name for r in rules.RULES}
+    assert got["symbols"].selectivity == 0 and got["capitals"].selectivity == 0.5
+    assert all(m.cost > 0 for m in got.values())
+    empty = table(spark, [(1, "a")]).where("false")
+    assert all(m.selectivity == 0 for m in rules.measure_rules(rules.measures(empty), times=1))
+    assert rules.judge(empty).collect() == []
+
+
 # --- 2: chat
 
 
