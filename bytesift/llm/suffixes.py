@@ -1,17 +1,27 @@
-"""Repeated passages, from seeds at content-selected places.
+"""Repeated passages, from a sparse suffix array at content-selected places.
 
 A passage of 50 words or more that stands in two places is found exactly, to the
-word, without sorting every suffix of the corpus:
+word, without keeping every suffix of the corpus:
 
 1. In each stretch of 50 words the 10-word seed with the smallest hash is chosen
    by its content alone: about one place in 21; equal stretches choose the same one.
-2. Chosen seeds are counted.  A stretch whose seed no other place has cannot lie in
-   a repeated passage.
-3. The stretches of 50 words that chose a repeated seed are grouped by a 64-bit hash,
-   and those that meet an equal one are joined to maximal spans.
-
-Suffixes are not sorted and neighbours not compared (README): comparing neighbours
-alone would miss a match that a third text hides.
+   Only suffixes at chosen places are retained, and of these only those whose seed
+   is chosen at another place too.
+2. A retained suffix carries the words that its stretches cover: those in front of
+   the place and those from it on.  Suffixes are dealt by seed and sorted by the
+   words from the place on.
+3. Sorted neighbours are compared: how many words they share is the depth to which a
+   match goes on to the right.  A suffix whose better neighbour leaves no stretch of
+   50 words falls out.
+4. The others are extended to the left, one word at a time.  With each word the match
+   may be one word shorter to the right, so suffixes that share that many words (runs
+   of neighbours) and the same words in front are in one match.  All of a run are
+   looked at, not the nearest neighbour alone, so a third text hides nothing.
+5. What is matched is joined to maximal spans.
+
+A seed of very many places would make one task read them all.  Its suffixes are taken
+apart: each of their stretches is known by a 128-bit digest of its bytes, and these
+are counted in Spark, in the tasks first.
 
 Texts that are equal as a whole are compared once: only the first of them, by
 doc_id, takes part, with the weight of all.
@@ -21,9 +31,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +46,14 @@ from bytesift.llm.text import column_bytes, grams, scan, some_rows
 MIN_WORDS = 50
 SEED_WORDS = 10
 
+# A seed of more places than the larger of these, the second being a share of all
+# places, is taken apart; so at most HOT_SHARE seeds are such.
+HOT_PLACES = 1 << 12
+HOT_SHARE = 1 << 18
+# Retained suffixes that are compared together, and that are handed on together.
+SUFFIXES_TOGETHER = 1 << 15
+ROWS_TOGETHER = 1 << 12
+
 
 def minimisers(hashes: np.ndarray, size: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """For each stretch of ``size`` words the place of its chosen seed, and all seeds."""
@@ -95,61 +115,201 @@ def survey(docs: DataFrame, size: int, seed: int) -> DataFrame:
     )
 
 
-def candidate_stretches(docs: DataFrame, repeated: np.ndarray, size: int, seed: int) -> DataFrame:
-    """doc_id and arrays key, pos, low, high: the stretches of ``size`` words whose
-    seed may be repeated, by hash, first word, and code points."""
-    wanted = docs.sparkSession.sparkContext.broadcast(repeated)
+SUFFIXES = (
+    "doc_id BIGINT, key BIGINT, hot BOOLEAN, pos INT, low_pos INT, before BINARY, after BINARY, lows ARRAY<INT>, highs ARRAY<INT>"
+)
+
+
+def _lists(parts: list[np.ndarray]) -> pa.Array:
+    cuts = np.zeros(len(parts) + 1, dtype=np.int32)
+    np.cumsum([len(x) for x in parts], out=cuts[1:])
+    return pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(parts).astype(np.int32)))
+
+
+def retained_suffixes(docs: DataFrame, repeated: np.ndarray, hot: np.ndarray, size: int, seed: int) -> DataFrame:
+    """The suffixes at chosen places whose seed may be repeated.
+
+    Per suffix: doc_id, key (its seed), pos (its first word), low_pos (the first word of
+    the first stretch that chose it), ``before`` and ``after`` (the words of its stretches
+    in front of pos and from pos on, each word followed by one blank), ``lows`` and
+    ``highs`` (where its stretches begin and end, in code points).  A seed in ``hot`` has
+    a row per stretch instead, with the digest of its words as ``after``.
+    """
+    context = docs.sparkSession.sparkContext
+    wanted, many = context.broadcast(repeated), context.broadcast(hot)
+
+    def places(batch: pa.RecordBatch) -> Iterator[tuple]:
+        ids = batch["doc_id"].to_numpy(zero_copy_only=False)
+        for row, data, hashes, start, end in _texts(batch):
+            if len(hashes) < size:
+                continue
+            at, seeds = minimisers(hashes, size, seed)
+            chosen, first = np.unique(at, return_index=True)  # the places never go back
+            last = np.append(first[1:], len(at)) - 1
+            good = np.flatnonzero(blobs.may_hold(wanted.value, seeds[chosen]))
+            if not len(good):
+                continue
+            place = _places(data)
+            low, high = place[start], place[end]
+            joined = b" ".join(data.tobytes().split()) + b" "  # splits at the blanks of a word
+            word = np.zeros(len(hashes) + 1, dtype=np.int64)
+            np.cumsum(end - start + 1, out=word[1:])
+            keys = seeds[chosen].view(np.int64)
+            is_hot = np.isin(keys, many.value)
+            for i in good.tolist():
+                p, a, z = int(chosen[i]), int(first[i]), int(last[i])
+                if is_hot[i]:
+                    for s in range(a, z + 1):
+                        known = hashlib.blake2b(joined[word[s] : word[s + size]], digest_size=16).digest()
+                        yield ids[row], keys[i], True, s, s, b"", known, low[s : s + 1], high[s + size - 1 : s + size]
+                else:
+                    before, after = joined[word[a] : word[p]], joined[word[p] : word[z + size]]
+                    yield ids[row], keys[i], False, p, a, before, after, low[a : z + 1], high[a + size - 1 : z + size]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+        names = ["doc_id", "key", "hot", "pos", "low_pos", "before", "after", "lows", "highs"]
         for batch in some_rows(batches, 128):
-            ids = batch["doc_id"].to_numpy(zero_copy_only=False)
-            out_ids, sizes, keys, poss, lows, highs = [], [], [], [], [], []
-            for row, data, hashes, start, end in _texts(batch):
-                if len(hashes) < size:
-                    continue
-                at, seeds = minimisers(hashes, size, seed)
-                chosen = np.unique(at)
-                good = chosen[blobs.may_hold(wanted.value, seeds[chosen])]
-                pos = np.flatnonzero(np.isin(at, good))
-                if not len(pos):
-                    continue
-                place = _places(data)
-                out_ids.append(ids[row])
-                sizes.append(len(pos))
-                keys.append(grams(hashes, size, 13)[pos].view(np.int64))
-                poss.append(pos.astype(np.int32))
-                lows.append(place[start[pos]])
-                highs.append(place[end[pos + size - 1]])
-            if not out_ids:
+            made = places(batch)
+            while rows := list(islice(made, ROWS_TOGETHER)):
+                columns = list(zip(*rows))
+                flat = [pa.array(c, t) for c, t in zip(columns, types)]
+                yield pa.RecordBatch.from_arrays([*flat, _lists(columns[7]), _lists(columns[8])], names)
+
+    return _ids(docs).mapInArrow(read, SUFFIXES)
+
+
+def _numbers(before: pa.Array, after: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of the words of both columns, equal for equal bytes, and where each row's begin."""
+    lists = [pc.split_pattern(c.cast(pa.large_binary()), b" ") for c in (before, after)]
+    flat = [x.flatten() for x in lists]
+    known = pa.concat_arrays(flat).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    cuts = [x.offsets.to_numpy() - x.offsets[0].as_py() for x in lists]
+    return known[: len(flat[0])], cuts[0], known[len(flat[0]) :], cuts[1]
+
+
+def _matrix(values: np.ndarray, begin: np.ndarray, step: int, count: np.ndarray, width: int) -> np.ndarray:
+    """Row i: ``count[i]`` values from ``begin[i]`` on in steps of 1 or -1, then -1."""
+    at = np.arange(width)
+    inside = at < count[:, None]
+    out = np.full((len(begin), width), -1, dtype=np.int32)
+    out[inside] = values[(begin[:, None] + step * at)[inside]]
+    return out
+
+
+def matched_stretches(
+    key: np.ndarray, rank: np.ndarray, copies: np.ndarray, before: np.ndarray, n_before: np.ndarray,
+    after: np.ndarray, n_after: np.ndarray, size: int,
+) -> np.ndarray:
+    """For each suffix and each number of words l in front of it: whether the stretch of
+    ``size`` words that begins there is matched.  0: no; 1: yes, and another comes first;
+    2: yes, and it is the first.
+
+    Suffixes are sorted by (key, after).  ``after`` and ``before`` are their words from
+    the place on and, nearest first, in front of it, as rows of numbers filled with -1.
+    """
+    n, most = len(key), before.shape[1]
+    shared = np.zeros(n + 1, dtype=np.int64)  # words shared with the suffix before
+    if n > 1:
+        equal = (after[1:] == after[:-1]) & (after[1:] >= 0)
+        deep = np.where(equal.all(axis=1), after.shape[1], equal.argmin(axis=1))
+        shared[1:n] = np.where(key[1:] == key[:-1], deep, 0)
+    deepest = np.maximum(shared[:n], shared[1:])
+    alone = copies == 1
+    # the stretches that chose this place begin between these numbers of words in front
+    least, state = size - n_after, np.zeros((n, most + 1), dtype=np.int8)
+    left = np.zeros(n, dtype=np.int64)
+    for l in range(most + 1):
+        if l:
+            left = np.unique(left * (int(before.max(initial=0)) + 2) + before[:, l - 1] + 1, return_inverse=True)[1]
+        mine = (least <= l) & (l <= n_before)
+        met = np.flatnonzero(mine & ((deepest >= size - l) | ~alone))
+        if not len(met):
+            continue
+        run = np.cumsum(shared[:n] < size - l)
+        group = np.unique(run[met] * n + left[met], return_inverse=True)[1]
+        times = np.bincount(group, weights=copies[met])
+        first = np.full(len(times), np.iinfo(np.int64).max)
+        np.minimum.at(first, group, rank[met])
+        state[met, l] = np.where(times[group] > 1, 1 + (rank[met] == first[group]), 0)
+    return state
+
+
+RANGES = "doc_id BIGINT, pos INT, to INT, first BOOLEAN, low INT, high INT"
+
+
+def _compare(size: int, seed: int):
+    """Sorted retained suffixes to ranges of matched stretches."""
+    names = ["doc_id", "pos", "to", "first", "low", "high"]
+
+    def made(table: pa.Table) -> pa.RecordBatch | None:
+        column = {c: table[c].combine_chunks() for c in table.column_names}
+        key, doc, pos, low_pos, copies = (column[c].to_numpy() for c in ("key", "doc_id", "pos", "low_pos", "copies"))
+        words_b, cut_b, words_a, cut_a = _numbers(column["before"], column["after"])
+        # the blank after the last word makes an empty one
+        n_before, n_after = pos - low_pos, np.diff(cut_a) - 1
+        before = _matrix(words_b, cut_b[:-1] + n_before - 1, -1, n_before, size - seed)
+        after = _matrix(words_a, cut_a[:-1], 1, n_after, size)
+        order = np.lexsort((pos, doc))
+        new = np.concatenate([[0], (np.diff(doc[order]) != 0) | (np.diff(pos[order]) != 0)])
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.cumsum(new)
+        state = matched_stretches(key, rank, copies, before, n_before, after, n_after, size)
+        # from the first stretch to the last, with an empty one as border
+        wide = np.zeros((len(key), state.shape[1] + 1), dtype=np.int8)
+        wide[:, :-1] = state[:, ::-1]
+        flat = np.concatenate([[0], wide.ravel()])
+        edge = np.flatnonzero(np.diff(flat))
+        begin = edge[flat[edge + 1] != 0]
+        if not len(begin):
+            return None
+        stop = edge[np.searchsorted(edge, begin, side="right")]
+        i, width = begin // wide.shape[1], wide.shape[1]
+        s, e = (pos[i] - (state.shape[1] - 1) + x % width for x in (begin, stop - 1))
+        lists = [(column[c].offsets.to_numpy(), column[c].values.to_numpy(zero_copy_only=False)) for c in ("lows", "highs")]
+        low, high = (v[o[i] + x - low_pos[i]] for (o, v), x in zip(lists, (s, e)))
+        values = (doc[i], s.astype(np.int32), e.astype(np.int32), wide.ravel()[begin] == 2, low, high)
+        return pa.RecordBatch.from_arrays([pa.array(v) for v in values], names)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            held.append(batch)
+            if sum(map(len, held)) < SUFFIXES_TOGETHER or held[0]["key"][0] == batch["key"][-1]:
                 continue
-            cuts = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(cuts, pa.array(np.concatenate(x))) for x in (keys, poss, lows, highs)]
-            yield pa.RecordBatch.from_arrays([pa.array(out_ids, pa.int64()), *lists], ["doc_id", "key", "pos", "low", "high"])
+            keys = np.concatenate([x["key"].to_numpy() for x in held])
+            cut = int(np.searchsorted(keys, keys[-1]))  # the last seed may go on
+            together = pa.Table.from_batches(held)
+            if cut and (found := made(together.slice(0, cut))):
+                yield found
+            held = together.slice(cut).combine_chunks().to_batches()
+        if held and (found := made(pa.Table.from_batches(held))):
+            yield found
 
-    return _ids(docs).mapInArrow(
-        read, "doc_id BIGINT, key ARRAY<BIGINT>, pos ARRAY<INT>, low ARRAY<INT>, high ARRAY<INT>"
-    )
+    return compare
 
 
-def _islands(pos: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """First and last index of each run of stretches without a gap of words."""
-    cut = np.flatnonzero(np.diff(pos) > size)
+def _islands(pos: np.ndarray, to: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last index of each run of ranges of stretches without a gap of words."""
+    cut = np.flatnonzero(pos[1:] - np.maximum.accumulate(to)[:-1] > size)
     return np.concatenate([[0], cut + 1]), np.concatenate([cut, [len(pos) - 1]])
 
 
 def _joiner(size: int):
-    """Sorted stretches of a document, (doc_id, pos, first, low, high), to spans."""
-    names = ["doc_id", "pos", "first", "low", "high"]
+    """Sorted ranges of stretches of a document to spans."""
+    names = ["doc_id", "pos", "to", "first", "low", "high"]
 
-    def spans(doc: int, pos: np.ndarray, first: np.ndarray, low: np.ndarray, high: np.ndarray) -> Iterator[tuple]:
+    def spans(doc: int, pos: np.ndarray, to: np.ndarray, first: np.ndarray, low: np.ndarray, high: np.ndarray) -> Iterator[tuple]:
         again = np.flatnonzero(~first)
-        drop_from, drop_to = _islands(pos[again], size) if len(again) else (again, again)
+        drop_from, drop_to = _islands(pos[again], to[again], size) if len(again) else (again, again)
         drop_from, drop_to = again[drop_from], again[drop_to]
-        for i, j in zip(*_islands(pos, size)):
+        for i, j in zip(*_islands(pos, to, size)):
             mine = (drop_from >= i) & (drop_to <= j)
             drops = [{"low": int(low[a]), "high": int(high[b])} for a, b in zip(drop_from[mine], drop_to[mine])]
-            dropped = int((pos[drop_to[mine]] + size - pos[drop_from[mine]]).sum())
-            yield doc, int(pos[i]), int(pos[j] + size - pos[i]), int(low[i]), int(high[j]), dropped, drops
+            dropped = int((to[drop_to[mine]] + size - pos[drop_from[mine]]).sum())
+            yield doc, int(pos[i]), int(to[j] + size - pos[i]), int(low[i]), int(high[j]), dropped, drops
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -190,15 +350,33 @@ SPANS = (
 )
 
 
+def _counted_stretches(stretches: DataFrame, most: int) -> DataFrame:
+    """The ranges, one stretch each, of hot seeds.  ``most`` is at least the number of
+    stretches.  A stretch of very many places is joined to its count by a broadcast;
+    at most HOT_SHARE stretches are such."""
+    rows = stretches.select(
+        "doc_id", "copies", "pos", F.col("after").alias("known"), F.col("lows")[0].alias("low"), F.col("highs")[0].alias("high")
+    )
+    equal = rows.groupBy("known").agg(
+        F.sum("copies").alias("n"), F.count("*").alias("places"), F.min(F.struct("doc_id", "pos")).alias("best")
+    )
+    equal = stored(equal.where("n > 1").drop("n"), "stretches")
+    common = F.col("places") > max(HOT_PLACES, most // HOT_SHARE)
+    many, few = F.broadcast(equal.where(common)), equal.where(~common)
+    met = rows.join(many, "known").unionByName(rows.join(many, "known", "left_anti").join(few, "known"))
+    first = (F.col("doc_id") == F.col("best.doc_id")) & (F.col("pos") == F.col("best.pos"))
+    return met.select("doc_id", "pos", F.col("pos").alias("to"), first.alias("first"), "low", "high")
+
+
 def repeated_spans(docs: DataFrame, size: int = MIN_WORDS, seed: int = SEED_WORDS) -> DataFrame:
     """The maximal spans of ``docs(doc_id, text)`` made of repeated stretches of
     ``size`` words or more, in one document or in several.
 
     Per span: doc_id, start_word, n_words, start_char and end_char (code points),
     n_dropped words and ``drops``: the parts (code points) of which an occurrence
-    comes earlier, by (doc_id, place).  Words are compared by 64-bit hashes
-    of their bytes, stretches by a hash of those; white space between them is not compared.  A text that is NULL, empty or shorter than
-    ``size`` words has no span.  Rows with a NULL doc_id are left out; rows with
+    comes earlier, by (doc_id, place).  Words are compared byte for byte (those of
+    a hot seed by 128-bit digests of their bytes); white space between them is not
+    compared.  A text that is NULL, empty or shorter than ``size`` words has no span.  Rows with a NULL doc_id are left out; rows with
     an equal doc_id and text are one document.  Other columns are not looked at.
     """
     known = stored(survey(docs, size, seed), "survey")
@@ -213,15 +391,18 @@ def repeated_spans(docs: DataFrame, size: int = MIN_WORDS, seed: int = SEED_WORD
         return firsts.join(copies, "doc_id", "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
 
     seeds = weighed(known.select("doc_id", "seeds")).select(F.explode("seeds").alias("seed"), "copies")
-    repeated = seeds.groupBy("seed").agg(F.sum("copies").alias("n")).where("n > 1").select("seed")
-    found = candidate_stretches(docs, blobs.bloom(repeated), size, seed)
-    stretches = weighed(found).select("doc_id", "copies", F.explode(F.arrays_zip("key", "pos", "low", "high")).alias("s"))
-    stretches = stretches.select("doc_id", "copies", "s.*")
-    equal = stretches.groupBy("key").agg(F.sum("copies").alias("n"), F.min(F.struct("doc_id", "pos")).alias("first"))
-    met = stretches.drop("copies").join(equal.where("n > 1").drop("n"), "key")
-    marked = met.withColumn("first", (F.col("doc_id") == F.col("first.doc_id")) & (F.col("pos") == F.col("first.pos")))
-    placed = marked.select("doc_id", "pos", "first", "low", "high").repartition("doc_id")
-    spans = placed.sortWithinPartitions("doc_id", "pos").mapInArrow(_joiner(size), SPANS)
+    counted = seeds.groupBy("seed").agg(F.sum("copies").alias("n"), F.count("*").alias("places")).where("n > 1")
+    repeated = stored(counted.select("seed", "places"), "seeds")
+    members, total = repeated.agg(F.count("*"), F.coalesce(F.sum("places"), F.lit(0))).first()
+    hot = repeated.where(F.col("places") > max(HOT_PLACES, total // HOT_SHARE)).select("seed").toArrow()["seed"].to_numpy()
+    suffixes = retained_suffixes(docs, blobs.bloom(repeated.select("seed"), members), hot, size, seed)
+    suffixes = stored(weighed(suffixes), "suffixes")
+
+    dealt = suffixes.where("NOT hot").repartition("key").sortWithinPartitions("key", "after")
+    ranges = dealt.mapInArrow(_compare(size, seed), RANGES)
+    if len(hot):
+        ranges = ranges.unionByName(_counted_stretches(suffixes.where("hot"), size * total))
+    spans = ranges.repartition("doc_id").sortWithinPartitions("doc_id", "pos").mapInArrow(_joiner(size), SPANS)
     again = left_out.selectExpr(
         "doc_id", "0L AS start_word", "n_words", "CAST(low AS BIGINT) AS start_char", "CAST(high AS BIGINT) AS end_char",
         "n_words AS n_dropped",

@@ -312,6 +312,40 @@ def test_spans_equal_brute_force_and_are_cut(spark):
     assert suffixes.repeated_spans(table(spark, rows).limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("hot_places", [1 << 12, 1])
+def test_sorted_suffixes_equal_brute_force(spark, monkeypatch, hot_places):
+    """Few words, so that matches hide each other, also words that begin like others."""
+    monkeypatch.setattr(suffixes, "HOT_PLACES", hot_places)
+    rng = np.random.default_rng(11)
+    known = np.array(["a", "ab", "a\x01", "a!", "é"])
+    rows = []
+    for i in range(60):
+        w = rng.choice(known, int(rng.integers(0, 90)), p=[0.4, 0.3, 0.1, 0.1, 0.1])
+        rows.append((i, "\t".join(w) if i % 2 else "  ".join(w)))
+        if i % 7 == 6:  # near copies, and a text whose first half is of one and its second of another
+            rows.append((100 + i, rows[-1][1].replace("é", "a", 1)))
+            rows.append((200 + i, " ".join(words(rows[-1][1])[:40] + words(rows[-4][1])[5:])))
+    names = ("doc_id", "start_word", "n_words", "start_char", "end_char", "n_dropped")
+    for size, seed in ((9, 3), (6, 6), (20, 4)):
+        found = suffixes.repeated_spans(table(spark, rows), size=size, seed=seed).collect()
+        got = [tuple(r[n] for n in names) for r in found]
+        assert len(set(got)) == len(got) and set(got) == brute_spans(rows, size)
+        texts = dict(rows)
+        for r in found:
+            assert sum(len(words(texts[r.doc_id][d.low : d.high])) for d in r.drops) == r.n_dropped
+
+
+def test_a_third_text_hides_no_match():
+    """Between two texts that match to the left stands one that matches further to the right."""
+    numbers = [[1, 2, 3, 4, 5, 9], [1, 2, 3, 4, 6, 9], [1, 2, 3, 4, 6, 8]]
+    after = np.array([x[2:] for x in numbers], dtype=np.int32)  # sorted
+    before = np.array([[2, 1], [7, 1], [2, 1]], dtype=np.int32)
+    state = suffixes.matched_stretches(
+        np.zeros(3, dtype=np.int64), np.array([5, 2, 1]), np.ones(3, dtype=np.int64), before, np.array([2, 2, 2]), after, np.array([4, 4, 4]), 4
+    )
+    assert state.tolist() == [[0, 0, 1], [0, 0, 0], [0, 0, 2]]
+
+
 # --- 5 and 8: models
 
 
