@@ -53,6 +53,8 @@ HOT_SHARE = 1 << 18
 # Retained suffixes that are compared together, and that are handed on together.
 SUFFIXES_TOGETHER = 1 << 15
 ROWS_TOGETHER = 1 << 12
+# Stretches of hot seeds that a task puts together.
+STRETCHES_TOGETHER = 1 << 17
 
 
 def minimisers(hashes: np.ndarray, size: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -350,22 +352,42 @@ SPANS = (
 )
 
 
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per different stretch that a task sees, with lists of its places."""
+    def made(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = ["doc_id", "pos", "low", "high"]
+        grouped = pa.Table.from_batches(held).group_by("known").aggregate([("copies", "sum"), *[(c, "list") for c in places]])
+        named = grouped.select(["known", "copies_sum", *[f"{c}_list" for c in places]]).rename_columns(["known", "n", *places])
+        return iter(named.to_batches())
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(map(len, held)) >= STRETCHES_TOGETHER:
+            yield from made(held)
+            held = []
+    if held:
+        yield from made(held)
+
+
 def _counted_stretches(stretches: DataFrame, most: int) -> DataFrame:
     """The ranges, one stretch each, of hot seeds.  ``most`` is at least the number of
-    stretches.  A stretch of very many places is joined to its count by a broadcast;
-    at most HOT_SHARE stretches are such."""
+    stretches.  Equal ones are put together in each task before they are counted; those
+    of very many rows get their count by a broadcast; at most HOT_SHARE stretches are such."""
     rows = stretches.select(
         "doc_id", "copies", "pos", F.col("after").alias("known"), F.col("lows")[0].alias("low"), F.col("highs")[0].alias("high")
     )
-    equal = rows.groupBy("known").agg(
-        F.sum("copies").alias("n"), F.count("*").alias("places"), F.min(F.struct("doc_id", "pos")).alias("best")
-    )
-    equal = stored(equal.where("n > 1").drop("n"), "stretches")
-    common = F.col("places") > max(HOT_PLACES, most // HOT_SHARE)
+    listed = "doc_id ARRAY<BIGINT>, pos ARRAY<INT>, low ARRAY<INT>, high ARRAY<INT>"
+    rows = stored(rows.mapInArrow(_together, f"known BINARY, n BIGINT, {listed}"), "stretches")
+    best = F.array_min(F.arrays_zip("doc_id", "pos"))
+    equal = rows.groupBy("known").agg(F.sum("n").alias("n"), F.count("*").alias("rows"), F.min(best).alias("best"))
+    equal = stored(equal.where("n > 1").drop("n"), "counts")
+    common = F.col("rows") > max(HOT_PLACES, most // HOT_SHARE)
     many, few = F.broadcast(equal.where(common)), equal.where(~common)
     met = rows.join(many, "known").unionByName(rows.join(many, "known", "left_anti").join(few, "known"))
+    flat = met.select("best", F.explode(F.arrays_zip("doc_id", "pos", "low", "high")).alias("s")).select("best", "s.*")
     first = (F.col("doc_id") == F.col("best.doc_id")) & (F.col("pos") == F.col("best.pos"))
-    return met.select("doc_id", "pos", F.col("pos").alias("to"), first.alias("first"), "low", "high")
+    return flat.select("doc_id", "pos", F.col("pos").alias("to"), first.alias("first"), "low", "high")
 
 
 def repeated_spans(docs: DataFrame, size: int = MIN_WORDS, seed: int = SEED_WORDS) -> DataFrame:
