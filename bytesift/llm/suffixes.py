@@ -19,9 +19,10 @@ word, without keeping every suffix of the corpus:
    looked at, not the nearest neighbour alone, so a third text hides nothing.
 5. What is matched is joined to maximal spans.
 
-A seed of very many places would make one task read them all.  Its suffixes are taken
-apart: each of their stretches is known by a 128-bit digest of its bytes, and these
-are counted in Spark, in the tasks first.
+A seed of very many places would make one task read them all.  Its suffixes stay where
+they are, in blocks: each of their stretches is known by a 128-bit digest of its bytes.
+Digests are counted in Spark, once per block, and a block is told which of its digests
+are matched.
 
 Texts that are equal as a whole are compared once: only the first of them, by
 doc_id, takes part, with the weight of all.
@@ -53,8 +54,8 @@ HOT_SHARE = 1 << 18
 # Retained suffixes that are compared together, and that are handed on together.
 SUFFIXES_TOGETHER = 1 << 15
 ROWS_TOGETHER = 1 << 12
-# Stretches of hot seeds that a task puts together.
-STRETCHES_TOGETHER = 1 << 17
+# Retained suffixes in a block.
+BLOCK = 1 << 13
 
 
 def minimisers(hashes: np.ndarray, size: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -134,8 +135,8 @@ def retained_suffixes(docs: DataFrame, repeated: np.ndarray, hot: np.ndarray, si
     Per suffix: doc_id, key (its seed), pos (its first word), low_pos (the first word of
     the first stretch that chose it), ``before`` and ``after`` (the words of its stretches
     in front of pos and from pos on, each word followed by one blank), ``lows`` and
-    ``highs`` (where its stretches begin and end, in code points).  A seed in ``hot`` has
-    a row per stretch instead, with the digest of its words as ``after``.
+    ``highs`` (where its stretches begin and end, in code points).  A suffix whose seed is
+    in ``hot`` has the digests of its stretches, 16 bytes each, as ``after``.
     """
     context = docs.sparkSession.sparkContext
     wanted, many = context.broadcast(repeated), context.broadcast(hot)
@@ -161,12 +162,11 @@ def retained_suffixes(docs: DataFrame, repeated: np.ndarray, hot: np.ndarray, si
             for i in good.tolist():
                 p, a, z = int(chosen[i]), int(first[i]), int(last[i])
                 if is_hot[i]:
-                    for s in range(a, z + 1):
-                        known = hashlib.blake2b(joined[word[s] : word[s + size]], digest_size=16).digest()
-                        yield ids[row], keys[i], True, s, s, b"", known, low[s : s + 1], high[s + size - 1 : s + size]
+                    stretches = (joined[word[s] : word[s + size]] for s in range(a, z + 1))
+                    before, after = b"", b"".join(hashlib.blake2b(x, digest_size=16).digest() for x in stretches)
                 else:
                     before, after = joined[word[a] : word[p]], joined[word[p] : word[z + size]]
-                    yield ids[row], keys[i], False, p, a, before, after, low[a : z + 1], high[a + size - 1 : z + size]
+                yield ids[row], keys[i], is_hot[i], p, a, before, after, low[a : z + 1], high[a + size - 1 : z + size]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
@@ -352,42 +352,85 @@ SPANS = (
 )
 
 
-def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per different stretch that a task sees, with lists of its places."""
-    def made(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = ["doc_id", "pos", "low", "high"]
-        grouped = pa.Table.from_batches(held).group_by("known").aggregate([("copies", "sum"), *[(c, "list") for c in places]])
-        named = grouped.select(["known", "copies_sum", *[f"{c}_list" for c in places]]).rename_columns(["known", "n", *places])
-        return iter(named.to_batches())
+def _digests(after: pa.Array) -> pa.Array:
+    """The digests of all suffixes, one after the other."""
+    joined = b"".join(after.to_pylist())
+    return pa.Array.from_buffers(pa.binary(16), len(joined) // 16, [None, pa.py_buffer(joined)])
+
+
+def _each_stretch(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """For each stretch of all suffixes its suffix (row of the table) and its first word."""
+    low_pos, count = table["low_pos"].to_numpy(), pc.list_value_length(table["lows"]).to_numpy()
+    row = np.repeat(np.arange(len(count)), count)
+    return row, low_pos[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+
+
+def _different(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per different stretch of a block: how many there are, and the first place."""
+    def made(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held).combine_chunks()
+        row, at = _each_stretch(table)
+        doc = table["doc_id"].to_numpy()[row]
+        known = _digests(table["after"].combine_chunks()).dictionary_encode()
+        code = known.indices.to_numpy()
+        order = np.lexsort((at, doc, code))
+        first = order[np.flatnonzero(np.diff(code[order], prepend=-1))]
+        n = np.bincount(code, weights=table["copies"].to_numpy()[row]).astype(np.int64)
+        block = np.full(len(n), held[0]["block"][0].as_py())
+        values = (block, known.dictionary.cast(pa.binary()), n, doc[first], at[first].astype(np.int32))
+        return pa.RecordBatch.from_arrays([pa.array(v) for v in values], ["block", "known", "n", "doc", "at"])
 
     held: list[pa.RecordBatch] = []
     for batch in batches:
-        held.append(batch)
-        if sum(map(len, held)) >= STRETCHES_TOGETHER:
-            yield from made(held)
-            held = []
+        # blocks follow each other in their files
+        cuts = np.flatnonzero(np.diff(batch["block"].to_numpy())) + 1
+        for low, high in zip([0, *cuts], [*cuts, len(batch)]):
+            part = batch.slice(low, high - low)
+            if held and len(part) and held[0]["block"][0] != part["block"][0]:
+                yield made(held)
+                held = []
+            if len(part):
+                held.append(part)
     if held:
-        yield from made(held)
-
-
-def _counted_stretches(stretches: DataFrame, most: int) -> DataFrame:
-    """The ranges, one stretch each, of hot seeds.  ``most`` is at least the number of
-    stretches.  Equal ones are put together in each task before they are counted; those
-    of very many rows get their count by a broadcast; at most HOT_SHARE stretches are such."""
-    rows = stretches.select(
-        "doc_id", "copies", "pos", F.col("after").alias("known"), F.col("lows")[0].alias("low"), F.col("highs")[0].alias("high")
-    )
-    listed = "doc_id ARRAY<BIGINT>, pos ARRAY<INT>, low ARRAY<INT>, high ARRAY<INT>"
-    rows = stored(rows.mapInArrow(_together, f"known BINARY, n BIGINT, {listed}"), "stretches")
-    best = F.array_min(F.arrays_zip("doc_id", "pos"))
-    equal = rows.groupBy("known").agg(F.sum("n").alias("n"), F.count("*").alias("rows"), F.min(best).alias("best"))
-    equal = stored(equal.where("n > 1").drop("n"), "counts")
+        yield made(held)
+
+
+def _told(suffixes: pa.Table, matched: pa.Table) -> pa.Table:
+    """The ranges of matched stretches of a block, whose matched digests are given with their first places."""
+    row, at = _each_stretch(suffixes)
+    wanted = matched["known"].combine_chunks().cast(pa.binary(16))
+    met = pc.index_in(_digests(suffixes["after"].combine_chunks()), wanted).fill_null(-1).to_numpy()
+    doc = suffixes["doc_id"].to_numpy()
+    best_doc, best_at = (np.append(matched[c].to_numpy(), -1) for c in ("doc", "at"))
+    state = np.where(met < 0, 0, 1 + ((best_doc[met] == doc[row]) & (best_at[met] == at)))
+    # a range goes on over the suffixes of its document that follow each other
+    new = np.append(True, (np.diff(doc[row]) != 0) | (np.diff(at) != 1) | (np.diff(state) != 0))
+    begin = np.flatnonzero(new)
+    end = np.append(begin[1:], len(row)) - 1
+    begin, end = begin[state[begin] > 0], end[state[begin] > 0]
+    low, high = (pc.list_flatten(suffixes[c]).to_numpy() for c in ("lows", "highs"))
+    values = (doc[row[begin]], at[begin].astype(np.int32), at[end].astype(np.int32), state[begin] == 2, low[begin], high[end])
+    return pa.table([pa.array(v) for v in values], ["doc_id", "pos", "to", "first", "low", "high"])
+
+
+def _counted_stretches(suffixes: DataFrame, most: int) -> DataFrame:
+    """The ranges of hot seeds.  ``most`` is at least the number of stretches.
+
+    A block has one row for each of its different stretches, and what is told to a block
+    is as much at most.  Stretches of very many blocks get their count by a broadcast; at
+    most HOT_SHARE stretches are such."""
+    rows = suffixes.select("block", "doc_id", "copies", "low_pos", "after", "lows")
+    rows = stored(rows.mapInArrow(_different, "block BIGINT, known BINARY, n BIGINT, doc BIGINT, at INT"), "stretches")
+    best = F.min(F.struct("doc", "at")).alias("best")
+    equal = rows.groupBy("known").agg(F.sum("n").alias("n"), F.count("*").alias("rows"), best)
+    equal = stored(equal.where("n > 1").select("known", "rows", "best"), "counts")
     common = F.col("rows") > max(HOT_PLACES, most // HOT_SHARE)
     many, few = F.broadcast(equal.where(common)), equal.where(~common)
-    met = rows.join(many, "known").unionByName(rows.join(many, "known", "left_anti").join(few, "known"))
-    flat = met.select("best", F.explode(F.arrays_zip("doc_id", "pos", "low", "high")).alias("s")).select("best", "s.*")
-    first = (F.col("doc_id") == F.col("best.doc_id")) & (F.col("pos") == F.col("best.pos"))
-    return flat.select("doc_id", "pos", F.col("pos").alias("to"), first.alias("first"), "low", "high")
+    asked = rows.select("block", "known")
+    met = asked.join(many, "known").unionByName(asked.join(many, "known", "left_anti").join(few, "known"))
+    told = met.select("block", "known", "best.doc", "best.at").groupBy("block")
+    whole = suffixes.select("block", "doc_id", "low_pos", "after", "lows", "highs").groupBy("block")
+    return whole.cogroup(told).applyInArrow(_told, RANGES)
 
 
 def repeated_spans(docs: DataFrame, size: int = MIN_WORDS, seed: int = SEED_WORDS) -> DataFrame:
@@ -418,9 +461,10 @@ def repeated_spans(docs: DataFrame, size: int = MIN_WORDS, seed: int = SEED_WORD
     members, total = repeated.agg(F.count("*"), F.coalesce(F.sum("places"), F.lit(0))).first()
     hot = repeated.where(F.col("places") > max(HOT_PLACES, total // HOT_SHARE)).select("seed").toArrow()["seed"].to_numpy()
     suffixes = retained_suffixes(docs, blobs.bloom(repeated.select("seed"), members), hot, size, seed)
-    suffixes = stored(weighed(suffixes), "suffixes")
+    block = F.expr(f"monotonically_increasing_id() DIV {BLOCK}")
+    suffixes = stored(weighed(suffixes).withColumn("block", block), "suffixes")
 
-    dealt = suffixes.where("NOT hot").repartition("key").sortWithinPartitions("key", "after")
+    dealt = suffixes.where("NOT hot").drop("block").repartition("key").sortWithinPartitions("key", "after")
     ranges = dealt.mapInArrow(_compare(size, seed), RANGES)
     if len(hot):
         ranges = ranges.unionByName(_counted_stretches(suffixes.where("hot"), size * total))

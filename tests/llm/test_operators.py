@@ -335,6 +335,32 @@ def test_sorted_suffixes_equal_brute_force(spark, monkeypatch, hot_places):
             assert sum(len(words(texts[r.doc_id][d.low : d.high])) for d in r.drops) == r.n_dropped
 
 
+@pytest.mark.parametrize("block", [4, 1 << 15])
+def test_hot_seeds_make_ranges_not_rows_per_stretch(spark, monkeypatch, block):
+    """A passage of very many texts, and a pair of words said again and again, where each
+    place has two stretches: ranges go on over suffixes, in blocks of any size."""
+    monkeypatch.setattr(suffixes, "HOT_PLACES", 3)
+    monkeypatch.setattr(suffixes, "BLOCK", block, raising=False)
+    made, counted = [], suffixes._counted_stretches
+
+    def seen(hot, most):
+        made.append((hot, counted(hot, most)))
+        return made[-1][1]
+
+    monkeypatch.setattr(suffixes, "_counted_stretches", seen)
+    passage = " ".join(f"é{i}" for i in range(160))
+    rows = [(i, f"before{i} {passage} " + " ".join(f"w{i}x{j}" for j in range(i % 5 * 20))) for i in range(40)]
+    rows += [(100 + i, f"{passage} x{i} {passage}") for i in range(3)]
+    rows += [(200 + i, f"{i}a {i}b " + "to and " * (60 + 40 * i)) for i in range(3)]
+    names = ("doc_id", "start_word", "n_words", "start_char", "end_char", "n_dropped")
+    got = [tuple(r[n] for n in names) for r in suffixes.repeated_spans(table(spark, rows)).collect()]
+    assert len(set(got)) == len(got) and set(got) == brute_spans(rows, 50)
+    ((hot, ranges),) = made
+    n_hot = hot.count()
+    assert 49 <= ranges.count() <= (3 * 49 if block > n_hot else n_hot) and n_hot < 46 * 111 / 4
+    assert "explode" not in ranges._jdf.queryExecution().executedPlan().toString()
+
+
 def test_a_third_text_hides_no_match():
     """Between two texts that match to the left stands one that matches further to the right."""
     numbers = [[1, 2, 3, 4, 5, 9], [1, 2, 3, 4, 6, 9], [1, 2, 3, 4, 6, 8]]
