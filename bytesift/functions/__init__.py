@@ -1,6 +1,7 @@
 """SQL expressions shared by the operators."""
 
 from bytesift.functions.bytes import (
+    apart_starts_in,
     as_bytes,
     byte_length,
     count_apart,
@@ -13,6 +14,7 @@ from bytesift.functions.bytes import (
 )
 
 __all__ = [
+    "apart_starts_in",
     "as_bytes",
     "byte_length",
     "count_apart",

@@ -50,6 +50,23 @@ def overlap_regex(text: str) -> str:
     return f"concat('(?=', {literal_regex(text)}, ')')"
 
 
+def apart_starts_in(body: str, pattern: str) -> str:
+    """:func:`starts_in` for a pattern that cannot overlap itself.
+
+    The body is split at each occurrence, which takes the occurrence away.
+    """
+    pieces = f"split({latin1(body)}, {literal_regex(latin1(pattern))}, -1)"
+    none = "CAST(array() AS ARRAY<INT>)"
+    return f"""
+    aggregate(
+      transform({pieces}, piece -> length(piece)),
+      named_struct('at', -{byte_length(pattern)}, 'starts', {none}),
+      (acc, n) -> named_struct(
+        'at', acc.at + {byte_length(pattern)} + n,
+        'starts', IF(acc.at >= 0, array_append(acc.starts, acc.at), acc.starts)),
+      acc -> acc.starts)"""
+
+
 def starts_in(body: str, pattern: str) -> str:
     """ARRAY<INT> of the 0-based starts of ``pattern`` in ``body``, ascending.
 

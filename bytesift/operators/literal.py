@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bytesift.functions import byte_length, count_apart, cut, quoted, starts_in
+from bytesift.functions import apart_starts_in, byte_length, count_apart, cut, quoted, starts_in
 
 # Offsets of one text are generated in stretches of this many bytes, so that the
 # generated arrays stay small however long the text is.
@@ -106,9 +106,8 @@ def split_positions(
 ) -> DataFrame:
     """The rows of :func:`scan_positions`, from a split in front of each match."""
     blocks = _blocks(_with_patterns(texts, literals), str(SPLIT_BLOCK))
-    found = blocks.selectExpr("*", f"explode({starts_in('_slice', '_p')}) AS _local").selectExpr(
-        "*", "_at + _local AS _pos"
-    )
+    starts = f"IF(_o, {starts_in('_slice', '_p')}, {apart_starts_in('_slice', '_p')})"
+    found = blocks.selectExpr("*", f"explode({starts}) AS _local").selectExpr("*", "_at + _local AS _pos")
     return found.select(*keys, _id_of(literals, id_type), "_m", "_pos")
 
 

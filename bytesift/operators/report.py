@@ -11,12 +11,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bytesift.operators.chunks import chunk_texts, find_matches_chunked
 from bytesift.operators.search import find_matches_multi
 from bytesift.plans.choice import LITERAL_BYTES, LITERAL_PATTERNS, setting
 from bytesift.plans.layout import fresh_folder
 
+# Matches that a task puts to lists together, and bytes of text that a list is of.
+LISTED_TOGETHER = 1 << 17
+LIST_BLOCK = 1 << 13
 
 def pattern_totals(
     matches_or_counts: DataFrame, patterns: DataFrame, pattern_id: str = "pattern_id"
@@ -121,6 +125,81 @@ def diff_matches(a: DataFrame, b: DataFrame) -> DataFrame:
     return copies.drop("_k")
 
 
+def _can_list(matches: DataFrame) -> bool:
+    """The ids are of types whose values Arrow can number."""
+    plain = (T.NumericType, T.BinaryType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    kinds = [matches.schema[c].dataType for c in ("text_id", "pattern_id")]
+    return all(isinstance(k, plain) or isinstance(k, T.StringType) and k.collation == "UTF8_BINARY" for k in kinds)
+
+
+def _listed(matches: DataFrame) -> DataFrame:
+    """(text_id, pattern_id, block, listed): the sorted positions of a block of a text, 8 bytes each.
+
+    The rows of a text follow each other where the search left it in its task; where
+    they do not, there are several lists of a block.
+    """
+    def made(table: pa.Table, text: np.ndarray) -> pa.RecordBatch:
+        pattern = table["pattern_id"].combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        pos = table["byte_pos"].to_numpy()
+        block = pos // LIST_BLOCK
+        order = np.lexsort((pos, pattern, block, text))
+        text, pattern, block, pos = text[order], pattern[order], block[order], pos[order]
+        new = (np.diff(text) != 0) | (np.diff(pattern) != 0) | (np.diff(block) != 0)
+        begin = np.flatnonzero(np.append(True, new))
+        cuts = np.append(begin, len(pos)).astype(np.int32) * np.int32(8)
+        lists = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(cuts), pa.py_buffer(pos.astype("<i8"))])
+        first = pa.array(order[begin])
+        ids = [table[c].combine_chunks().take(first) for c in ("text_id", "pattern_id")]
+        return pa.RecordBatch.from_arrays([*ids, pa.array(block[begin]), lists], ["text_id", "pattern_id", "block", "listed"])
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(map(len, held)) < LISTED_TOGETHER:
+                continue
+            table = pa.Table.from_batches(held)
+            text = numbers(table)
+            other = np.flatnonzero(text != text[-1])
+            cut = int(other[-1]) + 1 if len(other) else len(text)  # the last text may go on
+            yield made(table.slice(0, cut), text[:cut])
+            held = table.slice(cut).to_batches()
+        if sum(map(len, held)):
+            table = pa.Table.from_batches(held)
+            yield made(table, numbers(table))
+
+    def numbers(table: pa.Table) -> np.ndarray:
+        return table["text_id"].combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+
+    rows = matches.select("text_id", "pattern_id", "byte_pos")
+    ids = [rows.schema["text_id"], rows.schema["pattern_id"]]
+    return rows.mapInArrow(put, T.StructType([*ids, T.StructField("block", T.LongType()), T.StructField("listed", T.BinaryType())]))
+
+
+def _agree(reference: DataFrame, matches: DataFrame) -> bool:
+    """The matches are those of the ``reference``, both given as lists: row by row.
+
+    Equal lists cancel each other out; what the others hold is compared by position.
+    """
+    names = ["text_id", "pattern_id", "block", "listed"]
+    tagged = reference.select(*names, F.lit(1).alias("_side")).unionByName(matches.select(*names, F.lit(-1).alias("_side")))
+    left = tagged.groupBy(*names).agg(F.sum("_side").alias("_d")).where("_d <> 0").drop("block")
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, len(batch), 256):  # bounds what is unpacked at once
+                part = batch.slice(low, 256)
+                lists = part["listed"].to_pylist()
+                pos = np.frombuffer(b"".join(lists), dtype="<i8")
+                row = pa.array(np.repeat(np.arange(len(lists)), [len(x) // 8 for x in lists]))
+                columns = [part["text_id"].take(row), part["pattern_id"].take(row), pa.array(pos), part["_d"].take(row)]
+                yield pa.RecordBatch.from_arrays(columns, ["text_id", "pattern_id", "byte_pos", "_d"])
+
+    fields = [left.schema["text_id"], left.schema["pattern_id"], T.StructField("byte_pos", T.LongType()), left.schema["_d"]]
+    rows = left.mapInArrow(unpack, T.StructType(fields))
+    return rows.groupBy("text_id", "pattern_id", "byte_pos").agg(F.sum("_d").alias("_d")).where("_d <> 0").isEmpty()
+
+
 def _in_passes(found_by: Callable[[DataFrame], DataFrame], patterns: DataFrame, pattern: str) -> DataFrame:
     """The union of what is found for slices of the patterns that fit into a plan as literals.
 
@@ -159,7 +238,8 @@ def compare_strategies(
     Each strategy runs on whole texts (size None) or on chunks of the given
     sizes, and on every text ``copies`` times over, end to end into a stored table
     that the checks read: no run is evaluated twice.  ``agrees`` compares the
-    matches, row by row, with those of the first run on as many copies.  The
+    matches, row by row, with those of the first run on as many copies; they are
+    shuffled as lists of positions, one for a block of a text and a pattern.  The
     strategies that hold patterns as literals take larger tables in several passes.
     ``strategy_slopes`` tells from runs on several sizes what a megabyte costs.
     """
@@ -187,8 +267,17 @@ def compare_strategies(
                 found.write.parquet(folder)
                 ms = (time.perf_counter() - started) * 1000.0
                 run = spark.read.schema(found.schema).parquet(folder)
-                agrees = reference is None or diff_matches(reference, run).isEmpty()
-                reference = run if reference is None else reference
+                lists = _listed(run) if _can_list(run) else None
+                if reference is None:
+                    reference, listed, agrees = run, None, True
+                elif lists is None:
+                    agrees = diff_matches(reference, run).isEmpty()
+                else:
+                    if listed is None:  # the first run's lists, for all that are compared with it
+                        folder = fresh_folder(spark, "lists")
+                        _listed(reference).write.parquet(folder)
+                        listed = spark.read.schema(lists.schema).parquet(folder)
+                    agrees = _agree(listed, lists)
                 speed = n_bytes / 1000.0 / ms
                 results.append(
                     (strategy, size, times, n_patterns, n_bytes, ms, speed, speed / cores, run.count(), agrees)

@@ -30,6 +30,9 @@ SALTS = ("spark.bytesift.salts", 8)
 # A sampled window costs about as much as scanning one byte for this many patterns.
 WINDOW_COST = 100
 
+# So many short patterns are found by the windows of the shortest of them.
+FEW_SHORT = 8
+
 # Rough memory of one row of a broadcast hash table, payload included.
 _ROW_BYTES = 64
 
@@ -121,6 +124,20 @@ def anchor_bytes(stats: PatternStats, most_stride: int) -> int:
     return shape_bytes(stats, most_stride) + rows + 2 * stats.total_bytes + stats.id_bytes
 
 
+def _present(classes: list[WindowClass], stats: PatternStats) -> list[WindowClass]:
+    """The classes that patterns are in, but a few patterns of an every-byte class go to the next one.
+
+    Two classes that take a window at every byte make all windows twice; a few patterns
+    found by shorter windows make fewer rows than that.
+    """
+    present = [c for c in classes if c in stats.per_class]
+    every_byte = [c for c in present if c.stride == 1 and c.q > 1]
+    for c, after in zip(every_byte, every_byte[1:]):
+        if sum(stats.per_class[x][0] for x in every_byte) <= FEW_SHORT:
+            present.remove(c)
+    return present
+
+
 def choose(
     patterns: DataFrame,
     strategy: str = "auto",
@@ -158,7 +175,7 @@ def choose(
     strides = [stride]
     while strides[-1] > 1:
         strides.append(strides[-1] // 2)
-    present = [c for c in classes if c in stats.per_class]
+    present = _present(classes, stats)
     for whole, size_of in ((True, anchor_bytes), (False, shape_bytes)):
         for most in strides:
             if size_of(stats, most) <= limit:

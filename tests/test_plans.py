@@ -196,3 +196,10 @@ def test_fresh_folders_are_in_the_checkpoint_folder(spark):
     assert first != second
     named = spark.conf.get("spark.checkpoint.dir")
     assert named in first
+
+
+def test_few_short_patterns_take_one_window_a_byte(spark):
+    for n, expected in ((3, [2]), (20, [3, 2])):
+        patterns = [(i, bytearray(b"ab" if i == 0 else b"%03d" % i)) for i in range(n)]
+        search = choose(spark.createDataFrame(patterns, "_id INT, _p BINARY"), "hash")
+        assert [c.q for c in search.classes] == expected

@@ -1,6 +1,7 @@
 import pytest
 from helpers import brute, pattern_table, rows, starts, text_table
 
+from bytesift.operators import report
 from bytesift.operators.report import compare_strategies, diff_matches, match_report, pattern_totals, strategy_slopes
 from bytesift.operators.search import count_matches, find_matches_multi
 from bytesift.sources.sinks import write_matches
@@ -70,6 +71,36 @@ def test_strategies_on_more_patterns_than_a_plan_holds(spark):
     assert all(r.mb_per_s_core > 0 and r.n_bytes == r.copies * sum(map(len, texts.values())) for r in runs)
 
 
+@pytest.mark.parametrize("together, block", [(1 << 17, 1 << 13), (3, 4)])
+def test_runs_are_compared_by_lists(spark, monkeypatch, together, block):
+    """A surplus, a shift or a repeat is told, whatever the order of rows and the cut of lists; ids may be NULL."""
+    monkeypatch.setattr(report, "LISTED_TOGETHER", together, raising=False)
+    monkeypatch.setattr(report, "LIST_BLOCK", block, raising=False)
+    kind = "text_id STRING, pattern_id INT, byte_pos BIGINT"
+    listed = [(t, p, at) for t in ("a", "b", None) for p in (1, 2, None) for at in range(0, 40, 3)] + [("a", 1, 3)]
+
+    def lists(rows, parts=1):
+        return report._listed(spark.createDataFrame(rows, kind).coalesce(parts))
+
+    once = lists(listed)
+    for same in (lists(listed), lists(sorted(listed, key=str)), lists(listed[::-1], 4)):
+        assert report._agree(once, same)
+    for other in (listed[1:], listed[:-1], listed + listed[:1], [*listed[:-1], ("a", 1, 4)], [*listed[:-1], (None, 1, 3)], []):
+        assert not report._agree(once, lists(other)) and not report._agree(lists(other), once)
+    assert once.count() < len(listed)
+
+
+def test_compared_runs_shuffle_lists(spark, monkeypatch):
+    """Also ids that Arrow cannot number are compared."""
+    t, p, _ = tables(spark)
+    calls = []
+    monkeypatch.setattr(report, "diff_matches", lambda a, b: calls.append(1) or diff_matches(a, b))
+    assert all(r.agrees for r in compare_strategies(t, p, ("scan", "hash")).collect()) and not calls
+    nested = t.selectExpr("named_struct('a', text_id) AS text_id", "body")
+    runs = compare_strategies(nested, p, ("scan", "hash")).collect()
+    assert [(r.agrees, r.n_matches) for r in runs] == [(True, len(brute(TEXTS, PATTERNS)))] * 2 and calls
+
+
 def test_slopes_are_the_lines_through_the_runs(spark):
     runs = spark.createDataFrame(
         [("hash", None, 1_000_000 * k, 40.0 + 3.0 * k, 10 * k) for k in (1, 10, 40)] + [("scan", 8, 1_000_000, 5.0, 2)],
