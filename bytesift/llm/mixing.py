@@ -14,13 +14,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bytesift.llm.spread import parts_for, running_sum
-from bytesift.llm.store import WORD, stored
+from bytesift.llm.store import WORD, small_table, stored
 from bytesift.llm.text import mix as scramble
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -103,18 +102,19 @@ def slots(spark, shares: list[Share], seed: int) -> DataFrame:
     n_shards = max(1, -(-total // SHARD_SLOTS))
     odds = quota / total if total else quota.astype(float)
 
-    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard in batch["id"]:
+            for shard in batch["id"].to_pylist():
                 n = min(SHARD_SLOTS, total - shard * SHARD_SLOTS)
                 if n > 0:
                     counts = np.random.default_rng([seed, shard]).multinomial(n, odds)
                     hit = np.flatnonzero(counts)
                     first = np.concatenate([[0], np.cumsum(counts[hit])[:-1]])
-                    yield pd.DataFrame({"shard": shard, "src": hit, "n": counts[hit], "first": first})
+                    columns = np.full(len(hit), shard), hit.astype(np.int32), counts[hit], first
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["shard", "src", "n", "first"])
 
     drawn = stored(
-        spark.range(0, n_shards, 1, max(1, min(n_shards, 4096))).mapInPandas(draw, "shard BIGINT, src INT, n BIGINT, first BIGINT"),
+        spark.range(0, n_shards, 1, max(1, min(n_shards, 4096))).mapInArrow(draw, "shard BIGINT, src INT, n BIGINT, first BIGINT"),
         "draws",
     )
     based = running_sum(drawn, "src", [F.col("shard")], F.col("shard"), F.col("n"), "base", parts_for(n_shards))
@@ -191,8 +191,11 @@ def mix(docs: DataFrame, block: int = BLOCK_WORDS, total: float = TOTAL_SHARE, m
     )
     sized = stored(counted, "sizes")
     shares = plan(sized, block, total, most)
-    named = spark.createDataFrame(
-        [(s.source, i, s.block) for i, s in enumerate(shares)], "_source STRING, src INT, block INT"
+    named = small_table(
+        spark,
+        _source=pa.array([s.source for s in shares], pa.string()),
+        src=pa.array(range(len(shares)), pa.int32()),
+        block=pa.array([s.block for s in shares], pa.int32()),
     )
     parts = parts_for(sized.count())
     order = [F.col(c) for c in ("doc_id", "_text_hash")]
@@ -235,8 +238,11 @@ def taken(mixed: Mix) -> DataFrame:
     """doc_id, size, source_size, target, taken: one row per document."""
     spark = mixed.rows.sparkSession
     words = _met(mixed).groupBy("src", "start").agg(F.sum(F.expr("(high - low) * times")).alias("taken"))
-    shares = spark.createDataFrame(
-        [(i, s.size, float(s.target)) for i, s in enumerate(mixed.shares)], "src INT, source_size LONG, target DOUBLE"
+    shares = small_table(
+        spark,
+        src=pa.array(range(len(mixed.shares)), pa.int32()),
+        source_size=pa.array([s.size for s in mixed.shares], pa.int64()),
+        target=pa.array([s.target for s in mixed.shares], pa.float64()),
     )
     # a row with words is known by its source and start; one without is not taken
     full = mixed.rows.withColumn("_start", F.when(F.col("size") > 0, F.col("start")))

@@ -9,11 +9,12 @@ are filled up to a budget of padded tokens.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bytesift.llm.spread import parts_for, running_sum
-from bytesift.llm.store import WORD, stored
+from bytesift.llm.store import WORD, small_table, stored
 
 BUCKETS = 16
 TOKEN_BUDGET = 65_536
@@ -91,7 +92,7 @@ def pack(
     edges = boundaries(
         np.array([r["longest"] for r in histogram], dtype=np.int64), np.array([r["n"] for r in histogram], dtype=np.int64), buckets
     )
-    table = spark.createDataFrame(list(enumerate(edges)), "bucket INT, bucket_tokens LONG")
+    table = small_table(spark, bucket=pa.array(range(len(edges)), pa.int32()), bucket_tokens=pa.array(edges, pa.int64()))
     which = " ".join(f"WHEN n_tokens <= {edge} THEN {i}" for i, edge in enumerate(edges))
     bucketed = sized.withColumn("bucket", F.expr(f"CASE {which} END") if edges else F.lit(0))
     ranked = running_sum(

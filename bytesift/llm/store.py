@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 from bytesift.plans import fresh_folder
 
@@ -20,5 +21,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_table(spark: SparkSession, **columns: pa.Array) -> DataFrame:
+    """A few rows that the driver has.
+
+    They go to Spark as Arrow: a list of Python rows would be read by an RDD, for which
+    each executor starts a second family of Python workers beside those of the queries.
+    """
+    return spark.createDataFrame(pa.table(columns))
+
+
 def documents(spark, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -51,8 +51,9 @@ SEED_WORDS = 10
 # places, is taken apart; so at most HOT_SHARE seeds are such.
 HOT_PLACES = 1 << 12
 HOT_SHARE = 1 << 18
-# Retained suffixes that are compared together, and that are handed on together.
-SUFFIXES_TOGETHER = 1 << 15
+# Retained suffixes that are compared together, and that are handed on together.  Those
+# that are compared take some 4 KB each of a worker's memory, which it does not give back.
+SUFFIXES_TOGETHER = 1 << 13
 ROWS_TOGETHER = 1 << 12
 # Retained suffixes in a block.
 BLOCK = 1 << 13

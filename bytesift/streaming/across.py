@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from typing import TYPE_CHECKING
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,6 +16,9 @@ from bytesift.operators.search import normal_patterns, positions
 from bytesift.plans import fresh_folder
 from bytesift.plans.choice import choose
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 # New bytes after which the stateful step emits a row, however many pieces come.
 ROW_BYTES = 1 << 22
 # Ranges that stored pieces are dealt to at most.
@@ -41,6 +44,8 @@ def _stitcher(keep: int, first_order: int | None, timeout_ms: int | None, event_
     """
     row_bytes, late, gap = ROW_BYTES, LATE, GAP
 
+    import pandas as pd  # here, as each Python worker loads this module
+
     def text(key: tuple, start: int, seen: int, joined: bytearray) -> pd.DataFrame:
         return pd.DataFrame({"key": [key[0]], "start": [start], "seen": [seen], "_b": [bytes(joined)], "piece": [-1], "reason": [None]})
 

@@ -2,6 +2,8 @@
 
 import hashlib
 import re
+import subprocess
+import sys
 from collections import defaultdict
 from pathlib import Path
 
@@ -10,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from bytesift.llm import chat, fingerprints, html, jaccard, mixing, packing, quality, queries, rules, suffixes, toxicity
+from bytesift.llm import chat, fingerprints, html, jaccard, mixing, packing, quality, queries, rules, store, suffixes, toxicity
 
 SF = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not Path(SF).is_dir(), reason="no test tables")
@@ -535,3 +537,52 @@ def test_query_equals_sql(spark, name):
     expected = con.execute(queries.ORACLES[name]).fetchall()
     names = [d[0] for d in con.description]
     assert sorted(map(repr, expected)) == sorted(repr(tuple(r[n] for n in names)) for r in df.collect())
+
+
+# --- memory of the workers
+
+
+def test_sorted_suffixes_are_compared_some_at_once():
+    read = 0
+
+    def sorted_suffixes():
+        nonlocal read
+        words = " ".join(f"w{i}" for i in range(60)).encode() + b" "
+        lists = pa.array([[0]] * 1000, pa.list_(pa.int32()))
+        for low in range(0, 30_000, 1000):
+            read += 1000
+            each = np.arange(low, low + 1000)
+            # pairs of equal suffixes, each pair with a seed of its own
+            columns = [each, each // 2, *[np.zeros(1000, np.int32)] * 2, [b""] * 1000, [words] * 1000, lists, lists, np.ones(1000, np.int64)]
+            names = ["doc_id", "key", "pos", "low_pos", "before", "after", "lows", "highs", "copies"]
+            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names)
+
+    found, most, before = 0, 0, 0
+    for ranges in suffixes._compare(50, 10)(sorted_suffixes()):
+        most, before = max(most, read - before), read
+        found += len(ranges)
+    assert found == 30_000 and most < 12_000
+
+
+def test_small_tables_start_no_python_rdd(spark):
+    docs = spark.range(9).selectExpr("id AS doc_id", "concat('text ', id) AS text", "'s' AS source")
+    mixed = mixing.mix(docs)
+    for made in (packing.pack(docs, packing.word_count(), F.col("doc_id"))[0], mixing.taken(mixed)):
+        assert "ExistingRDD" not in made._jdf.queryExecution().toString()
+    got = store.small_table(spark, a=pa.array(["x", None], pa.string()), b=pa.array([1, 2], pa.int32()))
+    assert got.dtypes == [("a", "string"), ("b", "int")] and sorted(got.collect(), key=str) == [("x", 1), (None, 2)]
+    assert store.small_table(spark, a=pa.array([], pa.int64())).collect() == []
+
+
+def test_workers_load_no_pandas():
+    code = "import sys, bytesift.llm.mixing, corpus_pipeline; print('pandas' in sys.modules)"
+    root = Path(__file__).resolve().parents[2]
+    said = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)
+    assert said.stdout.strip() == "False"
+
+
+def test_accepted_keeps_all_batches(spark):
+    docs = spark.range(2000).coalesce(1).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    model = toxicity.Model(np.zeros(1 << toxicity.BUCKETS_LOG2, np.float32), -1.0)
+    kept = toxicity.accepted(docs, model)
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(2000))
